@@ -33,13 +33,19 @@ def _round(df: DataFrame, cols, digits: int = 2) -> DataFrame:
 # --------------------------------------------------------------------------- M1
 
 
+def _upc_double(df: DataFrame) -> DataFrame:
+    # nullable integer -> double, so both engines hand over the same column type
+    return df.withColumn("UNITSPERCASE", F.col("UNITSPERCASE").cast("double"))
+
+
 def wholesale_extract(spark: SparkSession, sf: str) -> DataFrame:
-    return _round(X.wholesale_sales_extract(tables(spark, sf).wholesale_sales, WHO), ["QUANTITY", "TOTAL_REVENUE"])
+    df = X.wholesale_sales_extract(tables(spark, sf).wholesale_sales, WHO)
+    return _upc_double(_round(df, ["QUANTITY", "TOTAL_REVENUE"]))
 
 
 def wholesale_units(spark: SparkSession, sf: str) -> DataFrame:
     df = wholesale.labelled_sales(tables(spark, sf).wholesale_sales, WHO)
-    return _round(df, ["QUANTITY", "TOTAL_REVENUE", "UNIT_COUNT"])
+    return _upc_double(_round(df, ["QUANTITY", "TOTAL_REVENUE", "UNIT_COUNT"]))
 
 
 def wholesale_daily_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -57,8 +63,8 @@ def wholesale_category_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def retail_extract(spark: SparkSession, sf: str) -> DataFrame:
     df = X.retail_sales_extract(tables(spark, sf).retail_sales, SAL)
-    return _round(df, ["WEIGHTSOLD", "TOTAL_QUANTITY", "TOTAL_REVENUE"]).withColumn(
-        "AVG_UNIT_COST", F.round("AVG_UNIT_COST", 4))
+    # revenue lines carry 4 decimals (price x (1 - discount)): rounded on that grid
+    return _round(_round(df, ["WEIGHTSOLD", "TOTAL_QUANTITY"]), ["TOTAL_REVENUE", "AVG_UNIT_COST"], 4)
 
 
 def retail_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,7 +72,7 @@ def retail_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def wholesale_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    return X.wholesale_inventory_snapshot(tables(spark, sf).wholesale_inventory, WHO)
+    return _upc_double(X.wholesale_inventory_snapshot(tables(spark, sf).wholesale_inventory, WHO))
 
 
 # --------------------------------------------------------------------------- M3
@@ -247,12 +253,12 @@ def inventory_ladder(spark: SparkSession, sf: str) -> DataFrame:
 
 def category_summary(spark: SparkSession, sf: str) -> DataFrame:
     out = P.retail_sales_outputs(spark, sf)
-    return _round(out["category_summary"], ["TOTAL_QUANTITY", "TOTAL_REVENUE", "WEIGHTSOLD"])
+    return _round(_round(out["category_summary"], ["TOTAL_QUANTITY", "WEIGHTSOLD"]), ["TOTAL_REVENUE"], 4)
 
 
 def daily_summary(spark: SparkSession, sf: str) -> DataFrame:
     out = P.retail_sales_outputs(spark, sf)
-    return _round(out["daily_summary"], ["TOTAL_QUANTITY", "TOTAL_REVENUE"])
+    return _round(_round(out["daily_summary"], ["TOTAL_QUANTITY"]), ["TOTAL_REVENUE"], 4)
 
 
 def match_rate(spark: SparkSession, sf: str) -> DataFrame:

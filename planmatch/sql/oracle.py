@@ -1,3 +1,335 @@
-"""DuckDB oracle SQL per registered query (filled per milestone)."""
+"""DuckDB oracle SQL per registered query.
+
+Written independently of the Spark code: plain SQL over the driver tables,
+with the fixture views inlined as CTEs.  DuckDB has no NFKD; the oracle maps
+the compatibility characters present in the fixtures (superscript digits)
+before ``strip_accents``.  Queries whose semantics need the fuzzy scorers on
+whole tables (partial ratio, the full ladder) have no entry and are checked
+against brute force in the tests instead.
+"""
+
+from __future__ import annotations
+
+from planmatch.config import FIXTURE_BRANDS, FIXTURE_BUYERS, FIXTURE_MASTER
+from planmatch.config import (
+    CONCENTRATE_WORDS,
+    EDIBLE_WORDS,
+    FLAVOR_STOP_WORDS,
+    FLOWER_WORDS_INVENTORY,
+    FLOWER_WORDS_SALES,
+    PREROLL_WORDS,
+    VAPE_WORDS,
+)
+from planmatch.sources.fixtures import duckdb_ctes
+
+
+def _lits(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+MASTER = _lits(FIXTURE_MASTER)
+BRANDS = _lits(FIXTURE_BRANDS)
+BRANDS_LC = _lits(sorted({b.lower() for b in FIXTURE_BRANDS}))
+BUYERS = _lits(FIXTURE_BUYERS)
+
+
+def strip(x: str) -> str:
+    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+
+
+def clean(x: str) -> str:
+    return f"lower({strip(f'replace(replace(coalesce({x}, {chr(39)}{chr(39)}), {chr(39)}AU:{chr(39)}, {chr(39)}{chr(39)}), {chr(39)}MED:{chr(39)}, {chr(39)}{chr(39)})')})"
+
+
+def normalize(x: str) -> str:
+    folded = (f"regexp_replace(strip_accents(replace(replace(replace(coalesce({x}, ''), '¹', '1'), '²', '2'), '³', '3')),"
+              r" '[^\x00-\x7F]', '', 'g')")
+    return f"lower({strip(rf'regexp_replace({folded}, {chr(39)}\s+{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})')})"
+
+
+def any_of(t: str, words) -> str:
+    return "(" + " OR ".join(f"contains({t}, '{w}')" for w in words) + ")"
+
+
+def grams(x: str) -> str:
+    pat = r"'(\d+\.?\d*)(g|mg)'"
+    v = f"TRY_CAST(regexp_extract(lower({x}), {pat}, 1) AS DOUBLE)"
+    u = f"regexp_extract(lower({x}), {pat}, 2)"
+    return f"(CASE {u} WHEN 'g' THEN {v} WHEN 'mg' THEN round({v} / 1000.0, 4) END)"
+
+
+def type_sales(x: str) -> str:
+    t = f"lower({x})"
+    return (f"(CASE WHEN {any_of(t, FLOWER_WORDS_SALES)} THEN 'flower' WHEN {any_of(t, VAPE_WORDS)} THEN 'vape' "
+            f"WHEN {any_of(t, CONCENTRATE_WORDS)} THEN 'concentrate' WHEN {any_of(t, EDIBLE_WORDS)} THEN 'edible' END)")
+
+
+def type_inventory(x: str) -> str:
+    t = f"lower({x})"
+    return (f"(CASE WHEN {any_of(t, CONCENTRATE_WORDS)} THEN 'concentrate' WHEN {any_of(t, EDIBLE_WORDS)} THEN 'edible' "
+            f"WHEN {any_of(t, PREROLL_WORDS)} THEN 'flower' WHEN regexp_matches({t}, '\\b(\\d+(\\.\\d+)?g)\\b') THEN 'flower' "
+            f"WHEN {any_of(t, FLOWER_WORDS_INVENTORY)} THEN 'flower' WHEN {any_of(t, VAPE_WORDS)} THEN 'vape' END)")
+
+
+def forced(cat: str = "CATEGORY", master: str = "MASTERCATEGORY") -> str:
+    return f"(contains(lower(coalesce({cat}, 'None')), 'concentrate') OR lower(coalesce({master}, 'None')) = 'mips')"
+
+
+def remove_words(t: str) -> str:
+    for w in FLAVOR_STOP_WORDS:
+        t = f"replace({t}, '{w}', '')"
+    return t
+
+
+def flavor_text(x: str, letters_first: bool) -> str:
+    low = f"lower(coalesce({x}, ''))"
+    if letters_first:
+        return remove_words(rf"regexp_replace({low}, '[^a-zA-Z\s]', '', 'g')")
+    return rf"regexp_replace({remove_words(low)}, '[^a-zA-Z\s]', '', 'g')"
+
+
+def tokens(x: str, letters_first: bool) -> str:
+    return rf"array_to_string(list_filter(string_split_regex({flavor_text(x, letters_first)}, '\s+'), lambda w: length(w) >= 3), '|')"
+
+
+def strain(x: str) -> str:
+    t = f"lower(coalesce({x}, ''))"
+    return f"(CASE WHEN contains({t}, 'hybrid') THEN 'hybrid' WHEN contains({t}, 'indica') THEN 'indica' WHEN contains({t}, 'sativa') THEN 'sativa' END)"
+
+
+def pack(x: str) -> str:
+    return rf"nullif(regexp_extract(lower({x}), '\((\d+)pk\)', 1), '')"
+
+
+def token_key(x: str) -> str:
+    return rf"array_to_string(list_sort(list_filter(string_split_regex({x}, '\s+'), lambda w: w <> '')), ' ')"
+
+
+def sales_gate(b: str = "BRANDNAME") -> str:
+    return f"lower({strip(f'coalesce({b}, {chr(39)}None{chr(39)})')}) IN ({BRANDS_LC})"
+
+
+def inv_gate(b: str = "BRANDNAME") -> str:
+    return f"{b} IN ({BRANDS})"
+
+
+AS_OF_W = "(SELECT max(DELIVERYDATE) FROM wholesale_sales)"
+AS_OF_R = "(SELECT max(TRANSACTIONDATE) FROM retail_sales)"
+
+# --------------------------------------------------------------------------- M1
+
+_W_EXTRACT = f"""
+w_ext AS (
+  SELECT 'Wholesale' AS LOCATIONNAME, DELIVERYDATE AS TRANSACTIONDATE, PRODUCTNAME, BRAND AS BRANDNAME, PRODUCTSKU,
+         WEIGHTUNIT, UNITSPERCASE, PRODUCTSKU AS SNOP_CATEGORY, BUYERNAME,
+         sum(QUANTITY) AS QUANTITY, sum(LINETOTAL) AS TOTAL_REVENUE
+  FROM wholesale_sales
+  WHERE DELIVERYDATE BETWEEN {AS_OF_W} - 90 AND {AS_OF_W}
+    AND lower(BUYERNAME) NOT IN ({BUYERS})
+  GROUP BY DELIVERYDATE, PRODUCTNAME, BRAND, PRODUCTSKU, WEIGHTUNIT, UNITSPERCASE, BUYERNAME),
+w_lab AS (
+  SELECT *,
+    CASE WHEN coalesce({strip('WEIGHTUNIT')}, '') = 'Grams'
+           THEN CASE WHEN contains(upper(coalesce(PRODUCTNAME, '')), 'BULK') OR contains(upper(coalesce(PRODUCTNAME, '')), 'TRIM')
+                     THEN coalesce(QUANTITY, 0.0) * 453.6 ELSE coalesce(QUANTITY, 0.0) END
+         WHEN coalesce({strip('WEIGHTUNIT')}, '') IN ('Units', 'Unit') THEN coalesce(QUANTITY, 0.0)
+         ELSE coalesce(QUANTITY, 0.0) * coalesce(CAST(UNITSPERCASE AS DOUBLE), 1.0) END AS UNIT_COUNT,
+    PRODUCTSKU AS MATCHED_SNOP_CATEGORY,
+    CASE WHEN PRODUCTSKU IS NOT NULL THEN CAST(100 AS DOUBLE) END AS MATCH_SCORE,
+    CASE WHEN PRODUCTSKU IS NOT NULL THEN 'wholesale direct' END AS MATCHED_REFERENCE,
+    CASE WHEN PRODUCTSKU IS NOT NULL THEN 'Matched (wholesale clean)' ELSE 'Missing SKU' END AS MATCH_RESULT
+  FROM w_ext)"""
+
+W_CTE = duckdb_ctes(["wholesale_sales"]) + "," + _W_EXTRACT
 
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["wholesale_extract"] = W_CTE + """
+SELECT LOCATIONNAME, TRANSACTIONDATE, PRODUCTNAME, BRANDNAME, PRODUCTSKU, WEIGHTUNIT,
+       CAST(UNITSPERCASE AS DOUBLE) AS UNITSPERCASE, SNOP_CATEGORY,
+       BUYERNAME, round(QUANTITY, 2) AS QUANTITY, round(TOTAL_REVENUE, 2) AS TOTAL_REVENUE
+FROM w_ext"""
+
+ORACLE_SQL["wholesale_units"] = W_CTE + """
+SELECT LOCATIONNAME, TRANSACTIONDATE, PRODUCTNAME, BRANDNAME, PRODUCTSKU, WEIGHTUNIT,
+       CAST(UNITSPERCASE AS DOUBLE) AS UNITSPERCASE, SNOP_CATEGORY,
+       BUYERNAME, round(QUANTITY, 2) AS QUANTITY, round(TOTAL_REVENUE, 2) AS TOTAL_REVENUE, round(UNIT_COUNT, 2) AS UNIT_COUNT,
+       MATCHED_SNOP_CATEGORY, MATCH_SCORE, MATCHED_REFERENCE, MATCH_RESULT
+FROM w_lab"""
+
+ORACLE_SQL["wholesale_daily_summary"] = W_CTE + """
+SELECT LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY,
+       round(coalesce(sum(UNIT_COUNT), 0.0), 2) AS UNIT_COUNT, round(coalesce(sum(TOTAL_REVENUE), 0.0), 2) AS TOTAL_REVENUE
+FROM w_lab WHERE MATCHED_SNOP_CATEGORY IS NOT NULL
+GROUP BY LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY"""
+
+ORACLE_SQL["wholesale_category_summary"] = W_CTE + """
+SELECT 'Wholesale' AS LOCATIONNAME, MATCHED_SNOP_CATEGORY, PRODUCTNAME,
+       round(coalesce(sum(UNIT_COUNT), 0.0), 2) AS UNIT_COUNT, round(coalesce(sum(TOTAL_REVENUE), 0.0), 2) AS TOTAL_REVENUE
+FROM w_lab WHERE MATCHED_SNOP_CATEGORY IS NOT NULL
+GROUP BY MATCHED_SNOP_CATEGORY, PRODUCTNAME"""
+
+# --------------------------------------------------------------------------- M2
+
+ORACLE_SQL["retail_extract"] = duckdb_ctes(["retail_sales"]) + f"""
+SELECT LOCATIONNAME, PRODUCTID, PRODUCTNAME, SKU, MASTERCATEGORY, BRANDNAME, PRODUCTGRAMS,
+       round(sum(PRODUCTGRAMS), 2) AS WEIGHTSOLD, CATEGORY, TRANSACTIONDATE,
+       count(DISTINCT TRANSACTIONID) AS TOTAL_TRANSACTIONS, round(sum(QUANTITY), 2) AS TOTAL_QUANTITY,
+       round(sum(NETSALEFORITEM), 4) AS TOTAL_REVENUE, round(avg(UNITCOST), 4) AS AVG_UNIT_COST
+FROM retail_sales
+WHERE lower(TRANSACTIONTYPE) = 'retail' AND TRANSACTIONDATE BETWEEN {AS_OF_R} - 90 AND {AS_OF_R}
+  AND MASTERCATEGORY IN ({MASTER}) AND RETURNDATE IS NULL AND lower(ISVOID) = 'false'
+GROUP BY LOCATIONNAME, PRODUCTID, PRODUCTNAME, PRODUCTGRAMS, SKU, MASTERCATEGORY, BRANDNAME, CATEGORY, TRANSACTIONDATE"""
+
+ORACLE_SQL["retail_latest_snapshot"] = duckdb_ctes(["retail_inventory"]) + f"""
+SELECT * FROM retail_inventory
+WHERE INVENTORYDATE = (SELECT max(INVENTORYDATE) FROM retail_inventory)
+  AND QUANTITYAVAILABLE IS NOT NULL AND MASTERCATEGORY IN ({MASTER}) AND QUANTITYAVAILABLE > 0"""
+
+_WI_SNAP = """
+wi_snap AS (
+  SELECT 'Wholesale' AS LOCATIONNAME, PRODUCTNAME, BRAND AS BRANDNAME, PRODUCTSKU, UNITSIZE AS WEIGHTUNIT, UNITSPERCASE,
+         INVENTORYDATE, QUANTITY AS QUANTITYONHAND
+  FROM wholesale_inventory
+  WHERE INVENTORYDATE = (SELECT max(INVENTORYDATE) FROM wholesale_inventory)
+    AND QUANTITY IS NOT NULL AND QUANTITY > 0 AND PRODUCTARCHIVED = false)"""
+
+ORACLE_SQL["wholesale_latest_snapshot"] = duckdb_ctes(["wholesale_inventory"]) + "," + _WI_SNAP + """
+SELECT * REPLACE (CAST(UNITSPERCASE AS DOUBLE) AS UNITSPERCASE) FROM wi_snap"""
+
+# --------------------------------------------------------------------------- M3
+
+_NAMES = duckdb_ctes(["product"]) + ", names AS (SELECT DISTINCT PRODUCTNAME FROM product)"
+
+ORACLE_SQL["clean_names"] = _NAMES + f"\nSELECT PRODUCTNAME, {clean('PRODUCTNAME')} AS CLEANED FROM names"
+
+ORACLE_SQL["normalize_names"] = duckdb_ctes(["product", "catalog"]) + f"""
+, names AS (SELECT PRODUCTNAME FROM product UNION SELECT PRODUCTNAME FROM catalog)
+SELECT PRODUCTNAME, {normalize(clean('PRODUCTNAME'))} AS NORMALIZED FROM names"""
+
+ORACLE_SQL["extract_grams"] = _NAMES + f"\nSELECT PRODUCTNAME, {grams('PRODUCTNAME')} AS GRAMS FROM names"
+
+ORACLE_SQL["product_type_sales"] = _NAMES + f"\nSELECT PRODUCTNAME, {type_sales('PRODUCTNAME')} AS PRODUCTTYPE FROM names"
+
+ORACLE_SQL["product_type_inventory"] = duckdb_ctes(["product"]) + f"""
+, p AS (SELECT DISTINCT PRODUCTNAME, CATEGORY, MASTERCATEGORY FROM product)
+SELECT PRODUCTNAME, CATEGORY, MASTERCATEGORY,
+       CASE WHEN {forced()} THEN 'concentrate' ELSE {type_inventory('PRODUCTNAME')} END AS PRODUCTTYPE
+FROM p"""
+
+ORACLE_SQL["flavor_tokens"] = _NAMES + f"""
+SELECT PRODUCTNAME, {tokens('PRODUCTNAME', False)} AS TOKENS_SALES, {strip(flavor_text('PRODUCTNAME', False))} AS FLAVOR_SALES,
+       {tokens('PRODUCTNAME', True)} AS TOKENS_INVENTORY, {strip(flavor_text('PRODUCTNAME', True))} AS FLAVOR_INVENTORY
+FROM names"""
+
+ORACLE_SQL["strain_and_pack"] = _NAMES + f"""
+SELECT PRODUCTNAME, {strain('PRODUCTNAME')} AS STRAIN, {pack('PRODUCTNAME')} AS PACK FROM names"""
+
+# --------------------------------------------------------------------------- M4
+
+_SALES_KEYS = f"""
+s_keys AS (
+  SELECT DISTINCT PRODUCTNAME, BRANDNAME FROM retail_sales
+  WHERE MASTERCATEGORY IN ({MASTER}) AND {sales_gate()}),
+s_emap AS (
+  SELECT PRODUCTNAME AS KEY, arg_max(SNOPCATEGORY, CATALOGPOS) AS CAT FROM catalog
+  WHERE SNOPCATEGORY IS NOT NULL AND PRODUCTNAME IS NOT NULL GROUP BY PRODUCTNAME)"""
+
+_INV_KEYS = f"""
+i_keys AS (
+  SELECT DISTINCT PRODUCTNAME, BRANDNAME, {forced()} AS TYPE_FORCED FROM retail_inventory
+  WHERE MASTERCATEGORY IN ({MASTER}) AND {inv_gate()}),
+i_refs AS (
+  SELECT REF_KEY, min(CATALOGPOS) AS REF_POS, arg_max_null(SNOPCATEGORY, CATALOGPOS) AS REF_CAT
+  FROM (SELECT {normalize(clean('PRODUCTNAME'))} AS REF_KEY, SNOPCATEGORY, CATALOGPOS FROM catalog) c
+  GROUP BY REF_KEY)"""
+
+ORACLE_SQL["brand_gate"] = duckdb_ctes(["retail_sales"]) + f"""
+SELECT BRANDNAME, coalesce({sales_gate()}, false) AS APPROVED, count(*) AS ROWS
+FROM retail_sales WHERE MASTERCATEGORY IN ({MASTER})
+GROUP BY BRANDNAME, APPROVED"""
+
+ORACLE_SQL["exact_match"] = duckdb_ctes(["retail_sales", "catalog"]) + "," + _SALES_KEYS + """
+SELECT k.PRODUCTNAME, k.BRANDNAME, e.CAT AS MATCHED_SNOP_CATEGORY, CAST(100 AS DOUBLE) AS MATCH_SCORE,
+       k.PRODUCTNAME AS MATCHED_REFERENCE, 'Matched (Exact Match)' AS MATCH_RESULT
+FROM s_keys k JOIN s_emap e ON k.PRODUCTNAME = e.KEY"""
+
+ORACLE_SQL["exact_match_brand"] = duckdb_ctes(["retail_sales", "catalog"]) + "," + _SALES_KEYS + f"""
+, alt AS (SELECT PRODUCTNAME, BRANDNAME,
+     {strip("concat(coalesce(PRODUCTNAME, ''), ' - ', coalesce(BRANDNAME, 'None'))")} AS ALT_KEY FROM s_keys)
+SELECT a.PRODUCTNAME, a.BRANDNAME, e.CAT AS MATCHED_SNOP_CATEGORY, CAST(99 AS DOUBLE) AS MATCH_SCORE,
+       a.ALT_KEY AS MATCHED_REFERENCE, 'Matched (Exact Match w/ Brand)' AS MATCH_RESULT
+FROM alt a JOIN s_emap e ON a.ALT_KEY = e.KEY"""
+
+ORACLE_SQL["token_key_match"] = duckdb_ctes(["retail_inventory", "catalog"]) + "," + _INV_KEYS + f"""
+, k AS (SELECT *, {token_key(normalize(clean('PRODUCTNAME')))} AS TK FROM i_keys),
+r AS (SELECT *, {token_key('REF_KEY')} AS RTK FROM i_refs),
+hits AS (SELECT k.PRODUCTNAME, k.BRANDNAME, k.TYPE_FORCED, arg_min_null(r.REF_CAT, r.REF_POS) AS CAT,
+                arg_min(r.REF_KEY, r.REF_POS) AS REF
+         FROM k JOIN r ON k.TK = r.RTK GROUP BY k.PRODUCTNAME, k.BRANDNAME, k.TYPE_FORCED)
+SELECT PRODUCTNAME, BRANDNAME, CAT AS MATCHED_SNOP_CATEGORY, CAST(100 AS DOUBLE) AS MATCH_SCORE,
+       REF AS MATCHED_REFERENCE, 'High-Confidence Override' AS MATCH_RESULT
+FROM hits"""
+
+# --------------------------------------------------------------------------- M6
+
+ORACLE_SQL["preroll_fallback"] = duckdb_ctes(["retail_sales", "catalog"]) + "," + _SALES_KEYS + f"""
+, cand AS (
+  SELECT PRODUCTNAME, BRANDNAME, lower(coalesce(BRANDNAME, 'None')) AS B, {strain('PRODUCTNAME')} AS S,
+         TRY_CAST({pack('PRODUCTNAME')} AS DECIMAL(38, 0)) AS P, {grams('PRODUCTNAME')} AS G
+  FROM s_keys
+  WHERE {type_sales('PRODUCTNAME')} = 'flower' AND contains({clean('PRODUCTNAME')}, 'preroll')
+    AND contains(lower(coalesce(PRODUCTNAME, '')), 'preroll')),
+fb AS (
+  SELECT PRODUCTNAME AS FB_NAME, SNOPCATEGORY AS FB_CAT, CATALOGPOS AS FB_POS,
+         lower(coalesce(CAST(BRAND AS VARCHAR), 'None')) AS B, {strain('lower(PRODUCTNAME)')} AS S,
+         TRY_CAST({pack('PRODUCTNAME')} AS DECIMAL(38, 0)) AS P, {grams('lower(PRODUCTNAME)')} AS G
+  FROM catalog WHERE contains(lower(coalesce(PRODUCTNAME, 'None')), 'preroll'))
+SELECT c.PRODUCTNAME, c.BRANDNAME, arg_min_null(f.FB_CAT, f.FB_POS) AS MATCHED_SNOP_CATEGORY,
+       CAST(90 AS DOUBLE) AS MATCH_SCORE, arg_min(f.FB_NAME, f.FB_POS) AS MATCHED_REFERENCE,
+       'Fallback Preroll Match' AS MATCH_RESULT
+FROM cand c JOIN fb f ON c.B = f.B AND c.S IS NOT DISTINCT FROM f.S AND c.P IS NOT DISTINCT FROM f.P
+WHERE c.G <> 0 AND f.G <> 0 AND abs(c.G - f.G) < 0.05
+GROUP BY c.PRODUCTNAME, c.BRANDNAME"""
+
+ORACLE_SQL["bulk_override"] = duckdb_ctes(["retail_sales", "retail_inventory", "catalog"]) + "," + _SALES_KEYS + "," + _INV_KEYS + """
+, k AS (
+  SELECT 'fixture_sales' AS PRESET, PRODUCTNAME, BRANDNAME, false AS TYPE_FORCED,
+         contains(lower(coalesce(BRANDNAME, 'None')), 'brand#1') OR contains(lower(coalesce(PRODUCTNAME, '')), 'brand#1') AS PREMIUM
+  FROM s_keys
+  UNION ALL
+  SELECT 'fixture_inventory', PRODUCTNAME, BRANDNAME, TYPE_FORCED, contains(lower(coalesce(BRANDNAME, 'None')), 'brand#1')
+  FROM i_keys)
+SELECT PRESET, PRODUCTNAME, BRANDNAME, TYPE_FORCED,
+       CASE WHEN PREMIUM THEN 'NEA Fire Bulk Flower g' ELSE 'NEA Bulk Flower g' END AS MATCHED_SNOP_CATEGORY,
+       CASE WHEN PREMIUM THEN CAST(100 AS DOUBLE) ELSE CAST(95 AS DOUBLE) END AS MATCH_SCORE,
+       CASE WHEN PREMIUM THEN 'bulk name brand rule' ELSE 'bulk name rule' END AS MATCHED_REFERENCE,
+       'Bulk Override' AS MATCH_RESULT
+FROM k WHERE contains(lower(coalesce(PRODUCTNAME, '')), 'bulk')"""
+
+ORACLE_SQL["trim_bulk_override"] = duckdb_ctes(["wholesale_inventory"]) + "," + _WI_SNAP + f"""
+, conv AS (
+  SELECT *,
+    CASE WHEN contains(upper(coalesce(PRODUCTNAME, '')), 'BULK') OR contains(upper(coalesce(PRODUCTNAME, '')), 'TRIM')
+           THEN coalesce(QUANTITYONHAND, 0.0) * 453.6
+         WHEN coalesce(nullif(CAST(UNITSPERCASE AS DOUBLE), 0), 1.0) <> 1.0
+           THEN coalesce(QUANTITYONHAND, 0.0) * coalesce(nullif(CAST(UNITSPERCASE AS DOUBLE), 0), 1.0)
+         ELSE coalesce(QUANTITYONHAND, 0.0) END AS TOTAL_QUANTITY,
+    PRODUCTSKU IS NULL OR {strip('PRODUCTSKU')} = '' AS MISSING,
+    contains(upper(coalesce(PRODUCTNAME, 'None')), 'TRIM') AS IS_TRIM,
+    contains(upper(coalesce(PRODUCTNAME, 'None')), 'BULK') AS IS_BULK,
+    contains(upper(coalesce(BRANDNAME, 'None')), 'BRAND#1') OR contains(upper(coalesce(PRODUCTNAME, 'None')), 'BRAND#1') AS PREMIUM
+  FROM wi_snap),
+lab AS (
+  SELECT *, MISSING AND (IS_TRIM OR IS_BULK) AS HIT, CASE WHEN IS_TRIM THEN 'trim' ELSE 'bulk' END AS KIND FROM conv)
+SELECT LOCATIONNAME, INVENTORYDATE,
+  CASE WHEN HIT AND PREMIUM THEN 'NEA Fire Bulk Flower g' WHEN HIT THEN 'NEA Bulk Flower g' ELSE PRODUCTSKU END AS MATCHED_SNOP_CATEGORY,
+  PRODUCTNAME, round(TOTAL_QUANTITY, 2) AS TOTAL_QUANTITY,
+  CASE WHEN HIT AND IS_TRIM THEN 'Trim Override' WHEN HIT THEN 'Bulk Override'
+       WHEN PRODUCTSKU IS NOT NULL THEN 'Matched (wholesale clean)' ELSE 'Missing SKU' END AS MATCH_RESULT,
+  CASE WHEN HIT AND PREMIUM THEN CAST(95 AS DOUBLE) WHEN HIT THEN CAST(90 AS DOUBLE)
+       WHEN PRODUCTSKU IS NOT NULL THEN CAST(100 AS DOUBLE) END AS MATCH_SCORE,
+  CASE WHEN HIT AND PREMIUM THEN KIND || ' name brand rule' WHEN HIT THEN KIND || ' name rule'
+       WHEN PRODUCTSKU IS NOT NULL THEN 'wholesale direct' END AS MATCHED_REFERENCE,
+  BRANDNAME
+FROM lab"""
