@@ -33,10 +33,23 @@ def length_band(length: Column, threshold: float) -> tuple[Column, Column]:
     return lo, hi
 
 
+def scoring_partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def fuzzy_candidates(products: DataFrame, refs: DataFrame, key_cols: list[str], threshold: float,
                      refs_small: bool, product_key: str = "TOKEN_KEY", ref_key: str = "REF_TOKEN_KEY") -> DataFrame:
-    """All (product, reference) pairs inside the length band, scored."""
-    p = products.withColumn("__plen", F.length(product_key))
+    """All (product, reference) pairs inside the length band, scored.
+
+    The distinct product keys are few bytes but many scorer calls, so they are
+    spread over an explicit number of partitions: AQE would otherwise coalesce
+    the small shuffle into a single scoring task.  The partition expression is
+    a hash *value* on purpose, so the optimizer cannot fold it into the
+    distinct's exchange; the top-k window's exchange that follows runs after
+    the map-side partial top-k and moves at most k rows per key and partition.
+    """
+    n = scoring_partitions(products.sparkSession)
+    p = products.repartition(n, F.xxhash64(*key_cols)).withColumn("__plen", F.length(product_key))
     lo, hi = length_band(F.col("__plen"), threshold)
     r = refs.withColumn("__rlen", F.length(ref_key))
     pairs = band_join(p, r, "__plen", "__rlen", lo, hi, refs_small)
@@ -86,18 +99,21 @@ def grid_best(left: DataFrame, right: DataFrame, left_id: str, left_text: str, r
     r_blocks, c_blocks = _grid_dims(n_right, cell_right, left_blocks)
 
     lsel = left.select(F.col(left_id).alias("__id"), F.col(left_text).alias("__lt"))
-    lsel = lsel.withColumn("__i", F.pmod(F.xxhash64("__id"), F.lit(r_blocks)))
+    # block ids are int on both sides: equal ids must hash to the same partition
+    lsel = lsel.withColumn("__i", F.pmod(F.xxhash64("__id"), F.lit(r_blocks)).cast("int"))
     lsel = lsel.withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
     rsel = right.select(F.col(right_text).alias("__rt"), F.col(right_pos).alias("__pos"),
                         *[F.col(c) for c in payload])
-    rsel = rsel.withColumn("__j", F.pmod(F.xxhash64("__pos"), F.lit(c_blocks)))
+    rsel = rsel.withColumn("__j", F.pmod(F.xxhash64("__pos"), F.lit(c_blocks)).cast("int"))
     rsel = rsel.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))))
 
     id_type = left.schema[left_id].dataType
     pos_type = right.schema[right_pos].dataType
-    out_schema = T.StructType([T.StructField("__id", id_type)]
-                              + [right.schema[c] for c in payload]
-                              + [T.StructField("BEST_SCORE", T.DoubleType()), T.StructField("BEST_POS", pos_type)])
+    # every output field nullable: empty cells emit one all-null sentinel row
+    out_schema = T.StructType([T.StructField("__id", id_type, True)]
+                              + [T.StructField(c, right.schema[c].dataType, True) for c in payload]
+                              + [T.StructField("BEST_SCORE", T.DoubleType(), True),
+                                 T.StructField("BEST_POS", pos_type, True)])
     score_fn = S.ratio if scorer == "ratio" else S.partial_ratio
     cutoff = min_score
 
@@ -129,6 +145,10 @@ def grid_best(left: DataFrame, right: DataFrame, left_id: str, left_text: str, r
             return sentinel
         return pd.DataFrame(out, columns=names)
 
+    # explicit partition count: AQE must not fold the cells into a few tasks
+    n_cells = r_blocks * c_blocks
+    lsel = lsel.repartition(n_cells, "__i", "__j")
+    rsel = rsel.repartition(n_cells, "__i", "__j")
     cells = (
         lsel.groupBy("__i", "__j")
         .cogroup(rsel.groupBy("__i", "__j"))

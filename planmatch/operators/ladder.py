@@ -160,9 +160,15 @@ def high_confidence_tier(feats: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 def strict_candidates(open_feats: DataFrame, refs: DataFrame, rules: RuleSet, refs_small: bool) -> DataFrame:
-    """Top-k candidates of the open keys with the veto rules evaluated (PASS)."""
-    top = fuzzy_top_k(open_feats, refs, KEY, rules.strict_threshold, rules.top_k, refs_small)
-    return top.withColumn("PASS", R.all_rules_pass(rules) & (F.col("SCORE") >= rules.strict_threshold))
+    """Top-k candidates of the open keys with the veto rules evaluated (PASS).
+
+    Scores depend only on the sorted-token text, so the top-k is computed
+    once per distinct text and fanned out to the keys by an equi-join.
+    """
+    texts = open_feats.select("TOKEN_KEY").distinct()
+    top = fuzzy_top_k(texts, refs, ["TOKEN_KEY"], rules.strict_threshold, rules.top_k, refs_small)
+    cand = open_feats.join(top, "TOKEN_KEY", "inner")
+    return cand.withColumn("PASS", R.all_rules_pass(rules) & (F.col("SCORE") >= rules.strict_threshold))
 
 
 def strict_tier(open_feats: DataFrame, refs: DataFrame, rules: RuleSet, refs_small: bool) -> DataFrame:
@@ -176,10 +182,11 @@ def strict_tier(open_feats: DataFrame, refs: DataFrame, rules: RuleSet, refs_sma
 def backup_tier(open_feats: DataFrame, cats: DataFrame, rules: RuleSet) -> DataFrame:
     """Edible keys: best partial ratio against the lower-cased categories, >= threshold."""
     edible = open_feats.filter(F.col("P_TYPE") == "edible").select(*KEY, "CLEANED")
-    edible = edible.withColumn("__kid", F.to_json(F.struct(*KEY)))
-    best = grid_best(edible.select("__kid", "CLEANED"), cats, "__kid", "CLEANED", "CAT_LC", "CAT_POS",
+    # scored once per distinct cleaned name
+    texts = edible.select("CLEANED").distinct()
+    best = grid_best(texts, cats, "CLEANED", "CLEANED", "CAT_LC", "CAT_POS",
                      ["CAT_LC"], scorer="partial", min_score=rules.partial_threshold, cell_right=500)
-    joined = edible.join(best, "__kid", "inner")
+    joined = edible.join(best, "CLEANED", "inner")
     return joined.select(*KEY, _result(F.col("CAT_LC"), F.col("BEST_SCORE"), F.col("CAT_LC"), C.LABEL_BACKUP)
                          .alias("T_BACKUP"))
 
@@ -246,10 +253,11 @@ def assemble(state: DataFrame, rules: RuleSet) -> DataFrame:
 
 def diagnostics(unmatched: DataFrame, refs: DataFrame, rules: RuleSet) -> DataFrame:
     """Failed veto checks against the single best candidate (no threshold, whole catalog)."""
-    u = unmatched.withColumn("__kid", F.to_json(F.struct(*KEY)))
-    best = grid_best(u.select("__kid", "TOKEN_KEY"), refs, "__kid", "TOKEN_KEY", "REF_TOKEN_KEY", "REF_POS",
+    # the best candidate depends on the sorted-token text only: one search per text
+    texts = unmatched.select("TOKEN_KEY").distinct()
+    best = grid_best(texts, refs, "TOKEN_KEY", "TOKEN_KEY", "REF_TOKEN_KEY", "REF_POS",
                      ["REF_KEY", "REF_CAT", "REF_GRAMS", "REF_PACK"], scorer="ratio")
-    joined = u.join(best, "__kid", "left")
+    joined = unmatched.join(best, "TOKEN_KEY", "left")
     # no candidate at all: category '' and no name (the original's empty defaults)
     joined = joined.withColumn("REF_CAT", F.when(F.col("REF_KEY").isNull(), F.lit("")).otherwise(F.col("REF_CAT")))
     return joined.select(*KEY, R.failed_checks(rules).alias("FAILED_CHECKS"))

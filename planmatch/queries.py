@@ -178,11 +178,9 @@ def name_exception_match(spark: SparkSession, sf: str) -> DataFrame:
 
 def fuzzy_top5(spark: SparkSession, sf: str) -> DataFrame:
     """Top-5 catalog names per cleaned sales name, for every candidate at or above 75."""
-    feats = _keys(spark, sf, SAL).select("TOKEN_KEY", F.lit(None).cast("string").alias("BRANDNAME"),
-                                         F.lit(False).alias("TYPE_FORCED"),
-                                         F.col("TOKEN_KEY").alias("PRODUCTNAME")).distinct()
+    texts = _keys(spark, sf, SAL).select("TOKEN_KEY").distinct()
     cat = _catalog(spark, sf, SAL)
-    top = fuzzy_top_k(feats, cat.refs, L.KEY, SAL.strict_threshold, SAL.top_k, cat.refs_small)
+    top = fuzzy_top_k(texts, cat.refs, ["TOKEN_KEY"], SAL.strict_threshold, SAL.top_k, cat.refs_small)
     return top.filter(F.col("SCORE") >= SAL.strict_threshold).select(
         "TOKEN_KEY", "REF_KEY", F.round("SCORE", 4).alias("SCORE"), F.col("RANK").cast("long").alias("RANK"))
 
