@@ -1,0 +1,19 @@
+import datetime as dt
+import tempfile
+
+from planmatch.streaming import snapshot_sink
+
+
+def test_snapshot_sink_over_available_now(spark):
+    src = tempfile.mkdtemp(prefix="stream-src-")
+    out = tempfile.mkdtemp(prefix="stream-out-") + "/t"
+    ck = tempfile.mkdtemp(prefix="stream-ck-")
+    d = dt.date
+    df = spark.createDataFrame([(d(2024, 1, 1), 1), (d(2024, 1, 2), 2)], "INVENTORYDATE date, V long")
+    df.write.mode("overwrite").parquet(src + "/a")
+    stream = spark.readStream.schema(df.schema).parquet(src + "/a")
+    q = (stream.writeStream.foreachBatch(snapshot_sink(out)).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = sorted((r[0], r[1]) for r in spark.read.parquet(out).select("INVENTORYDATE", "V").collect())
+    assert got == [(d(2024, 1, 1), 1), (d(2024, 1, 2), 2)]
