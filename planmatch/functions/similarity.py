@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,6 +132,86 @@ def nfkd_fold(s: str | None) -> str | None:
     return unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode("ascii")
 
 
+def lcs_pairs(a: list, b: list) -> np.ndarray:
+    """LCS length of every pair (a[i], b[i]), vectorised over the batch.
+
+    Work is set up once per *distinct* string (a batch of candidate pairs
+    repeats both sides heavily): bit masks per distinct ``a`` of at most 64
+    characters, character codes per distinct ``b``.  The bit-parallel step
+    then runs for all pairs at once on uint64 words, one step per position of
+    ``b``.  Pairs whose ``a`` is longer than 64 characters use Python integers.
+    """
+    n = len(a)
+    out = np.zeros(n, dtype=np.int64)
+    if n == 0:
+        return out
+    ua: dict = {}
+    ub: dict = {}
+    ai = np.fromiter((ua.setdefault(x, len(ua)) for x in a), dtype=np.int64, count=n)
+    bi = np.fromiter((ub.setdefault(y, len(ub)) for y in b), dtype=np.int64, count=n)
+    a_strs = list(ua)
+    b_strs = list(ub)
+    la = np.array([len(x) for x in a_strs], dtype=np.int64)
+    lb = np.array([len(y) for y in b_strs], dtype=np.int64)
+    alphabet: dict = {}
+    for y in b_strs:
+        for ch in y:
+            if ch not in alphabet:
+                alphabet[ch] = len(alphabet) + 1
+    width = int(lb.max()) if len(lb) else 0
+    codes = np.zeros((len(b_strs), max(width, 1)), dtype=np.int64)
+    for k, y in enumerate(b_strs):
+        if y:
+            codes[k, : len(y)] = [alphabet[ch] for ch in y]
+    pm = np.zeros((len(a_strs), len(alphabet) + 1), dtype=np.uint64)
+    for k, x in enumerate(a_strs):
+        if len(x) > 64:
+            continue
+        row = {}
+        for pos, ch in enumerate(x):
+            c = alphabet.get(ch)
+            if c is not None:
+                row[c] = row.get(c, 0) | (1 << pos)
+        for c, m in row.items():
+            pm[k, c] = m
+    wide = la[ai] > 64
+    for i in np.nonzero(wide)[0]:
+        out[i] = lcs_length(a[i], b[i])
+    sel = np.nonzero(~wide)[0]
+    if sel.size == 0 or width == 0:
+        return out
+    pa, pb = ai[sel], bi[sel]
+    lens = la[pa].astype(np.uint64)
+    full = np.uint64(0xFFFFFFFFFFFFFFFF)
+    mask = np.where(lens >= 64, full, (np.uint64(1) << np.minimum(lens, np.uint64(63))) - np.uint64(1))
+    v = mask.copy()
+    steps = int(lb[pb].max())
+    with np.errstate(over="ignore"):
+        for j in range(steps):
+            m = pm[pa, codes[pb, j]]
+            u = v & m
+            v = ((v + u) | (v - u)) & mask
+    out[sel] = la[pa] - np.bitwise_count(v).astype(np.int64)
+    return out
+
+
+def ratio_batch(a: list, b: list) -> np.ndarray:
+    """``ratio`` for each pair; NaN where either side is missing."""
+    n = len(a)
+    res = np.full(n, np.nan)
+    ok = [i for i in range(n) if isinstance(a[i], str) and isinstance(b[i], str)]
+    if not ok:
+        return res
+    aa = [a[i] for i in ok]
+    bb = [b[i] for i in ok]
+    lcs = lcs_pairs(aa, bb)
+    lsum = np.fromiter((len(x) + len(y) for x, y in zip(aa, bb)), dtype=np.int64, count=len(ok))
+    safe = np.maximum(lsum, 1)
+    sc = np.where(lsum == 0, 100.0, (1.0 - (lsum - 2 * lcs) / safe) * 100.0)
+    res[np.array(ok, dtype=np.int64)] = sc
+    return res
+
+
 # --------------------------------------------------------------------------
 # Arrow UDFs
 # --------------------------------------------------------------------------
@@ -138,21 +219,7 @@ def nfkd_fold(s: str | None) -> str | None:
 
 @F.pandas_udf(T.DoubleType())
 def ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    cache: dict = {}
-    out = []
-    for x, y in zip(a, b):
-        if not isinstance(x, str) or not isinstance(y, str):
-            out.append(None)
-            continue
-        lsum = len(x) + len(y)
-        if lsum == 0:
-            out.append(100.0)
-            continue
-        pm = cache.get(x)
-        if pm is None:
-            pm = cache[x] = _pattern_masks(x)
-        out.append(_score(lsum, lcs_length(x, y, pm)))
-    return pd.Series(out, dtype="float64")
+    return pd.Series(ratio_batch(a.tolist(), b.tolist()), dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())

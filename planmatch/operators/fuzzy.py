@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -129,6 +130,23 @@ def grid_best(left: DataFrame, right: DataFrame, left_id: str, left_text: str, r
         texts = rp["__rt"].tolist()
         rows = rp.to_dict("records")
         out = []
+        if scorer == "ratio":
+            # all pairs of the cell in one vectorised call; right rows are in
+            # position order, so the first maximum is the lowest position
+            lids, lts = lp["__id"].tolist(), lp["__lt"].tolist()
+            nl, nr = len(lts), len(texts)
+            scores = S.ratio_batch([x for x in lts for _ in range(nr)], texts * nl).reshape(nl, nr)
+            for k in range(nl):
+                row_scores = scores[k]
+                if np.all(np.isnan(row_scores)):
+                    continue
+                best_i = int(np.nanargmax(row_scores))
+                best = float(row_scores[best_i])
+                if cutoff is not None and best < cutoff:
+                    continue
+                row = rows[best_i]
+                out.append([lids[k]] + [row[c] for c in payload] + [best, row["__pos"]])
+            return pd.DataFrame(out, columns=names) if out else sentinel
         for lid, lt in zip(lp["__id"], lp["__lt"]):
             best, best_i = None, -1
             for i, t in enumerate(texts):

@@ -280,19 +280,34 @@ class Catalog:
         self.fallback, _ = sized_broadcast(CAT.fallback_rows(cat, rules))
 
 
-def match_keys(keys: DataFrame, catalog: Catalog, rules: RuleSet, with_diagnostics: bool | None = None) -> DataFrame:
+def match_keys(keys: DataFrame, catalog: Catalog, rules: RuleSet, with_diagnostics: bool | None = None,
+               persisted: list | None = None) -> DataFrame:
     """One row per key: KEY + MATCHED_SNOP_CATEGORY, MATCH_SCORE, MATCHED_REFERENCE,
-    MATCH_RESULT (+ FAILED_CHECKS for the inventory preset) + product features."""
-    # the distinct keys and their features feed every tier: computed once
-    feats = product_features(keys, rules).persist()
+    MATCH_RESULT (+ FAILED_CHECKS for the inventory preset) + product features.
+
+    The per-key intermediates (features, the state after the exact tiers, the
+    strict matches) feed several later tiers; they are persisted once instead
+    of being recomputed per consumer.  They are small (one row per distinct
+    key).  Pass a list as ``persisted`` to receive them for ``unpersist`` once
+    the result has been materialised.
+    """
+    held = persisted if persisted is not None else []
+
+    def keep(df: DataFrame) -> DataFrame:
+        df = df.persist()
+        held.append(df)
+        return df
+
+    feats = keep(product_features(keys, rules))
     state = exact_tiers(feats, catalog.exact)
     if rules.name_exceptions:
         state = null_safe_join(state, exception_tier(feats, catalog.exact, rules), KEY)
     if rules.high_confidence:
         state = null_safe_join(state, high_confidence_tier(feats, catalog.refs), KEY)
+    state = keep(state)
     pre = [c for c in ("T_EXACT", "T_ALT", "T_EXCEPTION", "T_HIGH") if c in state.columns]
     open_keys = state.filter(F.coalesce(*[F.col(c) for c in pre]).isNull()).select(*feats.columns)
-    strict = strict_tier(open_keys, catalog.refs, rules, catalog.refs_small)
+    strict = keep(strict_tier(open_keys, catalog.refs, rules, catalog.refs_small))
     state = null_safe_join(state, strict, KEY)
     open2 = null_safe_join(open_keys, strict.select(*KEY), KEY, "left_anti")
     state = null_safe_join(state, backup_tier(open2, catalog.categories, rules), KEY)
@@ -308,7 +323,7 @@ def match_keys(keys: DataFrame, catalog: Catalog, rules: RuleSet, with_diagnosti
     if with_diagnostics is None:
         with_diagnostics = rules.diagnostics
     if with_diagnostics:
-        out = out.persist()
+        out = keep(out)
         left = out.filter(F.col("MATCH_RESULT") == C.LABEL_NO_MATCH)
         diag = diagnostics(left, catalog.refs, rules)
         out = null_safe_join(out, diag, KEY)

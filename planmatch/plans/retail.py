@@ -43,10 +43,16 @@ def key_results(gated: DataFrame, catalog: L.Catalog, rules: RuleSet, checkpoint
     summaries and accounting, nor after a lost executor.
     """
     keys = L.product_keys(gated.filter("APPROVED"), rules)
-    res = L.match_keys(keys, catalog, rules)
+    held: list = []
+    res = L.match_keys(keys, catalog, rules, persisted=held)
     if checkpoint:
         checkpoint_dir(res.sparkSession)
-        res = res.checkpoint(eager=True)
+        # persisted first: an RDD checkpoint otherwise recomputes the ladder
+        # once for the job and again to write the checkpoint files
+        staged = res.persist()
+        res = staged.checkpoint(eager=True)
+        for df in held + [staged]:
+            df.unpersist()
     return res
 
 
