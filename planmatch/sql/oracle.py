@@ -333,3 +333,40 @@ SELECT LOCATIONNAME, INVENTORYDATE,
        WHEN PRODUCTSKU IS NOT NULL THEN 'wholesale direct' END AS MATCHED_REFERENCE,
   BRANDNAME
 FROM lab"""
+
+# --------------------------------------------------------------------------- M5
+
+# LCS by dynamic programming in SQL: one recursion step per character of A,
+# each step builds the next DP row with list_reduce (row[j+1] = LCS(A[:i], B[:j])).
+_LCS = """
+lcs(pid, i, r) AS (
+  SELECT pid, 0, list_transform(range(length(B) + 1), lambda x: 0) FROM pairs
+  UNION ALL
+  SELECT l.pid, l.i + 1,
+         list_reduce(range(1, length(p.B) + 1),
+                     lambda acc, j: list_append(acc, CASE WHEN substr(p.A, l.i + 1, 1) = substr(p.B, j, 1)
+                                                          THEN l.r[j] + 1 ELSE greatest(l.r[j + 1], acc[j]) END),
+                     [0])
+  FROM lcs l JOIN pairs p ON l.pid = p.pid
+  WHERE l.i < length(p.A)),
+scored AS (
+  SELECT p.*, CASE WHEN length(p.A) + length(p.B) = 0 THEN CAST(100 AS DOUBLE)
+                   ELSE (1.0 - CAST(length(p.A) + length(p.B) - 2 * l.r[-1] AS DOUBLE) / (length(p.A) + length(p.B))) * 100.0
+              END AS SCORE
+  FROM pairs p JOIN lcs l ON l.pid = p.pid AND l.i = length(p.A))"""
+
+ORACLE_SQL["fuzzy_top5"] = "WITH RECURSIVE" + duckdb_ctes(["retail_sales", "catalog"])[len("WITH"):] + "," + _SALES_KEYS + f"""
+, texts AS (SELECT DISTINCT {token_key(clean('PRODUCTNAME'))} AS A FROM s_keys),
+refs AS (SELECT lower(PRODUCTNAME) AS REF_KEY, min(CATALOGPOS) AS REF_POS FROM catalog
+         WHERE PRODUCTNAME IS NOT NULL GROUP BY lower(PRODUCTNAME)),
+rt AS (SELECT REF_KEY, REF_POS, {token_key('REF_KEY')} AS B FROM refs),
+pairs AS (
+  SELECT row_number() OVER () AS pid, t.A, r.B, r.REF_KEY, r.REF_POS
+  FROM texts t JOIN rt r
+    ON 5 * least(length(t.A), length(r.B)) >= 3 * greatest(length(t.A), length(r.B))),
+{_LCS},
+ranked AS (
+  SELECT A, REF_KEY, SCORE, row_number() OVER (PARTITION BY A ORDER BY SCORE DESC, REF_POS ASC) AS RANK
+  FROM scored)
+SELECT A AS TOKEN_KEY, REF_KEY, round(SCORE, 4) AS SCORE, CAST(RANK AS BIGINT) AS RANK
+FROM ranked WHERE RANK <= 5 AND SCORE >= 75"""
