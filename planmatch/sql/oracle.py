@@ -370,3 +370,61 @@ ranked AS (
   FROM scored)
 SELECT A AS TOKEN_KEY, REF_KEY, round(SCORE, 4) AS SCORE, CAST(RANK AS BIGINT) AS RANK
 FROM ranked WHERE RANK <= 5 AND SCORE >= 75"""
+
+# --------------------------------------------------------------------------- M4 (inventory exceptions)
+
+_CP1252 = []
+for _b in range(0x80, 0xA0):
+    try:
+        _CP1252.append((bytes([_b]).decode("cp1252"), chr(_b)))
+    except UnicodeDecodeError:
+        pass
+_CP_FROM = "".join(a for a, _ in _CP1252)
+_CP_TO = "".join(b for _, b in _CP1252)
+
+
+def _redecode(x: str) -> str:
+    """Bytes of the code points (all <= 0xFF) read back as UTF-8; NULL when invalid."""
+    hexes = f"array_to_string(list_transform(string_split({x}, ''), lambda ch: lpad(to_hex(unicode(ch)), 2, '0')), '')"
+    return f"try(decode(unhex({hexes})))"
+
+
+def _latin1(x: str) -> str:
+    return rf"CASE WHEN regexp_full_match({x}, '[\x00-\xFF]*') THEN {_redecode(x)} END"
+
+
+def _cp1252(x: str) -> str:
+    t = f"translate({x}, '{_CP_FROM}', '{_CP_TO}')"
+    return rf"CASE WHEN regexp_full_match({x}, '[\x00-\x7F\xA0-\xFF{_CP_FROM}]*') THEN {_redecode(t)} END"
+
+
+def _fixes(x: str) -> list:
+    out = []
+    for bad, good in (("Ã©", "é"), ("ã©", "é"), ("Ã±", "ñ"), ("ã±", "ñ"), ("Ã¼", "ü"), ("ã¼", "ü")):
+        out.append(f"CASE WHEN contains({x}, '{bad}') THEN replace({x}, '{bad}', '{good}') END")
+    out.append(_latin1(x))
+    out.append(_cp1252(x))
+    return out
+
+
+def _variants() -> str:
+    parts = []
+    for i, fx in enumerate(_fixes("coalesce(PRODUCTNAME, '')")):
+        parts.append(f"SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, {2 * i} AS PRIO, {fx} AS S FROM nonascii")
+        parts.append(f"SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, {2 * i + 1} AS PRIO, "
+                     f"({fx}) || ' - ' || coalesce(BRANDNAME, 'None') AS S FROM nonascii")
+    return "\nUNION ALL ".join(parts)
+
+
+ORACLE_SQL["name_exception_match"] = duckdb_ctes(["retail_inventory", "catalog"]) + "," + _INV_KEYS + rf"""
+, nonascii AS (SELECT * FROM i_keys WHERE regexp_matches(coalesce(PRODUCTNAME, ''), '[^\x00-\x7F]')),
+variants AS ({_variants()}),
+xkeys AS (SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, PRIO, {normalize(clean('S'))} AS XKEY FROM variants WHERE S IS NOT NULL),
+hits AS (
+  SELECT x.PRODUCTNAME, x.BRANDNAME, x.TYPE_FORCED, arg_min_null(r.REF_CAT, x.PRIO) AS CAT, arg_min(x.XKEY, x.PRIO) AS XKEY
+  FROM xkeys x JOIN i_refs r ON x.XKEY = r.REF_KEY
+  WHERE x.XKEY <> ''
+  GROUP BY x.PRODUCTNAME, x.BRANDNAME, x.TYPE_FORCED)
+SELECT PRODUCTNAME, BRANDNAME, CAT AS MATCHED_SNOP_CATEGORY, CAST(100 AS DOUBLE) AS MATCH_SCORE,
+       XKEY AS MATCHED_REFERENCE, 'Matched (Exact Match – Name Exception)' AS MATCH_RESULT
+FROM hits"""
