@@ -41,8 +41,29 @@ def sales_daily_summary(labelled: DataFrame) -> DataFrame:
     return report.daily_summary(matched, ("UNIT_COUNT", "TOTAL_REVENUE"))
 
 
-def labelled_inventory(inventory: DataFrame, rules: WholesaleRules = WHOLESALE) -> DataFrame:
-    """Latest snapshot -> TOTAL_QUANTITY -> direct SKU match -> TRIM/BULK overrides."""
+def inventory_all_columns(inventory: DataFrame, rules: WholesaleRules = WHOLESALE) -> DataFrame:
+    """Latest snapshot -> TOTAL_QUANTITY -> direct SKU match -> TRIM/BULK overrides (source columns kept)."""
     snap = wholesale_inventory_snapshot(inventory, rules)
     conv = snap.withColumn("TOTAL_QUANTITY", inventory_unit_count(rules))
-    return trim_bulk_override(direct_sku_match(conv), rules).select(*INVENTORY_FINAL)
+    return trim_bulk_override(direct_sku_match(conv), rules)
+
+
+def labelled_inventory(inventory: DataFrame, rules: WholesaleRules = WHOLESALE) -> DataFrame:
+    return inventory_all_columns(inventory, rules).select(*INVENTORY_FINAL)
+
+
+def inventory_controls(inventory: DataFrame, rules: WholesaleRules = WHOLESALE) -> DataFrame:
+    """Control totals in one aggregate: quantity before and after conversion,
+    TRIM rows, overrides applied, rows left without a category, null totals."""
+    df = inventory_all_columns(inventory, rules)
+    name = F.upper(F.coalesce(F.col("PRODUCTNAME"), F.lit("")))
+    label = F.col("MATCH_RESULT")
+    return df.agg(
+        F.count(F.lit(1)).alias("ROWS"),
+        F.coalesce(F.sum("QUANTITYONHAND"), F.lit(0.0)).alias("QUANTITY_BEFORE"),
+        F.coalesce(F.sum("TOTAL_QUANTITY"), F.lit(0.0)).alias("QUANTITY_AFTER"),
+        F.sum(F.when(name.contains("TRIM"), 1).otherwise(0)).cast("long").alias("TRIM_ROWS"),
+        F.sum(F.when(label.isin("Trim Override", "Bulk Override"), 1).otherwise(0)).cast("long").alias("OVERRIDES"),
+        F.sum(F.when(~report.is_matched(), 1).otherwise(0)).cast("long").alias("UNMATCHED_ROWS"),
+        F.sum(F.when(F.col("TOTAL_QUANTITY").isNull(), 1).otherwise(0)).cast("long").alias("NULL_TOTAL_QUANTITY"),
+    )

@@ -229,6 +229,11 @@ def trim_bulk_override(spark: SparkSession, sf: str) -> DataFrame:
     return _round(wholesale.labelled_inventory(tables(spark, sf).wholesale_inventory, WHO), ["TOTAL_QUANTITY"])
 
 
+def control_totals(spark: SparkSession, sf: str) -> DataFrame:
+    df = wholesale.inventory_controls(tables(spark, sf).wholesale_inventory, WHO)
+    return _round(df, ["QUANTITY_BEFORE", "QUANTITY_AFTER"])
+
+
 def failed_checks(spark: SparkSession, sf: str) -> DataFrame:
     res = P.inventory_key_results(spark, sf)
     return res.filter(F.col("MATCH_RESULT") == C.LABEL_NO_MATCH).select(
@@ -333,6 +338,7 @@ QUERIES = {
     "bulk_override": bulk_override,
     "trim_bulk_override": trim_bulk_override,
     "failed_checks": failed_checks,
+    "control_totals": control_totals,
     "sales_ladder": sales_ladder,
     "inventory_ladder": inventory_ladder,
     "category_summary": category_summary,

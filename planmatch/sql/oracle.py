@@ -428,3 +428,15 @@ hits AS (
 SELECT PRODUCTNAME, BRANDNAME, CAT AS MATCHED_SNOP_CATEGORY, CAST(100 AS DOUBLE) AS MATCH_SCORE,
        XKEY AS MATCHED_REFERENCE, 'Matched (Exact Match – Name Exception)' AS MATCH_RESULT
 FROM hits"""
+
+# --------------------------------------------------------------------------- M7 (control totals)
+
+ORACLE_SQL["control_totals"] = ORACLE_SQL["trim_bulk_override"].replace(
+    """SELECT LOCATIONNAME, INVENTORYDATE,""", """, final AS (SELECT LOCATIONNAME, INVENTORYDATE, QUANTITYONHAND,""", 1) + """)
+SELECT count(*) AS ROWS, round(coalesce(sum(QUANTITYONHAND), 0.0), 2) AS QUANTITY_BEFORE,
+       round(coalesce(sum(TOTAL_QUANTITY), 0.0), 2) AS QUANTITY_AFTER,
+       CAST(sum(CASE WHEN contains(upper(coalesce(PRODUCTNAME, '')), 'TRIM') THEN 1 ELSE 0 END) AS BIGINT) AS TRIM_ROWS,
+       CAST(sum(CASE WHEN MATCH_RESULT IN ('Trim Override', 'Bulk Override') THEN 1 ELSE 0 END) AS BIGINT) AS OVERRIDES,
+       CAST(sum(CASE WHEN MATCHED_SNOP_CATEGORY IS NULL OR trim(MATCHED_SNOP_CATEGORY) = '' THEN 1 ELSE 0 END) AS BIGINT) AS UNMATCHED_ROWS,
+       CAST(sum(CASE WHEN TOTAL_QUANTITY IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS NULL_TOTAL_QUANTITY
+FROM final"""

@@ -38,3 +38,13 @@ def test_snapshot_reload_replaces_only_batch_dates(spark):
     assert read(spark, path) == [(d(2024, 1, 1), 1), (d(2024, 1, 2), 5)]
     snapshot_reload(rows(spark, []), path, "D")
     assert read(spark, path) == [(d(2024, 1, 1), 1), (d(2024, 1, 2), 5)]
+
+
+def test_export_csv_run_folder(spark):
+    from planmatch.sinks import export_csv
+
+    base = tempfile.mkdtemp(prefix="csv-")
+    root = export_csv({"matched": rows(spark, [(dt.date(2024, 1, 1), 1)])}, base, run_ts="2024-01-01_00-00-00")
+    assert root.endswith("run_ts=2024-01-01_00-00-00")
+    back = spark.read.option("header", True).csv(root + "/matched").collect()
+    assert [(r["D"], r["V"]) for r in back] == [("2024-01-01", "1")]
