@@ -440,3 +440,100 @@ SELECT count(*) AS ROWS, round(coalesce(sum(QUANTITYONHAND), 0.0), 2) AS QUANTIT
        CAST(sum(CASE WHEN MATCHED_SNOP_CATEGORY IS NULL OR trim(MATCHED_SNOP_CATEGORY) = '' THEN 1 ELSE 0 END) AS BIGINT) AS UNMATCHED_ROWS,
        CAST(sum(CASE WHEN TOTAL_QUANTITY IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS NULL_TOTAL_QUANTITY
 FROM final"""
+
+# --------------------------------------------------------------------------- M6 (strict tier)
+
+
+def lcs_ctes(p: str, pairs: str) -> str:
+    """``{p}lcs`` (recursive DP) and ``{p}scored`` (ratio) over a table ``pairs(pid, A, B)``."""
+    return f"""
+{p}lcs(pid, i, r) AS (
+  SELECT pid, 0, list_transform(range(length(B) + 1), lambda x: 0) FROM {pairs}
+  UNION ALL
+  SELECT l.pid, l.i + 1,
+         list_reduce(range(1, length(q.B) + 1),
+                     lambda acc, j: list_append(acc, CASE WHEN substr(q.A, l.i + 1, 1) = substr(q.B, j, 1)
+                                                          THEN l.r[j] + 1 ELSE greatest(l.r[j + 1], acc[j]) END),
+                     [0])
+  FROM {p}lcs l JOIN {pairs} q ON l.pid = q.pid
+  WHERE l.i < length(q.A)),
+{p}scored AS (
+  SELECT q.*, CASE WHEN length(q.A) + length(q.B) = 0 THEN CAST(100 AS DOUBLE)
+                   ELSE (1.0 - CAST(length(q.A) + length(q.B) - 2 * l.r[-1] AS DOUBLE) / (length(q.A) + length(q.B))) * 100.0
+              END AS SCORE
+  FROM {pairs} q JOIN {p}lcs l ON l.pid = q.pid AND l.i = length(q.A))"""
+
+
+def _flavor_list(x: str) -> str:
+    return rf"list_filter(string_split_regex({flavor_text(x, False)}, '\s+'), lambda w: length(w) >= 3)"
+
+
+_MC = "lower(coalesce(REF_CAT, 'None'))"
+_MS = strain("REF_CAT")
+_PASS = f"""(
+  coalesce((P_GRAMS = 0 OR REF_GRAMS = 0) OR NOT coalesce(P_TYPE IN ('flower', 'concentrate', 'vape', 'preroll'), false)
+           OR (P_GRAMS IS NOT NULL AND REF_GRAMS IS NOT NULL
+               AND NOT ((P_GRAMS > 7 AND REF_GRAMS <= 3.5) OR (REF_GRAMS > 7 AND P_GRAMS <= 3.5))
+               AND abs(P_GRAMS - REF_GRAMS) <= 0.05), false)
+  AND (coalesce(P_TYPE, '') <> 'edible'
+       OR coalesce(len(REF_FLAVORS) > 0 AND (len(list_intersect(P_FLAVORS, REF_FLAVORS)) >= 2 OR FSCORE >= 85), false))
+  AND NOT ((contains(NAME_LC, 'pr') OR contains(NAME_LC, 'preroll'))
+           AND (contains({_MC}, 'concentrate') OR contains({_MC}, 'vape')))
+  AND contains(NAME_LC, 'infused') = contains({_MC}, 'infused')
+  AND coalesce(P_STRAIN IS NULL OR {_MS} IS NULL OR P_STRAIN = {_MS}, true)
+  AND NOT ({any_of('NAME_LC', ('preground', '7g', 'bulk', 'ounce'))} AND contains({_MC}, 'preroll'))
+  AND coalesce(BRANDNAME IS NULL OR BRANDNAME = '' OR REF_CAT IS NULL OR REF_CAT = ''
+               OR NOT ({' OR '.join(f"(lower({strip('BRANDNAME')}) = 'brand#{i}' AND NOT contains(lower(REF_CAT), 'brand#{i}'))" for i in range(1, 5))}), true)
+  AND coalesce(NOT coalesce(P_TYPE = 'flower', false)
+               OR CASE WHEN P_STRAIN IS NOT NULL AND {_MS} IS NOT NULL THEN P_STRAIN = {_MS} ELSE false END, false)
+  AND SCORE >= 75)"""
+
+ORACLE_SQL["strict_match"] = "WITH RECURSIVE" + duckdb_ctes(["retail_sales", "catalog"])[len("WITH"):] + "," + _SALES_KEYS + f"""
+, feats AS (
+  SELECT PRODUCTNAME, BRANDNAME, {clean('PRODUCTNAME')} AS CLEANED, {token_key(clean('PRODUCTNAME'))} AS TK,
+         lower(coalesce(PRODUCTNAME, '')) AS NAME_LC, {type_sales('PRODUCTNAME')} AS P_TYPE,
+         {grams('PRODUCTNAME')} AS P_GRAMS, {strain('PRODUCTNAME')} AS P_STRAIN,
+         {_flavor_list('PRODUCTNAME')} AS P_FLAVORS, {strip(flavor_text('PRODUCTNAME', False))} AS P_FLAVOR_STR
+  FROM s_keys),
+refs AS (SELECT lower(PRODUCTNAME) AS REF_KEY, min(CATALOGPOS) AS REF_POS, arg_max_null(SNOPCATEGORY, CATALOGPOS) AS REF_CAT
+         FROM catalog WHERE PRODUCTNAME IS NOT NULL GROUP BY lower(PRODUCTNAME)),
+rt AS (SELECT *, {token_key('REF_KEY')} AS RTK, {grams('REF_KEY')} AS REF_GRAMS, {_flavor_list('REF_KEY')} AS REF_FLAVORS,
+              {strip(flavor_text('REF_KEY', False))} AS REF_FLAVOR_STR FROM refs),
+texts AS (SELECT DISTINCT TK FROM feats),
+pairs AS (
+  SELECT row_number() OVER () AS pid, t.TK AS A, r.RTK AS B, r.REF_KEY, r.REF_POS
+  FROM texts t JOIN rt r ON 5 * least(length(t.TK), length(r.RTK)) >= 3 * greatest(length(t.TK), length(r.RTK))),
+{lcs_ctes('', 'pairs')},
+ranked AS (SELECT A, REF_KEY, SCORE, REF_POS, row_number() OVER (PARTITION BY A ORDER BY SCORE DESC, REF_POS ASC) AS RK FROM scored),
+cand AS (
+  SELECT f.*, k.REF_KEY, k.SCORE, k.REF_POS, r.REF_CAT, r.REF_GRAMS, r.REF_FLAVORS, r.REF_FLAVOR_STR
+  FROM feats f JOIN ranked k ON f.TK = k.A AND k.RK <= 5 JOIN rt r ON r.REF_KEY = k.REF_KEY),
+fpairs AS (SELECT row_number() OVER () AS pid, A, B FROM
+           (SELECT DISTINCT P_FLAVOR_STR AS A, REF_FLAVOR_STR AS B FROM cand WHERE P_TYPE = 'edible')),
+{lcs_ctes('f', 'fpairs')},
+judged AS (
+  SELECT c.*, fs.SCORE AS FSCORE FROM cand c
+  LEFT JOIN fscored fs ON fs.A = c.P_FLAVOR_STR AND fs.B = c.REF_FLAVOR_STR),
+valid AS (SELECT * EXCLUDE (FSCORE) FROM judged WHERE {_PASS}),
+pp AS (SELECT DISTINCT REF_KEY AS X, CLEANED AS Y FROM valid),
+dirs AS (
+  SELECT X, Y, CASE WHEN length(X) <= length(Y) THEN X ELSE Y END AS S, CASE WHEN length(X) <= length(Y) THEN Y ELSE X END AS L FROM pp
+  UNION ALL
+  SELECT X, Y, Y AS S, X AS L FROM pp WHERE length(X) = length(Y)),
+windows AS (
+  SELECT X, Y, S, substr(L, 1, i) AS W FROM (SELECT *, unnest(range(1, length(S))) AS i FROM dirs)
+  UNION ALL
+  SELECT X, Y, S, substr(L, k + 1, length(S)) FROM (SELECT *, unnest(range(0, length(L) - length(S) + 1)) AS k FROM dirs)
+  UNION ALL
+  SELECT X, Y, S, substr(L, k + 1) FROM (SELECT *, unnest(range(length(L) - length(S) + 1, length(L))) AS k FROM dirs)),
+wpairs AS (SELECT row_number() OVER () AS pid, A, B FROM (SELECT DISTINCT S AS A, W AS B FROM windows WHERE S <> '')),
+{lcs_ctes('w', 'wpairs')},
+partial AS (
+  SELECT w.X, w.Y, max(ws.SCORE) AS P FROM windows w JOIN wscored ws ON ws.A = w.S AND ws.B = w.W GROUP BY w.X, w.Y),
+best AS (
+  SELECT v.*, row_number() OVER (PARTITION BY v.PRODUCTNAME, v.BRANDNAME
+                                 ORDER BY v.SCORE DESC, coalesce(p.P, 0) DESC, v.REF_POS ASC) AS BR
+  FROM valid v LEFT JOIN partial p ON p.X = v.REF_KEY AND p.Y = v.CLEANED)
+SELECT PRODUCTNAME, BRANDNAME, REF_CAT AS MATCHED_SNOP_CATEGORY, round(SCORE, 4) AS MATCH_SCORE,
+       REF_KEY AS MATCHED_REFERENCE, 'Matched (Strict Rules)' AS MATCH_RESULT
+FROM best WHERE BR = 1"""
