@@ -488,13 +488,15 @@ _PASS = f"""(
                OR CASE WHEN P_STRAIN IS NOT NULL AND {_MS} IS NOT NULL THEN P_STRAIN = {_MS} ELSE false END, false)
   AND SCORE >= 75)"""
 
-ORACLE_SQL["strict_match"] = "WITH RECURSIVE" + duckdb_ctes(["retail_sales", "catalog"])[len("WITH"):] + "," + _SALES_KEYS + f"""
-, feats AS (
+def strict_ctes(keys: str) -> str:
+    """CTEs ending in ``best``: BR = 1 marks the strict match of each key of table ``keys``."""
+    return f"""
+feats AS (
   SELECT PRODUCTNAME, BRANDNAME, {clean('PRODUCTNAME')} AS CLEANED, {token_key(clean('PRODUCTNAME'))} AS TK,
          lower(coalesce(PRODUCTNAME, '')) AS NAME_LC, {type_sales('PRODUCTNAME')} AS P_TYPE,
          {grams('PRODUCTNAME')} AS P_GRAMS, {strain('PRODUCTNAME')} AS P_STRAIN,
          {_flavor_list('PRODUCTNAME')} AS P_FLAVORS, {strip(flavor_text('PRODUCTNAME', False))} AS P_FLAVOR_STR
-  FROM s_keys),
+  FROM {keys}),
 refs AS (SELECT lower(PRODUCTNAME) AS REF_KEY, min(CATALOGPOS) AS REF_POS, arg_max_null(SNOPCATEGORY, CATALOGPOS) AS REF_CAT
          FROM catalog WHERE PRODUCTNAME IS NOT NULL GROUP BY lower(PRODUCTNAME)),
 rt AS (SELECT *, {token_key('REF_KEY')} AS RTK, {grams('REF_KEY')} AS REF_GRAMS, {_flavor_list('REF_KEY')} AS REF_FLAVORS,
@@ -533,7 +535,197 @@ partial AS (
 best AS (
   SELECT v.*, row_number() OVER (PARTITION BY v.PRODUCTNAME, v.BRANDNAME
                                  ORDER BY v.SCORE DESC, coalesce(p.P, 0) DESC, v.REF_POS ASC) AS BR
-  FROM valid v LEFT JOIN partial p ON p.X = v.REF_KEY AND p.Y = v.CLEANED)
+  FROM valid v LEFT JOIN partial p ON p.X = v.REF_KEY AND p.Y = v.CLEANED)"""
+
+
+ORACLE_SQL["strict_match"] = ("WITH RECURSIVE" + duckdb_ctes(["retail_sales", "catalog"])[len("WITH"):] + ","
+                              + _SALES_KEYS + ",\n" + strict_ctes("s_keys") + """
 SELECT PRODUCTNAME, BRANDNAME, REF_CAT AS MATCHED_SNOP_CATEGORY, round(SCORE, 4) AS MATCH_SCORE,
        REF_KEY AS MATCHED_REFERENCE, 'Matched (Strict Rules)' AS MATCH_RESULT
-FROM best WHERE BR = 1"""
+FROM best WHERE BR = 1""")
+
+# --------------------------------------------------------------------------- M5 (partial ratio backup)
+
+
+def lcs_final_rows(p: str, pairs: str) -> str:
+    """``{p}lcs`` DP and ``{p}fin(pid, A, B, R)`` with the final DP row R (R[k+1] = LCS(A, B[:k]))."""
+    return f"""
+{p}lcs(pid, i, r) AS (
+  SELECT pid, 0, list_transform(range(length(B) + 1), lambda x: 0) FROM {pairs}
+  UNION ALL
+  SELECT l.pid, l.i + 1,
+         list_reduce(range(1, length(q.B) + 1),
+                     lambda acc, j: list_append(acc, CASE WHEN substr(q.A, l.i + 1, 1) = substr(q.B, j, 1)
+                                                          THEN l.r[j] + 1 ELSE greatest(l.r[j + 1], acc[j]) END),
+                     [0])
+  FROM {p}lcs l JOIN {pairs} q ON l.pid = q.pid
+  WHERE l.i < length(q.A)),
+{p}fin AS (SELECT q.*, l.r AS R FROM {pairs} q JOIN {p}lcs l ON l.pid = q.pid AND l.i = length(q.A))"""
+
+
+def _win_ratio(ls: str, lw: str, lcs: str) -> str:
+    return f"(1.0 - CAST({ls} + {lw} - 2 * {lcs} AS DOUBLE) / ({ls} + {lw})) * 100.0"
+
+
+# partial_ratio(X, C) for every row of a table ``pr_in(X, C)``
+_PARTIAL = f"""
+pr_dirs AS (
+  SELECT X, C, CASE WHEN length(X) <= length(C) THEN X ELSE C END AS S, CASE WHEN length(X) <= length(C) THEN C ELSE X END AS L
+  FROM pr_in
+  UNION ALL
+  SELECT X, C, C AS S, X AS L FROM pr_in WHERE length(X) = length(C)),
+pr_pre AS (SELECT row_number() OVER () AS pid, S, L, S AS A, substr(L, 1, length(S) - 1) AS B FROM pr_dirs WHERE S <> ''),
+pr_suf AS (SELECT row_number() OVER () AS pid, S, L, reverse(S) AS A, reverse(substr(L, length(L) - length(S) + 2)) AS B
+           FROM pr_dirs WHERE S <> ''),
+pr_full AS (SELECT row_number() OVER () AS pid, S, L, S AS A, substr(L, k + 1, length(S)) AS B
+            FROM (SELECT *, unnest(range(0, length(L) - length(S) + 1)) AS k FROM pr_dirs WHERE S <> '')),
+{lcs_final_rows('pre', 'pr_pre')},
+{lcs_final_rows('suf', 'pr_suf')},
+{lcs_final_rows('ful', 'pr_full')},
+pr_scores AS (
+  SELECT S, L, list_max(list_transform(range(1, length(B) + 1), lambda k: {_win_ratio('length(A)', 'k', 'R[k + 1]')})) AS V FROM prefin
+  UNION ALL
+  SELECT S, L, list_max(list_transform(range(1, length(B) + 1), lambda k: {_win_ratio('length(A)', 'k', 'R[k + 1]')})) FROM suffin
+  UNION ALL
+  SELECT S, L, {_win_ratio('length(A)', 'length(B)', 'R[-1]')} FROM fulfin),
+pr_out AS (
+  SELECT i.X, i.C,
+         CASE WHEN i.X = '' AND i.C = '' THEN CAST(100 AS DOUBLE) ELSE coalesce(max(s.V), CAST(0 AS DOUBLE)) END AS P
+  FROM pr_in i
+  LEFT JOIN pr_dirs d ON d.X = i.X AND d.C = i.C
+  LEFT JOIN pr_scores s ON s.S = d.S AND s.L = d.L
+  GROUP BY i.X, i.C)"""
+
+def backup_ctes(keys: str) -> str:
+    """CTEs ending in ``bk_best``: RN = 1 is the best lower-cased category per cleaned edible name."""
+    return f"""
+ed AS (SELECT PRODUCTNAME, BRANDNAME, {clean('PRODUCTNAME')} AS X FROM {keys} WHERE {type_sales('PRODUCTNAME')} = 'edible'),
+cats AS (SELECT lower(SNOPCATEGORY) AS C, min(CATALOGPOS) AS CPOS FROM catalog WHERE SNOPCATEGORY IS NOT NULL GROUP BY lower(SNOPCATEGORY)),
+pr_in AS (SELECT DISTINCT e.X, c.C FROM (SELECT DISTINCT X FROM ed) e, cats c),
+{_PARTIAL},
+bk_best AS (
+  SELECT o.X, o.C, o.P, row_number() OVER (PARTITION BY o.X ORDER BY o.P DESC, c.CPOS ASC) AS RN
+  FROM pr_out o JOIN cats c ON c.C = o.C)"""
+
+
+ORACLE_SQL["partial_best"] = ("WITH RECURSIVE" + duckdb_ctes(["retail_sales", "catalog"])[len("WITH"):] + ","
+                              + _SALES_KEYS + ",\n" + backup_ctes("s_keys") + """
+SELECT e.PRODUCTNAME, e.BRANDNAME, b.C AS MATCHED_SNOP_CATEGORY, round(b.P, 4) AS MATCH_SCORE, b.C AS MATCHED_REFERENCE,
+       'Backup S&OP Match' AS MATCH_RESULT
+FROM ed e JOIN bk_best b ON b.X = e.X AND b.RN = 1
+WHERE b.P >= 70""")
+ORACLE_SQL["edible_backup"] = ORACLE_SQL["partial_best"]
+
+# --------------------------------------------------------------------------- sales ladder and reports
+
+_S_ROWS = f"""
+s_rows AS (
+  SELECT *, {sales_gate()} AS APPROVED FROM retail_sales
+  WHERE lower(TRANSACTIONTYPE) = 'retail' AND TRANSACTIONDATE BETWEEN {AS_OF_R} - 90 AND {AS_OF_R}
+    AND MASTERCATEGORY IN ({MASTER}) AND RETURNDATE IS NULL AND lower(ISVOID) = 'false'),
+s_ext AS (
+  SELECT LOCATIONNAME, PRODUCTID, PRODUCTNAME, SKU, MASTERCATEGORY, BRANDNAME, PRODUCTGRAMS,
+         sum(PRODUCTGRAMS) AS WEIGHTSOLD, CATEGORY, TRANSACTIONDATE, count(DISTINCT TRANSACTIONID) AS TOTAL_TRANSACTIONS,
+         sum(QUANTITY) AS TOTAL_QUANTITY, sum(NETSALEFORITEM) AS TOTAL_REVENUE, avg(UNITCOST) AS AVG_UNIT_COST,
+         coalesce(bool_or(APPROVED), false) AS APPROVED
+  FROM s_rows
+  GROUP BY LOCATIONNAME, PRODUCTID, PRODUCTNAME, PRODUCTGRAMS, SKU, MASTERCATEGORY, BRANDNAME, CATEGORY, TRANSACTIONDATE),
+w_keys AS (SELECT DISTINCT PRODUCTNAME, BRANDNAME FROM s_ext WHERE APPROVED),
+s_emap AS (
+  SELECT PRODUCTNAME AS KEY, arg_max(SNOPCATEGORY, CATALOGPOS) AS CAT FROM catalog
+  WHERE SNOPCATEGORY IS NOT NULL AND PRODUCTNAME IS NOT NULL GROUP BY PRODUCTNAME)"""
+
+_LADDER = f"""
+lk AS (
+  SELECT PRODUCTNAME, BRANDNAME, lower(coalesce(PRODUCTNAME, '')) AS L_NAME, lower(coalesce(BRANDNAME, 'None')) AS L_BRAND,
+         {type_sales('PRODUCTNAME')} AS L_TYPE, {clean('PRODUCTNAME')} AS L_CLEAN,
+         {strip("concat(coalesce(PRODUCTNAME, ''), ' - ', coalesce(BRANDNAME, 'None'))")} AS ALT_KEY,
+         {strain('PRODUCTNAME')} AS L_STRAIN, TRY_CAST({pack('PRODUCTNAME')} AS DECIMAL(38, 0)) AS L_PACK,
+         {grams('PRODUCTNAME')} AS L_GRAMS
+  FROM w_keys),
+fbrows AS (
+  SELECT PRODUCTNAME AS FB_NAME, SNOPCATEGORY AS FB_CAT, CATALOGPOS AS FB_POS,
+         lower(coalesce(CAST(BRAND AS VARCHAR), 'None')) AS B, {strain('lower(PRODUCTNAME)')} AS S,
+         TRY_CAST({pack('PRODUCTNAME')} AS DECIMAL(38, 0)) AS P, {grams('lower(PRODUCTNAME)')} AS G
+  FROM catalog WHERE contains(lower(coalesce(PRODUCTNAME, 'None')), 'preroll')),
+fb AS (
+  SELECT k.PRODUCTNAME, k.BRANDNAME, arg_min_null(f.FB_CAT, f.FB_POS) AS FB_CAT, arg_min(f.FB_NAME, f.FB_POS) AS FB_NAME
+  FROM lk k JOIN fbrows f ON k.L_BRAND = f.B AND k.L_STRAIN IS NOT DISTINCT FROM f.S AND k.L_PACK IS NOT DISTINCT FROM f.P
+  WHERE k.L_TYPE = 'flower' AND contains(k.L_CLEAN, 'preroll') AND contains(k.L_NAME, 'preroll')
+    AND k.L_GRAMS <> 0 AND f.G <> 0 AND abs(k.L_GRAMS - f.G) < 0.05
+  GROUP BY k.PRODUCTNAME, k.BRANDNAME),
+bk AS (SELECT e.PRODUCTNAME, e.BRANDNAME, b.C, b.P FROM ed e JOIN bk_best b ON b.X = e.X AND b.RN = 1 WHERE b.P >= 70),
+st AS (SELECT PRODUCTNAME, BRANDNAME, REF_CAT, SCORE, REF_KEY FROM best WHERE BR = 1),
+chain AS (
+  SELECT k.*, e1.KEY IS NOT NULL OR e2.KEY IS NOT NULL AS EXACT_HIT,
+    CASE WHEN e1.KEY IS NOT NULL THEN e1.CAT WHEN e2.KEY IS NOT NULL THEN e2.CAT
+         WHEN st.PRODUCTNAME IS NOT NULL THEN st.REF_CAT WHEN bk.PRODUCTNAME IS NOT NULL THEN bk.C END AS C_CAT,
+    CASE WHEN e1.KEY IS NOT NULL THEN CAST(100 AS DOUBLE) WHEN e2.KEY IS NOT NULL THEN CAST(99 AS DOUBLE)
+         WHEN st.PRODUCTNAME IS NOT NULL THEN st.SCORE WHEN bk.PRODUCTNAME IS NOT NULL THEN bk.P END AS C_SCORE,
+    CASE WHEN e1.KEY IS NOT NULL THEN k.PRODUCTNAME WHEN e2.KEY IS NOT NULL THEN k.ALT_KEY
+         WHEN st.PRODUCTNAME IS NOT NULL THEN st.REF_KEY WHEN bk.PRODUCTNAME IS NOT NULL THEN bk.C END AS C_REF,
+    CASE WHEN e1.KEY IS NOT NULL THEN 'Matched (Exact Match)' WHEN e2.KEY IS NOT NULL THEN 'Matched (Exact Match w/ Brand)'
+         WHEN st.PRODUCTNAME IS NOT NULL THEN 'Matched (Strict Rules)' WHEN bk.PRODUCTNAME IS NOT NULL THEN 'Backup S&OP Match'
+         ELSE 'No Acceptable Match' END AS C_LABEL,
+    fb.PRODUCTNAME IS NOT NULL AS FB_HIT, fb.FB_CAT, fb.FB_NAME
+  FROM lk k
+  LEFT JOIN s_emap e1 ON e1.KEY = k.PRODUCTNAME
+  LEFT JOIN s_emap e2 ON e2.KEY = k.ALT_KEY
+  LEFT JOIN st ON st.PRODUCTNAME IS NOT DISTINCT FROM k.PRODUCTNAME AND st.BRANDNAME IS NOT DISTINCT FROM k.BRANDNAME
+  LEFT JOIN bk ON bk.PRODUCTNAME IS NOT DISTINCT FROM k.PRODUCTNAME AND bk.BRANDNAME IS NOT DISTINCT FROM k.BRANDNAME
+  LEFT JOIN fb ON fb.PRODUCTNAME IS NOT DISTINCT FROM k.PRODUCTNAME AND fb.BRANDNAME IS NOT DISTINCT FROM k.BRANDNAME),
+fbapplied AS (
+  SELECT *,
+    NOT EXACT_HIT AND (C_CAT IS NULL OR C_CAT = '') AND coalesce(L_TYPE = 'flower' AND contains(L_CLEAN, 'preroll'), false) AS TAKE
+  FROM chain),
+r0 AS (
+  SELECT PRODUCTNAME, BRANDNAME, L_NAME, L_BRAND,
+    CASE WHEN TAKE THEN (CASE WHEN FB_HIT THEN FB_CAT END) ELSE C_CAT END AS R_CAT,
+    CASE WHEN TAKE THEN (CASE WHEN FB_HIT THEN CAST(90 AS DOUBLE) END) ELSE C_SCORE END AS R_SCORE,
+    CASE WHEN TAKE THEN (CASE WHEN FB_HIT THEN FB_NAME END) ELSE C_REF END AS R_REF,
+    CASE WHEN TAKE THEN (CASE WHEN FB_HIT THEN 'Fallback Preroll Match' ELSE 'No Acceptable Match' END) ELSE C_LABEL END AS R_LABEL
+  FROM fbapplied),
+ladder AS (
+  SELECT PRODUCTNAME, BRANDNAME,
+    CASE WHEN BULK THEN CASE WHEN PREM THEN 'NEA Fire Bulk Flower g' ELSE 'NEA Bulk Flower g' END ELSE R_CAT END AS MATCHED_SNOP_CATEGORY,
+    CASE WHEN BULK THEN CASE WHEN PREM THEN CAST(100 AS DOUBLE) ELSE CAST(95 AS DOUBLE) END ELSE R_SCORE END AS MATCH_SCORE,
+    CASE WHEN BULK THEN CASE WHEN PREM THEN 'bulk name brand rule' ELSE 'bulk name rule' END ELSE R_REF END AS MATCHED_REFERENCE,
+    CASE WHEN BULK THEN 'Bulk Override' ELSE R_LABEL END AS MATCH_RESULT
+  FROM (SELECT *, (R_CAT IS NULL OR R_CAT = '') AND contains(L_NAME, 'bulk') AS BULK,
+               contains(L_BRAND, 'brand#1') OR contains(L_NAME, 'brand#1') AS PREM FROM r0)),
+labelled AS (
+  SELECT x.*, CASE WHEN x.APPROVED THEN l.MATCHED_SNOP_CATEGORY END AS MATCHED_SNOP_CATEGORY,
+         CASE WHEN x.APPROVED THEN l.MATCH_SCORE END AS MATCH_SCORE,
+         CASE WHEN x.APPROVED THEN l.MATCHED_REFERENCE END AS MATCHED_REFERENCE,
+         CASE WHEN x.APPROVED THEN l.MATCH_RESULT ELSE 'Wrong Brand' END AS MATCH_RESULT,
+         x.APPROVED AND l.MATCHED_SNOP_CATEGORY IS NOT NULL AND l.MATCHED_SNOP_CATEGORY <> '' AS IS_MATCHED
+  FROM s_ext x LEFT JOIN ladder l
+    ON l.PRODUCTNAME IS NOT DISTINCT FROM x.PRODUCTNAME AND l.BRANDNAME IS NOT DISTINCT FROM x.BRANDNAME)"""
+
+_SALES_LADDER_CTES = ("WITH RECURSIVE" + duckdb_ctes(["retail_sales", "catalog"])[len("WITH"):] + "," + _S_ROWS + ",\n"
+                      + strict_ctes("w_keys") + ",\n" + backup_ctes("w_keys") + ",\n" + _LADDER)
+
+ORACLE_SQL["sales_ladder"] = _SALES_LADDER_CTES + """
+SELECT PRODUCTNAME, BRANDNAME, MATCHED_SNOP_CATEGORY, round(MATCH_SCORE, 4) AS MATCH_SCORE, MATCHED_REFERENCE, MATCH_RESULT
+FROM ladder"""
+
+ORACLE_SQL["daily_summary"] = _SALES_LADDER_CTES + """
+SELECT LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY,
+       round(coalesce(sum(TOTAL_QUANTITY), 0.0), 2) AS TOTAL_QUANTITY, round(coalesce(sum(TOTAL_REVENUE), 0.0), 4) AS TOTAL_REVENUE
+FROM labelled WHERE IS_MATCHED
+GROUP BY LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY"""
+ORACLE_SQL["sales_pipeline"] = ORACLE_SQL["daily_summary"]
+
+ORACLE_SQL["category_summary"] = _SALES_LADDER_CTES + """
+SELECT MATCHED_SNOP_CATEGORY, PRODUCTNAME,
+       round(coalesce(sum(TOTAL_QUANTITY), 0.0), 2) AS TOTAL_QUANTITY, round(coalesce(sum(TOTAL_REVENUE), 0.0), 4) AS TOTAL_REVENUE,
+       round(coalesce(sum(WEIGHTSOLD), 0.0), 2) AS WEIGHTSOLD
+FROM labelled WHERE IS_MATCHED
+GROUP BY MATCHED_SNOP_CATEGORY, PRODUCTNAME"""
+
+ORACLE_SQL["match_rate"] = _SALES_LADDER_CTES + """
+, counts AS (SELECT CAST(sum(CASE WHEN APPROVED THEN 1 ELSE 0 END) AS BIGINT) AS TOTAL_ROWS,
+                    CAST(sum(CASE WHEN IS_MATCHED THEN 1 ELSE 0 END) AS BIGINT) AS MATCHED_ROWS FROM labelled)
+SELECT TOTAL_ROWS, MATCHED_ROWS,
+       CASE WHEN TOTAL_ROWS > 0 THEN round(MATCHED_ROWS * 100.0 / TOTAL_ROWS, 2) END AS MATCH_RATE
+FROM counts"""
