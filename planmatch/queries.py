@@ -279,14 +279,15 @@ def combined_sales(spark: SparkSession, sf: str) -> DataFrame:
     out = P.sales_run(spark, sf)
     m = out["matched"].withColumn("STATUS", F.lit("matched"))
     u = out["unmatched"].withColumn("STATUS", F.lit("unmatched"))
-    return _round(m.unionByName(u), ["TOTAL_QUANTITY", "TOTAL_REVENUE", "MATCH_SCORE"])
+    # retail revenue lines carry 4 decimals; scores are rounded to 4 everywhere
+    return _round(_round(m.unionByName(u), ["TOTAL_QUANTITY"]), ["TOTAL_REVENUE", "MATCH_SCORE"], 4)
 
 
 def combined_inventory(spark: SparkSession, sf: str) -> DataFrame:
     out = P.inventory_run(spark, sf)
     m = out["matched"].withColumn("STATUS", F.lit("matched"))
     u = out["unmatched"].withColumn("STATUS", F.lit("unmatched"))
-    return _round(m.unionByName(u), ["TOTAL_QUANTITY", "MATCH_SCORE"])
+    return _round(_round(m.unionByName(u), ["TOTAL_QUANTITY"]), ["MATCH_SCORE"], 4)
 
 
 # --------------------------------------------------------------------------- M8
@@ -298,7 +299,7 @@ def sales_pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 def inventory_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     out = P.inventory_run(spark, sf)
-    return _round(out["matched"], ["TOTAL_QUANTITY", "MATCH_SCORE"])
+    return _round(_round(out["matched"], ["TOTAL_QUANTITY"]), ["MATCH_SCORE"], 4)
 
 
 def window_reload(spark: SparkSession, sf: str) -> DataFrame:

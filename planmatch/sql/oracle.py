@@ -729,3 +729,19 @@ ORACLE_SQL["match_rate"] = _SALES_LADDER_CTES + """
 SELECT TOTAL_ROWS, MATCHED_ROWS,
        CASE WHEN TOTAL_ROWS > 0 THEN round(MATCHED_ROWS * 100.0 / TOTAL_ROWS, 2) END AS MATCH_RATE
 FROM counts"""
+
+ORACLE_SQL["combined_sales"] = ("WITH RECURSIVE" + duckdb_ctes(["retail_sales", "catalog", "wholesale_sales"])[len("WITH"):]
+                                + "," + _S_ROWS + ",\n" + strict_ctes("w_keys") + ",\n" + backup_ctes("w_keys") + ",\n"
+                                + _LADDER + "," + _W_EXTRACT + """
+, both_channels AS (
+  SELECT LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY, PRODUCTNAME, BRANDNAME, TOTAL_QUANTITY, TOTAL_REVENUE,
+         MATCH_RESULT, MATCH_SCORE, MATCHED_REFERENCE, CASE WHEN IS_MATCHED THEN 'matched' ELSE 'unmatched' END AS STATUS
+  FROM labelled
+  UNION ALL
+  SELECT LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY, PRODUCTNAME, BRANDNAME, UNIT_COUNT, TOTAL_REVENUE,
+         MATCH_RESULT, MATCH_SCORE, MATCHED_REFERENCE,
+         CASE WHEN MATCHED_SNOP_CATEGORY IS NOT NULL THEN 'matched' ELSE 'unmatched' END
+  FROM w_lab)
+SELECT LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY, PRODUCTNAME, BRANDNAME, round(TOTAL_QUANTITY, 2) AS TOTAL_QUANTITY,
+       round(TOTAL_REVENUE, 4) AS TOTAL_REVENUE, MATCH_RESULT, round(MATCH_SCORE, 4) AS MATCH_SCORE, MATCHED_REFERENCE, STATUS
+FROM both_channels""")
