@@ -416,18 +416,24 @@ def _variants() -> str:
     return "\nUNION ALL ".join(parts)
 
 
-ORACLE_SQL["name_exception_match"] = duckdb_ctes(["retail_inventory", "catalog"]) + "," + _INV_KEYS + rf"""
-, nonascii AS (SELECT * FROM i_keys WHERE regexp_matches(coalesce(PRODUCTNAME, ''), '[^\x00-\x7F]')),
+def exception_ctes(keys: str) -> str:
+    """CTEs ending in ``exc_hits(PRODUCTNAME, BRANDNAME, TYPE_FORCED, CAT, XKEY)``; needs ``i_refs``."""
+    return f"""
+nonascii AS (SELECT * FROM {keys} WHERE regexp_matches(coalesce(PRODUCTNAME, ''), '[^\x00-\x7F]')),
 variants AS ({_variants()}),
 xkeys AS (SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, PRIO, {normalize(clean('S'))} AS XKEY FROM variants WHERE S IS NOT NULL),
-hits AS (
+exc_hits AS (
   SELECT x.PRODUCTNAME, x.BRANDNAME, x.TYPE_FORCED, arg_min_null(r.REF_CAT, x.PRIO) AS CAT, arg_min(x.XKEY, x.PRIO) AS XKEY
   FROM xkeys x JOIN i_refs r ON x.XKEY = r.REF_KEY
   WHERE x.XKEY <> ''
-  GROUP BY x.PRODUCTNAME, x.BRANDNAME, x.TYPE_FORCED)
+  GROUP BY x.PRODUCTNAME, x.BRANDNAME, x.TYPE_FORCED)"""
+
+
+ORACLE_SQL["name_exception_match"] = duckdb_ctes(["retail_inventory", "catalog"]) + "," + _INV_KEYS + "," + exception_ctes("i_keys") + """
 SELECT PRODUCTNAME, BRANDNAME, CAT AS MATCHED_SNOP_CATEGORY, CAST(100 AS DOUBLE) AS MATCH_SCORE,
        XKEY AS MATCHED_REFERENCE, 'Matched (Exact Match – Name Exception)' AS MATCH_RESULT
-FROM hits"""
+FROM exc_hits"""
+
 
 # --------------------------------------------------------------------------- M7 (control totals)
 
@@ -745,3 +751,197 @@ ORACLE_SQL["combined_sales"] = ("WITH RECURSIVE" + duckdb_ctes(["retail_sales",
 SELECT LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY, PRODUCTNAME, BRANDNAME, round(TOTAL_QUANTITY, 2) AS TOTAL_QUANTITY,
        round(TOTAL_REVENUE, 4) AS TOTAL_REVENUE, MATCH_RESULT, round(MATCH_SCORE, 4) AS MATCH_SCORE, MATCHED_REFERENCE, STATUS
 FROM both_channels""")
+
+# --------------------------------------------------------------------------- inventory ladder and reports
+
+_IMC = "lower(coalesce(REF_CAT, 'None'))"
+_IMS = strain("REF_CAT")
+_I_CHECKS = {
+    "pr_lock": f"NOT (contains({_IMC}, 'preroll') AND NOT contains(NAME_LC, 'preroll'))",
+    "type_conflict": (f"NOT ((coalesce(P_TYPE, '') = 'flower' AND contains({_IMC}, 'concentrate'))"
+                      f" OR (coalesce(P_TYPE, '') = 'concentrate' AND contains({_IMC}, 'flower')))"),
+    "packaging": ("(NOT contains(NAME_LC, 'preroll') OR CASE WHEN P_PACK IS NOT NULL AND REF_PACK IS NOT NULL "
+                  "THEN P_PACK = REF_PACK ELSE P_PACK IS NULL AND REF_PACK IS NULL END)"),
+    "brand_lock": ("coalesce(BRANDNAME IS NULL OR BRANDNAME = '' OR REF_CAT IS NULL OR REF_CAT = '' OR NOT ("
+                   + " OR ".join(f"(lower({strip('BRANDNAME')}) = 'brand#{i}' AND NOT contains(lower(REF_CAT), '{kw}'))"
+                                 for i, kw in ((1, "brand#"), (2, "brand#"), (3, "brand#"), (4, "brand#4")))
+                   + "), true)"),
+    "infused_lock": f"contains(NAME_LC, 'infused') = contains({_IMC}, 'infused')",
+    "strain_check": f"coalesce(P_STRAIN IS NULL OR {_IMS} IS NULL OR P_STRAIN = {_IMS}, true)",
+    "strain_strict_lock": (f"coalesce(NOT coalesce(P_TYPE = 'flower', false) OR CASE WHEN P_STRAIN IS NOT NULL AND {_IMS} IS NOT NULL "
+                           f"THEN P_STRAIN = {_IMS} ELSE true END, false)"),
+    "grams_check": ("coalesce((P_GRAMS = 0 OR REF_GRAMS = 0) OR NOT coalesce(P_TYPE IN ('flower', 'concentrate', 'vape', 'preroll'), false)"
+                    " OR (P_GRAMS IS NOT NULL AND REF_GRAMS IS NOT NULL"
+                    " AND NOT ((P_GRAMS > 7 AND REF_GRAMS <= 3.5) OR (REF_GRAMS > 7 AND P_GRAMS <= 3.5))"
+                    " AND abs(P_GRAMS - REF_GRAMS) <= 0.05), false)"),
+}
+_I_PASS = ("(" + " AND ".join(_I_CHECKS.values())
+           + " AND (coalesce(P_TYPE, '') <> 'edible' OR coalesce(len(REF_FLAVORS) > 0 AND"
+             " (len(list_intersect(P_FLAVORS, REF_FLAVORS)) >= 2 OR FSCORE >= 85), false))"
+           + " AND NOT (" + any_of("NAME_LC", ("preground", "7g", "bulk", "ounce")) + f" AND contains({_IMC}, 'preroll'))"
+           + " AND SCORE >= 75)")
+_I_FAILED = "concat_ws(',', " + ", ".join(f"CASE WHEN NOT ({c}) THEN '{n}' END" for n, c in _I_CHECKS.items()) + ")"
+
+
+def _inv_flavor_list(x: str) -> str:
+    return rf"list_filter(string_split_regex({flavor_text(x, True)}, '\s+'), lambda w: length(w) >= 3)"
+
+
+_I_SNAP = f"""
+i_rows AS (
+  SELECT *, coalesce({inv_gate()}, false) AS APPROVED, {forced()} AS TYPE_FORCED FROM retail_inventory
+  WHERE INVENTORYDATE = (SELECT max(INVENTORYDATE) FROM retail_inventory)
+    AND QUANTITYAVAILABLE IS NOT NULL AND MASTERCATEGORY IN ({MASTER}) AND QUANTITYAVAILABLE > 0),
+i_keys AS (SELECT DISTINCT PRODUCTNAME, BRANDNAME, TYPE_FORCED FROM i_rows WHERE APPROVED),
+i_refs AS (
+  SELECT REF_KEY, min(CATALOGPOS) AS REF_POS, arg_max_null(SNOPCATEGORY, CATALOGPOS) AS REF_CAT
+  FROM (SELECT {normalize(clean('PRODUCTNAME'))} AS REF_KEY, SNOPCATEGORY, CATALOGPOS FROM catalog) c
+  GROUP BY REF_KEY),
+irt AS (SELECT *, {token_key('REF_KEY')} AS RTK, {grams('REF_KEY')} AS REF_GRAMS, {_inv_flavor_list('REF_KEY')} AS REF_FLAVORS,
+               {strip(flavor_text('REF_KEY', True))} AS REF_FLAVOR_STR, {pack('REF_KEY')} AS REF_PACK FROM i_refs),
+feats AS (
+  SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, {normalize(clean('PRODUCTNAME'))} AS CLEANED,
+         {token_key(normalize(clean('PRODUCTNAME')))} AS TK, lower(coalesce(PRODUCTNAME, '')) AS NAME_LC,
+         lower(coalesce(BRANDNAME, 'None')) AS BRAND_LC,
+         CASE WHEN TYPE_FORCED THEN 'concentrate' ELSE {type_inventory('PRODUCTNAME')} END AS P_TYPE,
+         {grams('PRODUCTNAME')} AS P_GRAMS, {strain('PRODUCTNAME')} AS P_STRAIN, {pack('PRODUCTNAME')} AS P_PACK,
+         TRY_CAST({pack('PRODUCTNAME')} AS DECIMAL(38, 0)) AS P_PACK_NUM,
+         {_inv_flavor_list('PRODUCTNAME')} AS P_FLAVORS, {strip(flavor_text('PRODUCTNAME', True))} AS P_FLAVOR_STR,
+         {normalize(clean("concat(coalesce(PRODUCTNAME, ''), ' - ', coalesce(BRANDNAME, 'None'))"))} AS ALT_KEY
+  FROM i_keys)"""
+
+_I_STRICT = f"""
+texts AS (SELECT DISTINCT TK FROM feats),
+pairs AS (
+  SELECT row_number() OVER () AS pid, t.TK AS A, r.RTK AS B, r.REF_KEY, r.REF_POS
+  FROM texts t JOIN irt r ON 5 * least(length(t.TK), length(r.RTK)) >= 3 * greatest(length(t.TK), length(r.RTK))),
+{lcs_ctes('', 'pairs')},
+ranked AS (SELECT A, REF_KEY, SCORE, REF_POS, row_number() OVER (PARTITION BY A ORDER BY SCORE DESC, REF_POS ASC) AS RK FROM scored),
+cand AS (
+  SELECT f.*, k.REF_KEY, k.SCORE, k.REF_POS, r.REF_CAT, r.REF_GRAMS, r.REF_FLAVORS, r.REF_FLAVOR_STR, r.REF_PACK
+  FROM feats f JOIN ranked k ON f.TK = k.A AND k.RK <= 5 JOIN irt r ON r.REF_KEY = k.REF_KEY),
+fpairs AS (SELECT row_number() OVER () AS pid, A, B FROM
+           (SELECT DISTINCT P_FLAVOR_STR AS A, REF_FLAVOR_STR AS B FROM cand WHERE P_TYPE = 'edible')),
+{lcs_ctes('f', 'fpairs')},
+judged AS (SELECT c.*, fs.SCORE AS FSCORE FROM cand c LEFT JOIN fscored fs ON fs.A = c.P_FLAVOR_STR AND fs.B = c.REF_FLAVOR_STR),
+valid AS (SELECT * EXCLUDE (FSCORE) FROM judged WHERE {_I_PASS}),
+pp AS (SELECT DISTINCT REF_KEY AS X, CLEANED AS Y FROM valid),
+dirs AS (
+  SELECT X, Y, CASE WHEN length(X) <= length(Y) THEN X ELSE Y END AS S, CASE WHEN length(X) <= length(Y) THEN Y ELSE X END AS L FROM pp
+  UNION ALL
+  SELECT X, Y, Y AS S, X AS L FROM pp WHERE length(X) = length(Y)),
+windows AS (
+  SELECT X, Y, S, substr(L, 1, i) AS W FROM (SELECT *, unnest(range(1, length(S))) AS i FROM dirs)
+  UNION ALL
+  SELECT X, Y, S, substr(L, k + 1, length(S)) FROM (SELECT *, unnest(range(0, length(L) - length(S) + 1)) AS k FROM dirs)
+  UNION ALL
+  SELECT X, Y, S, substr(L, k + 1) FROM (SELECT *, unnest(range(length(L) - length(S) + 1, length(L))) AS k FROM dirs)),
+wpairs AS (SELECT row_number() OVER () AS pid, A, B FROM (SELECT DISTINCT S AS A, W AS B FROM windows WHERE S <> '')),
+{lcs_ctes('w', 'wpairs')},
+partial AS (SELECT w.X, w.Y, max(ws.SCORE) AS P FROM windows w JOIN wscored ws ON ws.A = w.S AND ws.B = w.W GROUP BY w.X, w.Y),
+best AS (
+  SELECT v.*, row_number() OVER (PARTITION BY v.PRODUCTNAME, v.BRANDNAME, v.TYPE_FORCED
+                                 ORDER BY v.SCORE DESC, coalesce(p.P, 0) DESC, v.REF_POS ASC) AS BR
+  FROM valid v LEFT JOIN partial p ON p.X = v.REF_KEY AND p.Y = v.CLEANED)"""
+
+_I_BACKUP = f"""
+ed AS (SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, CLEANED AS X FROM feats WHERE P_TYPE = 'edible'),
+cats AS (SELECT lower(SNOPCATEGORY) AS C, min(CATALOGPOS) AS CPOS FROM catalog WHERE SNOPCATEGORY IS NOT NULL GROUP BY lower(SNOPCATEGORY)),
+pr_in AS (SELECT DISTINCT e.X, c.C FROM (SELECT DISTINCT X FROM ed) e, cats c),
+{_PARTIAL},
+bk_best AS (
+  SELECT o.X, o.C, o.P, row_number() OVER (PARTITION BY o.X ORDER BY o.P DESC, c.CPOS ASC) AS RN
+  FROM pr_out o JOIN cats c ON c.C = o.C)"""
+
+_K3 = "{a}.PRODUCTNAME IS NOT DISTINCT FROM {b}.PRODUCTNAME AND {a}.BRANDNAME IS NOT DISTINCT FROM {b}.BRANDNAME AND {a}.TYPE_FORCED = {b}.TYPE_FORCED"
+
+_I_LADDER = f"""
+high AS (
+  SELECT f.PRODUCTNAME, f.BRANDNAME, f.TYPE_FORCED, arg_min_null(r.REF_CAT, r.REF_POS) AS CAT, arg_min(r.REF_KEY, r.REF_POS) AS REF
+  FROM feats f JOIN irt r ON f.TK = r.RTK GROUP BY f.PRODUCTNAME, f.BRANDNAME, f.TYPE_FORCED),
+fbrows AS (
+  SELECT PRODUCTNAME AS FB_NAME, SNOPCATEGORY AS FB_CAT, CATALOGPOS AS FB_POS,
+         lower(coalesce(CAST(BRAND AS VARCHAR), 'None')) AS B, {strain('lower(PRODUCTNAME)')} AS S,
+         TRY_CAST({pack('PRODUCTNAME')} AS DECIMAL(38, 0)) AS P, {grams('lower(PRODUCTNAME)')} AS G
+  FROM catalog WHERE contains(lower(coalesce(PRODUCTNAME, 'None')), 'preroll')),
+fb AS (
+  SELECT k.PRODUCTNAME, k.BRANDNAME, k.TYPE_FORCED, arg_min_null(f.FB_CAT, f.FB_POS) AS FB_CAT, arg_min(f.FB_NAME, f.FB_POS) AS FB_NAME
+  FROM feats k JOIN fbrows f ON k.BRAND_LC = f.B AND k.P_STRAIN IS NOT DISTINCT FROM f.S AND k.P_PACK_NUM IS NOT DISTINCT FROM f.P
+  WHERE k.P_TYPE = 'flower' AND contains(k.CLEANED, 'preroll') AND contains(k.NAME_LC, 'preroll')
+    AND k.P_GRAMS <> 0 AND f.G <> 0 AND abs(k.P_GRAMS - f.G) < 0.05
+  GROUP BY k.PRODUCTNAME, k.BRANDNAME, k.TYPE_FORCED),
+bk AS (SELECT e.PRODUCTNAME, e.BRANDNAME, e.TYPE_FORCED, b.C, b.P FROM ed e JOIN bk_best b ON b.X = e.X AND b.RN = 1 WHERE b.P >= 70),
+st AS (SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, REF_CAT, SCORE, REF_KEY FROM best WHERE BR = 1),
+chain AS (
+  SELECT k.*,
+    CASE WHEN e1.REF_KEY IS NOT NULL THEN e1.REF_CAT WHEN e2.REF_KEY IS NOT NULL THEN e2.REF_CAT
+         WHEN ex.PRODUCTNAME IS NOT NULL THEN ex.CAT WHEN hi.PRODUCTNAME IS NOT NULL THEN hi.CAT
+         WHEN st.PRODUCTNAME IS NOT NULL THEN st.REF_CAT WHEN bk.PRODUCTNAME IS NOT NULL THEN bk.C END AS C_CAT,
+    CASE WHEN e1.REF_KEY IS NOT NULL THEN CAST(100 AS DOUBLE) WHEN e2.REF_KEY IS NOT NULL THEN CAST(99 AS DOUBLE)
+         WHEN ex.PRODUCTNAME IS NOT NULL THEN CAST(100 AS DOUBLE) WHEN hi.PRODUCTNAME IS NOT NULL THEN CAST(100 AS DOUBLE)
+         WHEN st.PRODUCTNAME IS NOT NULL THEN st.SCORE WHEN bk.PRODUCTNAME IS NOT NULL THEN bk.P END AS C_SCORE,
+    CASE WHEN e1.REF_KEY IS NOT NULL THEN k.CLEANED WHEN e2.REF_KEY IS NOT NULL THEN k.ALT_KEY
+         WHEN ex.PRODUCTNAME IS NOT NULL THEN ex.XKEY WHEN hi.PRODUCTNAME IS NOT NULL THEN hi.REF
+         WHEN st.PRODUCTNAME IS NOT NULL THEN st.REF_KEY WHEN bk.PRODUCTNAME IS NOT NULL THEN bk.C END AS C_REF,
+    CASE WHEN e1.REF_KEY IS NOT NULL THEN 'Matched (Exact Match)' WHEN e2.REF_KEY IS NOT NULL THEN 'Matched (Exact Match w/ Brand)'
+         WHEN ex.PRODUCTNAME IS NOT NULL THEN 'Matched (Exact Match – Name Exception)'
+         WHEN hi.PRODUCTNAME IS NOT NULL THEN 'High-Confidence Override'
+         WHEN st.PRODUCTNAME IS NOT NULL THEN 'Matched (Strict Rules)' WHEN bk.PRODUCTNAME IS NOT NULL THEN 'Backup S&OP Match'
+         ELSE 'No Acceptable Match' END AS C_LABEL,
+    fb.PRODUCTNAME IS NOT NULL AS FB_HIT, fb.FB_CAT, fb.FB_NAME
+  FROM feats k
+  LEFT JOIN i_refs e1 ON e1.REF_KEY = k.CLEANED
+  LEFT JOIN i_refs e2 ON e2.REF_KEY = k.ALT_KEY
+  LEFT JOIN exc_hits ex ON {_K3.format(a='ex', b='k')}
+  LEFT JOIN high hi ON {_K3.format(a='hi', b='k')}
+  LEFT JOIN st ON {_K3.format(a='st', b='k')}
+  LEFT JOIN bk ON {_K3.format(a='bk', b='k')}
+  LEFT JOIN fb ON {_K3.format(a='fb', b='k')}),
+r0 AS (
+  SELECT *, C_CAT IS NULL AND coalesce(P_TYPE = 'flower' AND contains(CLEANED, 'preroll'), false)
+            AND FB_HIT AND coalesce(FB_CAT, '') <> '' AS TAKE
+  FROM chain),
+r1 AS (
+  SELECT *, CASE WHEN TAKE THEN FB_CAT ELSE C_CAT END AS R_CAT, CASE WHEN TAKE THEN CAST(90 AS DOUBLE) ELSE C_SCORE END AS R_SCORE,
+         CASE WHEN TAKE THEN FB_NAME ELSE C_REF END AS R_REF, CASE WHEN TAKE THEN 'Fallback Preroll Match' ELSE C_LABEL END AS R_LABEL
+  FROM r0),
+ladder AS (
+  SELECT *,
+    CASE WHEN BULK THEN CASE WHEN PREM THEN 'NEA Fire Bulk Flower g' ELSE 'NEA Bulk Flower g' END ELSE R_CAT END AS MATCHED_SNOP_CATEGORY,
+    CASE WHEN BULK THEN CASE WHEN PREM THEN CAST(100 AS DOUBLE) ELSE CAST(95 AS DOUBLE) END ELSE R_SCORE END AS MATCH_SCORE,
+    CASE WHEN BULK THEN CASE WHEN PREM THEN 'bulk name brand rule' ELSE 'bulk name rule' END ELSE R_REF END AS MATCHED_REFERENCE,
+    CASE WHEN BULK THEN 'Bulk Override' ELSE R_LABEL END AS MATCH_RESULT
+  FROM (SELECT *, R_CAT IS NULL AND contains(NAME_LC, 'bulk') AS BULK, contains(BRAND_LC, 'brand#1') AS PREM FROM r1)),
+dk AS (SELECT * FROM ladder WHERE MATCH_RESULT = 'No Acceptable Match'),
+dtexts AS (SELECT DISTINCT TK FROM dk),
+dpairs AS (SELECT row_number() OVER () AS pid, t.TK AS A, r.RTK AS B, r.REF_KEY, r.REF_POS FROM dtexts t, irt r),
+{lcs_ctes('d', 'dpairs')},
+dbest AS (SELECT A, REF_KEY FROM (SELECT *, row_number() OVER (PARTITION BY A ORDER BY SCORE DESC, REF_POS ASC) AS RN FROM dscored) WHERE RN = 1),
+diag AS (
+  SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, {_I_FAILED} AS FAILED_CHECKS
+  FROM (SELECT d.PRODUCTNAME, d.BRANDNAME, d.TYPE_FORCED, d.NAME_LC, d.P_TYPE, d.P_GRAMS, d.P_STRAIN, d.P_PACK,
+               r.REF_CAT, r.REF_GRAMS, r.REF_PACK
+        FROM dk d JOIN dbest b ON b.A = d.TK JOIN irt r ON r.REF_KEY = b.REF_KEY)),
+i_ladder AS (
+  SELECT l.PRODUCTNAME, l.BRANDNAME, l.TYPE_FORCED, l.MATCHED_SNOP_CATEGORY, l.MATCH_SCORE, l.MATCHED_REFERENCE, l.MATCH_RESULT,
+         g.FAILED_CHECKS
+  FROM ladder l LEFT JOIN diag g ON {_K3.format(a='g', b='l')}),
+i_labelled AS (
+  SELECT x.*, CASE WHEN x.APPROVED THEN l.MATCHED_SNOP_CATEGORY END AS MATCHED_SNOP_CATEGORY,
+         CASE WHEN x.APPROVED THEN l.MATCH_SCORE END AS MATCH_SCORE,
+         CASE WHEN x.APPROVED THEN l.MATCHED_REFERENCE END AS MATCHED_REFERENCE,
+         CASE WHEN x.APPROVED THEN l.MATCH_RESULT ELSE 'Wrong Brand' END AS MATCH_RESULT,
+         coalesce(x.QUANTITYAVAILABLE, 0.0) AS TOTAL_QUANTITY,
+         coalesce(x.APPROVED AND l.MATCHED_SNOP_CATEGORY IS NOT NULL AND {strip('l.MATCHED_SNOP_CATEGORY')} <> '', false) AS IS_MATCHED
+  FROM i_rows x LEFT JOIN i_ladder l ON {_K3.format(a='l', b='x')})"""
+
+_INV_CTES = ("WITH RECURSIVE" + duckdb_ctes(["retail_inventory", "catalog"])[len("WITH"):] + "," + _I_SNAP + ","
+             + exception_ctes("i_keys") + ",\n" + _I_STRICT + ",\n" + _I_BACKUP + ",\n" + _I_LADDER)
+
+ORACLE_SQL["inventory_ladder"] = _INV_CTES + """
+SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, MATCHED_SNOP_CATEGORY, round(MATCH_SCORE, 4) AS MATCH_SCORE, MATCHED_REFERENCE,
+       MATCH_RESULT, FAILED_CHECKS
+FROM i_ladder"""
+
+ORACLE_SQL["failed_checks"] = _INV_CTES + """
+SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, FAILED_CHECKS FROM i_ladder WHERE MATCH_RESULT = 'No Acceptable Match'"""
