@@ -303,12 +303,15 @@ def inventory_pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_reload(spark: SparkSession, sf: str) -> DataFrame:
-    """Reload the combined wholesale sales window twice into a scratch table; reads it back."""
-    return P.reload_demo(spark, sf, kind="window")
+    """Reload the combined matched sales batch twice into a fresh table; read it back (= one batch)."""
+    df = P.reload_demo(spark, sf, kind="window")
+    return _round(_round(df, ["TOTAL_QUANTITY"]), ["TOTAL_REVENUE", "MATCH_SCORE"], 4)
 
 
 def snapshot_reload(spark: SparkSession, sf: str) -> DataFrame:
-    return P.reload_demo(spark, sf, kind="snapshot")
+    """Reload the combined matched inventory snapshot twice; read it back (= one batch)."""
+    df = P.reload_demo(spark, sf, kind="snapshot")
+    return _round(_round(df, ["TOTAL_QUANTITY"]), ["MATCH_SCORE"], 4)
 
 
 QUERIES = {

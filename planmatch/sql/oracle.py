@@ -945,3 +945,53 @@ FROM i_ladder"""
 
 ORACLE_SQL["failed_checks"] = _INV_CTES + """
 SELECT PRODUCTNAME, BRANDNAME, TYPE_FORCED, FAILED_CHECKS FROM i_ladder WHERE MATCH_RESULT = 'No Acceptable Match'"""
+
+_TBO = ORACLE_SQL["trim_bulk_override"]
+_WI_LAB = _TBO[_TBO.index(", conv AS ("):_TBO.index("\nSELECT LOCATIONNAME, INVENTORYDATE,")]
+_WI_FINAL = "wi_final AS (" + _TBO[_TBO.index("\nSELECT LOCATIONNAME, INVENTORYDATE,"):] + ")"
+
+_INV_ALL_CTES = ("WITH RECURSIVE" + duckdb_ctes(["retail_inventory", "catalog", "wholesale_inventory"])[len("WITH"):] + ","
+                 + _I_SNAP + "," + exception_ctes("i_keys") + ",\n" + _I_STRICT + ",\n" + _I_BACKUP + ",\n" + _I_LADDER
+                 + "," + _WI_SNAP + _WI_LAB + ",\n" + _WI_FINAL + """,
+inv_both AS (
+  SELECT LOCATIONNAME, INVENTORYDATE, MATCHED_SNOP_CATEGORY, PRODUCTNAME, BRANDNAME, TOTAL_QUANTITY, MATCH_RESULT, MATCH_SCORE,
+         MATCHED_REFERENCE, CASE WHEN IS_MATCHED THEN 'matched' ELSE 'unmatched' END AS STATUS
+  FROM i_labelled
+  UNION ALL
+  SELECT LOCATIONNAME, INVENTORYDATE, MATCHED_SNOP_CATEGORY, PRODUCTNAME, BRANDNAME, TOTAL_QUANTITY, MATCH_RESULT, MATCH_SCORE,
+         MATCHED_REFERENCE,
+         CASE WHEN MATCHED_SNOP_CATEGORY IS NOT NULL AND trim(MATCHED_SNOP_CATEGORY) <> '' THEN 'matched' ELSE 'unmatched' END
+  FROM wi_final)""")
+
+ORACLE_SQL["combined_inventory"] = _INV_ALL_CTES + """
+SELECT LOCATIONNAME, INVENTORYDATE, MATCHED_SNOP_CATEGORY, PRODUCTNAME, BRANDNAME, round(TOTAL_QUANTITY, 2) AS TOTAL_QUANTITY,
+       MATCH_RESULT, round(MATCH_SCORE, 4) AS MATCH_SCORE, MATCHED_REFERENCE, STATUS
+FROM inv_both"""
+
+ORACLE_SQL["inventory_pipeline"] = _INV_ALL_CTES + """
+SELECT LOCATIONNAME, INVENTORYDATE, MATCHED_SNOP_CATEGORY, PRODUCTNAME, BRANDNAME, round(TOTAL_QUANTITY, 2) AS TOTAL_QUANTITY,
+       MATCH_RESULT, round(MATCH_SCORE, 4) AS MATCH_SCORE, MATCHED_REFERENCE
+FROM inv_both WHERE STATUS = 'matched'"""
+
+ORACLE_SQL["snapshot_reload"] = ORACLE_SQL["inventory_pipeline"]
+ORACLE_SQL["window_reload"] = ORACLE_SQL["combined_sales"].replace(
+    "FROM both_channels", "FROM both_channels WHERE STATUS = 'matched'").replace(", MATCHED_REFERENCE, STATUS\nFROM", ", MATCHED_REFERENCE\nFROM")
+
+
+def _accounting(ctes: str, rows: str, channel: str) -> str:
+    return ctes + f"""
+SELECT CAST(count(*) AS BIGINT) AS INPUT_ROWS,
+       CAST(sum(CASE WHEN APPROVED THEN 1 ELSE 0 END) AS BIGINT) AS SOURCE_ROWS,
+       CAST(sum(CASE WHEN APPROVED AND M THEN 1 ELSE 0 END) AS BIGINT) AS MATCHED_ROWS,
+       CAST(sum(CASE WHEN APPROVED AND NOT M THEN 1 ELSE 0 END) AS BIGINT) AS UNMATCHED_CORE_ROWS,
+       CAST(sum(CASE WHEN NOT APPROVED THEN 1 ELSE 0 END) AS BIGINT) AS WRONG_BRAND_ROWS,
+       '{channel}' AS CHANNEL
+FROM (SELECT APPROVED, coalesce(MATCHED_SNOP_CATEGORY IS NOT NULL AND trim(MATCHED_SNOP_CATEGORY) <> '', false) AS M FROM {rows})"""
+
+
+ORACLE_SQL["row_accounting"] = f"""
+SELECT *, MATCHED_ROWS + UNMATCHED_CORE_ROWS = SOURCE_ROWS AND SOURCE_ROWS + WRONG_BRAND_ROWS = INPUT_ROWS AS BALANCED
+FROM (
+  SELECT * FROM ({_accounting(_SALES_LADDER_CTES, 'labelled', 'retail_sales')})
+  UNION ALL
+  SELECT * FROM ({_accounting(_INV_CTES, 'i_labelled', 'retail_inventory')}))"""
