@@ -52,11 +52,8 @@ def test_oracle_agrees(spark, con, name):
     assert gr == wr
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
-def test_query_runs(spark, name):
-    df = E.queries()[name](spark, SF)
-    assert len(df.columns) > 0
-    df.count()
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
 
 
 def test_row_accounting_balances(spark):
