@@ -39,7 +39,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def band_join(left: DataFrame, right: DataFrame, left_len: str, right_len: str, lo, hi,
-              right_small: bool, salts: int = 16) -> DataFrame:
+              right_small: bool, salts: int | None = None) -> DataFrame:
     """Equi-join of each left row to the right rows whose length lies in [lo, hi].
 
     The left side is exploded over the admissible lengths (an exact band, no
@@ -48,6 +48,10 @@ def band_join(left: DataFrame, right: DataFrame, left_len: str, right_len: str,
     pick one salt, right rows are replicated over all salts.
     """
     exploded = left.withColumn("__band_len", F.explode(F.sequence(lo, hi)))
+    if salts is None:
+        # a few hundred distinct lengths: salts scale the join keys with the cluster
+        parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        salts = max(8, min(256, parts // 8))
     if right_small:
         return exploded.join(right, exploded["__band_len"] == right[right_len], "inner").drop("__band_len")
     salted_left = exploded.withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))

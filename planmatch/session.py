@@ -32,14 +32,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; a scratch one only when unset (tests)."""
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, bench) without that setting gets a
+    scratch folder; on a cluster a machine-local folder would not survive the
+    loss of an executor, so the setting is required there.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         spark.sparkContext.setCheckpointDir(conf)
         return spark.sparkContext.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared (distributed) folder")
     path = tempfile.mkdtemp(prefix="planmatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir()

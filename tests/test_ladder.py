@@ -117,3 +117,13 @@ def test_wholesale_override(spark):
     assert (out["b bulk"]["MATCH_RESULT"], out["b bulk"]["MATCHED_SNOP_CATEGORY"]) == (C.LABEL_BULK, C.BULK_DEFAULT_CATEGORY)
     assert out["c"]["MATCH_RESULT"] == C.LABEL_MISSING_SKU
     assert out["d"]["MATCHED_SNOP_CATEGORY"] == "SKU"
+
+
+def test_band_join_salted_path_equals_broadcast(spark):
+    from planmatch.operators.joins import band_join
+    left = spark.createDataFrame([("a" * n,) for n in (1, 5, 9, 20)], "T string").withColumn("L", F.length("T"))
+    right = spark.createDataFrame([("b" * n,) for n in range(1, 25)], "R string").withColumn("RL", F.length("R"))
+    lo, hi = F.col("L") - 2, F.col("L") + 2
+    small = {tuple(r) for r in band_join(left, right, "L", "RL", lo, hi, True).select("T", "R").collect()}
+    salted = {tuple(r) for r in band_join(left, right, "L", "RL", lo, hi, False, salts=5).select("T", "R").collect()}
+    assert small == salted and len(small) == 3 + 5 + 5 + 5
