@@ -437,8 +437,10 @@ FROM exc_hits"""
 
 # --------------------------------------------------------------------------- M7 (control totals)
 
+# Totals add the unrounded converted quantities; only the sums are rounded.
 ORACLE_SQL["control_totals"] = ORACLE_SQL["trim_bulk_override"].replace(
-    """SELECT LOCATIONNAME, INVENTORYDATE,""", """, final AS (SELECT LOCATIONNAME, INVENTORYDATE, QUANTITYONHAND,""", 1) + """)
+    """SELECT LOCATIONNAME, INVENTORYDATE,""", """, final AS (SELECT LOCATIONNAME, INVENTORYDATE, QUANTITYONHAND,""", 1).replace(
+    "round(TOTAL_QUANTITY, 2) AS TOTAL_QUANTITY", "TOTAL_QUANTITY AS TOTAL_QUANTITY", 1) + """)
 SELECT count(*) AS ROWS, round(coalesce(sum(QUANTITYONHAND), 0.0), 2) AS QUANTITY_BEFORE,
        round(coalesce(sum(TOTAL_QUANTITY), 0.0), 2) AS QUANTITY_AFTER,
        CAST(sum(CASE WHEN contains(upper(coalesce(PRODUCTNAME, '')), 'TRIM') THEN 1 ELSE 0 END) AS BIGINT) AS TRIM_ROWS,
