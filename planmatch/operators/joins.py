@@ -26,11 +26,9 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tu
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join on ``keys`` with ``<=>`` (null equals null); keeps the left key columns."""
-    r = right
-    renamed = {}
-    for k in keys:
-        renamed[k] = f"__r_{k}"
-        r = r.withColumnRenamed(k, renamed[k])
+    renamed = {k: f"__r_{k}" for k in keys}
+    # one projection renames every key (one analysis of the right plan, not one per key)
+    r = right.select(*[F.col(f"`{c}`").alias(renamed.get(c, c)) for c in right.columns])
     cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[renamed[k]]) for k in keys])
     out = left.join(r, cond, how)
     if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
