@@ -7,19 +7,24 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension sides at or below this many rows are broadcast; larger ones take
+# Dimension sides are broadcast only when both bounds hold; larger ones take
 # the shuffle (salted) path.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when its row count is proven to be <= ``max_rows``.
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Broadcast ``df`` only when it is proven to hold <= ``max_rows`` rows and
+    about <= ``max_bytes`` bytes (serialised JSON length, an over-estimate).
 
-    The count runs one job on the (small, dimension) side, limited to
+    The check runs one job on the (small, dimension) side, limited to
     ``max_rows + 1`` rows, so the check itself is bounded.
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    n, size = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(row)), F.lit(0))).first()
+    if n <= max_rows and size <= max_bytes:
         return F.broadcast(df), True
     return df, False
 

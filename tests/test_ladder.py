@@ -127,3 +127,12 @@ def test_band_join_salted_path_equals_broadcast(spark):
     small = {tuple(r) for r in band_join(left, right, "L", "RL", lo, hi, True).select("T", "R").collect()}
     salted = {tuple(r) for r in band_join(left, right, "L", "RL", lo, hi, False, salts=5).select("T", "R").collect()}
     assert small == salted and len(small) == 3 + 5 + 5 + 5
+
+
+def test_sized_broadcast_checks_rows_and_bytes(spark):
+    from planmatch.operators.joins import sized_broadcast
+    df = spark.createDataFrame([(i, "x" * 50) for i in range(10)], "id int, s string")
+    assert sized_broadcast(df)[1]
+    assert not sized_broadcast(df, max_rows=9)[1]
+    assert not sized_broadcast(df, max_bytes=100)[1]
+    assert sized_broadcast(df.limit(0))[1]
