@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from planmatch.session import ship_package
+
 BASE_TABLES = ("part", "lineitem", "orders", "customer", "nation", "supplier", "events")
 
 # name -> SQL template; {name} placeholders refer to base tables or earlier views.
@@ -109,14 +111,9 @@ class FixtureTables:
         return self[name]
 
 
-_TABLES: dict = {}
-
-
 def tables(spark: SparkSession, sf_dir: str) -> FixtureTables:
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _TABLES:
-        _TABLES[key] = FixtureTables(spark, sf_dir)
-    return _TABLES[key]
+    ship_package(spark)
+    return FixtureTables(spark, sf_dir)
 
 
 def duckdb_ctes(names=tuple(VIEWS)) -> str:
