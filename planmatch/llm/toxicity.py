@@ -1,9 +1,11 @@
 """Toxicity by a subsequence string kernel and a support vector machine on Nystroem landmarks.
 
 Words are compared by the letters' gapped subsequences of length 3 that span at most ``SPAN`` + 1 letters,
-each weighted by LAMBDA to the power of its span; the kernel is the cosine of these weights.  An inserted or
-missing letter so leaves most of the likeness.  Landmarks are words: those that most mark the labelled toxic
-texts, and some frequent plain ones.  A text's feature for a landmark is the greatest kernel of its words, the
+each weighted by LAMBDA to the power of its span; the kernel is the cosine of these weights, to the power POWER.  An inserted or
+missing letter so leaves most of the likeness.  Landmarks are words or stems (first letters of words): those that most mark the labelled toxic
+texts, and some frequent plain ones.  How much one marks them is counted over distinct neighbourhoods (the word
+and the words beside it), so that copies of a text count once.  A text's feature for a landmark is the greatest
+kernel of its words and their stems, the
 features are whitened by the landmarks' own kernel matrix (Nystroem), and a linear machine with hinge loss is
 trained on them; a logistic curve turns its margin into a score.
 
@@ -27,13 +29,17 @@ from pyspark.sql import functions as F
 from planmatch.llm.common import documents, held_out, pick, read
 
 #: Labelled rows of either class that may teach.
-MAX_FIT = 5_000
+MAX_FIT = 3_000
 TOXIC_LANDMARKS, PLAIN_LANDMARKS = 24, 8
-LEAST_TEXTS = 3  # that a landmark comes in
+LEAST_PLACES = 5  # that a landmark comes in
+LEAST_LEAN = 20.0  # of a toxic landmark, as a log-likelihood ratio
+STEMS = (4, 5, 6, 8)
 SPAN = 5
 LAMBDA = 0.7
 LONG, STEP = 32, 16
 LETTERS = 32
+#: Of the cosine: keeps faint likeness, of which long texts have much, from adding up.
+POWER = 3
 THRESHOLD = 0.3
 #: Signs read as letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -49,13 +55,14 @@ def clean(token: str) -> str:
 
 
 def words_of(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct words of the texts; (text, word) numbers, each pair once."""
+    """Distinct words and stems of the texts; (text, word) numbers, each pair once."""
     number: dict[str, int] = {}
     forms: dict[str, list[int]] = {}
     text_no, word_no = [], []
 
     def form(word: str) -> list[int]:
         parts = [word] if len(word) <= LONG else [word[k : k + LONG] for k in range(0, len(word) - STEP, STEP)]
+        parts += [word[:n] for n in STEMS if n < len(word)]
         return [number.setdefault(p, len(number)) for p in parts if len(p) >= 3]
 
     for i, text in enumerate(texts):
@@ -75,6 +82,14 @@ def words_of(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     return list(number), np.array(text_no, np.int64), np.array(word_no, np.int64)
 
 
+def neighbourhoods(text: str) -> list[tuple[str, int]]:
+    """(word, 64-bit name of the word and its neighbours) at each place of a text."""
+    import xxhash
+
+    words = ["", *[w for w in map(clean, text.lower().split()) if w], ""]
+    return [(w[:LONG], xxhash.xxh64_intdigest(f"{a} {w} {z}") - (1 << 63)) for a, w, z in zip(words, words[1:], words[2:]) if len(w) >= 3]
+
+
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number, subsequence number, weight), each pair once, with weights of length 1 for a word."""
     width = max(map(len, words), default=0)
@@ -132,7 +147,7 @@ def features(texts: list[str], table: np.ndarray) -> np.ndarray:
         first = np.flatnonzero(np.diff(text, prepend=-1))
         for lo, hi in zip(first.tolist(), np.append(first[1:], len(text)).tolist()):
             out[text[lo]] = k[word[lo:hi]].max(0)
-    return out
+    return out**POWER
 
 
 # ---------------------------------------------------------------------- training
@@ -146,7 +161,7 @@ def hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4,
     for t in range(1, steps + 1):
         inside = y * (x @ w) < 1
         grad = ridge * w - (weight[inside] * y[inside]) @ x[inside]
-        w = w - grad * 2.0 / np.sqrt(t)
+        w = w - grad * 20.0 / np.sqrt(t)
         if t > steps // 2:
             mean += w
     return mean / (steps - steps // 2)
@@ -192,20 +207,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Machine:
     rows = docs.join(chosen, "doc_id").select("text", "toxic")
     used = {c: min(total[c], max_fit) for c in total}
 
-    @F.pandas_udf("array<string>")
-    def distinct_words(texts: pd.Series) -> pd.Series:
-        words, text, word = words_of([t or "" for t in texts])
-        out = [[] for _ in texts]
-        for i, w in zip(text.tolist(), word.tolist()):
-            out[i].append(words[w])
-        return pd.Series(out, dtype=object)
-
-    seen = rows.select("toxic", F.explode(distinct_words("text")).alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-    t, c = F.col("t") + 0.5, F.col("c") + 0.5
-    lean = (F.log(t / (used[1] + 1 - t)) - F.log(c / (used[0] + 1 - c))) / F.sqrt(1 / t + 1 / c)
-    seen = seen.withColumn("lean", lean).filter(F.col("t") + F.col("c") >= LEAST_TEXTS)
-    toxic = [r.word for r in seen.filter("lean > 2").orderBy(F.desc("lean"), "word").limit(TOXIC_LANDMARKS).collect()]
-    plain = [r.word for r in seen.filter("lean < 2").orderBy(F.desc("c"), "word").limit(PLAIN_LANDMARKS).collect()]
+    @F.pandas_udf("array<struct<word:string,place:long>>")
+    def places(texts: pd.Series) -> pd.Series:
+        return pd.Series([neighbourhoods(t or "") for t in texts], dtype=object)
+
+    seen = rows.select("toxic", F.explode(places("text")).alias("x")).select("toxic", "x.*").distinct()
+    seen = seen.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+    whole = seen.agg(F.sum("t"), F.sum("c")).first()
+    stems = F.explode(F.array_distinct(F.array("word", *[F.substring("word", 1, n) for n in STEMS + (7,)]))).alias("word")
+    seen = seen.select(stems, "t", "c").groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).filter(F.col("t") + F.col("c") >= LEAST_PLACES)
+    t, c, n = F.col("t"), F.col("c"), F.col("t") + F.col("c")
+    share = (whole[0] + 1) / (whole[0] + whole[1] + 2)
+    ratio = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
+    lean = F.when(t > n * share, 2 * (ratio(t, n * share) + ratio(c, n * (1 - share)))).otherwise(0.0)
+    seen = seen.withColumn("lean", lean)
+    best = seen.filter(F.col("lean") > LEAST_LEAN).orderBy(F.desc("lean"), F.desc(F.length("word")), "word").limit(50 * TOXIC_LANDMARKS).collect()
+    toxic: list[str] = []
+    for r in best:  # of a word and its stem, the one that leans more
+        if len(toxic) < TOXIC_LANDMARKS and not any(r.word.startswith(w) or w.startswith(r.word) for w in toxic):
+            toxic.append(r.word)
+    plain = [r.word for r in seen.filter("lean = 0").orderBy(F.desc("c"), "word").limit(PLAIN_LANDMARKS).collect()]
     landmarks = toxic + plain
     if not landmarks:
         return Machine([], np.zeros(0), 0.0, (0.0, float(prior)))
@@ -218,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Machine:
     got = rows.select("toxic", feature("text").alias("x")).collect()  # 2 * max_fit short rows
     y = np.array([1.0 if r.toxic else -1.0 for r in got])
     x = np.array([r.x for r in got], np.float64)
-    own = table.T.astype(np.float64) @ table
+    own = (table.T.astype(np.float64) @ table) ** POWER
     value, vector = np.linalg.eigh(own)
     white = vector / np.sqrt(np.maximum(value, 1e-3)) @ vector.T
     share = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum())
