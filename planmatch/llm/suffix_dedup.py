@@ -30,6 +30,7 @@ from planmatch.llm.common import BLOBS, NO_ID, beside, blob_rows, buckets, docum
 LENGTH = 50
 ANCHOR = 24
 BLOCK_BYTES = 4 << 20
+STRETCH = 1 << 15
 
 
 # -------------------------------------------------------------- names in a block
@@ -49,8 +50,7 @@ def shifted(a: np.ndarray, by: int) -> np.ndarray:
     return np.concatenate([a[by:], np.zeros(min(by, len(a)), a.dtype)])
 
 
-def names(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the ``anchor`` and of the ``length`` bytes at each position."""
+def _names(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
     have, name, short = 8, names8(data), None
     while have < length:
         if short is None and have * 2 > anchor:
@@ -60,6 +60,16 @@ def names(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.nd
     return short, name
 
 
+def names(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the ``anchor`` and of the ``length`` bytes at each position, stretch by stretch to stay in the cache."""
+    short, full = np.empty(len(data), np.uint64), np.empty(len(data), np.uint64)
+    for lo in range(0, len(data), STRETCH):
+        hi = min(len(data), lo + STRETCH)
+        a, z = _names(data[lo : hi + 2 * length], length, anchor)
+        short[lo:hi], full[lo:hi] = a[: hi - lo], z[: hi - lo]
+    return short, full
+
+
 def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
     have = 1
     while have < width:
@@ -78,29 +88,31 @@ class Block:
         short, self.full = names(self.data, length, anchor)
         n = len(self.data)
         order = (short & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
-        least = sliding_min(order, length - anchor + 1) if n >= length else order[:0]
-        edge = np.zeros(n + 1, np.int32)
+        least = sliding_min(order, length - anchor + 1).astype(np.uint32) if n >= length else np.zeros(0, np.uint32)
+        edge = np.zeros(n + 1, np.int8)
         long = self.size >= length
-        np.add.at(edge, self.start[long], 1)
-        np.add.at(edge, (self.start + self.size - length + 1)[long], -1)
-        at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)  # where windows start
-        where = (least[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        new = np.ones(len(at), bool)
-        new[1:] = (where[1:] != where[:-1]) | (at[1:] != at[:-1] + 1)
-        self.first = np.flatnonzero(new)  # of each run, in ``at``
-        self.at, self.count = at, np.diff(np.append(self.first, len(at)))
-        self.lo, self.name = at[self.first], short[where[self.first]]
-        self.doc = np.asarray(row["doc"], np.int64)[np.searchsorted(self.start, self.lo, "right") - 1] if len(at) else np.zeros(0, np.int64)
+        edge[self.start[long]] += 1
+        edge[(self.start + self.size - length + 1)[long]] -= 1
+        inside = np.cumsum(edge[:-1], dtype=np.int8)[: len(least)] > 0  # where windows start
+        same = np.zeros(len(least) + 1, bool)  # the window before has the same anchor
+        same[1:-1] = inside[1:] & inside[:-1] & (least[1:] == least[:-1])
+        self.lo = np.flatnonzero(inside & ~same[:-1])
+        self.count = np.flatnonzero(inside & ~same[1:]) + 1 - self.lo
+        self.name = short[least[self.lo]]
+        self.doc = np.asarray(row["doc"], np.int64)[np.searchsorted(self.start, self.lo, "right") - 1] if len(self.lo) else np.zeros(0, np.int64)
 
     def sources(self) -> tuple[np.ndarray, np.ndarray]:
-        """Runs over equal bytes: the run of the least document, and that document."""
+        """Runs over equal bytes: a run of the least document, and that document."""
         a, z = self.full[self.lo], self.full[self.lo + self.count - 1]  # overlap, so they name all of a run's bytes
-        order = np.lexsort((self.doc, self.count, z, a))
-        new = np.ones(len(order), bool)
-        new[1:] = (a[order][1:] != a[order][:-1]) | (z[order][1:] != z[order][:-1]) | (self.count[order][1:] != self.count[order][:-1])
-        head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        name = mix(mix(a, z), self.count.astype(np.uint64))
+        order = np.argsort(name, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], name[order][1:] != name[order][:-1]])) if len(order) else order
+        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+        least = np.minimum.reduceat(self.doc[order], first) if len(order) else self.doc
+        head = np.flatnonzero(self.doc[order] == least[group])
+        head = order[head[np.concatenate([[True], group[head][1:] != group[head][:-1]])]] if len(order) else order
         source = np.empty(len(order), np.int64)
-        source[order] = head
+        source[order] = head[group]
         return source, self.doc[source]
 
 
@@ -113,10 +125,11 @@ def distinct_anchors(block: Block, n: int) -> tuple[np.ndarray, np.ndarray, np.n
     """Sorted distinct keys, whether two documents of the block have it, and each run's index in them."""
     key = anchor_keys(block.name, n)
     kinds, of = np.unique(key, return_inverse=True)
-    low, high = np.full(len(kinds), NO_ID), np.full(len(kinds), np.iinfo(np.int64).min)
-    np.minimum.at(low, of, block.doc)
-    np.maximum.at(high, of, block.doc)
-    return kinds, low != high, of
+    some = np.empty(len(kinds), np.int64)
+    some[of] = block.doc
+    many = np.zeros(len(kinds), bool)
+    many[of[block.doc != some[of]]] = True
+    return kinds, many, of
 
 
 def slices(key: np.ndarray):
@@ -152,8 +165,7 @@ def rank_strings(length: int):
         data = np.concatenate([x for _, _, _, x in got])
         size = count + length - 1
         start = np.cumsum(size) - size
-        first = np.cumsum(count) - count
-        at = np.arange(count.sum()) + np.repeat(start - first, count)
+        at = stretches(start, count)
         name, own = names(data, length, ANCHOR)[1][at], np.repeat(doc, count)
         order = np.argsort(name, kind="stable")
         new = np.ones(len(order), bool)
@@ -173,8 +185,8 @@ def rank_strings(length: int):
     return ranked
 
 
-def cut_blocks(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, with_kept: bool = True) -> DataFrame:
-    """Per piece of a document row: rid, doc_id, th, off, last, n_bytes, n_removed, n_spans, head, tail, kept, kept_sha256.
+def cut_blocks(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, with_kept: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """Per piece of a document row, and apart (if there are any) from blocks with pieces of long documents: rid, doc_id, th, off, last, n_bytes, n_removed, n_spans, head, tail, kept, kept_sha256.
 
     ``head``/``tail`` tell whether the piece's first and last byte are removed.  ``kept`` is null for whole
     documents unless ``with_kept``.
@@ -213,8 +225,7 @@ def cut_blocks(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_B
                 blobs = []
                 for lo, hi in zip(edges.tolist(), np.append(edges[1:], len(sent)).tolist()):
                     runs = sent[lo:hi]
-                    size = block.count[runs] + length - 1
-                    at = np.arange(size.sum()) + np.repeat(block.lo[runs] - (np.cumsum(size) - size), size)
+                    at = stretches(block.lo[runs], block.count[runs] + length - 1)
                     blobs.append(squeeze(runs.astype("<u4"), block.doc[runs], block.count[runs].astype(np.uint8), block.data[at]))
                 yield blob_rows(row["block"], bucket[edges], blobs)
 
@@ -245,35 +256,44 @@ def cut_blocks(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_B
 
     fields = blocks.select("block", "rid", "doc", "th", "off", "skip", "own", "size", "last", "data")
     shape = "rid long, doc_id long, th long, off long, last boolean, n_bytes long, n_removed long, n_spans long, head boolean, tail boolean, kept binary, kept_sha256 string"
-    return beside(fields, covered).mapInArrow(cut, shape)
+    long = F.exists("off", lambda x: x > 0) | F.exists("last", lambda x: ~x)
+    some = blocks.select("off", "last").filter(long).head(1)
+    return beside(fields, covered).mapInArrow(cut, shape), beside(fields.filter(long), covered).mapInArrow(cut, shape) if some else None
+
+
+def stretches(lo: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All positions lo, lo + 1, ... of stretches."""
+    return np.arange(count.sum()) + np.repeat(lo - (np.cumsum(count) - count), count)
 
 
 def removed_bytes(block: Block, sides: list[dict], length: int) -> np.ndarray:
     """Which bytes of a block are covered, from what the buckets found for its runs."""
     source, doc = block.sources()
-    covered = np.repeat(block.doc > doc, block.count)  # equal bytes in a smaller document of the block
-    known = np.zeros(len(source), bool)
-    for side in sides:
-        index, count, bits = unsqueeze(side["blob"], "<u4", np.uint8, np.uint8)
-        index, count = index.astype(np.int64), count.astype(np.int64)
-        first = np.cumsum(count) - count
-        at = np.arange(count.sum()) + np.repeat(block.first[index] - first, count)
-        covered[at] |= np.unpackbits(bits, count=int(count.sum())) > 0
+    edge = np.zeros(len(block.data) + 1, np.int32)
+    later = block.doc > doc  # equal bytes in a smaller document of the block
+    edge[block.lo[later]] += 1
+    edge[(block.lo + block.count + length - 1)[later]] -= 1
+    if sides:
+        got = [unsqueeze(side["blob"], "<u4", np.uint8, np.uint8) for side in sides]
+        index = np.concatenate([i for i, _, _ in got]).astype(np.int64)
+        count = np.concatenate([c for _, c, _ in got]).astype(np.int64)
+        bits = np.concatenate([np.unpackbits(x, count=int(c.sum(dtype=np.int64))) for _, c, x in got])
+        starts = np.zeros(len(block.data), bool)
+        starts[stretches(block.lo[index], count)] = bits
+        known = np.zeros(len(source), bool)
         known[index] = True
-    twins = np.flatnonzero((source != np.arange(len(source))) & (block.doc == doc) & known[source])
-    if len(twins):  # the same bytes again in the same document: as at their source
-        count = block.count[twins]
-        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        covered[np.repeat(block.first[twins], count) + step] = covered[np.repeat(block.first[source[twins]], count) + step]
-    edge = np.zeros(len(block.data) + 1, np.int64)
-    np.add.at(edge, block.at[covered], 1)
-    np.add.at(edge, block.at[covered] + length, -1)
-    return np.cumsum(edge[:-1]) > 0
+        twins = np.flatnonzero((source != np.arange(len(source))) & ~later & known[source])
+        if len(twins):  # the same bytes again in the same document: as at their source
+            starts[stretches(block.lo[twins], block.count[twins])] = starts[stretches(block.lo[source[twins]], block.count[twins])]
+        at = np.flatnonzero(starts)
+        edge[at] += 1
+        edge[at + length] -= 1
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, with_kept: bool = True) -> DataFrame:
     """Per document row: rid, doc_id, th, n_bytes, n_removed, n_spans, kept (bytes; null if not wanted), kept_sha256."""
-    pieces = cut_blocks(docs, length, block_bytes, with_kept)
+    pieces, long = cut_blocks(docs, length, block_bytes, with_kept)
     names_ = ["rid", "doc_id", "th", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
     whole = F.col("last") & (F.col("off") == 0)
 
@@ -285,8 +305,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES,
         return pd.DataFrame({"rid": part.rid[:1], "doc_id": part.doc_id[:1], "th": part.th[:1], "n_bytes": [part.n_bytes.sum()], "n_removed": [part.n_removed.sum()],
                              "n_spans": [part.n_spans.sum() - over], "kept": [kept if with_kept else None], "kept_sha256": [hashlib.sha256(kept).hexdigest()]})
 
-    split = pieces.filter(~whole).groupBy("rid").applyInPandas(together, "rid long, doc_id long, th long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
-    return pieces.filter(whole).select(*names_).unionByName(split)
+    done = pieces.filter(whole).select(*names_)
+    if long is None:
+        return done
+    split = long.filter(~whole).groupBy("rid").applyInPandas(together, "rid long, doc_id long, th long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return done.unionByName(split)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
