@@ -4,8 +4,8 @@ Fingerprints are made once per document, then only distinct ones are compared.
 population count (of the whole, then of its quarters) and cut into tiles; two tiles are compared only if
 their population counts come within the radius, since fingerprints at d differing bits differ by at most d in
 population count.  Within a pair of tiles the same rule on the quarters' counts skips smaller blocks; what is
-left is compared by exclusive-or and bit counts.  A pair of tiles yields a spanning forest of its links,
-which joins the same fingerprints as all links do, so a large group costs no pairs.
+left is compared by exclusive-or and bit counts.  A pair of tiles yields a star for each component of its
+links, which joins the same fingerprints as all links do, so a large group costs no pairs.
 
 Null text counts as empty: no words, fingerprint zero, linked like any other.  A null doc_id sorts after all
 ids (a component of such rows only has a null id).  Repeated rows each get their row.
@@ -24,6 +24,8 @@ DISTANCE = 3
 SEED = 42
 TILE = 16_384
 BLOCK = 256
+#: Of component edges.
+ROWS_A_FILE = 500_000
 
 
 # ----------------------------------------------------------------- fingerprints
@@ -69,8 +71,8 @@ def _quarters(fp: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fp.view(np.uint16).reshape(-1, 4)).astype(np.int16)
 
 
-def forest_of(left: np.ndarray, right: np.ndarray | None, distance: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between two tiles of distinct fingerprints (or within one)."""
+def forest_of(left: np.ndarray, right: np.ndarray | None, distance: int) -> np.ndarray:
+    """What the links between two tiles of distinct fingerprints (or within one) join: (member, least member) rows."""
     both = left if right is None else np.concatenate([left, right])
     other, shift = (left, 0) if right is None else (right, len(left))
 
@@ -80,7 +82,7 @@ def forest_of(left: np.ndarray, right: np.ndarray | None, distance: int) -> list
         return np.minimum.reduceat(q, at), np.maximum.reduceat(q, at)
 
     (llo, lhi), (rlo, rhi) = boxes(left), boxes(other)
-    label, links = np.arange(len(both)), []
+    label = np.arange(len(both))
     for i in range(len(llo)):
         # population counts of the quarters: how far apart they are at least, summed
         gap = np.maximum(0, np.maximum(rlo - lhi[i], llo[i] - rhi)).sum(1)
@@ -97,10 +99,10 @@ def forest_of(left: np.ndarray, right: np.ndarray | None, distance: int) -> list
                 new = label[x] != label[y]  # links inside a tree add nothing
                 x, y = x[new], y[new]
                 if len(x):
-                    links.append((int(x[0]), int(y[0])))
                     u, v = label[x[0]], label[y[0]]
                     label[label == max(u, v)] = min(u, v)
-    return links
+    member = np.flatnonzero(label != np.arange(len(both)))
+    return np.stack([member, label[member]], 1)
 
 
 def tiles_of(distinct: DataFrame, tile: int) -> DataFrame:
@@ -134,7 +136,7 @@ def tiles_of(distinct: DataFrame, tile: int) -> DataFrame:
 
 
 def links(distinct: DataFrame, distance: int, tile: int = TILE) -> DataFrame:
-    """A spanning forest (a, b) of the links between distinct fingerprints, pair of tiles by pair of tiles."""
+    """Stars (a, b) of what is linked among distinct fingerprints, pair of tiles by pair of tiles."""
     tiles = tiles_of(distinct, tile)
     spark = tiles.sparkSession
     # each population count that a tile spans, give or take the radius, meets the tiles that span that count
@@ -153,7 +155,7 @@ def links(distinct: DataFrame, distance: int, tile: int = TILE) -> DataFrame:
             for a, b, x, y in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "b", "left", "right")]):
                 x, y = np.frombuffer(x, np.uint64), None if a == b else np.frombuffer(y, np.uint64)
                 both = (x if y is None else np.concatenate([x, y])).view(np.int64)
-                found = np.array(forest_of(x, y, distance), np.int64).reshape(-1, 2)
+                found = forest_of(x, y, distance)
                 yield pa.RecordBatch.from_arrays([pa.array(both[found[:, 0]]), pa.array(both[found[:, 1]])], names=["a", "b"])
 
     return met.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
@@ -162,27 +164,32 @@ def links(distinct: DataFrame, distance: int, tile: int = TILE) -> DataFrame:
 # ------------------------------------------------------------------- components
 
 
+def _flat(edges: DataFrame, rows: int) -> DataFrame:
+    """Written in files of a useful size, whatever the number of shuffle partitions."""
+    return saved(edges.distinct().coalesce(1 + rows // ROWS_A_FILE), "edges")
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, root: every node of ``edges`` (a, b) with one node of its component, by alternating large and small stars.
+    """node, root: every node of ``edges`` (a, b) with the least node of its component, by alternating large and small stars.
 
     A large star points a node's larger neighbours to the least node around; a small star does so for the
     node's smaller neighbours.  Both leave fewer, flatter edges until every node points to its component's
-    least node.  Nodes with very many neighbours are taken care of by ``hot_key_join``.
+    least node.  The joins read written tables on both sides, so that Spark splits a node with very many
+    neighbours.
     """
-    edges = saved(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = saved(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+    sign = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    now = sign(edges)
     while True:
+        before, rows = now, now[0]
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = saved(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n")), "stars")
-        large = hot_key_join(both, least, "a", "n", max(1, 2 * edges.count())).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = saved(large.distinct(), "edges")
-        down = saved(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "stars")
-        small = hot_key_join(large, down, "a", "n", max(1, large.count()))
-        small = small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(down.select("a", F.col("m").alias("b")))
-        small = saved(small.distinct(), "edges")
-        n, same = small.count(), small.join(edges, ["a", "b"], "left_semi").count()
-        done = n == same and n == edges.count()
-        edges = small
-        if done:
+        least = saved(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")).coalesce(1 + rows // ROWS_A_FILE), "stars")
+        large = _flat(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")), rows)
+        down = saved(large.groupBy("a").agg(F.min("b").alias("m")).coalesce(1 + rows // ROWS_A_FILE), "stars")
+        small = large.join(down, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = _flat(small.unionByName(down.select("a", F.col("m").alias("b"))), rows)
+        now = sign(edges)
+        if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from planmatch.llm.common import documents, read, scratch, text_key
+from planmatch.llm.common import documents, read, saved, scratch, text_key
 from planmatch.llm.files import whole_file
 
 MAGIC = b"WVMX1\0"
@@ -52,9 +52,10 @@ class WaveletMatrix:
     @classmethod
     def build(cls, ids: np.ndarray, width: int | None = None) -> WaveletMatrix:
         width = width or max(1, int(ids.max(initial=0)).bit_length())
+        ids = ids.astype(np.uint16 if width <= 16 else np.uint32)
         planes, zeros = [], []
         for b in range(width - 1, -1, -1):
-            one = (ids >> b & 1).astype(bool)
+            one = (ids & ids.dtype.type(1 << b)) != 0
             bits = np.packbits(one)
             planes.append(np.concatenate([bits, np.zeros(-len(bits) % (STEP // 8), np.uint8)]))
             zeros.append(len(ids) - int(one.sum()))
@@ -115,12 +116,13 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """All ids, by undoing the partitions from the last plane up."""
-        v = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        v = np.zeros(self.n, kind)
         for b in range(len(self.planes) - 1, -1, -1):
             one = np.unpackbits(self.planes[b], count=self.n).astype(bool)
             up = np.empty_like(v)
-            up[~one], up[one] = v[: self.zeros[b]], v[self.zeros[b] :]
-            v = up | one.astype(np.uint32) << np.uint32(len(self.planes) - 1 - b)
+            up[~one], up[one] = v[: self.zeros[b]], v[self.zeros[b] :] | kind(1 << (len(self.planes) - 1 - b))
+            v = up
         return v
 
 
@@ -159,53 +161,122 @@ def from_bytes(raw: bytes) -> tuple[int, int, list, np.ndarray, WaveletMatrix]:
 # ------------------------------------------------------------------ tokenizing
 
 
+class Numbers(dict):
+    """Numbers texts in the order in which they are first looked up, and lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+    def of(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+    def fresh(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
+class Rows:
+    """Rows of ids of varying length, end to end."""
+
+    def __init__(self):
+        self.flat, self.size, self.start = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, flat: np.ndarray, size: np.ndarray, start: np.ndarray | None = None) -> None:
+        """More rows: their ids, and where in these each begins (end to end if not said)."""
+        start = np.cumsum(size) - size if start is None else start
+        self.start, self.size = np.concatenate([self.start, start + len(self.flat)]), np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def take(self, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows by number: their ids end to end, and their lengths."""
+        size = self.size[of]
+        first = np.cumsum(size) - size
+        return self.flat[np.repeat(self.start[of] - first, size) + np.arange(size.sum())], size
+
+
 class Pieces:
     """Ids of whole texts through the tokenizers library, remembering the ids of pieces that recur.
 
     A space between two characters that are not white space always begins a new pre-token of a byte-level
-    tokenizer, so a text's ids are those of its pieces, cut there.  Pieces not seen before are encoded
-    together, on lines of their own.
+    tokenizer, so a text's ids are those of its pieces, cut there.  New pieces of plain Latin text are cut
+    further into pre-tokens by the tokenizer's own pattern, and the library's model encodes each distinct
+    pre-token once; all other pieces, and the first of a text, go through the whole library.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.line = self.plain("\n a")[0]
+        self.lib.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = Tokenizer(self.lib.model)
+        self.pretokens = regex.compile(public_tokenizers.PATTERN).findall
         self.odd = re.compile(r"\s | \s|^ | $").search
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
+        self.plain_latin = re.compile(r"[!-~\u00c0-\u024f]+").fullmatch
+        self.mark = self.model.encode(["\u010a"], is_pretokenized=True, add_special_tokens=False).ids[0]
+        # byte-level models write bytes as printable characters: the printable ones as themselves, others from 256 up
+        self.bytes = {b: chr(b) for b in [*range(33, 127), *range(161, 173), *range(174, 256)]}
+        self.bytes |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in self.bytes)}
+        self.clear()
+
+    def clear(self) -> None:
+        self.number, self.rows = Numbers(), Rows()
+        self.word, self.words = Numbers(), Rows()
 
-    def plain(self, text: str) -> list[int]:
-        return self.lib.encode(text, add_special_tokens=False).ids
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[str]) -> None:
-        lone = [p for p in pieces if "\n" in p or "\r" in p or not p or p[0].isspace() or p[-1].isspace() or "<|" in p]
-        for p in lone:
-            self.known[p] = np.array(self.plain(f" {p}" if p and not p[0].isspace() else p), "<u4").tobytes()
-        lone = set(lone)
-        lines = [p for p in pieces if p not in lone]
-        for k in range(0, len(lines), 2000):
-            part = lines[k : k + 2000]
-            ids = np.array(self.lib.encode_batch_fast(["\n " + "\n ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.line), len(ids))
-            if len(ends) != len(part) + 1:
-                raise ValueError("a line break was merged with a piece")
-            raw = ids.tobytes()
-            self.known.update((p, raw[4 * a + 4 : 4 * z]) for p, a, z in zip(part, ends.tolist(), ends[1:].tolist()))
+        """Ids of pieces, each with a space in front."""
+        easy = [p for p in pieces if self.plain_latin(p)]
+        cut = [self.pretokens(f" {p}") for p in easy]
+        number = self.word.of([w for c in cut for w in c])
+        new = self.word.fresh()
+        if new:
+            mapped = [w.encode().decode("latin1").translate(self.bytes) for w in new]
+            found = []
+            for k in range(0, len(mapped), 1000):  # a line break's sign, which no such pre-token holds, marks the ends
+                marked = [x for w in mapped[k : k + 1000] for x in (w, "\u010a")]
+                found.append(np.array(self.model.encode_batch_fast([marked], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4"))
+            found = np.concatenate(found)
+            ends = np.flatnonzero(found == self.mark)
+            if len(ends) != len(new):
+                raise ValueError("pre-tokens and marks do not fit")
+            self.words.add(found[found != self.mark], np.diff(ends, prepend=-1) - 1)
+        flat, size = self.words.take(number)
+        ends = np.cumsum([len(c) for c in cut], dtype=np.int64)
+        total = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], ends])]
+        is_easy = np.array([p is not None for p in map(self.plain_latin, pieces)])
+        hard = self.whole([p if p[:1].isspace() else f" {p}" for p, e in zip(pieces, is_easy) if not e])
+        size, start = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        size[is_easy], start[is_easy] = np.diff(total), total[:-1]
+        size[~is_easy] = [len(h) for h in hard]
+        start[~is_easy] = total[-1] + np.cumsum(size[~is_easy]) - size[~is_easy]
+        self.rows.add(np.concatenate([flat, *hard]), size, start)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        if len(self.number) > CACHED_PIECES:
+            self.clear()
         cut = [(self.cut(t) if self.odd(t) else t.split(" ")) if t else [] for t in texts]
-        if len(self.known) > CACHED_PIECES:
-            self.known = {}
-        new = {p for c in cut for p in c[1:]}.difference(self.known)
+        heads = self.whole([c[0] if c else "" for c in cut])
+        of = self.number.of([p for c in cut for p in c[1:]])
+        new = self.number.fresh()
         if new:
-            self.learn(list(new))
-        known = self.known
-        heads = [np.array(self.plain(c[0]), "<u4").tobytes() if c else b"" for c in cut]
-        return [h + b"".join([known[p] for p in c[1:]]) for h, c in zip(heads, cut)]
+            self.learn(new)
+        flat, size = self.rows.take(of)
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *[max(0, len(c) - 1) for c in cut]])]
+        raw = flat.tobytes()
+        return [h.tobytes() + raw[4 * a : 4 * z] for h, a, z in zip(heads, ends[:-1].tolist(), ends[1:].tolist())]
 
 
 _pieces: dict[str, Pieces] = {}
@@ -293,4 +364,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest.write.parquet(f"{folder}/manifest")
     if not spark.read.parquet(f"{folder}/manifest").head(1):
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    return with_starts(read_shards(spark, folder)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return with_starts(saved(read_shards(spark, folder), "shard-rows")).select("doc_id", "start", "n_tokens", "ids_crc32")
