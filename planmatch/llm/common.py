@@ -83,6 +83,34 @@ def hot_key_join(left: DataFrame, right: DataFrame, key: str, count: str, total:
     return hot.unionByName(rest)
 
 
+class Numbers(dict):
+    """Numbers texts in the order in which they are first looked up, and lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+    def of(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+    def fresh(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
+def bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """``df`` written as a table bucketed by ``keys``: any number of groupings by them then need no shuffle."""
+    spark, n = df.sparkSession, partitions(df.sparkSession)
+    path, table = scratch(spark, name), f"{name}_{uuid.uuid4().hex}"
+    df.repartition(n, *keys).write.format("parquet").option("path", path).bucketBy(n, *keys).saveAsTable(table)
+    return spark.table(table)
+
+
 # ---------------------------------------------------------------- packed blocks
 
 

@@ -18,6 +18,7 @@ their row, and count as often as they come in training.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -25,14 +26,18 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planmatch.llm.common import BLOBS, NO_ID, beside, blob_rows, buckets, documents, held_out, mix, pack, read, saved, squeeze, unsqueeze
+from planmatch.llm.common import BLOBS, NO_ID, beside, blob_rows, bucketed, buckets, documents, held_out, mix, pack, read, saved, squeeze, unsqueeze
 
-DEPTH = 6
+DEPTH = 5
 BLOCK_BYTES = 4 << 20
 #: Stands before a text and ends it; no byte of UTF-8.
 EDGE = 0xFF
 SHAPE = f"kind int, {BLOBS}"
 STRINGS, WORDS = 0, 1
+#: Of a word's name: two of 10 million words share one with a chance below 1 in 1,000.
+WORD_BITS = 56
+#: How a string's score travels back to the blocks: 11 bits of precision, which even out over a text's bytes.
+SCORE = "<f2"
 
 
 # ------------------------------------------------------------------- a block
@@ -66,35 +71,64 @@ _low = np.arange(256, dtype=np.uint8)
 _low[65:91] += 32
 
 
+@functools.cache
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumprod(np.full(n, _base, np.uint64)), np.cumprod(np.full(n, _unbase, np.uint64))
+
+
 def words(data: np.ndarray, mask: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the words among the predicted bytes, and their pieces."""
+    """Names of the words among the predicted bytes, and the place of each (its piece)."""
     inside = mask & (data != EDGE) & (data != 32) & ((data < 9) | (data > 13))
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    power = np.cumprod(np.full(len(data) + 1, _base, np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_table[_low[data]] * power[:-1], dtype=np.uint64)])
-    back = np.cumprod(np.full(len(data) + 1, _unbase, np.uint64))
-    return mix((sums[end] - sums[start]) * back[start], (end - start).astype(np.uint64)), piece[start]
+    power, back = powers(1 << (len(data) + 1).bit_length())
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_table[_low[data]] * power[: len(data)], dtype=np.uint64)])
+    return mix((sums[end] - sums[start]) * back[start], (end - start).astype(np.uint64)) >> np.uint64(64 - WORD_BITS), piece[start]
 
 
 def distinct(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys, and how often each comes in training."""
-    kinds, count = np.unique(keys[train], return_counts=True)
-    rest = np.setdiff1d(keys[~train], kinds)
-    both = np.concatenate([kinds, rest])
-    order = np.argsort(both)
-    return both[order], np.concatenate([count, np.zeros(len(rest), np.int64)])[order]
+    """Sorted distinct keys (of 63 bits at most), and how often each comes in training."""
+    both = np.sort(keys << np.uint64(1) | train)
+    bare = both >> np.uint64(1)
+    first = np.flatnonzero(np.concatenate([[True], bare[1:] != bare[:-1]])) if len(bare) else np.zeros(0, np.int64)
+    count = np.add.reduceat((both & np.uint64(1)).astype(np.int64), first) if len(first) else first
+    return bare[first], count
+
+
+def spread(kinds: np.ndarray, value: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The value of each key, from the values of its kind.  Keys and kinds are sorted by a hash that shares a
+    word with the position, which is quick; should two kinds share a hash, they are sorted as they are."""
+    bits = np.uint64(max(1, len(keys).bit_length()))
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    tagged = lambda x: np.sort(mix(x, x) >> bits << bits | np.arange(len(x), dtype=np.uint64))
+    own, all_ = tagged(kinds), tagged(keys)
+    hashes, at = all_ >> bits, (all_ & low).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else at
+    order = (own & low).astype(np.int64)
+    if len(first) != len(kinds):
+        return value[np.unique(keys, return_inverse=True)[1]]
+    out = np.empty(len(keys), value.dtype)
+    out[at] = np.repeat(value[order], np.diff(np.append(first, len(keys))))
+    return out
 
 
-def dealt(kinds: np.ndarray, of: np.ndarray, n: int):
-    """(bucket, indexes) of sorted keys dealt by the number ``of`` each."""
-    bucket = (mix(of, of) % np.uint64(n)).astype(np.int64)
+def dealt(bucket: np.ndarray):
+    """(bucket, indexes) of keys, by the number of each one's bucket."""
     order = np.argsort(bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     for lo, hi in zip(edges.tolist(), np.append(edges[1:], len(order)).tolist()):
         yield int(bucket[order[lo]]), order[lo:hi]
 
 
+def buckets_of(kind: int, kinds: np.ndarray, depth: int, n: int) -> np.ndarray:
+    """Strings go by the two bytes nearest to the predicted one, words by ranges of their names."""
+    if kind == WORDS:
+        return ((kinds >> np.uint64(WORD_BITS - 16)) * np.uint64(n) >> np.uint64(16)).astype(np.int32)
+    near = kinds >> np.uint64(8 * (depth - 1))
+    of = (mix(np.arange(65_536, dtype=np.uint64), np.arange(65_536, dtype=np.uint64)) % np.uint64(n)).astype(np.int32)
+    return of[near]
+
+
 class Parts:
     """What a block sends, and what comes back for it."""
 
@@ -106,8 +140,7 @@ class Parts:
         keys[WORDS], self.piece[WORDS] = words(data, mask, piece)
         self.keys = keys
         self.found = {k: distinct(keys[k], train[self.piece[k]]) for k in keys}
-        context = np.uint64(8 * (depth - 1))
-        self.dealt = {k: dict(dealt(u, u >> context if k == STRINGS else u, n)) for k, (u, _) in self.found.items()}
+        self.dealt = {k: dict(dealt(buckets_of(k, u, depth, n))) for k, (u, _) in self.found.items()}
 
     def sent(self):
         for k, (kinds, count) in self.found.items():
@@ -119,8 +152,8 @@ class Parts:
         kinds, _ = self.found[kind]
         value = np.zeros(len(kinds), np.float64)
         for side in sides:
-            value[self.dealt[kind][side["bucket"]]] = unsqueeze(side["blob"], "<f4" if kind == STRINGS else "<i8")[0]
-        return value[np.searchsorted(kinds, self.keys[kind])] if kind == WORDS else value[np.unique(self.keys[kind], return_inverse=True)[1]]
+            value[self.dealt[kind][side["bucket"]]] = unsqueeze(side["blob"], SCORE if kind == STRINGS else "<u4")[0]
+        return spread(kinds, value, self.keys[kind])
 
 
 # --------------------------------------------------------------- the tree's math
@@ -248,7 +281,7 @@ def bucket_scores(depth: int, top):
         """Strings: their scores; words: their counts.  ``v`` and ``n`` sum up the trained words, distinct and all."""
         kind = int(part.kind.iloc[0])
         kinds, count, of, size = merged(part.blob)
-        value = string_scores(kinds, count, depth, top).astype("<f4") if kind == STRINGS else count.astype("<i8")
+        value = string_scores(kinds, count, depth, top).astype(SCORE) if kind == STRINGS else count.astype("<u4")
         blobs = [squeeze(x) for x in np.split(value[of], np.cumsum(size)[:-1])]
         v, n = (int((count > 0).sum()), int(count.sum())) if kind == WORDS else (0, 0)
         rest = [0] * (len(part) - 1)
@@ -262,8 +295,8 @@ def bucket_scores(depth: int, top):
 
 def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """From rows (doc_id, text, train): doc_id, train, n_bytes, n_tokens, n_known, train_tokens, base_score, score."""
-    if depth < 2 or depth > 7:
-        raise ValueError("depth: 2 to 7 bytes")
+    if depth < 2 or depth > 6:
+        raise ValueError("depth: 2 to 6 bytes")
     blocks = pack(docs, "context", block_bytes, before=depth)
     n = buckets(blocks)
     fields = blocks.select("block", "skip", "own", "size", "last", "train", "data")
@@ -277,8 +310,8 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -
                     rows = blob_rows(row["block"], bucket, blobs)
                     yield pa.RecordBatch.from_arrays([pa.array([kind] * len(blobs), pa.int32()), *rows.columns], names=["kind", "block", "bucket", "blob"])
 
-    sent = saved(fields.mapInArrow(send, SHAPE), "counts")
-    by_near = (sent.filter(F.col("kind") == STRINGS).groupBy("bucket").applyInPandas(bucket_sums(depth), "near int, follow array<double>, below array<double>"))
+    sent = bucketed(fields.mapInArrow(send, SHAPE), "counts", "kind", "bucket")
+    by_near = (sent.filter(F.col("kind") == STRINGS).groupBy("kind", "bucket").applyInPandas(bucket_sums(depth), "near int, follow array<double>, below array<double>"))
     summed = by_near.groupBy("near").agg(*[F.array(*[F.sum(F.col(c)[i]) for i in range(256)]).alias(c) for c in ("follow", "below")])
     top = top_of(summed.collect())  # 256 rows at most
     found = saved(sent.groupBy("kind", "bucket").applyInPandas(bucket_scores(depth, top), f"{SHAPE}, v long, n long"), "scores")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from planmatch.llm.common import documents, read, saved, scratch, text_key
+from planmatch.llm.common import Numbers, documents, read, saved, scratch, text_key
 from planmatch.llm.files import whole_file
 
 MAGIC = b"WVMX1\0"
@@ -161,26 +161,6 @@ def from_bytes(raw: bytes) -> tuple[int, int, list, np.ndarray, WaveletMatrix]:
 # ------------------------------------------------------------------ tokenizing
 
 
-class Numbers(dict):
-    """Numbers texts in the order in which they are first looked up, and lists the new ones."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, key: str) -> int:
-        self[key] = n = len(self)
-        self.new.append(key)
-        return n
-
-    def of(self, keys: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
-
-    def fresh(self) -> list[str]:
-        new, self.new = self.new, []
-        return new
-
-
 class Rows:
     """Rows of ids of varying length, end to end."""
 
