@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planmatch.llm.common import documents, held_out, pick, read
+from planmatch.llm.common import Numbers, documents, held_out, pick, read, saved
 
 #: Labelled rows of either class that may teach.
 MAX_FIT = 3_000
@@ -38,6 +38,10 @@ SPAN = 5
 LAMBDA = 0.7
 LONG, STEP = 32, 16
 LETTERS = 32
+#: Cosines below are read as 0.
+FLOOR = 0.3
+#: Tokens that a worker remembers; tokens learnt, and characters read, at once.
+CACHED_TOKENS, LEARNT, CHARS = 500_000, 10_000, 2 << 20
 #: Of the cosine: keeps faint likeness, of which long texts have much, from adding up.
 POWER = 3
 THRESHOLD = 0.3
@@ -54,32 +58,11 @@ def clean(token: str) -> str:
     return core if core.isalpha() else _no_letter.sub("", core.translate(_looks)) if any(c.isalpha() for c in core) else ""
 
 
-def words_of(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct words and stems of the texts; (text, word) numbers, each pair once."""
-    number: dict[str, int] = {}
-    forms: dict[str, list[int]] = {}
-    text_no, word_no = [], []
-
-    def form(word: str) -> list[int]:
-        parts = [word] if len(word) <= LONG else [word[k : k + LONG] for k in range(0, len(word) - STEP, STEP)]
-        parts += [word[:n] for n in STEMS if n < len(word)]
-        return [number.setdefault(p, len(number)) for p in parts if len(p) >= 3]
-
-    for i, text in enumerate(texts):
-        tokens = text.lower().split()
-        kinds = set(tokens)
-        got = set()
-        for t in kinds:
-            f = forms.get(t)
-            if f is None:
-                f = forms[t] = form(clean(t))
-            got.update(f)
-        if sum(len(t) == 1 for t in kinds) > 2:  # letters on their own, perhaps a word spelt out
-            for run in re.finditer("1{3,}", "".join("1" if len(t) == 1 else "0" for t in tokens)):
-                got.update(form(clean("".join(tokens[run.start() : run.end()]))))
-        word_no += got
-        text_no += [i] * len(got)
-    return list(number), np.array(text_no, np.int64), np.array(word_no, np.int64)
+def forms_of(token: str) -> list[str]:
+    """What of a token is compared: its word (or stretches of a long one) and the word's stems."""
+    word = clean(token)
+    parts = [word] if len(word) <= LONG else [word[k : k + LONG] for k in range(0, len(word) - STEP, STEP)]
+    return [p for p in [*parts, *[word[:n] for n in STEMS if n < len(word)]] if len(p) >= 3]
 
 
 def neighbourhoods(text: str) -> list[tuple[str, int]]:
@@ -138,16 +121,84 @@ def kernels(words: list[str], table: np.ndarray) -> np.ndarray:
     return out
 
 
-def features(texts: list[str], table: np.ndarray) -> np.ndarray:
-    """For each text and landmark the greatest kernel of the text's words."""
-    words, text, word = words_of(texts)
-    out = np.zeros((len(texts), table.shape[1]), np.float32)
-    if len(words):
-        k = kernels(words, table)
+class Likeness:
+    """Kernels of tokens with the landmarks; those of tokens that recur are remembered."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
+        self.clear()
+
+    def clear(self) -> None:
+        self.number = Numbers()
+        self.row = np.zeros(0, np.int64)  # of a token, in ``kernel``; 0: like no landmark
+        self.kernel = np.zeros((1, self.table.shape[1]), np.float32)
+
+    def learn(self, tokens: list[str]) -> None:
+        for lo in range(0, len(tokens), LEARNT):
+            forms = [forms_of(t) for t in tokens[lo : lo + LEARNT]]
+            number = Numbers()
+            of = number.of([f for x in forms for f in x])
+            k = kernels(number.new, self.table)
+            k[k < FLOOR] = 0
+            size = np.array([len(x) for x in forms], np.int64)
+            row = np.zeros(len(forms), np.int64)
+            some = np.flatnonzero(size)
+            if len(some):
+                best = np.maximum.reduceat(k[of], (np.cumsum(size) - size)[some])
+                like = best.any(1)
+                row[some[like]] = len(self.kernel) + np.arange(like.sum())
+                self.kernel = np.concatenate([self.kernel, best[like]])
+            self.row = np.concatenate([self.row, row])
+
+    def features(self, texts: list[str]) -> np.ndarray:
+        """For each text and landmark the greatest kernel of the text's words and stems."""
+        if len(self.number) > CACHED_TOKENS:
+            self.clear()
+        tokens = [t.lower().split() for t in texts]
+        flat = [t for x in tokens for t in x]
+        text = np.repeat(np.arange(len(texts)), [len(x) for x in tokens])
+        one = np.fromiter(map(len, flat), np.int64, len(flat)) == 1
+        if one.any():  # letters on their own, perhaps a word spelt out
+            inner = np.concatenate([[False], one[1:] & one[:-1] & (text[1:] == text[:-1])])  # goes on from the one before
+            first = np.flatnonzero(one & ~inner)
+            last = np.flatnonzero(one & ~np.append(inner[1:], False))
+            spelt = [(a, z + 1) for a, z in zip(first.tolist(), last.tolist()) if z - a >= 2]
+            text = np.concatenate([text, text[[a for a, _ in spelt]]]) if spelt else text
+            flat += ["".join(flat[a:z]) for a, z in spelt]
+        number = self.number.of(flat)
+        new = self.number.fresh()
+        if new:
+            self.learn(new)
+        row = self.row[number]
+        at = np.flatnonzero(row)
+        pair = np.unique(text[at] * len(self.kernel) + row[at])
+        text, row = pair // len(self.kernel), pair % len(self.kernel)
+        out = np.zeros((len(texts), self.table.shape[1]), np.float32)
         first = np.flatnonzero(np.diff(text, prepend=-1))
-        for lo, hi in zip(first.tolist(), np.append(first[1:], len(text)).tolist()):
-            out[text[lo]] = k[word[lo:hi]].max(0)
-    return out**POWER
+        if len(first):
+            out[text[first]] = np.maximum.reduceat(self.kernel[row], first)
+        return out**POWER
+
+
+_likeness: dict[tuple[str, ...], Likeness] = {}
+
+
+def likeness(landmarks: list[str]) -> Likeness:
+    """One for each worker and set of landmarks, kept between batches and tasks."""
+    key = tuple(landmarks)
+    if key not in _likeness:
+        _likeness.clear()
+        _likeness[key] = Likeness(profiles(landmarks))
+    return _likeness[key]
+
+
+def features(texts: list[str], landmarks: list[str]) -> np.ndarray:
+    like, out = likeness(landmarks), []
+    size = np.cumsum([len(t) for t in texts]) // CHARS
+    for k in np.unique(size):
+        at = np.flatnonzero(size == k)
+        out.append(like.features([texts[i] for i in at]))
+    return np.concatenate(out) if out else np.zeros((0, len(landmarks)), np.float32)
 
 
 # ---------------------------------------------------------------------- training
@@ -186,10 +237,9 @@ class Machine:
 
     def __init__(self, landmarks: list[str], alpha: np.ndarray, bias: float, curve: tuple[float, float]):
         self.landmarks, self.alpha, self.bias, self.curve = landmarks, alpha, bias, curve
-        self.table = profiles(landmarks)
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        margin = features(texts, self.table) @ self.alpha + self.bias if self.landmarks else np.full(len(texts), self.bias)
+        margin = features(texts, self.landmarks) @ self.alpha + self.bias if self.landmarks else np.full(len(texts), self.bias)
         return 1 / (1 + np.exp(-np.clip(self.curve[0] * margin + self.curve[1], -30, 30)))
 
 
@@ -212,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Machine:
         return pd.Series([neighbourhoods(t or "") for t in texts], dtype=object)
 
     seen = rows.select("toxic", F.explode(places("text")).alias("x")).select("toxic", "x.*").distinct()
-    seen = seen.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+    seen = saved(seen.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")), "places")
     whole = seen.agg(F.sum("t"), F.sum("c")).first()
     stems = F.explode(F.array_distinct(F.array("word", *[F.substring("word", 1, n) for n in STEMS + (7,)]))).alias("word")
     seen = seen.select(stems, "t", "c").groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).filter(F.col("t") + F.col("c") >= LEAST_PLACES)
@@ -220,7 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Machine:
     share = (whole[0] + 1) / (whole[0] + whole[1] + 2)
     ratio = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     lean = F.when(t > n * share, 2 * (ratio(t, n * share) + ratio(c, n * (1 - share)))).otherwise(0.0)
-    seen = seen.withColumn("lean", lean)
+    seen = saved(seen.withColumn("lean", lean), "leanings")
     best = seen.filter(F.col("lean") > LEAST_LEAN).orderBy(F.desc("lean"), F.desc(F.length("word")), "word").limit(50 * TOXIC_LANDMARKS).collect()
     toxic: list[str] = []
     for r in best:  # of a word and its stem, the one that leans more
@@ -234,7 +284,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Machine:
 
     @F.pandas_udf("array<float>")
     def feature(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(features([t or "" for t in texts], table)), dtype=object)
+        return pd.Series(list(features([t or "" for t in texts], landmarks)), dtype=object)
 
     got = rows.select("toxic", feature("text").alias("x")).collect()  # 2 * max_fit short rows
     y = np.array([1.0 if r.toxic else -1.0 for r in got])
