@@ -69,8 +69,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes what is left, decodes it again, and returns both digests."""
-    path = sentencepieces.model_path()
-    return sentencepieces.digests(sentencepieces.encode(docs, path), path)
+    return sentencepieces.digests(docs, sentencepieces.model_path())
 
 
 STAGES = [("language_id", language), ("simhash_near_dedup", near_duplicates), ("suffix_array_dedup", repeated_passages),

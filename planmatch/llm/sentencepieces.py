@@ -17,6 +17,7 @@ Null text counts as empty.  Repeated rows and equal doc_ids each get their row.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import zlib
@@ -30,8 +31,9 @@ from planmatch.llm.common import documents, read, saved
 
 MODEL = "piece_bpe_32k.model"
 #: Characters of a chunk; texts up to this length are encoded in one go.
-CHUNK = 32_768
-CACHED_WORDS = 600_000
+CHUNK = 65_536
+CACHED_WORDS = 400_000
+CELLS = 200_000  # characters of words encoded together
 LONG_WORD = 48  # beyond, a word is encoded alone
 FAR = np.int64(1) << 40
 
@@ -42,6 +44,10 @@ def model_path(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
 class Model:
     """Pieces, the merges that make them, and which pieces may follow each other."""
 
@@ -56,7 +62,7 @@ class Model:
         self.unknown = n  # stands for a character without a piece
         self.ids = {t: i for i, t in enumerate(text) if not special[i] and not byte[i]}
         self.byte_ids = {int(text[i][3:5], 16): i for i in range(n) if byte[i]}
-        self.raw = [bytes([int(t[3:5], 16)]) if b else b"" if s else t.encode() for t, s, b in zip(text, special, byte)]
+        self.raw = spelling(path)
         order = sorted(self.ids.values(), key=lambda i: -sp.get_score(i))
         self.rank = np.full(n + 1, -1, np.int64)  # characters come before all merges
         for r, i in enumerate(i for i in order if len(text[i]) > 1):
@@ -128,7 +134,7 @@ class Model:
                     limit, u = 2 * rank[u], right[u]
                 else:  # of equal merges the left one comes first
                     limit, v = 2 * rank[v] + 1, left[v]
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > 200_000:
                 self.fits.clear()
             self.fits[a, b] = got
         return got
@@ -156,26 +162,30 @@ class Model:
 
     # --------------------------------------------------------------- encoding words
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Pieces of words; words of like length together, position by position."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words; words of like length together, position by position."""
         out: list = [None] * len(words)
         size = np.array([len(w) for w in words])
         for k in np.flatnonzero(size > LONG_WORD):
-            out[k] = self.path(words[k])
+            out[k] = packed(self.path(words[k]))
         at = np.flatnonzero(size <= LONG_WORD)
         at = at[np.argsort(size[at], kind="stable")]
-        for lo in range(0, len(at), 20_000):
-            part = at[lo : lo + 20_000]
+        lo = 0
+        while lo < len(at):
+            # words come by length: as many as keep the table of a batch small
+            n = max(1, CELLS // int(size[at[min(len(at), lo + CELLS // int(size[at[lo]])) - 1]]))
+            part = at[lo : lo + n]
+            lo += n
             for k, ids in zip(part.tolist(), self._batch([words[k] for k in part.tolist()], size[part])):
                 out[k] = ids
         return out
 
-    def _batch(self, words: list[str], size: np.ndarray) -> list[list[int]]:
+    def _batch(self, words: list[str], size: np.ndarray) -> list[bytes]:
         n, width = len(words), int(size[-1])
         codes = np.full((n, width), -1, np.int64)
         codes[np.arange(width)[None, :] < size[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         depth = min(self.longest, width)
-        piece = np.full((depth + 1, width, n), -1, np.int64)  # piece of a length that starts at a position
+        piece = np.full((depth + 1, width, n), -1, np.int32)  # piece of a length that starts at a position
         start, of = np.nonzero(codes.T >= 0)
         node = np.zeros(len(of), np.int64)
         for length in range(1, depth + 1):
@@ -197,7 +207,7 @@ class Model:
             for length in range(min(depth, end), 0, -1):
                 b = piece[length, end - length, open_]
                 some = b >= 0
-                w, b = open_[some], b[some]
+                w, b = open_[some], b[some].astype(np.int64)
                 if not len(w):
                     continue
                 ok = np.ones(len(w), bool) if length == end else self.follow(last[end - length, w], b)
@@ -205,15 +215,23 @@ class Model:
                 open_ = open_[last[end, open_] < 0]
                 if not len(open_):
                     break
-        pieces, ends = last.T.tolist(), took.T.tolist()
-        out = []
-        for w, at, p, t in zip(words, size.tolist(), pieces, ends):
-            ids = []
-            while at:
-                ids.append(p[at])
-                at -= t[at]
-            ids.reverse()
-            out.append(self.with_bytes(ids, w) if self.unknown in ids else ids)
+        # back from the words' ends, all words a step at a time
+        at, word, steps = size.copy(), np.arange(n), []
+        while len(word):
+            steps.append((word, last[at[word], word]))
+            at[word] -= took[at[word], word]
+            word = word[at[word] > 0]
+        count = np.bincount(np.concatenate([w for w, _ in steps]), minlength=n)
+        end = np.cumsum(count)
+        flat = np.empty(int(end[-1]), "<u4")
+        for k, (w, p) in enumerate(steps):
+            flat[end[w] - 1 - k] = p
+        raw, odd = flat.tobytes(), set(np.flatnonzero(last == self.unknown) % n)
+        out = [raw[4 * a : 4 * z] for a, z in zip((end - count).tolist(), end.tolist())]
+        for k in odd:
+            ids = np.frombuffer(out[k], "<u4").tolist()
+            if self.unknown in ids:
+                out[k] = packed(self.with_bytes(ids, words[k]))
         return out
 
     def with_bytes(self, ids: list[int], text: str) -> list[int]:
@@ -292,7 +310,7 @@ def encode_all(path: str, texts: list[list[str]]) -> list[bytes]:
         known.clear()
     new = list({w for t in texts for w in t}.difference(known))
     if new:
-        known.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(new, m.encode_words(new)))
+        known.update(zip(new, m.encode_words(new)))
     return [b"".join([known[w] for w in t]) for t in texts]
 
 
@@ -301,8 +319,18 @@ def plain(text: str | None) -> str:
     return f" {text}".replace("▁", " ") if text else ""
 
 
+@functools.cache
+def spelling(path: str) -> list[bytes]:
+    """The bytes of each id."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    text = [sp.id_to_piece(i).replace("▁", " ") for i in range(sp.get_piece_size())]
+    return [bytes([int(t[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) else t.encode() for i, t in enumerate(text)]
+
+
 def decode(path: str, ids: bytes | np.ndarray) -> str:
-    raw = model(path).raw
+    raw = spelling(path)
     text = b"".join([raw[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
     return text.removeprefix(" ")
 
@@ -390,21 +418,24 @@ def trace(path: str, text: str, lo: int, hi: int, left: tuple, right: tuple) ->
 
 def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     """doc_id, text, ids (little-endian 32-bit numbers) of each row."""
+    small, giants = encode_parts(docs, path, chunk)
+    return small if giants is None else small.unionByName(giants)
+
+
+def encode_parts(docs: DataFrame, path: str, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame | None]:
+    """``encode``, apart for texts encoded in one go and for giant ones (None if there are none)."""
     rows = documents(docs)
     giant = F.coalesce(F.length("text") >= chunk, F.lit(False))
 
-    def whole(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            texts = [plain(t) for t in batch.column(1).to_pylist()]
-            ids = encode_all(path, [cut_words(t) if t else [] for t in texts])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["doc_id", "text", "ids"])
+    @F.pandas_udf("binary")
+    def whole(texts: pd.Series) -> pd.Series:
+        plain_ = [plain(t) for t in texts]
+        return pd.Series(encode_all(path, [cut_words(t) if t else [] for t in plain_]), dtype=object)
 
-    small = rows.filter(~giant).mapInArrow(whole, "doc_id long, text string, ids binary")
+    small = rows.filter(~giant).select("doc_id", "text", whole("text").alias("ids"))
     giants = saved(rows.filter(giant).withColumn("rid", F.monotonically_increasing_id()), "giants")
     if not giants.head(1):
-        return small
+        return small, None
 
     def cut(batches):
         import pyarrow as pa
@@ -457,27 +488,23 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
         return pd.DataFrame({"rid": part.rid[:1], "ids": [b"".join(part.sort_values("no").ids)]})
 
     whole_ids = traced.groupBy("rid").applyInPandas(together, "rid long, ids binary")
-    return small.unionByName(giants.join(whole_ids, "rid").select("doc_id", "text", "ids"))
+    return small, giants.join(whole_ids, "rid").select("doc_id", "text", "ids")
 
 
-def digests(encoded: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_ids, ids_crc32, decoded_sha256, round_trip, from encoded rows, by decoding their ids."""
+def digests(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, n_ids, ids_crc32, decoded_sha256, round_trip of each row: encoded, and decoded from the ids."""
 
-    def rows(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            out = []
-            for doc_id, text, ids in zip(*[c.to_pylist() for c in batch.columns]):
-                back = decode(path, ids)
-                out.append((doc_id, len(ids) // 4, zlib.crc32(ids), hashlib.sha256(back.encode()).hexdigest(), back == (text or "").replace("▁", " ")))
-            kinds = [pa.int64()] * 3 + [pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "n_ids", "ids_crc32", "decoded_sha256", "round_trip"])
+    @F.pandas_udf("n_ids long, ids_crc32 long, decoded_sha256 string")
+    def digest(ids: pd.Series) -> pd.DataFrame:
+        rows = [(len(i) // 4, zlib.crc32(i), hashlib.sha256(decode(path, i).encode()).hexdigest()) for i in ids]
+        return pd.DataFrame(rows, columns=["n_ids", "ids_crc32", "decoded_sha256"])
 
-    return encoded.select("doc_id", "text", "ids").mapInArrow(rows, "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string, round_trip boolean")
+    same = F.sha2(F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" ")).cast("binary"), 256)
+    parts = [p.select("doc_id", digest("ids").alias("d"), same.alias("sha")).select("doc_id", "d.*", (F.col("d.decoded_sha256") == F.col("sha")).alias("round_trip"))
+             for p in encode_parts(docs, path, chunk) if p is not None]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of documents, encoded and decoded again."""
-    path = model_path()
-    return digests(encode(read(spark, sf_dir, "documents"), path), path)
+    return digests(read(spark, sf_dir, "documents"), model_path())
