@@ -1,8 +1,7 @@
 """Bench: headline queries on $BENCH_SF_DIR with local[$BENCH_CPUS]; prints one JSON line.
 
 Each query is fully materialised through the ``noop`` sink (no driver
-collect); the per-run memo of ladder results is cleared before each query so
-every timing includes its own work.
+collect); nothing is kept between queries, so every timing includes its own work.
 """
 
 from __future__ import annotations
@@ -31,7 +30,6 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    from planmatch.plans import pipelines
     from planmatch.queries import QUERIES
     from planmatch.session import local_session
 
@@ -41,7 +39,6 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     times = {}
     for name in names:
-        pipelines._MEMO.clear()
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)

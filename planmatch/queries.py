@@ -294,7 +294,10 @@ def combined_inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    return daily_summary(spark, sf)
+    """Daily summaries of both channels, retail and wholesale."""
+    retail_days = daily_summary(spark, sf).withColumn("CHANNEL", F.lit("retail"))
+    wholesale_days = wholesale_daily_summary(spark, sf).withColumn("CHANNEL", F.lit("wholesale"))
+    return retail_days.unionByName(wholesale_days, allowMissingColumns=True)
 
 
 def inventory_pipeline(spark: SparkSession, sf: str) -> DataFrame:

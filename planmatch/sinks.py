@@ -1,8 +1,10 @@
 """Idempotent reloads of date-partitioned parquet tables, and CSV exports.
 
-* ``window_reload``   replace every date >= ``start``: partitions present in the
-                      batch are overwritten (dynamic partition overwrite), dates
-                      in the window that the batch no longer has are dropped.
+* ``window_reload``   replace every date >= ``start``: the batch is staged in full
+                      beside the table, its dates then overwrite their partitions
+                      (dynamic partition overwrite), and dates in the window that
+                      it no longer has are dropped last.  A batch with dates before
+                      ``start`` is refused, so nothing outside the window changes.
 * ``snapshot_reload`` replace exactly the snapshot dates in the batch; an empty
                       batch changes nothing.
 
@@ -14,6 +16,7 @@ leaves a partition half written; a rerun repairs anything else.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +34,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write(df: DataFrame, path: str, date_col: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # one task a date (a few for large ones by AQE), not one file a date and task
+    (df.repartition(date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(path))
 
 
@@ -40,19 +44,28 @@ def window_reload(new: DataFrame, path: str, date_col: str, start) -> list:
     spark = new.sparkSession
     if isinstance(start, (_dt.date, _dt.datetime)):
         start = start.isoformat()[:10]
-    dropped = []
-    if table_exists(spark, path):
-        old_dates = spark.read.parquet(path).select(F.col(date_col).cast("date").alias("d")).distinct()
-        new_dates = new.select(F.col(date_col).cast("date").alias("d")).distinct()
-        # bounded: at most one value per day of the window
-        stale = old_dates.filter(F.col("d") >= F.lit(start).cast("date")).join(new_dates, "d", "left_anti")
-        dropped = sorted(r["d"] for r in stale.collect())
-        fs, root = _fs(spark, path)
-        jvm = spark.sparkContext._jvm
+    first = F.lit(start).cast("date")
+    staging = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
+    fs, root = _fs(spark, path)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new.write.parquet(staging)  # a failure up to here leaves the table as it was
+    try:
+        staged = spark.read.schema(new.schema).parquet(staging)
+        new_dates = staged.select(F.col(date_col).cast("date").alias("d")).distinct()
+        early = new_dates.filter(F.col("d") < first).orderBy("d").first()
+        if early is not None:
+            raise ValueError(f"the batch has rows of {early['d']}, before the window's start {start}")
+        dropped = []
+        if table_exists(spark, path):
+            old_dates = spark.read.parquet(path).select(F.col(date_col).cast("date").alias("d")).distinct()
+            # bounded: at most one value per day of the window
+            dropped = sorted(r["d"] for r in old_dates.filter(F.col("d") >= first).join(new_dates, "d", "left_anti").collect())
+        _write(staged, path, date_col)
         for d in dropped:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{date_col}={d.isoformat()}"), True)
-    _write(new, path, date_col)
-    return dropped
+            fs.delete(hadoop_path(root, f"{date_col}={d.isoformat()}"), True)
+        return dropped
+    finally:
+        fs.delete(hadoop_path(staging), True)
 
 
 def snapshot_reload(new: DataFrame, path: str, date_col: str = "INVENTORYDATE") -> None:

@@ -722,7 +722,10 @@ SELECT LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY,
        round(coalesce(sum(TOTAL_QUANTITY), 0.0), 2) AS TOTAL_QUANTITY, round(coalesce(sum(TOTAL_REVENUE), 0.0), 4) AS TOTAL_REVENUE
 FROM labelled WHERE IS_MATCHED
 GROUP BY LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY"""
-ORACLE_SQL["sales_pipeline"] = ORACLE_SQL["daily_summary"]
+ORACLE_SQL["sales_pipeline"] = f"""
+SELECT *, 'retail' AS CHANNEL FROM ({ORACLE_SQL['daily_summary']}) r
+UNION ALL BY NAME
+SELECT *, 'wholesale' AS CHANNEL FROM ({ORACLE_SQL['wholesale_daily_summary']}) w"""
 
 ORACLE_SQL["category_summary"] = _SALES_LADDER_CTES + """
 SELECT MATCHED_SNOP_CATEGORY, PRODUCTNAME,

@@ -64,4 +64,4 @@ def test_row_accounting_balances(spark):
 def test_entry(spark):
     df = E.entry(spark)
     assert set(df.columns) >= {"LOCATIONNAME", "TRANSACTIONDATE", "MATCHED_SNOP_CATEGORY"}
-    assert df.count() >= 0
+    assert df.count() > 0

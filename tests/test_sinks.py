@@ -48,3 +48,20 @@ def test_export_csv_run_folder(spark):
     assert root.endswith("run_ts=2024-01-01_00-00-00")
     back = spark.read.option("header", True).csv(root + "/matched").collect()
     assert [(r["D"], r["V"]) for r in back] == [("2024-01-01", "1")]
+
+
+def test_window_reload_leaves_the_table_when_the_batch_fails_or_starts_too_early(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    path = tempfile.mkdtemp(prefix="reload-") + "/t"
+    d = dt.date
+    old = [(d(2024, 1, 1), 1), (d(2024, 3, 1), 2)]
+    window_reload(rows(spark, old), path, "D", d(2023, 1, 1))
+    broken = rows(spark, [(d(2024, 3, 2), 9)]).withColumn("V", F.raise_error(F.lit("broken")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        window_reload(broken, path, "D", d(2024, 2, 1))
+    assert read(spark, path) == old
+    with pytest.raises(ValueError, match="before the window"):
+        window_reload(rows(spark, [(d(2024, 1, 1), 9)]), path, "D", d(2024, 2, 1))
+    assert read(spark, path) == old
