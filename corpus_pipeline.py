@@ -47,13 +47,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts bytes of passages that an earlier document has; half characters at a cut's edges go too, as do texts cut whole."""
     rows = _keyed(docs)
-    found = suffix_dedup.dedup(rows).dropDuplicates(["doc_id", "th"])
+    found = suffix_dedup.dedup(rows).filter("n_removed > 0").dropDuplicates(["doc_id", "th"])  # texts left whole don't move
 
     @F.pandas_udf("string")
     def decoded(kept):
         return kept.map(lambda b: None if b is None else b.decode("utf-8", "ignore"))
 
-    cut = _keys(found.filter("n_removed > 0").withColumn("cut", decoded("kept")), "cut")
+    cut = _keys(found.withColumn("cut", decoded("kept")), "cut")
     new = F.coalesce("cut", "text")
     joined = rows.join(cut, _same(rows, cut), "left").filter(F.col("cut").isNull() | (F.col("cut") != ""))
     n_chars = F.when(F.col("cut").isNull(), F.col("n_chars")).otherwise(F.length("cut").cast("long"))
