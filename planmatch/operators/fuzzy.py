@@ -1,8 +1,9 @@
 """Exact distributed fuzzy matching.
 
 ``fuzzy_top_k``  top-k catalog names per product by token-sort ratio, pruned
-                 losslessly by length: ratio >= t needs min/max >= t/(200-t),
-                 and anything below t ranks after everything at or above it,
+                 losslessly by length (ratio >= t needs min/max >= t/(200-t))
+                 and by the characters both sides have (no common subsequence
+                 is longer); anything below t ranks after everything at or above it,
                  so top-k of the pruned pairs equals top-k overall for every
                  candidate that can pass the threshold (ties included).
 ``grid_best``    best single candidate with no usable bound (partial ratio
@@ -15,6 +16,8 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -34,13 +37,32 @@ def length_band(length: Column, threshold: float) -> tuple[Column, Column]:
     return lo, hi
 
 
+#: Characters counted one by one; all others share one count, which only loosens the bound.
+COUNTED = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def char_counts(text: Column) -> Column:
+    """How often each counted character occurs in ``text``, and the number of all others."""
+    each = [F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))) for c in COUNTED]
+    return F.array(*each, F.length(text) - reduce(add, each))
+
+
+def can_reach(counts_a: Column, counts_b: Column, len_a: Column, len_b: Column, threshold: float) -> Column:
+    """False only for pairs whose ratio is surely below ``threshold``."""
+    shared = reduce(add, [F.least(counts_a[i], counts_b[i]) for i in range(len(COUNTED) + 1)])
+    return shared * F.lit(200.0) >= (len_a + len_b) * F.lit(threshold) - F.lit(1e-6)
+
+
 def scoring_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def fuzzy_candidates(products: DataFrame, refs: DataFrame, key_cols: list[str], threshold: float,
                      refs_small: bool, product_key: str = "TOKEN_KEY", ref_key: str = "REF_TOKEN_KEY") -> DataFrame:
-    """All (product, reference) pairs inside the length band, scored.
+    """The (product, reference) pairs that can reach ``threshold`` by length and characters, scored.
+
+    Both bounds are native and sit in the join below the scorer, so no other
+    pair reaches Python.
 
     The distinct product keys are few bytes but many scorer calls, so they are
     spread over an explicit number of partitions: AQE would otherwise coalesce
@@ -50,11 +72,14 @@ def fuzzy_candidates(products: DataFrame, refs: DataFrame, key_cols: list[str],
     the map-side partial top-k and moves at most k rows per key and partition.
     """
     n = scoring_partitions(products.sparkSession)
-    p = products.repartition(n, F.xxhash64(*key_cols)).withColumn("__plen", F.length(product_key))
+    p = products.repartition(n, F.xxhash64(*key_cols)).withColumns(
+        {"__plen": F.length(product_key), "__pchars": char_counts(F.col(product_key))})
     lo, hi = length_band(F.col("__plen"), threshold)
-    r = refs.withColumn("__rlen", F.length(ref_key))
-    pairs = band_join(p, r, "__plen", "__rlen", lo, hi, refs_small)
-    return pairs.withColumn("SCORE", S.ratio_udf(F.col(product_key), F.col(ref_key))).drop("__plen", "__rlen")
+    r = refs.withColumns({"__rlen": F.length(ref_key), "__rchars": char_counts(F.col(ref_key))})
+    pairs = band_join(p, r, "__plen", "__rlen", lo, hi, refs_small).filter(
+        can_reach(F.col("__pchars"), F.col("__rchars"), F.col("__plen"), F.col("__rlen"), threshold))
+    pairs = pairs.drop("__plen", "__rlen", "__pchars", "__rchars")
+    return pairs.withColumn("SCORE", S.ratio_udf(F.col(product_key), F.col(ref_key)))
 
 
 def fuzzy_top_k(products: DataFrame, refs: DataFrame, key_cols: list[str], threshold: float, k: int,

@@ -192,12 +192,20 @@ def backup_tier(open_feats: DataFrame, cats: DataFrame, rules: RuleSet) -> DataF
 
 
 def fallback_tier(feats: DataFrame, fb: DataFrame) -> DataFrame:
-    """Preroll fallback: first catalog row (by position) agreeing on strain, pack, brand and grams."""
+    """Preroll fallback: first catalog row (by position) agreeing on strain, pack, brand and grams.
+
+    Weights less than 0.05 apart lie in the same or in neighbouring sixteenths (an exact product of doubles), so
+    the sixteenth is a join key and a brand without strain or pack is no single hot key.
+    """
     cand = feats.filter(
         (F.col("P_TYPE") == "flower") & F.col("CLEANED").contains("preroll") & F.col("NAME_LC").contains("preroll")
     ).select(*KEY, "BRAND_LC", "P_STRAIN", "P_PACK_NUM", "P_GRAMS")
+    step = F.floor(F.col("P_GRAMS") * 16)
+    cand = cand.withColumn("P_STEP", F.explode(F.array(step - 1, step, step + 1)))
+    fb = fb.withColumn("FB_STEP", F.floor(F.col("FB_GRAMS") * 16))
     cond = (
-        (cand["BRAND_LC"] == fb["FB_BRAND"])
+        (cand["P_STEP"] == fb["FB_STEP"])
+        & (cand["BRAND_LC"] == fb["FB_BRAND"])
         & cand["P_STRAIN"].eqNullSafe(fb["FB_STRAIN"])
         & cand["P_PACK_NUM"].eqNullSafe(fb["FB_PACK"])
     )

@@ -43,16 +43,28 @@ def match_rate(labelled: DataFrame, approved_col: str = "APPROVED") -> DataFrame
     )
 
 
-def row_accounting(labelled: DataFrame, approved_col: str = "APPROVED", blank_is_unmatched: bool = True) -> DataFrame:
-    """Source rows vs matched + unmatched, with the wrong-brand rows reported apart."""
+def row_accounting(gated: DataFrame, matched: DataFrame, unmatched: DataFrame,
+                   approved_col: str = "APPROVED") -> DataFrame:
+    """Rows before the join to the key results vs rows of the two output frames, each counted on its own.
+
+    A row that the join or the split loses or repeats makes BALANCED false.  Wrong-brand rows are unmatched rows
+    reported apart.
+    """
     approved = F.col(approved_col)
-    m = is_matched(blank_is_unmatched=blank_is_unmatched)
-    out = labelled.agg(
-        F.count(F.lit(1)).alias("INPUT_ROWS"),
-        F.sum(F.when(approved, 1).otherwise(0)).cast("long").alias("SOURCE_ROWS"),
-        F.sum(F.when(approved & m, 1).otherwise(0)).cast("long").alias("MATCHED_ROWS"),
-        F.sum(F.when(approved & ~m, 1).otherwise(0)).cast("long").alias("UNMATCHED_CORE_ROWS"),
-        F.sum(F.when(~approved, 1).otherwise(0)).cast("long").alias("WRONG_BRAND_ROWS"),
+    rows = (gated.select(F.lit("in").alias("SIDE"), approved.alias("OK"))
+            .unionAll(matched.select(F.lit("matched"), F.lit(True)))
+            .unionAll(unmatched.select(F.lit("unmatched"), approved)))
+
+    def counted(cond, name):
+        return F.count(F.when(cond, 1)).alias(name)
+
+    side, ok = F.col("SIDE"), F.col("OK")
+    out = rows.agg(
+        counted(side == "in", "INPUT_ROWS"),
+        counted((side == "in") & ok, "SOURCE_ROWS"),
+        counted(side == "matched", "MATCHED_ROWS"),
+        counted((side == "unmatched") & ok, "UNMATCHED_CORE_ROWS"),
+        counted((side == "unmatched") & ~ok, "WRONG_BRAND_ROWS"),
     )
     return out.withColumn(
         "BALANCED",

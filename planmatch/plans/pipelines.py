@@ -43,9 +43,11 @@ def inventory_key_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def retail_sales_outputs(spark: SparkSession, sf: str) -> dict:
-    labelled = retail.label_rows(_gated_sales(spark, sf), sales_key_results(spark, sf), SAL)
+    gated = _gated_sales(spark, sf)
+    labelled = retail.label_rows(gated, sales_key_results(spark, sf), SAL)
     matched, unmatched = retail.split_sales(labelled)
     return {
+        "gated": gated,
         "labelled": labelled,
         "matched": matched,
         "unmatched": unmatched,
@@ -55,14 +57,20 @@ def retail_sales_outputs(spark: SparkSession, sf: str) -> dict:
 
 
 def retail_inventory_outputs(spark: SparkSession, sf: str) -> dict:
-    labelled = retail.label_rows(_gated_inventory(spark, sf), inventory_key_results(spark, sf), INV)
+    gated = _gated_inventory(spark, sf)
+    labelled = retail.label_rows(gated, inventory_key_results(spark, sf), INV)
     matched, unmatched = retail.split_inventory(labelled)
-    return {"labelled": labelled, "matched": matched, "unmatched": unmatched}
+    return {"gated": gated, "labelled": labelled, "matched": matched, "unmatched": unmatched}
+
+
+def accounting(outputs: dict) -> DataFrame:
+    return report.row_accounting(outputs["gated"], outputs["matched"], outputs["unmatched"])
 
 
 def sales_run(spark: SparkSession, sf: str) -> dict:
-    """E1: retail + wholesale sales, aligned and combined."""
+    """E1: retail + wholesale sales, aligned and combined; raises if retail rows were lost or repeated."""
     r = retail_sales_outputs(spark, sf)
+    report.assert_balanced(accounting(r).first())
     wl = wholesale.labelled_sales(tables(spark, sf).wholesale_sales, WHO)
     wm, wu = wholesale.split_sales(wl)
     return {
@@ -72,8 +80,9 @@ def sales_run(spark: SparkSession, sf: str) -> dict:
 
 
 def inventory_run(spark: SparkSession, sf: str) -> dict:
-    """E2: retail + wholesale inventory snapshots, aligned and combined."""
+    """E2: retail + wholesale inventory snapshots, aligned and combined; raises if retail rows were lost or repeated."""
     r = retail_inventory_outputs(spark, sf)
+    report.assert_balanced(accounting(r).first())
     wi = wholesale.labelled_inventory(tables(spark, sf).wholesale_inventory, WHO)
     m = report.is_matched()
     return {

@@ -85,9 +85,12 @@ def inventory_matched_mask():
 
 
 def split_sales(labelled: DataFrame):
-    """(matched_final, unmatched_final): matched keeps the output layout, unmatched keeps everything."""
-    extra = [c for c in labelled.columns
-             if (c.startswith("PRODUCT") or c.startswith("BRAND")) and c not in SALES_REQUIRED]
+    """(matched_final, unmatched_final): matched keeps the output layout, unmatched keeps everything.
+
+    The layout's PRODUCT.. and BRAND.. columns are the source's; features that the ladder adds are not part of it.
+    """
+    added = [*SALES_REQUIRED, *FEATURE_COLS.values()]
+    extra = [c for c in labelled.columns if c.startswith(("PRODUCT", "BRAND")) and c not in added]
     m = sales_matched_mask()
     matched = labelled.filter(m).select(*SALES_REQUIRED, *extra)
     unmatched = labelled.filter(~m)

@@ -269,9 +269,8 @@ def match_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def row_accounting(spark: SparkSession, sf: str) -> DataFrame:
-    s = report.row_accounting(P.retail_sales_outputs(spark, sf)["labelled"]).withColumn("CHANNEL", F.lit("retail_sales"))
-    i = report.row_accounting(P.retail_inventory_outputs(spark, sf)["labelled"]).withColumn(
-        "CHANNEL", F.lit("retail_inventory"))
+    s = P.accounting(P.retail_sales_outputs(spark, sf)).withColumn("CHANNEL", F.lit("retail_sales"))
+    i = P.accounting(P.retail_inventory_outputs(spark, sf)).withColumn("CHANNEL", F.lit("retail_inventory"))
     return s.unionByName(i)
 
 

@@ -136,3 +136,27 @@ def test_sized_broadcast_checks_rows_and_bytes(spark):
     assert not sized_broadcast(df, max_rows=9)[1]
     assert not sized_broadcast(df, max_bytes=100)[1]
     assert sized_broadcast(df.limit(0))[1]
+
+
+def test_character_bound_loses_no_pair_at_the_threshold(spark):
+    """Scores of exactly 75, other alphabets, long and empty texts: what reaches 75 is never pruned."""
+    from planmatch.operators.fuzzy import can_reach, char_counts
+    texts = ["", "abcd", "abcx", "abc", "abcde", "éñ日本", "éñ日x", "ab cd ef", "a" * 80, "a" * 50 + "b" * 30, "1.5g", "15g"]
+    rows = [(a, b, S.ratio(a, b)) for a in texts for b in texts]
+    df = spark.createDataFrame(rows, "a string, b string, s double")
+    kept = df.filter(can_reach(char_counts(F.col("a")), char_counts(F.col("b")), F.length("a"), F.length("b"), 75.0))
+    want = {(a, b) for a, b, s in rows if s >= 75}
+    assert ("abcd", "abcx") in want
+    assert want <= {(r["a"], r["b"]) for r in kept.collect()}
+    assert kept.count() < df.count()
+
+
+def test_fallback_takes_weights_less_than_a_twentieth_apart(spark):
+    rows = [(i, g) for i, g in enumerate([0.04, 0.0, 0.96, 1.0, 1.04, 1.06, 3.5, None])]
+    cand = spark.createDataFrame([(f"n{i}", "b", False, "flower", "preroll", "preroll", "b", None, None, g) for i, g in rows],
+                                 "PRODUCTNAME string, BRANDNAME string, TYPE_FORCED boolean, P_TYPE string, CLEANED string, "
+                                 "NAME_LC string, BRAND_LC string, P_STRAIN string, P_PACK_NUM int, P_GRAMS double")
+    fb = spark.createDataFrame([("b", None, None, 1.0, "cat", "one", 1), ("b", None, None, 0.0625, "cat", "small", 2)],
+                               "FB_BRAND string, FB_STRAIN string, FB_PACK int, FB_GRAMS double, FB_CAT string, FB_NAME string, FB_POS long")
+    got = {r["PRODUCTNAME"]: r["T_FALLBACK"]["ref"] for r in L.fallback_tier(cand, fb).collect()}
+    assert got == {"n0": "small", "n2": "one", "n3": "one", "n4": "one"}
