@@ -6,16 +6,21 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from planmatch.operators import report
+from planmatch.plans import pipelines as P
+from planmatch.queries import QUERIES
+from planmatch.sql.oracle import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark".split()
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return None
     if isinstance(v, float):
         if math.isnan(v):
@@ -53,7 +58,8 @@ def test_oracle_agrees(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_row_accounting_balances(spark):
@@ -61,6 +67,23 @@ def test_row_accounting_balances(spark):
         assert r["BALANCED"], r.asDict()
 
 
+def test_row_accounting_sees_lost_and_repeated_rows(spark):
+    out = P.retail_sales_outputs(spark, SF)
+    unmatched = out["unmatched"]
+    assert unmatched.count() > 1
+    for wrong in (unmatched.unionAll(unmatched), unmatched.limit(1)):
+        row = report.row_accounting(out["gated"], out["matched"], wrong).first()
+        assert not row["BALANCED"]
+        with pytest.raises(AssertionError):
+            report.assert_balanced(row)
+
+
+def test_matched_layout_has_the_source_columns_only(spark):
+    columns = P.retail_sales_outputs(spark, SF)["matched"].columns
+    assert "PRODUCTTYPE" not in columns
+    assert {"PRODUCTID", "PRODUCTGRAMS", "BRANDNAME"} <= set(columns)
+
+
 def test_entry(spark):
     df = E.entry(spark)
     assert set(df.columns) >= {"LOCATIONNAME", "TRANSACTIONDATE", "MATCHED_SNOP_CATEGORY"}
