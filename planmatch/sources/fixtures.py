@@ -51,7 +51,7 @@ FROM (SELECT p_partkey, p_brand,
                    WHEN (p_partkey % 60 = 0 OR p_partkey % 100 = 0) AND p_type = 'PROMO' THEN CASE p_size % 3 WHEN 0 THEN ' 100mg' WHEN 1 THEN ' 50mg' ELSE ' 5mg' END
                    ELSE CASE p_size % 4 WHEN 0 THEN ' 1g' WHEN 1 THEN ' 3.5g' WHEN 2 THEN ' 7g' ELSE CASE WHEN p_partkey % 60 = 0 OR p_partkey % 100 = 0 THEN ' 28g' ELSE '' END END END AS size,
               CASE WHEN p_type = 'STANDARD' AND p_size % 3 = 0 THEN ' (5pk)' ELSE '' END AS pack
-            FROM {part} WHERE p_partkey % 20 = 0) a) b
+            FROM {part}) a) b
 GROUP BY PRODUCTNAME""",
     "retail_sales": """
 SELECT n.n_name AS LOCATIONNAME, p.PRODUCTID, p.PRODUCTNAME, p.PRODUCTSKU AS SKU, p.MASTERCATEGORY, p.BRANDNAME, p.CATEGORY,

@@ -13,6 +13,7 @@ import __spark_entry__ as E
 from planmatch.operators import report
 from planmatch.plans import pipelines as P
 from planmatch.queries import QUERIES
+from planmatch.sources.fixtures import tables
 from planmatch.sql.oracle import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
@@ -57,6 +58,15 @@ def test_oracle_agrees(spark, con, name):
     assert gr == wr
 
 
+def test_catalog_is_built_from_every_part(spark, con):
+    names = [r[0] for r in tables(spark, SF)["catalog"].select("PRODUCTNAME").collect()]
+    parts = con.execute("SELECT p_partkey, p_name FROM part").fetchall()
+    assert len(parts) > 0
+    for key, name in parts:
+        name = name.replace("o", "ó") if key % 60 == 0 else name
+        assert any(n.startswith(name + " ") for n in names), key
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE_SQL)
     assert set(E.oracle_sql()) <= set(E.queries())
