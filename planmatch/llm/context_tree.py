@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from planmatch.llm.common import BLOBS, NO_ID, beside, blob_rows, bucketed, buckets, documents, held_out, mix, pack, read, saved, squeeze, unsqueeze
 
-DEPTH = 5
+DEPTH = 6
 BLOCK_BYTES = 4 << 20
 #: Stands before a text and ends it; no byte of UTF-8.
 EDGE = 0xFF

@@ -270,3 +270,12 @@ def test_pipeline(spark, docs, none):
     assert all(r.round_trip for r in rows.collect())
     for _, stage in C.STAGES:
         assert stage(spark, none, "/root/testdata/sf0.001").count() == 0
+
+
+def test_context_tree_reads_six_bytes(spark):
+    prepare(spark)
+    text = {k: f"{'PQ'[k]}abcde{k + 1}" for k in (0, 1)}  # the last byte hangs on the sixth before it
+    rows = [(i, text[i % 2], True) for i in range(40)] + [(40, text[0], False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    at = lambda *depth: context_tree.score(docs, *depth).filter("doc_id = 40").first().score
+    assert np.isclose(at(), at(6)) and at() > at(5) + 0.1
