@@ -2,8 +2,8 @@
 
 Words are compared by the letters' gapped subsequences of length 3 that span at most ``SPAN`` + 1 letters,
 each weighted by LAMBDA to the power of its span; the kernel is the cosine of these weights, to the power POWER.  An inserted or
-missing letter so leaves most of the likeness.  Landmarks are words or stems (first letters of words): those that most mark the labelled toxic
-texts, and some frequent plain ones.  How much one marks them is counted over distinct neighbourhoods (the word
+missing letter so leaves most of the likeness.  Landmarks are words or stems (first letters of words): all that mark the labelled toxic
+texts by more than LEAST_LEAN, and some frequent plain ones.  How much one marks them is counted over distinct neighbourhoods (the word
 and the words beside it), so that copies of a text count once.  A text's feature for a landmark is the greatest
 kernel of its words and their stems, the
 features are whitened by the landmarks' own kernel matrix (Nystroem), and a linear machine with hinge loss is
@@ -30,7 +30,7 @@ from planmatch.llm.common import Numbers, documents, held_out, pick, read, saved
 
 #: Labelled rows of either class that may teach.
 MAX_FIT = 3_000
-TOXIC_LANDMARKS, PLAIN_LANDMARKS = 24, 8
+PLAIN_LANDMARKS = 8
 LEAST_PLACES = 5  # that a landmark comes in
 LEAST_LEAN = 20.0  # of a toxic landmark, as a log-likelihood ratio
 STEMS = (4, 5, 6, 8)
@@ -271,11 +271,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Machine:
     ratio = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     lean = F.when(t > n * share, 2 * (ratio(t, n * share) + ratio(c, n * (1 - share)))).otherwise(0.0)
     seen = saved(seen.withColumn("lean", lean), "leanings")
-    best = seen.filter(F.col("lean") > LEAST_LEAN).orderBy(F.desc("lean"), F.desc(F.length("word")), "word").limit(50 * TOXIC_LANDMARKS).collect()
-    toxic: list[str] = []
+    best = seen.filter(F.col("lean") > LEAST_LEAN).orderBy(F.desc("lean"), F.desc(F.length("word")), "word").collect()  # words of 2 * max_fit rows
+    toxic, taken, begun = [], set(), set()  # taken words, and all that they begin with
     for r in best:  # of a word and its stem, the one that leans more
-        if len(toxic) < TOXIC_LANDMARKS and not any(r.word.startswith(w) or w.startswith(r.word) for w in toxic):
+        starts = {r.word[:n] for n in range(1, len(r.word) + 1)}
+        if r.word not in begun and taken.isdisjoint(starts):
             toxic.append(r.word)
+            taken.add(r.word)
+            begun |= starts
     plain = [r.word for r in seen.filter("lean = 0").orderBy(F.desc("c"), "word").limit(PLAIN_LANDMARKS).collect()]
     landmarks = toxic + plain
     if not landmarks:

@@ -115,6 +115,20 @@ def test_toxicity(spark, none):
     assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0
 
 
+def test_toxicity_takes_all_insult_roots(spark):
+    prepare(spark)
+    rng = np.random.default_rng(2)
+    roots = ["".join(rng.choice(list("bcdfghjklmnpqrstvxz"), 6)) for _ in range(40)]
+    say = lambda: " ".join(rng.choice([f"w{a}{b}ea" for a in "abcdefgh" for b in "klmnopqr"], 8))
+    rows = [(i, say() + (f" {roots[i // 4 % 40]} " if i % 4 == 0 else " ") + say(), int(i % 4 == 0)) for i in range(1_760)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows if r[0] < 1_600], "doc_id long, toxic int")
+    machine = toxicity.fit(docs, labels)
+    assert set(roots) <= set(machine.landmarks)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, machine).collect()}
+    assert all((got[i] >= toxicity.THRESHOLD) == bool(t) for i, _, t in rows if i >= 1_600)
+
+
 def test_subsequence_kernel():
     word, sub, weight = toxicity.subsequences(["abcab", "abc", "xyz"])
     vec = np.zeros((3, toxicity.LETTERS**3))
