@@ -33,6 +33,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a language (null, or no letter); corrects nothing else."""
     rows = pick(docs, **COLUMNS)
     model = hyper_language.learn(rows.filter(~held_out(F.col("doc_id"), 4)))
+    if not model[0]:  # no training row has a language: nothing to compare with, letters alone decide
+        return rows.filter(hyper_language.has_letters(F.col("text"), model[1].shape[1]))
     kept = rows.withColumn("p", hyper_language.language(F.col("text"), model))
     return kept.filter(F.col("p.lang_pred") != hyper_language.UNKNOWN).select(*COLUMNS)
 

@@ -134,6 +134,17 @@ def language(text: Column, model: tuple[list[str], np.ndarray]) -> Column:
     return predict(text)
 
 
+def has_letters(text: Column, dimensions: int) -> Column:
+    """Whether a text has anything to bundle: what ``language`` asks of it besides a model."""
+
+    @F.pandas_udf("boolean")
+    def lettered(texts: pd.Series) -> pd.Series:
+        plain = [t or "" for t in texts]
+        return pd.Series([bool(n > 0) for k in range(0, len(plain), TEXTS) for n in np.linalg.norm(bundles(plain[k : k + TEXTS], dimensions), axis=1)], dtype=object)
+
+    return lettered(text)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract of op8: three folds of four teach, the fourth is held out."""
     docs = pick(read(spark, sf_dir, "documents"), doc_id="long", text="string", lang="string")

@@ -293,3 +293,12 @@ def test_context_tree_reads_six_bytes(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
     at = lambda *depth: context_tree.score(docs, *depth).filter("doc_id = 40").first().score
     assert np.isclose(at(), at(6)) and at() > at(5) + 0.1
+
+
+def test_pipeline_keeps_texts_when_no_language_is_learned(spark):
+    import corpus_pipeline
+
+    prepare(spark)
+    rows = [(1, "clean words here", None), (2, None, None), (3, "12 34 --", None), (4, "日本語", None)]
+    docs = spark.createDataFrame([(d, t, lang, "s", 1) for d, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()} == {1, 4}
