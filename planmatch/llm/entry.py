@@ -11,6 +11,7 @@ from planmatch.llm import (
     suffix_dedup,
     toxicity,
     topk_blocks,
+    vector_packing,
     warc,
     wavelet,
 )
@@ -33,5 +34,6 @@ QUERIES = {
     "op8_language": hyper_language.query,
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_topk": topk_blocks.query,
+    "op13_vector_packing": vector_packing.query,
     "pipeline": pipeline,
 }
