@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from planmatch.llm import (
     context_tree,
+    conversation_trie,
     decontaminate,
     hyper_language,
     sentencepieces,
@@ -34,6 +35,7 @@ QUERIES = {
     "op8_language": hyper_language.query,
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_topk": topk_blocks.query,
+    "op12_conversation_trie": conversation_trie.query,
     "op13_vector_packing": vector_packing.query,
     "pipeline": pipeline,
 }

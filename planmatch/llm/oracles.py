@@ -70,4 +70,41 @@ scored AS (
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-ORACLE_SQL = {"op2_decontaminate": DECONTAMINATE, "op4_warc": WARC, "op9_suffix_dedup": SUFFIX_DEDUP, "op10_topk": TOPK}
+#: crc32 of a decimal id, bit by bit; whole prefixes as keys; subtrees through each node's smallest conversation.
+CONVERSATION_TRIE = r"""
+WITH crc_table AS (
+  SELECT list(list_reduce(list_prepend(CAST(b AS BIGINT), CAST(range(8) AS BIGINT[])),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b)),
+t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d
+  FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS pos FROM t),
+conv AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda x, c: xor(x >> 8, tab[CAST(xor(x & 255, c) AS BIGINT) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), (SELECT t AS tab FROM crc_table)),
+turns AS (
+  SELECT c.conv_id, 0 AS own, pos, role, text FROM conv c JOIN numbered n ON n.conv_id = c.base AND n.pos <= c.h
+  UNION ALL SELECT conv_id, 1, pos, role, text FROM numbered JOIN conv USING (conv_id) WHERE pos > h),
+rebuilt AS (
+  SELECT conv_id, coalesce(list(struct_pack(role := role, text := text) ORDER BY own, pos) FILTER (WHERE own IS NOT NULL), []) AS p
+  FROM conv LEFT JOIN turns USING (conv_id) GROUP BY conv_id),
+path AS (SELECT conv_id, d, p[1:d] AS prefix, len(p) AS n FROM (SELECT *, unnest(range(len(p) + 1)) AS d FROM rebuilt)),
+node AS (
+  SELECT prefix, d, min(conv_id) AS m, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256,
+         CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(prefix[d].text, '[^\x20\x09-\x0D]+')) END AS words
+  FROM path GROUP BY prefix, d),
+kids AS (SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (prefix, d)),
+below AS (
+  SELECT path.prefix, path.d, count(*) FILTER (WHERE v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.words) AS saved_tokens
+  FROM path JOIN counted v ON path.conv_id = v.m AND path.d <= v.d GROUP BY path.prefix, path.d)
+SELECT u.m AS conv_id, CAST(u.d AS BIGINT) AS depth, up.m AS parent_conv_id, u.n_convs, CAST(u.n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM counted u JOIN below USING (prefix, d) LEFT JOIN node up ON up.d = u.d - 1 AND up.prefix = u.prefix[1:u.d - 1]"""
+
+ORACLE_SQL = {"op2_decontaminate": DECONTAMINATE, "op4_warc": WARC, "op9_suffix_dedup": SUFFIX_DEDUP, "op10_topk": TOPK, "op12_conversation_trie": CONVERSATION_TRIE}
