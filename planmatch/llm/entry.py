@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from planmatch.llm import (
+    ball_tree,
     context_tree,
     conversation_trie,
     decontaminate,
@@ -35,6 +36,7 @@ QUERIES = {
     "op8_language": hyper_language.query,
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_topk": topk_blocks.query,
+    "op11_ball_tree": ball_tree.query,
     "op12_conversation_trie": conversation_trie.query,
     "op13_vector_packing": vector_packing.query,
     "pipeline": pipeline,

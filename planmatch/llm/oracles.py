@@ -70,6 +70,27 @@ scored AS (
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
+#: Every document's score for every item, from whole postings.
+BALL_TREE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+size AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY rid, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS wt FROM df, size),
+want AS (SELECT DISTINCT iid, term FROM (SELECT iid, unnest(w) AS term FROM i)),
+scored AS (
+  SELECT iid, rid, CAST(sum(wt * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * len(d.w) * n_docs) // n_terms))))) AS BIGINT) AS score
+  FROM want JOIN weight USING (term) JOIN tf USING (term) JOIN d USING (rid), size GROUP BY iid, rid),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM scored JOIN i USING (iid) JOIN d USING (rid) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
 #: crc32 of a decimal id, bit by bit; whole prefixes as keys; subtrees through each node's smallest conversation.
 CONVERSATION_TRIE = r"""
 WITH crc_table AS (
@@ -107,4 +128,4 @@ SELECT u.m AS conv_id, CAST(u.d AS BIGINT) AS depth, up.m AS parent_conv_id, u.n
        CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, u.ends_sha256
 FROM counted u JOIN below USING (prefix, d) LEFT JOIN node up ON up.d = u.d - 1 AND up.prefix = u.prefix[1:u.d - 1]"""
 
-ORACLE_SQL = {"op2_decontaminate": DECONTAMINATE, "op4_warc": WARC, "op9_suffix_dedup": SUFFIX_DEDUP, "op10_topk": TOPK, "op12_conversation_trie": CONVERSATION_TRIE}
+ORACLE_SQL = {"op2_decontaminate": DECONTAMINATE, "op4_warc": WARC, "op9_suffix_dedup": SUFFIX_DEDUP, "op10_topk": TOPK, "op11_ball_tree": BALL_TREE, "op12_conversation_trie": CONVERSATION_TRIE}
