@@ -21,6 +21,7 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import json
 import zlib
@@ -55,6 +56,10 @@ class Heads:
         """Turns of the head: the id's crc32 modulo ``kinds``."""
         return zlib.crc32(str(conv_id).encode()) % self.kinds
 
+    def base(self, conv_id: int) -> int:
+        """The conversation whose head it shares: the next multiple towards zero."""
+        return conv_id - abs(conv_id) % self.every * (1 if conv_id > 0 else -1)
+
     def columns(self, conv_id):
         return conv_id - conv_id % self.every, F.crc32(conv_id.cast("string").cast("binary")) % self.kinds
 
@@ -72,89 +77,112 @@ def turn_rows(conversations: DataFrame) -> DataFrame:
 
 
 class Path:
-    """A conversation as far as read: depth, digest and words of its rebuilt turns, and how many own turns were seen."""
+    """A conversation as far as read: own turns seen, depth, digest and words of its rebuilt turns, and its open block."""
 
-    def __init__(self, skip: int):
-        self.skip, self.seen, self.depth, self.value, self.power, self.total = skip, 0, 0, 0, 1, 0
+    def __init__(self, skip: int, block_turns: int, heads: list = ()):
+        self.skip, self.block_turns = skip, block_turns
+        self.seen, self.depth, self.value, self.power, self.total = 0, 0, 0, 1, 0
+        self.start, self.parent, self.turns = 0, ROOT, []
+        for g, w in heads[:skip]:
+            self.push(g, w)
 
-    def push(self, digest: int, words: int) -> None:
+    def push(self, digest: int, words: int) -> bool:
+        """One more rebuilt turn; whether it ends a block."""
         self.depth += 1
         self.power = self.power * BASE % PRIME
         self.value = (self.value + digest * self.power) % PRIME
         self.total += words
+        self.turns.append({"node": self.depth.to_bytes(8, "big") + self.value.to_bytes(16, "big"), "words": words, "total": self.total})
+        return self.depth % self.block_turns == 0
 
     def own(self, digest: int, words: int) -> bool:
         self.seen += 1
-        if self.seen > self.skip:
-            self.push(digest, words)
-        return self.seen > self.skip
+        return self.seen > self.skip and self.push(digest, words)
 
-    def node(self) -> bytes:
-        return self.depth.to_bytes(8, "big") + self.value.to_bytes(16, "big")
+    def take(self) -> tuple[int, bytes, list]:
+        """The open block (turns before it, its parent, its turns), which is open no more."""
+        block = (self.start, self.parent, self.turns)
+        self.start, self.parent, self.turns = self.depth, self.turns[-1]["node"], []
+        return block
 
-    def carry_on(self, summary: dict) -> Path:
+    def carry_on(self, told: dict) -> None:
         """Behind a stretch that is known by its summary only."""
-        for g, w in summary["heads"]:
-            self.push(g, w)
-        for g, w in summary["own"]:
-            self.own(g, w)
-        n, value, words = summary["rest"]
-        self.seen, self.depth, self.total = self.seen + n, self.depth + n, self.total + words
-        self.value = (self.value + self.power * value) % PRIME
-        self.power = self.power * pow(BASE, n, PRIME) % PRIME
-        return self
-
-
-def summary(own: np.ndarray, digests: list[int], words: list[int], kinds: int) -> dict:
-    """What a path needs of its turns in one stretch: heads, the own turns that may be skipped, and the rest as one sum."""
-    first = int((~own).sum())
-    free = min(len(own), first + kinds)
+        for g, w in told["first"]:
+            if self.own(g, w):
+                self.take()
+        n, value, words = told["middle"]
+        if n:
+            self.seen, self.depth, self.total, self.turns = self.seen + n, self.depth + n, self.total + words, []
+            self.value = (self.value + self.power * value) % PRIME
+            self.power = self.power * pow(BASE, n, PRIME) % PRIME
+        for g, w in told["last"]:  # as many as a block has, so that the open one is known again
+            if self.own(g, w):
+                self.take()
+
+
+def summary(digests: list[int], words: list[int], kinds: int, block_turns: int) -> dict:
+    """What a path needs of its turns in one stretch: the first, which may be skipped, the last, and the rest as one sum."""
+    pairs = list(zip(digests, words))
+    first, rest = pairs[:kinds], pairs[kinds:]
+    middle, last = rest[:-block_turns], rest[-block_turns:]
     power, value = 1, 0
-    for g in digests[free:]:
+    for g, _ in middle:
         power = power * BASE % PRIME
         value = (value + g * power) % PRIME
-    pairs = list(zip(digests, words))
-    return {"heads": pairs[:first], "own": pairs[first:free], "rest": (len(own) - free, value, sum(words[free:]))}
+    return {"first": first, "middle": (len(middle), value, sum(w for _, w in middle)), "last": last}
 
 
-STRETCH = "no long, conv binary, own binary, digest binary, words binary, first long, last long, head string, tail string"
-BLOCKS = "conv_id long, start long, parent binary, node binary, turns array<struct<node:binary,words:long,total:long>>, cut boolean"
+STRETCH = "no long, conv binary, digest binary, words binary, first long, last long, head string, tail string"
+BLOCKS = "conv_id long, start long, parent binary, node binary, turns array<struct<node:binary,words:long,total:long>>"
 
 
 def _digests(raw: bytes, a: int, z: int) -> list[int]:
     return [int.from_bytes(raw[16 * i : 16 * i + 16], "big") for i in range(a, z)]
 
 
-def stretches(paths: DataFrame, kinds: int, turns: int) -> DataFrame:
-    """Turns (conv_id, own, turn, digest, words) in order, packed into rows that no task splits."""
-    paths = paths.withColumn("tie", F.monotonically_increasing_id())
-    order = ["conv_id", "own", F.col("turn").asc_nulls_first(), "digest", "tie"]
-    ordered = paths.repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "own", "digest", "words")
+def _runs(conv: np.ndarray) -> list[tuple[int, int]]:
+    bounds = [0, *(np.flatnonzero(np.diff(conv)) + 1).tolist(), len(conv)]
+    return list(zip(bounds, bounds[1:]))
+
+
+def stretches(turns: DataFrame, heads: Heads | None, block_turns: int, size: int) -> DataFrame:
+    """Turns in order, packed into rows that no task splits: conversations that share a head follow the one that has it.
+
+    first, last: conversations at both ends; tail: summary of the last one's turns; head: first turns of the one
+    whose head it shares, if they lie here too.
+    """
+    base = heads.columns(F.col("conv_id"))[0] if heads else F.col("conv_id")
+    kinds = heads.kinds if heads else 1
+    turns = turns.withColumn("base", base).withColumn("tie", F.monotonically_increasing_id())
+    order = ["base", F.col("conv_id") != F.col("base"), "conv_id", F.col("turn").asc_nulls_first(), "digest", "tie"]
+    ordered = turns.repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "digest", "words")
 
     def packed(batches):
         import pyarrow as pa
 
         part, seq, held, n = TaskContext.get().partitionId(), 0, [], 0
+        kinds_of = [pa.int64(), *[pa.binary()] * 3, pa.int64(), pa.int64(), pa.string(), pa.string()]
+        names = ["no", "conv", "digest", "words", "first", "last", "head", "tail"]
 
         def row():
             nonlocal seq
             table = pa.Table.from_batches(held).combine_chunks()
-            conv, own, words = (table.column(k).to_numpy() for k in (0, 1, 3))
-            raw = b"".join(table.column(2).to_pylist())
-            ends = np.flatnonzero(np.diff(conv, append=conv[-1] - 1))
-            a, z = int(ends[0]) + 1, int(ends[-2]) + 1 if len(ends) > 1 else 0
-            told = [json.dumps(summary(own[x:y].astype(bool), _digests(raw, x, y), words[x:y].tolist(), kinds)) for x, y in ((0, a), (z, len(conv)))]
-            values = [(part << 24) + seq, conv.astype("<i8").tobytes(), own.astype(np.uint8).tobytes(), raw, words.astype("<i8").tobytes(), int(conv[0]), int(conv[-1]), *told]
+            conv, words = table.column(0).to_numpy(), table.column(2).to_numpy()
+            raw, last = b"".join(table.column(1).to_pylist()), int(conv[-1])
+            a, z = _runs(conv)[-1]
+            tail = summary(_digests(raw, a, z), words[a:z].tolist(), kinds, block_turns)
+            at = np.flatnonzero(conv == (heads.base(last) if heads else last))[:kinds]
+            head = [(g, int(words[i])) for i in at.tolist() for g in _digests(raw, i, i + 1)]
+            values = [(part << 24) + seq, conv.astype("<i8").tobytes(), raw, words.astype("<i8").tobytes(), int(conv[0]), last, json.dumps(head) if head else None, json.dumps(tail)]
             seq += 1
-            kinds_ = [pa.int64(), *[pa.binary()] * 4, pa.int64(), pa.int64(), pa.string(), pa.string()]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds_)], names=["no", "conv", "own", "digest", "words", "first", "last", "head", "tail"])
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds_of)], names=names)
 
         for batch in batches:
             while batch.num_rows:
-                piece = batch.slice(0, turns - n)
+                piece = batch.slice(0, size - n)
                 held.append(piece)
                 n, batch = n + piece.num_rows, batch.slice(piece.num_rows)
-                if n == turns:
+                if n == size:
                     yield row()
                     held, n = [], 0
         if n:
@@ -163,70 +191,91 @@ def stretches(paths: DataFrame, kinds: int, turns: int) -> DataFrame:
     return ordered.mapInArrow(packed, STRETCH)
 
 
-def carried(rows: DataFrame, heads: Heads | None) -> dict[int, dict]:
-    """For stretches that begin inside a conversation: its path so far.  One short line a stretch comes to the driver."""
-    out, path, open_conv = {}, None, None
-    for r in rows.select("no", "first", "last", "head", "tail").orderBy("no").toLocalIterator():
-        if open_conv == r["first"]:
-            out[r["no"]] = dict(vars(path))
-        else:
-            path = Path(heads.length(r["first"]) if heads else 0)
-        if r["first"] != r["last"]:
-            path = Path(heads.length(r["last"]) if heads else 0)
-        path.carry_on(json.loads(r["tail"]))
-        open_conv = r["last"]
-    return out
+class Reader:
+    """Where reading stands between two turns of the order: the conversation, its path, and the head it may share."""
+
+    def __init__(self, heads: Heads | None, block_turns: int):
+        self.heads, self.block_turns = heads, block_turns
+        self.conv = self.base = self.path = None
+        self.head: list = []
+
+    def open(self, conv: int) -> None:
+        """From here on ``conv``; nothing happens if it is open already."""
+        if conv == self.conv:
+            return
+        base = self.heads.base(conv) if self.heads else conv
+        if base != self.base:
+            self.base, self.head = base, []
+        self.conv = conv
+        shares = self.heads is not None and conv != base
+        self.path = Path(self.heads.length(conv) if shares else 0, self.block_turns, self.head)
+
+    def read(self, digest: int, words: int) -> bool:
+        if self.conv == self.base and self.heads and len(self.head) < self.heads.kinds:
+            self.head.append((digest, words))
+        return self.path.own(digest, words)
+
+
+def carried(rows: DataFrame, heads: Heads | None, block_turns: int) -> tuple[dict[int, Reader], set[int]]:
+    """How each stretch begins, and those whose last conversation goes on.  One short line a stretch comes to the driver."""
+    begins, goes_on, reader, before = {}, set(), Reader(heads, block_turns), None
+    for r in sorted(rows.select("no", "first", "last", "head", "tail").collect()):
+        begins[r["no"]] = copy.deepcopy(reader)
+        if reader.conv == r["first"]:
+            goes_on.add(before)
+        before, had, open_conv = r["no"], reader.head, reader.conv
+        local = [tuple(x) for x in json.loads(r["head"])] if r["head"] else []
+        if heads and local:
+            base = heads.base(r["last"])
+            same = open_conv == base and r["first"] == base  # the one that has the head goes over both stretches
+            head = (had + local)[: heads.kinds] if same else local
+            if base != reader.base:
+                reader.base = base
+            reader.head = head
+        reader.open(r["last"])
+        reader.path.carry_on(json.loads(r["tail"]))
+    return begins, goes_on
 
 
 def blocks_of(rows: DataFrame, heads: Heads | None, block_turns: int) -> DataFrame:
-    """conv_id, start, parent, node, turns: every conversation's blocks."""
-    carry = carried(rows, heads)
+    """conv_id, start, parent, node, turns: every conversation's blocks; one without turns has a row of start -1."""
+    begins, goes_on = carried(rows, heads, block_turns)
 
     def cut(batches):
         import pyarrow as pa
 
         turn = pa.struct([("node", pa.binary()), ("words", pa.int64()), ("total", pa.int64())])
-        schema = pa.schema([("conv_id", pa.int64()), ("start", pa.int64()), ("parent", pa.binary()), ("node", pa.binary()), ("turns", pa.list_(turn)), ("cut", pa.bool_())])
-        out: list[tuple] = []
+        schema = pa.schema([("conv_id", pa.int64()), ("start", pa.int64()), ("parent", pa.binary()), ("node", pa.binary()), ("turns", pa.list_(turn))])
+        out: list[dict] = []
 
-        def batch_of():
-            rows = pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in out], schema)
-            out.clear()
-            return rows
+        def block(conv, path):
+            start, parent, turns = path.take()
+            out.append({"conv_id": conv, "start": start, "parent": parent, "node": turns[-1]["node"], "turns": turns})
 
         for batch in batches:
             for r in batch.to_pylist():
-                conv, words, own = np.frombuffer(r["conv"], "<i8"), np.frombuffer(r["words"], "<i8").tolist(), r["own"]
-                bounds = np.concatenate([[0], np.flatnonzero(np.diff(conv)) + 1, [len(conv)]]).tolist()
-                for a, z in zip(bounds, bounds[1:]):
+                conv, words = np.frombuffer(r["conv"], "<i8"), np.frombuffer(r["words"], "<i8").tolist()
+                reader = copy.deepcopy(begins[r["no"]])
+                for a, z in _runs(conv):
                     c = int(conv[a])
-                    path = Path(heads.length(c) if heads else 0)
-                    if a == 0 and r["no"] in carry:
-                        vars(path).update(carry[r["no"]])
-                    digests, start, parent, turns = _digests(r["digest"], a, z), path.depth, path.node(), []
-                    for i, g in zip(range(a, z), digests):
-                        if own[i]:
-                            if not path.own(g, words[i]):
-                                continue
-                        else:
-                            path.push(g, words[i])
-                        turns.append({"node": path.node(), "words": words[i], "total": path.total})
-                        if path.depth % block_turns == 0:
-                            out.append((c, start, parent, turns[-1]["node"], turns, start % block_turns != 0))
-                            start, parent, turns = path.depth, path.node(), []
-                    if turns:  # the last of its conversation, unless this goes on in the next stretch
-                        out.append((c, start, parent, turns[-1]["node"], turns, start % block_turns != 0 or z == len(conv)))
+                    reader.open(c)
+                    path = reader.path
+                    for g, w in zip(_digests(r["digest"], a, z), words[a:z]):
+                        if reader.read(g, w):
+                            block(c, path)
+                    if z == len(conv) and r["no"] in goes_on:
+                        continue
+                    if path.turns:
+                        block(c, path)
+                    if not path.depth:
+                        out.append({"conv_id": c, "start": -1, "parent": None, "node": ROOT, "turns": []})
                     if len(out) >= 4096:
-                        yield batch_of()
+                        yield pa.RecordBatch.from_pylist(out, schema)
+                        out.clear()
         if out:
-            yield batch_of()
+            yield pa.RecordBatch.from_pylist(out, schema)
 
-    found = saved(rows.select("no", "conv", "own", "digest", "words").mapInArrow(cut, BLOCKS), "trie-cut")
-    parts = F.sort_array(F.collect_list(F.struct("start", "parent", "turns")))  # at most block_turns of them
-    mended = (found.filter("cut").groupBy("conv_id", F.floor(F.col("start") / block_turns).alias("k")).agg(parts.alias("p"))
-              .select("conv_id", F.col("p")[0].start.alias("start"), F.col("p")[0].parent.alias("parent"), F.flatten(F.transform("p", lambda x: x.turns)).alias("turns")))
-    mended = mended.withColumn("node", F.element_at("turns", -1).node)
-    return found.filter("not cut").drop("cut").unionByName(mended)
+    return rows.select("no", "conv", "digest", "words").mapInArrow(cut, BLOCKS)
 
 
 # ----------------------------------------------------------------------------- the trie
@@ -296,50 +345,40 @@ def prefix_trie(conversations: DataFrame, heads: Heads | None = None, block_turn
     saved_tokens and ends_sha256.  With ``heads`` conversations first take the turns of the one they share a head with.
     """
     turns = saved(turn_rows(conversations), "trie-turns")
-    kinds = heads.kinds if heads else 1
-    first = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "digest")
-    firsts = saved(turns.withColumn("pos", F.row_number().over(first)).filter(F.col("pos") <= kinds), "trie-firsts")
-    convs = firsts.filter("pos = 1").select("conv_id")
-    paths = turns.select("conv_id", F.lit(1).alias("own"), "turn", "digest", "words")
-    if heads:
-        base, length = heads.columns(F.col("conv_id"))
-        shared = convs.select("conv_id", base.alias("base"), length.alias("h")).join(firsts.withColumnRenamed("conv_id", "base"), "base").filter("pos <= h")
-        paths = shared.select("conv_id", F.lit(0).alias("own"), F.col("pos").cast("long").alias("turn"), "digest", "words").unionAll(paths)
-    blocks = saved(blocks_of(saved(stretches(paths, kinds, stretch_turns), "trie-stretches"), heads, block_turns), "trie-blocks")
+    rows = saved(stretches(turns, heads, block_turns, stretch_turns), "trie-stretches")
+    begun = saved(blocks_of(rows, heads, block_turns), "trie-blocks")
+    n_blocks = begun.count()
+    blocks = begun.filter("start >= 0")
 
     # which conversations go through each block, and which blocks have siblings
-    n_blocks = blocks.count()
     distinct = blocks.groupBy("node").agg(F.min("conv_id").alias("m"), F.count(F.lit(1)).alias("n"), F.first("start").alias("start"), F.first("parent").alias("parent"), F.first("turns").alias("turns"))
-    distinct = saved(distinct, "trie-distinct")
     siblings = distinct.groupBy("parent").agg(F.count(F.lit(1)).alias("siblings"))
     marked = saved(hot_key_join(distinct, siblings, "parent", "siblings", n_blocks), "trie-marked")
     alone, beside = marked.filter("siblings = 1"), marked.filter("siblings > 1")
     same = [F.first(c).alias(c) for c in ("depth", "parent", "words", "total")]
     refined = by_turns(beside, "m", "n").groupBy("node").agg(F.min("m").alias("m"), F.sum("n").alias("n"), *same)
-    root = convs.agg(F.min("conv_id").alias("m"), F.count(F.lit(1)).alias("n")).filter("n > 0").select(
-        F.lit(ROOT).alias("node"), F.lit(0).cast("long").alias("depth"), F.lit(None).cast("binary").alias("parent"), F.lit(0).cast("long").alias("words"), F.lit(0).cast("long").alias("total"), "m", "n")
-    nodes = root.unionByName(by_turns(alone, "m", "n")).unionByName(refined)
-    nodes = saved(nodes, "trie-nodes")
-    kids = nodes.filter("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("n_children"))
-    nodes = saved(nodes.join(kids, "node", "left").na.fill(0, ["n_children"]), "trie-counted")
+    zero = F.lit(0).cast("long")
+    root = begun.filter("start <= 0").agg(F.min("conv_id").alias("m"), F.count(F.lit(1)).alias("n")).filter("n > 0").select(
+        F.lit(ROOT).alias("node"), zero.alias("depth"), F.lit(None).cast("binary").alias("parent"), zero.alias("words"), zero.alias("total"), "m", "n")
+    nodes = saved(root.unionByName(by_turns(alone, "m", "n")).unionByName(refined), "trie-nodes")
+    edges = nodes.filter("parent is not null").select(F.col("parent").alias("node"), F.lit(1).alias("child"))
+    own = ["depth", "parent", "words", "total", "m", "n"]
+    counted = nodes.unionByName(edges, allowMissingColumns=True).groupBy("node").agg(*[F.max(c).alias(c) for c in own], F.coalesce(F.sum("child"), F.lit(0)).alias("n_children"))
+    nodes = saved(counted, "trie-counted")
 
     # per conversation: where it ends, the words it shares with smaller ones, whether it stands for a leaf
-    last = F.max(F.struct("start", "node", F.element_at("turns", -1).total.alias("total"))).alias("z")
-    ends = blocks.groupBy("conv_id").agg(last, F.count(F.lit(1)).alias("n_blocks"))
-    owned = nodes.groupBy(F.col("m").alias("conv_id")).agg(F.min(F.col("total") - F.col("words")).alias("shared"))
-    leaves = nodes.filter("n_children = 0").select(F.col("m").alias("conv_id"), F.lit(1).alias("leaf"))
-    stats = convs.join(ends, "conv_id", "left").join(owned, "conv_id", "left").join(leaves, "conv_id", "left").select(
-        "conv_id", "n_blocks", F.coalesce("z.node", F.lit(ROOT)).alias("node"),
-        F.coalesce("shared", "z.total", F.lit(0)).alias("x"), F.coalesce("leaf", F.lit(0)).alias("leaf"))
-    stats = saved(stats, "trie-stats")
+    last = begun.select("conv_id", F.struct("start", "node", F.coalesce(F.try_element_at("turns", F.lit(-1)).total, F.lit(0)).alias("total")).alias("z"), F.when(F.col("start") >= 0, 1).alias("block"))
+    owned = nodes.select(F.col("m").alias("conv_id"), (F.col("total") - F.col("words")).alias("shared"), F.when(F.col("n_children") == 0, 1).alias("leaf"))
+    stats = last.unionByName(owned, allowMissingColumns=True).groupBy("conv_id").agg(
+        F.max("z").alias("z"), F.sum("block").alias("n_blocks"), F.min("shared").alias("shared"), F.coalesce(F.max("leaf"), F.lit(0)).alias("leaf"))
+    stats = saved(stats.select("conv_id", "n_blocks", F.col("z.node").alias("node"), F.coalesce("shared", "z.total").alias("x"), "leaf"), "trie-stats")
 
     through = hot_key_join(blocks.select("conv_id", "node"), stats.filter("n_blocks is not null").select("conv_id", "n_blocks", "x", "leaf"), "conv_id", "n_blocks", n_blocks)
     sums = through.groupBy("node").agg(F.sum("x").alias("x"), F.sum("leaf").alias("leaf"), F.min_by("x", "conv_id").alias("own_x"))
     known = marked.join(sums, "node")
-    refined = by_turns(known.filter("siblings > 1"), "m", "x", "leaf", "own_x").groupBy("node").agg(F.sum("x").alias("x"), F.sum("leaf").alias("leaf"), F.min_by("own_x", "m").alias("own_x"))
-    alone = by_turns(known.filter("siblings = 1"), "x", "leaf", "own_x").select("node", "x", "leaf", "own_x")
+    refined = by_turns(known, "m", "x", "leaf", "own_x").groupBy("node").agg(F.sum("x").alias("x"), F.sum("leaf").alias("leaf"), F.min_by("own_x", "m").alias("own_x"))
     top = stats.agg(F.sum("x").alias("x"), F.sum("leaf").alias("leaf"), F.min_by("x", "conv_id").alias("own_x")).select(F.lit(ROOT).alias("node"), "x", "leaf", "own_x")
-    sums = top.unionByName(alone).unionByName(refined)
+    sums = top.unionByName(refined)
 
     parents = nodes.filter("n_children > 0").select(F.col("node").alias("parent"), F.col("m").alias("parent_conv_id"), F.col("n_children").alias("of_parent"))
     rows = hot_key_join(nodes, parents, "parent", "of_parent", n_blocks, "left").join(sums, "node").join(digest_of_ids(stats), "node", "left")

@@ -83,15 +83,16 @@ def test_empty_and_turnless(spark):
 def test_summary_carries_on():
     rng = np.random.default_rng(2)
     digests, words = [int(x) for x in rng.integers(0, 1 << 62, 30)], rng.integers(0, 9, 30).tolist()
-    own = np.array([False] * 2 + [True] * 28)
+    head = [(5, 1), (6, 2), (7, 3)]
     for skip in range(4):
-        plain = T.Path(skip)
-        for g, w, o in zip(digests, words, own):
-            plain.own(g, w) if o else plain.push(g, w)
+        plain = T.Path(skip, 4, head)
+        for g, w in zip(digests, words):
+            if plain.own(g, w):
+                plain.take()
         for cut in (1, 3, 4, 9):
-            path = T.Path(skip)
+            path = T.Path(skip, 4, head)
             for a, z in ((0, cut), (cut, 30)):
-                path.carry_on(T.summary(own[a:z], digests[a:z], words[a:z], 4))
+                path.carry_on(T.summary(digests[a:z], words[a:z], 4, 4))
             assert vars(path) == vars(plain)
 
 
