@@ -1,203 +1,213 @@
-"""Exact distributed fuzzy matching.
-
-``fuzzy_top_k``  top-k catalog names per product by token-sort ratio, pruned
-                 losslessly by length (ratio >= t needs min/max >= t/(200-t))
-                 and by the characters both sides have (no common subsequence
-                 is longer); anything below t ranks after everything at or above it,
-                 so top-k of the pruned pairs equals top-k overall for every
-                 candidate that can pass the threshold (ties included).
-``grid_best``    best single candidate with no usable bound (partial ratio
-                 against the category list, unpruned best for diagnostics):
-                 a bounded grid of (product block x catalog block) cells, each
-                 scored inside one Arrow task; only one row per product and
-                 cell leaves the task.
+"""Exact best-first fuzzy search over a packed catalog: no pair is ever a row of a plan.
+
+``fuzzy_top_k``   the k best names per text at or above a threshold (ratio, ties by catalog position).
+``best_match``    the single best name per text, with no threshold (ratio) or with one (partial ratio).
+
+The catalog's names are packed into shards of at most SHARD_ROWS names: sorted by length, in blocks, with character
+counts and codes.  A shard's size is proven before it is collected and broadcast; a larger catalog has several
+shards, whose best are merged.  Only the texts move, spread over ``spark.sql.shuffle.partitions``.
+
+A pair's score is bounded by the characters that both sides share (no common subsequence is longer), by the same
+floating-point operations as the score, so the bound is never below it.  Each text takes its best-bounded names
+first; the bar of its kth score rises, and names bounded below the bar are never scored.  Rounds of falling bounds
+go on until no name is left at or above the bar, so the search is exact at every threshold, also with none.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from planmatch.functions import similarity as S
-from planmatch.operators.joins import band_join
-
-
-def length_band(length: Column, threshold: float) -> tuple[Column, Column]:
-    """Lengths of strings that can reach ``threshold`` against one of ``length`` (widened by one)."""
-    r = threshold / (200.0 - threshold)
-    lo = F.greatest(F.floor(length * F.lit(r)) - 1, F.lit(0)).cast("int")
-    hi = (F.ceil(length / F.lit(r)) + 1).cast("int")
-    return lo, hi
-
-
-#: Characters counted one by one; all others share one count, which only loosens the bound.
-COUNTED = "abcdefghijklmnopqrstuvwxyz0123456789 "
-
-
-def char_counts(text: Column) -> Column:
-    """How often each counted character occurs in ``text``, and the number of all others."""
-    each = [F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))) for c in COUNTED]
-    return F.array(*each, F.length(text) - reduce(add, each))
-
-
-def can_reach(counts_a: Column, counts_b: Column, len_a: Column, len_b: Column, threshold: float) -> Column:
-    """False only for pairs whose ratio is surely below ``threshold``."""
-    shared = reduce(add, [F.least(counts_a[i], counts_b[i]) for i in range(len(COUNTED) + 1)])
-    return shared * F.lit(200.0) >= (len_a + len_b) * F.lit(threshold) - F.lit(1e-6)
+from planmatch.operators.joins import proven_size
+
+#: Names in one broadcast shard, names in one of its blocks, texts searched together.
+SHARD_ROWS, BLOCK_ROWS, BATCH_TEXTS = 200_000, 2048, 128
+#: Candidates a text takes in its first round; four times as many in each one after.
+FIRST_ROUND = 8
+
+
+class NameIndex:
+    """Names in order of position, packed for search.  ``search`` gives row numbers in that order."""
+
+    def __init__(self, names: list):
+        points, _, length = S.flat_codes(names)
+        self.names, self.alphabet = names, np.unique(points)
+        self.blocks = []
+        by_length = np.argsort(length, kind="stable")
+        for k in range(0, len(names), BLOCK_ROWS):
+            rows = by_length[k : k + BLOCK_ROWS]
+            own = [names[r] for r in rows]
+            points, first, size = S.flat_codes(own)
+            self.blocks.append((rows, S.char_counts(own), np.searchsorted(self.alphabet, points), first, size))
+
+    def search(self, texts: list, k: int, floor: float | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
+        """(text, row, score) of each text's k best at or above ``floor``, ties to the lower row; and the pairs bounded and scored."""
+        n = len(texts)
+        stats = {"pairs": n * len(self.names), "bounded": 0, "scored": 0}
+        best_score = np.full((n, k), -np.inf)
+        best_row = np.full((n, k), np.iinfo(np.int64).max)
+        has, la = S.char_counts(texts), np.fromiter(map(len, texts), np.int64, n)
+        masks = S.bit_masks(texts, self.alphabet)
+        # nearest lengths first: the bar rises early
+        mean = la.mean() if n else 0
+        for rows, holds, codes, first, size in sorted(self.blocks, key=lambda b: abs(b[4].mean() - mean)):
+            bar = self._bar(best_score, floor)
+            # the least and greatest length of the block bound every pair: whole blocks are left out by length
+            nearest = np.clip(la, size[0], size[-1])
+            live = np.flatnonzero(S.scores_of(la + nearest, np.minimum(la, nearest)) >= bar)
+            if not len(live):
+                continue
+            shared = np.zeros((len(live), len(rows)), np.int16)
+            for c in range(holds.shape[1]):
+                shared += np.minimum(has[live, c][:, None], holds[:, c][None, :])
+            bound = S.scores_of(la[live][:, None] + size[None, :], shared)
+            stats["bounded"] += bound.size
+            take = FIRST_ROUND
+            while True:
+                bound[bound < self._bar(best_score[live], floor)[:, None]] = -1.0
+                open_ = np.flatnonzero((bound >= 0).any(1))
+                if not len(open_):
+                    break
+                some = bound[open_]
+                if take < some.shape[1]:
+                    top = np.argpartition(-some, take - 1, axis=1)[:, :take]
+                    at = np.repeat(np.arange(len(open_)), take)
+                    col = top.ravel()
+                    keep = some[at, col] >= 0
+                    at, col = open_[at[keep]], col[keep]
+                else:
+                    at, col = np.nonzero(some >= 0)
+                    at = open_[at]
+                bound[at, col] = -1.0
+                take *= 4
+                stats["scored"] += len(at)
+                self._merge(live[at], rows[col], self._scores(texts, masks, la, live[at], rows[col], codes, first[col], size[col]), best_score, best_row, floor)
+        t, j = np.nonzero(best_score > -np.inf)
+        return t, best_row[t, j], best_score[t, j], stats
+
+    @staticmethod
+    def _bar(best_score: np.ndarray, floor: float | None) -> np.ndarray:
+        bar = best_score[:, -1]
+        return np.maximum(bar, 0.0 if floor is None else floor)
+
+    def _scores(self, texts, masks, la, t, row, codes, first, size) -> np.ndarray:
+        lcs = np.zeros(len(t), np.int64)
+        wide = la[t] > S.WORD
+        for i in np.flatnonzero(wide):
+            lcs[i] = S.lcs_length(texts[t[i]], self.names[row[i]])
+        sel = np.flatnonzero(~wide)
+        if len(sel):
+            lcs[sel] = S.lcs_masked(masks, t[sel], la[t[sel]], codes, first[sel], size[sel])
+        return S.scores_of(la[t] + size, lcs)
+
+    @staticmethod
+    def _merge(t, row, score, best_score, best_row, floor) -> None:
+        if floor is not None:
+            t, row, score = (x[score >= floor] for x in (t, row, score))
+        touched = np.unique(t)
+        k = best_score.shape[1]
+        t = np.concatenate([t, np.repeat(touched, k)])
+        score = np.concatenate([score, best_score[touched].ravel()])
+        row = np.concatenate([row, best_row[touched].ravel()])
+        order = np.lexsort((row, -score, t))
+        t, score, row = t[order], score[order], row[order]
+        start = np.flatnonzero(np.diff(t, prepend=-1))
+        nth = np.arange(len(t)) - np.repeat(start, np.diff(start, append=len(t)))
+        top = nth < k
+        best_score[t[top], nth[top]], best_row[t[top], nth[top]] = score[top], row[top]
+
+
+def _shards(refs: DataFrame, name_col: str, pos_col: str, id_col: str) -> list[pd.DataFrame]:
+    """The catalog's (id, name) in order of position, in shards of a proven number of rows."""
+    spark = refs.sparkSession
+    cols = list(dict.fromkeys([id_col, name_col, pos_col]))
+    small = refs.select(*cols).filter(F.col(name_col).isNotNull())
+    rows, _ = proven_size(small)
+    n = max(1, math.ceil(rows / SHARD_ROWS))
+    parts = [small] if n == 1 else [small.filter(F.pmod(F.xxhash64(id_col), F.lit(n)) == i) for i in range(n)]
+    return [p.toPandas().sort_values([pos_col, id_col], kind="stable").reset_index(drop=True) for p in parts]
 
 
 def scoring_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def fuzzy_candidates(products: DataFrame, refs: DataFrame, key_cols: list[str], threshold: float,
-                     refs_small: bool, product_key: str = "TOKEN_KEY", ref_key: str = "REF_TOKEN_KEY") -> DataFrame:
-    """The (product, reference) pairs that can reach ``threshold`` by length and characters, scored.
+def _searched(texts: DataFrame, text_col: str, found, pos_type: T.DataType, id_type: T.DataType, index) -> DataFrame:
+    """Runs ``found(index, texts) -> (text, row, score)`` over all texts; FOUND_ID, FOUND_POS and SCORE of what it finds."""
+    spark = texts.sparkSession
+    held = spark.sparkContext.broadcast(index)
+    schema = T.StructType([T.StructField(text_col, T.StringType()), T.StructField("FOUND_ID", id_type), T.StructField("FOUND_POS", pos_type), T.StructField("SCORE", T.DoubleType())])
 
-    Both bounds are native and sit in the join below the scorer, so no other
-    pair reaches Python.
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
 
-    The distinct product keys are few bytes but many scorer calls, so they are
-    spread over an explicit number of partitions: AQE would otherwise coalesce
-    the small shuffle into a single scoring task.  The partition expression is
-    a hash *value* on purpose, so the optimizer cannot fold it into the
-    distinct's exchange; the top-k window's exchange that follows runs after
-    the map-side partial top-k and moves at most k rows per key and partition.
-    """
-    n = scoring_partitions(products.sparkSession)
-    p = products.repartition(n, F.xxhash64(*key_cols)).withColumns(
-        {"__plen": F.length(product_key), "__pchars": char_counts(F.col(product_key))})
-    lo, hi = length_band(F.col("__plen"), threshold)
-    r = refs.withColumns({"__rlen": F.length(ref_key), "__rchars": char_counts(F.col(ref_key))})
-    pairs = band_join(p, r, "__plen", "__rlen", lo, hi, refs_small).filter(
-        can_reach(F.col("__pchars"), F.col("__rchars"), F.col("__plen"), F.col("__rlen"), threshold))
-    pairs = pairs.drop("__plen", "__rlen", "__pchars", "__rchars")
-    return pairs.withColumn("SCORE", S.ratio_udf(F.col(product_key), F.col(ref_key)))
+        packed, ids, positions = held.value
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            own = sorted(batch.column(0).to_pylist(), key=len)
+            for k in range(0, len(own), BATCH_TEXTS):
+                some = own[k : k + BATCH_TEXTS]
+                t, row, score = found(packed, some)
+                columns = ([some[i] for i in t], [ids[i] for i in row], [positions[i] for i in row], score)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
+    # few bytes but much work: an explicit number of partitions, which AQE does not fold into one
+    spread = texts.select(text_col).filter(F.col(text_col).isNotNull()).repartition(scoring_partitions(spark), F.xxhash64(text_col))
+    return spread.mapInArrow(run, schema)
 
-def fuzzy_top_k(products: DataFrame, refs: DataFrame, key_cols: list[str], threshold: float, k: int,
-                refs_small: bool, pos_col: str = "REF_POS") -> DataFrame:
-    """Top-k references per product (score desc, catalog position asc), rank in RANK."""
-    scored = fuzzy_candidates(products, refs, key_cols, threshold, refs_small)
-    w = Window.partitionBy(*key_cols).orderBy(F.col("SCORE").desc(), F.col(pos_col).asc())
-    return scored.withColumn("RANK", F.row_number().over(w)).filter(F.col("RANK") <= k)
 
+def _search(texts, refs, text_col, name_col, pos_col, id_col, pack, found, k) -> DataFrame:
+    """The best of all shards, ranked: ``text_col``, FOUND_ID, FOUND_POS, SCORE, RANK."""
+    shards = [_searched(texts, text_col, found, refs.schema[pos_col].dataType, refs.schema[id_col].dataType,
+                        (pack(s[name_col].tolist()), s[id_col].tolist(), s[pos_col].tolist()))
+              for s in _shards(refs, name_col, pos_col, id_col)]
+    all_found = shards[0]
+    for s in shards[1:]:
+        all_found = all_found.unionAll(s)
+    w = Window.partitionBy(text_col).orderBy(F.col("SCORE").desc(), F.col("FOUND_POS").asc(), F.col("FOUND_ID").asc())
+    return all_found.withColumn("RANK", F.row_number().over(w)).filter(F.col("RANK") <= k)
 
-# ---------------------------------------------------------------------------
-# grid scorer
-# ---------------------------------------------------------------------------
 
+def fuzzy_top_k(texts: DataFrame, refs: DataFrame, threshold: float, k: int, text_col: str = "TOKEN_KEY",
+                name_col: str = "REF_TOKEN_KEY", pos_col: str = "REF_POS", id_col: str = "REF_KEY") -> DataFrame:
+    """The k best references at or above ``threshold`` per distinct text: all of refs' columns, SCORE and RANK."""
+    def found(index, some):
+        return index.search(some, k, threshold)[:3]
 
-def _grid_dims(n_right: int, cell_right: int, left_blocks: int) -> tuple[int, int]:
-    """Right side cut into blocks of at most ``cell_right`` rows; left side hashed
-    into ``left_blocks`` blocks (the shuffle parallelism, so blocks shrink as
-    the cluster grows with the data)."""
-    return max(1, left_blocks), max(1, math.ceil(n_right / cell_right))
+    top = _search(texts, refs, text_col, name_col, pos_col, id_col, NameIndex, found, k)
+    return top.withColumnRenamed("FOUND_ID", id_col).drop("FOUND_POS").join(refs, id_col)
 
 
-def grid_best(left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_text: str,
-              right_pos: str, payload: list[str], scorer: str = "ratio", min_score: float | None = None,
-              cell_right: int = 2_000, left_blocks: int | None = None) -> DataFrame:
-    """Best right row per left row: max score, then min position.
+def best_match(texts: DataFrame, refs: DataFrame, text_col: str, name_col: str, pos_col: str, id_col: str,
+               scorer: str = "ratio", min_score: float | None = None) -> DataFrame:
+    """The best reference per distinct text (score, then position): all of refs' columns and BEST_SCORE.
 
-    ``left`` must have a unique ``left_id``; the result has ``left_id``,
-    BEST_SCORE, BEST_POS and the ``payload`` columns of the best right row.
-    Rows with no candidate (or none reaching ``min_score``) are absent.
+    Texts with no reference, or none at ``min_score``, are absent.
     """
-    spark = left.sparkSession
-    if left_blocks is None:
-        left_blocks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    # the right side is a catalog derivation: counting it is one cheap job
-    n_right = right.count()
-    if n_right == 0:
-        schema = left.select(left_id).schema
-        for f in right.select(*payload).schema.fields:
-            schema = schema.add(f.name, f.dataType, True)
-        schema = schema.add("BEST_SCORE", T.DoubleType()).add("BEST_POS", right.schema[right_pos].dataType)
-        return spark.createDataFrame([], schema)
-    r_blocks, c_blocks = _grid_dims(n_right, cell_right, left_blocks)
-
-    lsel = left.select(F.col(left_id).alias("__id"), F.col(left_text).alias("__lt"))
-    # block ids are int on both sides: equal ids must hash to the same partition
-    lsel = lsel.withColumn("__i", F.pmod(F.xxhash64("__id"), F.lit(r_blocks)).cast("int"))
-    lsel = lsel.withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
-    rsel = right.select(F.col(right_text).alias("__rt"), F.col(right_pos).alias("__pos"),
-                        *[F.col(c) for c in payload])
-    rsel = rsel.withColumn("__j", F.pmod(F.xxhash64("__pos"), F.lit(c_blocks)).cast("int"))
-    rsel = rsel.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))))
-
-    id_type = left.schema[left_id].dataType
-    pos_type = right.schema[right_pos].dataType
-    # every output field nullable: empty cells emit one all-null sentinel row
-    out_schema = T.StructType([T.StructField("__id", id_type, True)]
-                              + [T.StructField(c, right.schema[c].dataType, True) for c in payload]
-                              + [T.StructField("BEST_SCORE", T.DoubleType(), True),
-                                 T.StructField("BEST_POS", pos_type, True)])
-    score_fn = S.ratio if scorer == "ratio" else S.partial_ratio
-    cutoff = min_score
-
-    names = [f.name for f in out_schema.fields]
-    # a cell with no output still returns one all-null row (filtered below):
-    # empty frames from a cogroup are not accepted by the Arrow serializer
-    sentinel = pd.DataFrame([[None] * len(names)], columns=names)
-
-    def score_cell(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        if lp.empty or rp.empty:
-            return sentinel
-        rp = rp.sort_values("__pos", kind="stable")
-        texts = rp["__rt"].tolist()
-        rows = rp.to_dict("records")
-        out = []
-        if scorer == "ratio":
-            # all pairs of the cell in one vectorised call; right rows are in
-            # position order, so the first maximum is the lowest position
-            lids, lts = lp["__id"].tolist(), lp["__lt"].tolist()
-            nl, nr = len(lts), len(texts)
-            scores = S.ratio_batch([x for x in lts for _ in range(nr)], texts * nl).reshape(nl, nr)
-            for k in range(nl):
-                row_scores = scores[k]
-                if np.all(np.isnan(row_scores)):
-                    continue
-                best_i = int(np.nanargmax(row_scores))
-                best = float(row_scores[best_i])
-                if cutoff is not None and best < cutoff:
-                    continue
-                row = rows[best_i]
-                out.append([lids[k]] + [row[c] for c in payload] + [best, row["__pos"]])
-            return pd.DataFrame(out, columns=names) if out else sentinel
-        for lid, lt in zip(lp["__id"], lp["__lt"]):
-            best, best_i = None, -1
-            for i, t in enumerate(texts):
-                s = score_fn(lt, t)
-                if s is None:
-                    continue
-                if best is None or s > best:
-                    best, best_i = s, i
-            if best is None or (cutoff is not None and best < cutoff):
-                continue
-            row = rows[best_i]
-            out.append([lid] + [row[c] for c in payload] + [best, row["__pos"]])
-        if not out:
-            return sentinel
-        return pd.DataFrame(out, columns=names)
-
-    # explicit partition count: AQE must not fold the cells into a few tasks
-    n_cells = r_blocks * c_blocks
-    lsel = lsel.repartition(n_cells, "__i", "__j")
-    rsel = rsel.repartition(n_cells, "__i", "__j")
-    cells = (
-        lsel.groupBy("__i", "__j")
-        .cogroup(rsel.groupBy("__i", "__j"))
-        .applyInPandas(score_cell, schema=out_schema)
-        .filter(F.col("__id").isNotNull())
-    )
-    w = Window.partitionBy("__id").orderBy(F.col("BEST_SCORE").desc(), F.col("BEST_POS").asc())
-    best = cells.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-    return best.withColumnRenamed("__id", left_id)
+    def ratio_best(index, some):
+        return index.search(some, 1, min_score)[:3]
+
+    def partial_best(names, some):
+        least = -1.0 if min_score is None else min_score
+        best, row = np.full(len(some), -1.0), np.zeros(len(some), np.int64)
+        for k in range(0, len(names), BLOCK_ROWS):  # in order of position: the first of equals stays
+            own = names[k : k + BLOCK_ROWS]
+            group = np.repeat(np.arange(len(some)), len(own))
+            scores = S.partial_batch([t for t in some for _ in own], own * len(some), group, np.maximum(best, least)).reshape(len(some), len(own))
+            col = scores.argmax(1)
+            here = scores[np.arange(len(some)), col]
+            better = here > best
+            best[better], row[better] = here[better], k + col[better]
+        t = np.flatnonzero(best >= max(least, 0.0))
+        return t, row[t], best[t]
+
+    pack, found = (NameIndex, ratio_best) if scorer == "ratio" else (list, partial_best)
+    top = _search(texts, refs, text_col, name_col, pos_col, id_col, pack, found, 1)
+    return top.withColumnRenamed("FOUND_ID", id_col).withColumnRenamed("SCORE", "BEST_SCORE").drop("FOUND_POS", "RANK").join(refs, id_col)

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, null-safe key joins, salted band joins."""
+"""Join helpers: size-checked broadcast, null-safe key joins."""
 
 from __future__ import annotations
 
@@ -8,22 +8,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Dimension sides are broadcast only when both bounds hold; larger ones take
-# the shuffle (salted) path.
+# a shuffle join.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+#: Parquet files hold less than their rows do in memory: the plan's estimate counts so many times.
+PLAN_FACTOR = 16
+
+
+def plan_bytes(df: DataFrame) -> int | None:
+    """The optimiser's size of ``df`` from the files it reads; None where a generator may make more rows than it counts."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if any(node in plan.toString() for node in ("Generate ", "Expand ")):
+        return None
+    return int(str(plan.stats().sizeInBytes()))
+
+
+def proven_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes (serialised JSON length, an over-estimate) of ``df``, by one distributed aggregate."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(row)), F.lit(0))).first())
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                     max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when it is proven to hold <= ``max_rows`` rows and
-    about <= ``max_bytes`` bytes (serialised JSON length, an over-estimate).
+    """Broadcast ``df`` only when it is proven to be small.
 
-    The check runs one job on the (small, dimension) side, limited to
-    ``max_rows + 1`` rows, so the check itself is bounded.
+    The plan's statistics prove it without a job where ``df`` comes from small files.  Otherwise a distributed
+    aggregate counts rows (<= ``max_rows``) and bytes (<= ``max_bytes``).
     """
-    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    n, size = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(row)), F.lit(0))).first()
+    known = plan_bytes(df)
+    if known is not None and known * PLAN_FACTOR <= max_bytes:
+        return F.broadcast(df), True
+    n, size = proven_size(df)
     if n <= max_rows and size <= max_bytes:
         return F.broadcast(df), True
     return df, False
@@ -39,28 +57,3 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
         return out
     return out.drop(*renamed.values())
-
-
-def band_join(left: DataFrame, right: DataFrame, left_len: str, right_len: str, lo, hi,
-              right_small: bool, salts: int | None = None) -> DataFrame:
-    """Equi-join of each left row to the right rows whose length lies in [lo, hi].
-
-    The left side is exploded over the admissible lengths (an exact band, no
-    wasted pairs), then joined on the length.  When the right side is not
-    broadcast, lengths are few and hot, so both sides are salted: left rows
-    pick one salt, right rows are replicated over all salts.
-    """
-    exploded = left.withColumn("__band_len", F.explode(F.sequence(lo, hi)))
-    if salts is None:
-        # a few hundred distinct lengths: salts scale the join keys with the cluster
-        parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        salts = max(8, min(256, parts // 8))
-    if right_small:
-        return exploded.join(right, exploded["__band_len"] == right[right_len], "inner").drop("__band_len")
-    salted_left = exploded.withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
-    salted_right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_left.join(
-        salted_right,
-        (salted_left["__band_len"] == salted_right[right_len]) & (salted_left["__salt"] == salted_right["__salt"]),
-        "inner",
-    ).drop("__band_len", "__salt")

@@ -23,7 +23,7 @@ from planmatch.config import RuleSet
 from planmatch.functions import text as TX
 from planmatch.functions.similarity import partial_ratio_udf
 from planmatch.operators import rules as R
-from planmatch.operators.fuzzy import fuzzy_top_k, grid_best
+from planmatch.operators.fuzzy import best_match, fuzzy_top_k
 from planmatch.operators.joins import null_safe_join, sized_broadcast
 from planmatch.sources import catalog as CAT
 
@@ -159,24 +159,29 @@ def high_confidence_tier(feats: DataFrame, refs: DataFrame) -> DataFrame:
                        .alias("T_HIGH"))
 
 
-def strict_candidates(open_feats: DataFrame, refs: DataFrame, rules: RuleSet, refs_small: bool) -> DataFrame:
-    """Top-k candidates of the open keys with the veto rules evaluated (PASS).
+def strict_candidates(open_feats: DataFrame, refs: DataFrame, rules: RuleSet) -> DataFrame:
+    """Top-k candidates of the open keys that pass the veto rules.
 
     Scores depend only on the sorted-token text, so the top-k is computed
-    once per distinct text and fanned out to the keys by an equi-join.
+    once per distinct text and fanned out to the keys by an equi-join.  The
+    rules that need no Python filter first; the flavour ratio sees what they leave.
     """
     texts = open_feats.select("TOKEN_KEY").distinct()
-    top = fuzzy_top_k(texts, refs, ["TOKEN_KEY"], rules.strict_threshold, rules.top_k, refs_small)
-    cand = open_feats.join(top, "TOKEN_KEY", "inner")
-    return cand.withColumn("PASS", R.all_rules_pass(rules) & (F.col("SCORE") >= rules.strict_threshold))
+    top = fuzzy_top_k(texts, refs, rules.strict_threshold, rules.top_k)
+    cand = open_feats.join(top, "TOKEN_KEY", "inner").filter(R.native_rules_pass(rules))
+    return cand.filter(R.edible_flavor_check(rules))
 
 
-def strict_tier(open_feats: DataFrame, refs: DataFrame, rules: RuleSet, refs_small: bool) -> DataFrame:
-    valid = strict_candidates(open_feats, refs, rules, refs_small).filter("PASS")
-    valid = valid.withColumn("PARTIAL", partial_ratio_udf(F.col("REF_KEY"), F.col("CLEANED")))
-    w = Window.partitionBy(*KEY).orderBy(F.col("SCORE").desc(), F.col("PARTIAL").desc(), F.col("REF_POS").asc())
-    best = valid.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
-    return best.select(*KEY, _result(F.col("REF_CAT"), F.col("SCORE"), F.col("REF_KEY"), C.LABEL_STRICT).alias("T_STRICT"))
+def strict_tier(open_feats: DataFrame, refs: DataFrame, rules: RuleSet) -> DataFrame:
+    """The valid candidate of the best score; equal scores go by partial ratio, which only they are asked for."""
+    valid = strict_candidates(open_feats, refs, rules)
+    own = Window.partitionBy(*KEY)
+    best = valid.withColumn("__best", F.max("SCORE").over(own)).filter(F.col("SCORE") == F.col("__best"))
+    best = best.withColumn("__tied", F.count(F.lit(1)).over(own) > 1)
+    best = best.withColumn("PARTIAL", partial_ratio_udf(F.when(F.col("__tied"), F.col("REF_KEY")), F.col("CLEANED")))
+    w = own.orderBy(F.col("PARTIAL").desc(), F.col("REF_POS").asc())
+    first = best.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
+    return first.select(*KEY, _result(F.col("REF_CAT"), F.col("SCORE"), F.col("REF_KEY"), C.LABEL_STRICT).alias("T_STRICT"))
 
 
 def backup_tier(open_feats: DataFrame, cats: DataFrame, rules: RuleSet) -> DataFrame:
@@ -184,8 +189,7 @@ def backup_tier(open_feats: DataFrame, cats: DataFrame, rules: RuleSet) -> DataF
     edible = open_feats.filter(F.col("P_TYPE") == "edible").select(*KEY, "CLEANED")
     # scored once per distinct cleaned name
     texts = edible.select("CLEANED").distinct()
-    best = grid_best(texts, cats, "CLEANED", "CLEANED", "CAT_LC", "CAT_POS",
-                     ["CAT_LC"], scorer="partial", min_score=rules.partial_threshold, cell_right=500)
+    best = best_match(texts, cats, "CLEANED", "CAT_LC", "CAT_POS", "CAT_LC", scorer="partial", min_score=rules.partial_threshold)
     joined = edible.join(best, "CLEANED", "inner")
     return joined.select(*KEY, _result(F.col("CAT_LC"), F.col("BEST_SCORE"), F.col("CAT_LC"), C.LABEL_BACKUP)
                          .alias("T_BACKUP"))
@@ -263,8 +267,7 @@ def diagnostics(unmatched: DataFrame, refs: DataFrame, rules: RuleSet) -> DataFr
     """Failed veto checks against the single best candidate (no threshold, whole catalog)."""
     # the best candidate depends on the sorted-token text only: one search per text
     texts = unmatched.select("TOKEN_KEY").distinct()
-    best = grid_best(texts, refs, "TOKEN_KEY", "TOKEN_KEY", "REF_TOKEN_KEY", "REF_POS",
-                     ["REF_KEY", "REF_CAT", "REF_GRAMS", "REF_PACK"], scorer="ratio")
+    best = best_match(texts, refs, "TOKEN_KEY", "REF_TOKEN_KEY", "REF_POS", "REF_KEY").select("TOKEN_KEY", "REF_KEY", "REF_CAT", "REF_GRAMS", "REF_PACK")
     joined = unmatched.join(best, "TOKEN_KEY", "left")
     # no candidate at all: category '' and no name (the original's empty defaults)
     joined = joined.withColumn("REF_CAT", F.when(F.col("REF_KEY").isNull(), F.lit("")).otherwise(F.col("REF_CAT")))
@@ -283,7 +286,7 @@ class Catalog:
         cat = CAT.prepare_catalog(catalog, pos_col)
         self.rules = rules
         self.exact, _ = sized_broadcast(CAT.exact_map(cat, rules))
-        self.refs, self.refs_small = sized_broadcast(CAT.reference_names(cat, rules))
+        self.refs, _ = sized_broadcast(CAT.reference_names(cat, rules))
         self.categories = CAT.category_list(cat)
         self.fallback, _ = sized_broadcast(CAT.fallback_rows(cat, rules))
 
@@ -315,7 +318,7 @@ def match_keys(keys: DataFrame, catalog: Catalog, rules: RuleSet, with_diagnosti
     state = keep(state)
     pre = [c for c in ("T_EXACT", "T_ALT", "T_EXCEPTION", "T_HIGH") if c in state.columns]
     open_keys = state.filter(F.coalesce(*[F.col(c) for c in pre]).isNull()).select(*feats.columns)
-    strict = keep(strict_tier(open_keys, catalog.refs, rules, catalog.refs_small))
+    strict = keep(strict_tier(open_keys, catalog.refs, rules))
     state = null_safe_join(state, strict, KEY)
     open2 = null_safe_join(open_keys, strict.select(*KEY), KEY, "left_anti")
     state = null_safe_join(state, backup_tier(open2, catalog.categories, rules), KEY)

@@ -35,16 +35,21 @@ def grams_check(rules: RuleSet, p="P_GRAMS", m="REF_GRAMS", t="P_TYPE") -> Colum
     return F.coalesce(ok, F.lit(False))
 
 
-def flavor_check(rules: RuleSet) -> Column:
+def flavor_check(rules: RuleSet, asked: Column | None = None) -> Column:
+    """Two flavour words in common, or close flavour texts; the ratio is scored only for ``asked`` rows that need it."""
     ref = F.col("REF_FLAVORS")
-    common = F.size(F.array_intersect(F.col("P_FLAVORS"), ref))
-    close = ratio_udf(F.col("P_FLAVOR_STR"), F.col("REF_FLAVOR_STR")) >= rules.flavor_threshold
-    ok = (F.size(ref) > 0) & ((common >= 2) | close)
+    common = F.size(F.array_intersect(F.col("P_FLAVORS"), ref)) >= 2
+    needed = ~common & (F.size(ref) > 0)
+    if asked is not None:
+        needed = needed & asked
+    close = ratio_udf(F.when(needed, F.col("P_FLAVOR_STR")), F.col("REF_FLAVOR_STR")) >= rules.flavor_threshold
+    ok = (F.size(ref) > 0) & (common | close)
     return F.coalesce(ok, F.lit(False))
 
 
 def edible_flavor_check(rules: RuleSet) -> Column:
-    return (F.coalesce(F.col("P_TYPE"), F.lit("")) != "edible") | flavor_check(rules)
+    edible = F.coalesce(F.col("P_TYPE"), F.lit("")) == "edible"
+    return ~edible | flavor_check(rules, edible)
 
 
 def strain_check() -> Column:
@@ -123,6 +128,11 @@ def all_rules_pass(rules: RuleSet) -> Column:
     return reduce(lambda a, b: a & b, [c for _, c in veto_checks(rules)])
 
 
+def native_rules_pass(rules: RuleSet) -> Column:
+    """All rules but the flavour ratio: no Python, so they filter below the scorer."""
+    return reduce(lambda a, b: a & b, [c for name, c in veto_checks(rules) if name != "flavor_check"])
+
+
 # Diagnostic order of the failed-check report (the flavour check is not part of it).
 DIAGNOSTIC_ORDER = ("pr_lock", "type_conflict", "packaging", "brand_lock", "infused_lock",
                     "strain_check", "strain_strict_lock", "grams_check")

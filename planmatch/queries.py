@@ -180,8 +180,8 @@ def fuzzy_top5(spark: SparkSession, sf: str) -> DataFrame:
     """Top-5 catalog names per cleaned sales name, for every candidate at or above 75."""
     texts = _keys(spark, sf, SAL).select("TOKEN_KEY").distinct()
     cat = _catalog(spark, sf, SAL)
-    top = fuzzy_top_k(texts, cat.refs, ["TOKEN_KEY"], SAL.strict_threshold, SAL.top_k, cat.refs_small)
-    return top.filter(F.col("SCORE") >= SAL.strict_threshold).select(
+    top = fuzzy_top_k(texts, cat.refs, SAL.strict_threshold, SAL.top_k)
+    return top.select(
         "TOKEN_KEY", "REF_KEY", F.round("SCORE", 4).alias("SCORE"), F.col("RANK").cast("long").alias("RANK"))
 
 
@@ -198,7 +198,7 @@ def partial_best(spark: SparkSession, sf: str) -> DataFrame:
 def strict_match(spark: SparkSession, sf: str) -> DataFrame:
     feats = _keys(spark, sf, SAL)
     cat = _catalog(spark, sf, SAL)
-    out = L.strict_tier(feats, cat.refs, SAL, cat.refs_small)
+    out = L.strict_tier(feats, cat.refs, SAL)
     return _tier_out(out, "T_STRICT").withColumn("MATCH_SCORE", F.round("MATCH_SCORE", 4))
 
 

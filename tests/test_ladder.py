@@ -1,6 +1,9 @@
 """Ladder tiers on small in-memory catalogs, and the distributed fuzzy join
 against brute force."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from planmatch import config as C
@@ -8,7 +11,8 @@ from planmatch.config import FIXTURE_INVENTORY as INV
 from planmatch.config import FIXTURE_SALES as SAL
 from planmatch.functions import similarity as S
 from planmatch.operators import ladder as L
-from planmatch.operators.fuzzy import fuzzy_top_k, grid_best
+from planmatch.operators import fuzzy
+from planmatch.operators.fuzzy import NameIndex, best_match, fuzzy_top_k
 from planmatch.operators.overrides import direct_sku_match, trim_bulk_override
 from planmatch.config import FIXTURE_WHOLESALE as WHO
 
@@ -76,36 +80,65 @@ def test_inventory_tiers(spark):
     assert r["MATCH_RESULT"] == C.LABEL_NO_MATCH and r["FAILED_CHECKS"] is not None
 
 
-def test_fuzzy_top_k_equals_brute_force(spark):
-    import random
+def _names(rnd, n, most=5):
+    words = ["red", "ring", "blue", "rod", "flower", "indica", "gummies", "1g", "3.5g", "sativa", "x", "éñ日", "a" * 70]
+    return sorted({" ".join(rnd.sample(words, rnd.randint(0, most))) for _ in range(n)})
+
+
+def _refs(spark, refs):
+    return spark.createDataFrame([(r, i, S.token_sort(r)) for i, r in enumerate(refs)], "REF_KEY string, REF_POS long, REF_TOKEN_KEY string")
+
+
+@pytest.mark.parametrize("shard, block", [(200_000, 2048), (30, 7)])
+def test_fuzzy_top_k_equals_brute_force(spark, monkeypatch, shard, block):
+    monkeypatch.setattr(fuzzy, "SHARD_ROWS", shard)
+    monkeypatch.setattr(fuzzy, "BLOCK_ROWS", block)
     rnd = random.Random(3)
-    words = ["red", "ring", "blue", "rod", "flower", "indica", "gummies", "1g", "3.5g", "sativa", "x"]
-    refs = sorted({" ".join(rnd.sample(words, rnd.randint(1, 5))) for _ in range(120)})
-    prods = sorted({" ".join(rnd.sample(words, rnd.randint(1, 5))) for _ in range(60)})
-    ref_df = spark.createDataFrame([(r, i, S.token_sort(r)) for i, r in enumerate(refs)],
-                                   "REF_KEY string, REF_POS long, REF_TOKEN_KEY string")
-    p_df = spark.createDataFrame([(S.token_sort(p),) for p in prods], "TOKEN_KEY string").distinct()
-    got = {(r["TOKEN_KEY"], r["REF_KEY"], r["RANK"]) for r in
-           fuzzy_top_k(p_df, F.broadcast(ref_df), ["TOKEN_KEY"], 75.0, 5, True).filter("SCORE >= 75").collect()}
+    refs, prods = _names(rnd, 120), {S.token_sort(p) for p in [*_names(rnd, 60), "abcd", "abcx", "", "blue red"]}
+    refs += ["abcx", "abcd", "abc"]  # abcd against abcx: exactly 75
+    texts = spark.createDataFrame([(p,) for p in [*prods, None]], "TOKEN_KEY string")
+    got = {(r["TOKEN_KEY"], r["REF_KEY"], r["RANK"], r["SCORE"]) for r in fuzzy_top_k(texts, _refs(spark, refs), 75.0, 5).collect()}
     want = set()
-    for p in {S.token_sort(x) for x in prods}:
+    for p in prods:
         scored = sorted(((S.ratio(p, S.token_sort(r)), i, r) for i, r in enumerate(refs)), key=lambda t: (-t[0], t[1]))
-        for rank, (sc, _, r) in enumerate(scored[:5], start=1):
-            if sc >= 75:
-                want.add((p, r, rank))
+        want |= {(p, r, rank, sc) for rank, (sc, _, r) in enumerate(scored[:5], start=1) if sc >= 75}
+    assert got == want and ("abcd", "abcx", 3, 75.0) in got
+
+
+@pytest.mark.parametrize("scorer, least", [("ratio", None), ("partial", None), ("partial", 70.0)])
+@pytest.mark.parametrize("shard, block", [(200_000, 2048), (30, 7)])
+def test_best_match_equals_brute_force(spark, monkeypatch, scorer, least, shard, block):
+    monkeypatch.setattr(fuzzy, "SHARD_ROWS", shard)
+    monkeypatch.setattr(fuzzy, "BLOCK_ROWS", block)
+    rnd = random.Random(4)
+    refs, prods = _names(rnd, 70), [*_names(rnd, 30, 3), "zzz", "q"]
+    texts = spark.createDataFrame([(p,) for p in [*prods, None]], "T string")
+    got = {r["T"]: (r["REF_KEY"], r["BEST_SCORE"]) for r in best_match(texts, _refs(spark, refs), "T", "REF_KEY", "REF_POS", "REF_KEY", scorer, least).collect()}
+    score = S.ratio if scorer == "ratio" else S.partial_ratio
+    want = {}
+    for p in prods:
+        best = max((score(p, r), -i, r) for i, r in enumerate(refs))
+        if least is None or best[0] >= least:
+            want[p] = (best[2], best[0])
     assert got == want
+    assert best_match(texts, _refs(spark, refs).limit(0), "T", "REF_KEY", "REF_POS", "REF_KEY", scorer, least).count() == 0
 
 
-def test_grid_best_equals_brute_force(spark):
-    left = ["lime zest gummies", "berry", "", "qq"]
-    right = ["brand#1 hybrid gummies", "brand#2 lime", "berry blast", "zz"]
-    l_df = spark.createDataFrame([(x,) for x in left], "T string")
-    r_df = spark.createDataFrame([(x, i) for i, x in enumerate(right)], "R string, POS long")
-    got = {r["T"]: (r["R"], r["BEST_SCORE"]) for r in
-           grid_best(l_df, r_df, "T", "T", "R", "POS", ["R"], scorer="partial", cell_right=2, left_blocks=3).collect()}
-    for t in left:
-        best = max(((S.partial_ratio(t, r), -i, r) for i, r in enumerate(right)))
-        assert got[t] == (best[2], best[0])
+def test_most_pairs_are_never_scored():
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 9))) for _ in range(200)]
+    refs = [" ".join(rnd.sample(words, 4)) for _ in range(3_000)]
+    texts = [r.replace("e", "i", 1) + " x" for r in refs[::30]]
+    _, _, _, stats = NameIndex(refs).search(texts, 5, 75.0)
+    assert stats["pairs"] == 300_000 and stats["scored"] < stats["pairs"] / 20
+
+
+def test_no_pair_is_a_row_of_the_plan(spark):
+    """Only texts and what was found are rows: no join below the search, no cogroup."""
+    texts = spark.createDataFrame([("abc",)], "TOKEN_KEY string")
+    plan = fuzzy_top_k(texts, _refs(spark, ["abc", "abd"]), 75.0, 5)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]
+    assert "Join" not in below[: below.index("LogicalRDD")] and "CoGroup" not in plan and "Generate" not in plan
 
 
 def test_wholesale_override(spark):
@@ -119,16 +152,6 @@ def test_wholesale_override(spark):
     assert out["d"]["MATCHED_SNOP_CATEGORY"] == "SKU"
 
 
-def test_band_join_salted_path_equals_broadcast(spark):
-    from planmatch.operators.joins import band_join
-    left = spark.createDataFrame([("a" * n,) for n in (1, 5, 9, 20)], "T string").withColumn("L", F.length("T"))
-    right = spark.createDataFrame([("b" * n,) for n in range(1, 25)], "R string").withColumn("RL", F.length("R"))
-    lo, hi = F.col("L") - 2, F.col("L") + 2
-    small = {tuple(r) for r in band_join(left, right, "L", "RL", lo, hi, True).select("T", "R").collect()}
-    salted = {tuple(r) for r in band_join(left, right, "L", "RL", lo, hi, False, salts=5).select("T", "R").collect()}
-    assert small == salted and len(small) == 3 + 5 + 5 + 5
-
-
 def test_sized_broadcast_checks_rows_and_bytes(spark):
     from planmatch.operators.joins import sized_broadcast
     df = spark.createDataFrame([(i, "x" * 50) for i in range(10)], "id int, s string")
@@ -138,17 +161,42 @@ def test_sized_broadcast_checks_rows_and_bytes(spark):
     assert sized_broadcast(df.limit(0))[1]
 
 
-def test_character_bound_loses_no_pair_at_the_threshold(spark):
-    """Scores of exactly 75, other alphabets, long and empty texts: what reaches 75 is never pruned."""
-    from planmatch.operators.fuzzy import can_reach, char_counts
+def test_character_bound_is_never_below_the_score():
     texts = ["", "abcd", "abcx", "abc", "abcde", "éñ日本", "éñ日x", "ab cd ef", "a" * 80, "a" * 50 + "b" * 30, "1.5g", "15g"]
-    rows = [(a, b, S.ratio(a, b)) for a in texts for b in texts]
-    df = spark.createDataFrame(rows, "a string, b string, s double")
-    kept = df.filter(can_reach(char_counts(F.col("a")), char_counts(F.col("b")), F.length("a"), F.length("b"), 75.0))
-    want = {(a, b) for a, b, s in rows if s >= 75}
-    assert ("abcd", "abcx") in want
-    assert want <= {(r["a"], r["b"]) for r in kept.collect()}
-    assert kept.count() < df.count()
+    a, b = [x for x in texts for _ in texts], texts * len(texts)
+    shared = S.np.minimum(S.char_counts(a), S.char_counts(b)).sum(1)
+    bound = S.scores_of(S.np.array([len(x) + len(y) for x, y in zip(a, b)]), shared)
+    assert (bound >= S.ratio_batch(a, b)).all() and (bound > S.ratio_batch(a, b)).any()
+
+
+def test_size_is_proven_by_the_plan_without_a_job(spark, sf_small):
+    """A frame over small files is broadcast by its statistics; a generator or unknown size is counted."""
+    from planmatch.operators.joins import plan_bytes, sized_broadcast
+    parts = spark.read.parquet(f"{sf_small}/part.parquet")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("size", "size")
+    try:
+        assert sized_broadcast(parts.groupBy("p_name").count())[1] and not tracker.getJobIdsForGroup("size")
+        assert plan_bytes(parts.select(F.explode(F.sequence(F.lit(1), F.col("p_size"))))) is None
+        assert not sized_broadcast(parts, max_bytes=10)[1] and tracker.getJobIdsForGroup("size")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_ties_alone_are_asked_for_a_partial_ratio(spark):
+    """Two catalog names of one score: the partial ratio decides; where the best is alone none is scored."""
+    cat = [(1, "Flower Indica Ring Red 3.5g", "Brand#9 Indica Flower", "Brand#9"), (2, "Red Ring Indica Flower 3.5g", "Brand#9 Indica Flower", "Brand#9"),
+           (3, "Blue Gear Indica Flower 3.5g", "Brand#9 Indica Flower", "Brand#9")]
+    keys_ = L.product_features(keys(spark, [("Red Rings Indica Flower 3.5g", "Brand#9"), ("Blue Gearx Indica Flower 3.5g", "Brand#9")]), SAL)
+    refs = L.Catalog(catalog(spark, cat), SAL).refs
+    valid = L.strict_candidates(keys_, refs, SAL).collect()
+    got = {r["PRODUCTNAME"]: r["T_STRICT"] for r in L.strict_tier(keys_, refs, SAL).collect()}
+    for name, own in got.items():
+        mine = [r for r in valid if r["PRODUCTNAME"] == name]
+        best = max(mine, key=lambda r: (r["SCORE"], S.partial_ratio(r["REF_KEY"], r["CLEANED"]), -r["REF_POS"]))
+        assert own["ref"] == best["REF_KEY"]
+    tied = [r for r in valid if r["PRODUCTNAME"] == "Red Rings Indica Flower 3.5g"][:2]
+    assert tied[0]["SCORE"] == tied[1]["SCORE"] and got["Red Rings Indica Flower 3.5g"]["ref"] == "red ring indica flower 3.5g"
 
 
 def test_fallback_takes_weights_less_than_a_twentieth_apart(spark):

@@ -69,3 +69,24 @@ def test_long_strings_use_big_integers():
 
 def test_nfkd():
     assert S.nfkd_fold("Ã³ ñ ½") == "A3 n 12"
+
+
+def test_batches_equal_single_pairs():
+    rnd = random.Random(8)
+
+    def text(n):
+        return "".join(rnd.choice("abcd é日x") for _ in range(n))
+
+    a = [text(rnd.randint(0, 20)) for _ in range(600)] + [text(70), text(64), text(65), "", ""]
+    b = [text(rnd.randint(0, 20)) for _ in range(600)] + [text(90), text(64), text(64), "", "abc"]
+    assert (S.lcs_pairs(a, b) == [S.lcs_length(x, y) for x, y in zip(a, b)]).all()
+    assert (S.ratio_batch(a, b) == [S.ratio(x, y) for x, y in zip(a, b)]).all()
+    exact = S.np.array([S.partial_ratio(x, y) for x, y in zip(a, b)])
+    assert (S.partial_batch(a, b) == exact).all()
+    group = S.np.arange(len(a)) % 40
+    got = S.partial_batch(a, b, group, 40.0)
+    assert (got <= exact).all()
+    for k in range(40):  # the best of a group is exact, the others are never too high
+        own = exact[group == k]
+        assert (got[group == k][own == own.max()] == own.max()).all()
+    assert S.np.isnan(S.ratio_batch([None, "a"], ["a", None])).all() and len(S.partial_batch([], [])) == 0
