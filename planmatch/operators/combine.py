@@ -38,9 +38,16 @@ def align_columns(df1: DataFrame, df2: DataFrame, force: tuple = (), order: list
     return df1.select(*common), df2.select(*common)
 
 
-def union_channels(df1: DataFrame, df2: DataFrame, force: tuple = ("TOTAL_QUANTITY",), order: list | None = None) -> DataFrame:
+def union_channels(df1: DataFrame, df2: DataFrame, force: tuple = ("TOTAL_QUANTITY",), order: list | None = None,
+                   keep_raw: str | None = None) -> DataFrame:
+    """Both channels in their common columns; the quantity becomes a number, or null where it is none.
+
+    ``keep_raw`` names a column that holds the quantity as it was.
+    """
     a, b = align_columns(df1, df2, force, order)
     out = a.unionByName(b)
     if "TOTAL_QUANTITY" in out.columns:
+        if keep_raw:
+            out = out.withColumn(keep_raw, F.col("TOTAL_QUANTITY"))
         out = out.withColumn("TOTAL_QUANTITY", F.col("TOTAL_QUANTITY").try_cast("double"))
     return out

@@ -75,13 +75,15 @@ def label_rows(gated: DataFrame, results: DataFrame, rules: RuleSet) -> DataFram
 
 
 def sales_matched_mask():
-    cat = F.col("MATCHED_SNOP_CATEGORY")
-    return F.col("APPROVED") & F.coalesce(cat.isNotNull() & (cat != ""), F.lit(False))
+    return F.col("APPROVED") & report.is_matched(blank="empty")
 
 
 def inventory_matched_mask():
-    cat = F.col("MATCHED_SNOP_CATEGORY")
-    return F.col("APPROVED") & F.coalesce(cat.isNotNull() & (strip_ws(cat) != ""), F.lit(False))
+    return F.col("APPROVED") & report.is_matched()
+
+
+def with_status(labelled: DataFrame, mask) -> DataFrame:
+    return labelled.withColumn("STATUS", F.when(mask, F.lit("matched")).otherwise(F.lit("unmatched")))
 
 
 def split_sales(labelled: DataFrame):
@@ -97,11 +99,15 @@ def split_sales(labelled: DataFrame):
     return matched, unmatched
 
 
-def split_inventory(labelled: DataFrame):
-    m = inventory_matched_mask()
+def inventory_quantity(labelled: DataFrame) -> DataFrame:
     qty = F.coalesce(F.col("QUANTITYAVAILABLE").try_cast("double"), F.lit(0.0)) \
         if "QUANTITYAVAILABLE" in labelled.columns else F.lit(0.0)
-    out = labelled.withColumn("TOTAL_QUANTITY", qty)
+    return labelled.withColumn("TOTAL_QUANTITY", qty)
+
+
+def split_inventory(labelled: DataFrame):
+    m = inventory_matched_mask()
+    out = inventory_quantity(labelled)
     return out.filter(m), out.filter(~m)
 
 

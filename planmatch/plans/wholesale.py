@@ -23,10 +23,15 @@ def labelled_sales(sales: DataFrame, rules: WholesaleRules = WHOLESALE, as_of=No
     return direct_sku_match(ext.withColumn("UNIT_COUNT", sales_unit_count(rules)))
 
 
+def sales_table(labelled: DataFrame) -> DataFrame:
+    """All rows in the output layout."""
+    return labelled.select(*SALES_FINAL).withColumnRenamed("UNIT_COUNT", "TOTAL_QUANTITY")
+
+
 def split_sales(labelled: DataFrame):
     """(matched, unmatched) in the output layout; an empty SKU counts as matched."""
-    has = F.col("MATCHED_SNOP_CATEGORY").isNotNull()
-    out = labelled.select(*SALES_FINAL).withColumnRenamed("UNIT_COUNT", "TOTAL_QUANTITY")
+    has = report.is_matched(blank="matched")
+    out = sales_table(labelled)
     return out.filter(has), out.filter(~has)
 
 

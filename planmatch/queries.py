@@ -19,6 +19,7 @@ from planmatch.functions import text as TX
 from planmatch.operators import combine, report
 from planmatch.operators import ladder as L
 from planmatch.operators.fuzzy import fuzzy_top_k
+from planmatch.operators.joins import null_safe_join
 from planmatch.plans import retail, wholesale
 from planmatch.plans import pipelines as P
 from planmatch.sources import catalog as CAT
@@ -203,7 +204,12 @@ def strict_match(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def edible_backup(spark: SparkSession, sf: str) -> DataFrame:
-    return partial_best(spark, sf)
+    """The backup where it stands in the ladder: edible keys of the run that the exact and strict tiers leave open."""
+    cat = _catalog(spark, sf, SAL)
+    feats = L.product_features(L.product_keys(P.gated_sales(spark, sf).filter("APPROVED"), SAL), SAL)
+    open_keys = L.exact_tiers(feats, cat.exact).filter("T_EXACT IS NULL AND T_ALT IS NULL").select(*feats.columns)
+    left = null_safe_join(open_keys, L.strict_tier(open_keys, cat.refs, SAL).select(*L.KEY), L.KEY, "left_anti")
+    return _tier_out(L.backup_tier(left, cat.categories, SAL), "T_BACKUP").withColumn("MATCH_SCORE", F.round("MATCH_SCORE", 4))
 
 
 def preroll_fallback(spark: SparkSession, sf: str) -> DataFrame:
@@ -269,9 +275,17 @@ def match_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def row_accounting(spark: SparkSession, sf: str) -> DataFrame:
-    s = P.accounting(P.retail_sales_outputs(spark, sf)).withColumn("CHANNEL", F.lit("retail_sales"))
-    i = P.accounting(P.retail_inventory_outputs(spark, sf)).withColumn("CHANNEL", F.lit("retail_inventory"))
-    return s.unionByName(i)
+    return P.accounting(spark, sf)
+
+
+def combined_controls(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, quantity and null quantities of the combined tables, before and after the quantity's conversion."""
+    return _round(P.combined_controls(spark, sf), ["QUANTITY_BEFORE", "QUANTITY_AFTER"])
+
+
+def csv_exports(spark: SparkSession, sf: str) -> DataFrame:
+    """The wholesale run's CSV files, read back."""
+    return _round(P.wholesale_exports(spark, sf), ["QUANTITY", "REVENUE"])
 
 
 def combined_sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -289,6 +303,26 @@ def combined_inventory(spark: SparkSession, sf: str) -> DataFrame:
     return _round(_round(m.unionByName(u), ["TOTAL_QUANTITY"]), ["MATCH_SCORE"], 4)
 
 
+def catalog_last_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """Both name maps of a catalog with padded headers and many rows a name."""
+    raw = tables(spark, sf).product.select(F.col("PRODUCTNAME").alias(" PRODUCTNAME "), F.col("PRODUCTSKU").alias("SNOPCATEGORY "),
+                                           F.col("PRODUCTID").alias(f" {CAT.POS}"))
+    cat = CAT.prepare_catalog(raw)
+    exact = CAT.exact_map(cat, SAL).select(F.lit("exact").alias("MAP"), F.col("KEY").alias("NAME"), F.lit(None).cast("long").alias("FIRST_POS"),
+                                           F.col("CAT").alias("CATEGORY"))
+    names = CAT.reference_names(cat, SAL).select(F.lit("reference").alias("MAP"), F.col("REF_KEY").alias("NAME"), F.col("REF_POS").alias("FIRST_POS"),
+                                                 F.col("REF_CAT").alias("CATEGORY"))
+    return exact.unionByName(names)
+
+
+def reference_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Two channels of which one has no quantity (forced, null), under the original's column names."""
+    stock = wholesale.labelled_inventory(tables(spark, sf).wholesale_inventory, WHO)
+    other = X.retail_inventory_snapshot(tables(spark, sf).retail_inventory, INV)
+    other = other.withColumns({"MATCHED_SNOP_CATEGORY": F.col("CATEGORY"), "MATCH_RESULT": F.lit(C.LABEL_NO_MATCH)})
+    return combine.to_reference_names(_round(combine.union_channels(stock, other), ["TOTAL_QUANTITY"]))
+
+
 # --------------------------------------------------------------------------- M8
 
 
@@ -305,15 +339,13 @@ def inventory_pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_reload(spark: SparkSession, sf: str) -> DataFrame:
-    """Reload the combined matched sales batch twice into a fresh table; read it back (= one batch)."""
-    df = P.reload_demo(spark, sf, kind="window")
-    return _round(_round(df, ["TOTAL_QUANTITY"]), ["TOTAL_REVENUE", "MATCH_SCORE"], 4)
+    """Both combined sales tables after a window reload over an older load: old rows before the window, new ones in it."""
+    return _round(_round(P.reload_sales(spark, sf), ["TOTAL_QUANTITY"]), ["TOTAL_REVENUE", "MATCH_SCORE"], 4)
 
 
 def snapshot_reload(spark: SparkSession, sf: str) -> DataFrame:
-    """Reload the combined matched inventory snapshot twice; read it back (= one batch)."""
-    df = P.reload_demo(spark, sf, kind="snapshot")
-    return _round(_round(df, ["TOTAL_QUANTITY"]), ["MATCH_SCORE"], 4)
+    """Both combined inventory tables after a snapshot reload over an older load of two dates."""
+    return _round(_round(P.reload_inventory(spark, sf), ["TOTAL_QUANTITY"]), ["MATCH_SCORE"], 4)
 
 
 QUERIES = {
@@ -340,6 +372,8 @@ QUERIES = {
     "partial_best": partial_best,
     "strict_match": strict_match,
     "edible_backup": edible_backup,
+    "catalog_last_wins": catalog_last_wins,
+    "reference_layout": reference_layout,
     "preroll_fallback": preroll_fallback,
     "bulk_override": bulk_override,
     "trim_bulk_override": trim_bulk_override,
@@ -351,6 +385,8 @@ QUERIES = {
     "daily_summary": daily_summary,
     "match_rate": match_rate,
     "row_accounting": row_accounting,
+    "combined_controls": combined_controls,
+    "csv_exports": csv_exports,
     "combined_sales": combined_sales,
     "combined_inventory": combined_inventory,
     "sales_pipeline": sales_pipeline,

@@ -3,8 +3,11 @@
 Everything is declarative so Catalyst pushes the filters and the column list
 into the parquet scan and plans the roll-ups as partial + final aggregates.
 ``as_of`` is always a parameter (a date, a string or a Column); ``None`` means
-"the latest date present in the data", planned as an uncorrelated scalar
-subquery (no driver round trip).
+"the latest date present in the data", found first by one job over the date
+column.  The bounds are then literals: Catalyst turns the comparison of a
+timestamp's date into a half-open range on the raw column and pushes it into
+the scan (row groups outside are skipped; a table partitioned by date reads
+only the partitions inside).
 """
 
 from __future__ import annotations
@@ -35,10 +38,10 @@ def as_date(c) -> Column:
 
 
 def as_of_column(df: DataFrame, date_col: str, as_of=None) -> Column:
-    if as_of is None:
-        return df.select(F.max(as_date(date_col))).scalar()
     if isinstance(as_of, Column):
         return as_of
+    if as_of is None:
+        as_of = df.agg(F.max(as_date(date_col))).first()[0]
     if isinstance(as_of, (_dt.date, _dt.datetime)):
         as_of = as_of.isoformat()[:10]
     return F.lit(as_of).cast("date")
@@ -111,8 +114,7 @@ def wholesale_sales_extract(sales: DataFrame, rules: WholesaleRules = WHOLESALE,
 
 def latest_snapshot(df: DataFrame, date_col: str = "INVENTORYDATE") -> DataFrame:
     """Rows of the latest snapshot date; the max is taken over all rows first."""
-    latest = df.select(F.max(as_date(date_col))).scalar()
-    return df.filter(as_date(date_col) == latest)
+    return df.filter(as_date(date_col) == as_of_column(df, date_col))
 
 
 def retail_inventory_snapshot(inv: DataFrame, rules: RuleSet) -> DataFrame:

@@ -623,7 +623,6 @@ SELECT e.PRODUCTNAME, e.BRANDNAME, b.C AS MATCHED_SNOP_CATEGORY, round(b.P, 4) A
        'Backup S&OP Match' AS MATCH_RESULT
 FROM ed e JOIN bk_best b ON b.X = e.X AND b.RN = 1
 WHERE b.P >= 70""")
-ORACLE_SQL["edible_backup"] = ORACLE_SQL["partial_best"]
 
 # --------------------------------------------------------------------------- sales ladder and reports
 
@@ -718,6 +717,12 @@ ORACLE_SQL["sales_ladder"] = _SALES_LADDER_CTES + """
 SELECT PRODUCTNAME, BRANDNAME, MATCHED_SNOP_CATEGORY, round(MATCH_SCORE, 4) AS MATCH_SCORE, MATCHED_REFERENCE, MATCH_RESULT
 FROM ladder"""
 
+# the edible backup where it stands in the ladder: keys that the tiers before it leave open
+ORACLE_SQL["edible_backup"] = _SALES_LADDER_CTES + """
+SELECT PRODUCTNAME, BRANDNAME, C_CAT AS MATCHED_SNOP_CATEGORY, round(C_SCORE, 4) AS MATCH_SCORE, C_REF AS MATCHED_REFERENCE,
+       C_LABEL AS MATCH_RESULT
+FROM chain WHERE C_LABEL = 'Backup S&OP Match'"""
+
 ORACLE_SQL["daily_summary"] = _SALES_LADDER_CTES + """
 SELECT LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY,
        round(coalesce(sum(TOTAL_QUANTITY), 0.0), 2) AS TOTAL_QUANTITY, round(coalesce(sum(TOTAL_REVENUE), 0.0), 4) AS TOTAL_REVENUE
@@ -979,9 +984,61 @@ SELECT LOCATIONNAME, INVENTORYDATE, MATCHED_SNOP_CATEGORY, PRODUCTNAME, BRANDNAM
        MATCH_RESULT, round(MATCH_SCORE, 4) AS MATCH_SCORE, MATCHED_REFERENCE
 FROM inv_both WHERE STATUS = 'matched'"""
 
-ORACLE_SQL["snapshot_reload"] = ORACLE_SQL["inventory_pipeline"]
-ORACLE_SQL["window_reload"] = ORACLE_SQL["combined_sales"].replace(
-    "FROM both_channels", "FROM both_channels WHERE STATUS = 'matched'").replace(", MATCHED_REFERENCE, STATUS\nFROM", ", MATCHED_REFERENCE\nFROM")
+# Reloads: the batch, and of the older load (the batch some days off, with twice the quantity) what the reload leaves.
+ORACLE_SQL["snapshot_reload"] = ORACLE_SQL["combined_inventory"].replace("FROM inv_both", """FROM (
+  SELECT * FROM inv_both
+  UNION ALL
+  SELECT * REPLACE (INVENTORYDATE - 1 AS INVENTORYDATE, TOTAL_QUANTITY * 2 AS TOTAL_QUANTITY) FROM inv_both)""")
+ORACLE_SQL["window_reload"] = ORACLE_SQL["combined_sales"].replace("FROM both_channels", """FROM (
+  SELECT * FROM both_channels
+  UNION ALL
+  SELECT * REPLACE (TRANSACTIONDATE - 45 AS TRANSACTIONDATE, TOTAL_QUANTITY * 2 AS TOTAL_QUANTITY) FROM both_channels
+  WHERE TRANSACTIONDATE - 45 < (SELECT least(min(TRANSACTIONDATE), max(TRANSACTIONDATE) - 90) FROM both_channels))""")
+
+
+def _controls(ctes: str, rows: str, name: str) -> str:
+    return ctes + f"""
+SELECT '{name}' AS TABLE_NAME, s.STATUS, count(r.STATUS) AS ROWS, round(coalesce(sum(r.TOTAL_QUANTITY), 0.0), 2) AS QUANTITY_BEFORE,
+       count(*) FILTER (WHERE r.STATUS IS NOT NULL AND r.TOTAL_QUANTITY IS NULL) AS NULLS_BEFORE,
+       round(coalesce(sum(r.TOTAL_QUANTITY), 0.0), 2) AS QUANTITY_AFTER,
+       count(*) FILTER (WHERE r.STATUS IS NOT NULL AND r.TOTAL_QUANTITY IS NULL) AS NULLS_AFTER
+FROM (VALUES ('matched'), ('unmatched')) s(STATUS) LEFT JOIN {rows} r ON r.STATUS = s.STATUS GROUP BY s.STATUS"""
+
+
+_SALES_ALL_CTES = ORACLE_SQL["combined_sales"][:ORACLE_SQL["combined_sales"].index("\nSELECT LOCATIONNAME, TRANSACTIONDATE, MATCHED_SNOP_CATEGORY, PRODUCTNAME, BRANDNAME, round(")]
+ORACLE_SQL["combined_controls"] = f"""
+SELECT * FROM ({_controls(_SALES_ALL_CTES, 'both_channels', 'sales')})
+UNION ALL
+SELECT * FROM ({_controls(_INV_ALL_CTES, 'inv_both', 'inventory')})"""
+
+_EXPORTED = "count(*) AS ROWS, round(sum({q}), 2) AS QUANTITY, round({r}, 2) AS REVENUE, count({n}) AS NAMED"
+_SALES_FILE = _EXPORTED.format(q="UNIT_COUNT", r="sum(TOTAL_REVENUE)", n="PRODUCTNAME")
+_STOCK_FILE = _EXPORTED.format(q="TOTAL_QUANTITY", r="CAST(NULL AS DOUBLE)", n="PRODUCTNAME")
+ORACLE_SQL["csv_exports"] = f"""
+SELECT 'matched_sales_with_snop_category' AS FILE, {_SALES_FILE} FROM ({ORACLE_SQL['wholesale_units']}) WHERE MATCHED_SNOP_CATEGORY IS NOT NULL
+UNION ALL SELECT 'unmatched_sales_without_snop_category', {_SALES_FILE} FROM ({ORACLE_SQL['wholesale_units']}) WHERE MATCHED_SNOP_CATEGORY IS NULL
+UNION ALL SELECT 'matched_category_summary', {_SALES_FILE} FROM ({ORACLE_SQL['wholesale_category_summary']})
+UNION ALL SELECT 'daily_category_summary', {_EXPORTED.format(q='UNIT_COUNT', r='sum(TOTAL_REVENUE)', n='TRANSACTIONDATE')}
+  FROM ({ORACLE_SQL['wholesale_daily_summary']})
+UNION ALL SELECT 'matched_wholesale_inventory', {_STOCK_FILE} FROM ({ORACLE_SQL['trim_bulk_override']}) WHERE MATCHED_SNOP_CATEGORY IS NOT NULL
+UNION ALL SELECT 'unmatched_wholesale_inventory', {_STOCK_FILE} FROM ({ORACLE_SQL['trim_bulk_override']}) WHERE MATCHED_SNOP_CATEGORY IS NULL"""
+
+# A catalog with many rows a name: the last category by position wins, the first position orders.
+ORACLE_SQL["catalog_last_wins"] = duckdb_ctes(["product"]) + """
+, c AS (SELECT PRODUCTNAME, PRODUCTSKU AS SNOPCATEGORY, PRODUCTID AS POS FROM product)
+SELECT 'exact' AS MAP, PRODUCTNAME AS NAME, CAST(NULL AS BIGINT) AS FIRST_POS, arg_max(SNOPCATEGORY, POS) AS CATEGORY
+FROM c WHERE SNOPCATEGORY IS NOT NULL GROUP BY PRODUCTNAME
+UNION ALL
+SELECT 'reference', lower(PRODUCTNAME), min(POS), arg_max_null(SNOPCATEGORY, POS) FROM c GROUP BY lower(PRODUCTNAME)"""
+
+# The wholesale inventory beside a channel without a quantity, under the original's column names.
+ORACLE_SQL["reference_layout"] = f"""
+SELECT LOCATIONNAME, INVENTORYDATE, PRODUCTNAME, BRANDNAME, MATCHED_SNOP_CATEGORY AS "Matched S&OP Category", MATCH_RESULT AS "Match Result",
+       TOTAL_QUANTITY
+FROM ({ORACLE_SQL['trim_bulk_override']})
+UNION ALL
+SELECT LOCATIONNAME, INVENTORYDATE, PRODUCTNAME, BRANDNAME, CATEGORY, 'No Acceptable Match', CAST(NULL AS DOUBLE)
+FROM ({ORACLE_SQL['retail_latest_snapshot']})"""
 
 
 def _accounting(ctes: str, rows: str, channel: str) -> str:

@@ -17,7 +17,7 @@ from planmatch.sources.fixtures import tables
 from planmatch.sql.oracle import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def _norm(v):
@@ -39,12 +39,14 @@ def _rows(pdf):
     return cols, sorted((tuple(_norm(r[c]) for c in cols) for _, r in pdf.iterrows()), key=repr)
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture
 def con():
+    """A connection for each test: one that fails takes no other with it."""
     c = duckdb.connect()
     for t in TABLES:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    return c
+    yield c
+    c.close()
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
@@ -88,6 +90,46 @@ def test_row_accounting_sees_lost_and_repeated_rows(spark):
             report.assert_balanced(row)
 
 
+def test_run_raises_when_the_join_repeats_rows(spark):
+    """Counted in flight, after the write: key results with a key twice."""
+    gated, results = P.gated_sales(spark, SF), P.sales_key_results(spark, SF)
+    good = P._run(gated, results, P.SAL, P.retail.sales_matched_mask, lambda d: d, None, [], "good")
+    assert good["accounting"]["BALANCED"] and good["accounting"]["INPUT_ROWS"] == gated.count() == good["matched"].count() + good["unmatched"].count()
+    assert results.count() > 0
+    with pytest.raises(AssertionError, match="row accounting"):
+        P._run(gated, results.unionAll(results), P.SAL, P.retail.sales_matched_mask, lambda d: d, None, [], "bad")
+
+
+def test_run_scans_its_source_once(spark):
+    """Extract, labels, split, accounting and controls of a run: one write reads each source table once."""
+    plans = []
+    write = type(spark.range(1).write).parquet
+
+    def kept(self, path, *args, **kwargs):
+        if "run-sales" in path:
+            plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, path, *args, **kwargs)
+
+    type(spark.range(1).write).parquet = kept
+    try:
+        P.sales_run(spark, SF)
+    finally:
+        type(spark.range(1).write).parquet = write
+    assert len(plans) == 1
+    assert plans[0].count("l_returnflag") and plans[0].count("CollectMetrics") == 3
+    retail_scans = [line for line in plans[0].splitlines() if "Relation" in line and "l_returnflag" in line]
+    assert len(retail_scans) <= 2  # retail, and wholesale's own scan of the same table
+
+
+@pytest.mark.parametrize("name, column", [("retail_extract", "l_shipdate"), ("wholesale_extract", "l_shipdate"), ("retail_latest_snapshot", "ts"), ("wholesale_latest_snapshot", "ts")])
+def test_date_bounds_reach_the_scan(spark, name, column):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = [line.split("PushedFilters: [")[1].split("], ReadSchema")[0] for line in plan.splitlines() if "PushedFilters: [" in line and f"{column}:timestamp" in line]
+    assert pushed and all(f"GreaterThanOrEqual({column}" in p and f"LessThan({column}" in p for p in pushed)
+
+
 def test_matched_layout_has_the_source_columns_only(spark):
     columns = P.retail_sales_outputs(spark, SF)["matched"].columns
     assert "PRODUCTTYPE" not in columns
