@@ -4,8 +4,10 @@ A shard holds whole documents in ascending doc_id order.  Its ids are kept as bi
 bit first; each plane is stably partitioned by its bit before the next one, so that rank on the planes walks
 any position or any token.  Files are written by tasks under a name that depends on the partition only.
 
-Null text counts as empty (just the end id).  Null doc_ids come first, rows of one doc_id are ordered by the
-hash of their text, and repeated rows are each kept.  An empty table gives no rows.
+Null text counts as empty (just the end id); a text with an added token's characters has that token's id, as the
+library gives it.  Null doc_ids come first, rows of one doc_id are ordered by the hash of their text, and repeated
+rows are each kept.  A text longer than a shard is a shard of its own.  An empty table gives no rows; further
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import zlib
 
 import numpy as np
@@ -186,26 +189,32 @@ class Pieces:
     A space between two characters that are not white space always begins a new pre-token of a byte-level
     tokenizer, so a text's ids are those of its pieces, cut there.  New pieces of plain Latin text are cut
     further into pre-tokens by the tokenizer's own pattern, and the library's model encodes each distinct
-    pre-token once; all other pieces, and the first of a text, go through the whole library.
+    pre-token once; all other pieces, also those with what may be an added token, go through the whole library.
     """
 
+    #: Marks a piece with no space in front: the first of a text.
+    HEAD = "\0"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = Tokenizer(self.lib.model)
-        self.pretokens = regex.compile(public_tokenizers.PATTERN).findall
-        self.odd = re.compile(r"\s | \s|^ | $").search
+        self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
+        # among plain characters these are all letters and all digits of the tokenizer's pattern
+        letters, digits = "A-Za-zÀ-ÖØ-öø-ɏ", "0-9"
+        pattern = public_tokenizers.PATTERN.replace(r"\s\p{L}\p{N}", rf"\s{letters}{digits}").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{digits}]")
+        self.pretokens = re.compile(pattern).findall
+        self.plain = re.compile("[\n\t !-~À-ɏ]+").fullmatch
+        self.beside = [w for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() for w in (c + " ", " " + c)]
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
-        self.plain_latin = re.compile(r"[!-~\u00c0-\u024f]+").fullmatch
-        self.mark = self.model.encode(["\u010a"], is_pretokenized=True, add_special_tokens=False).ids[0]
         # byte-level models write bytes as printable characters: the printable ones as themselves, others from 256 up
         self.bytes = {b: chr(b) for b in [*range(33, 127), *range(161, 173), *range(174, 256)]}
         self.bytes |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in self.bytes)}
+        self.sign = self.bytes[0]  # no plain piece holds it
+        self.mark = self.model.encode([self.sign], is_pretokenized=True, add_special_tokens=False).ids[0]
         self.clear()
 
     def clear(self) -> None:
@@ -215,17 +224,18 @@ class Pieces:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: list[str]) -> None:
-        """Ids of pieces, each with a space in front."""
-        easy = [p for p in pieces if self.plain_latin(p)]
-        cut = [self.pretokens(f" {p}") for p in easy]
+    def learn(self, keys: list[str]) -> None:
+        """Ids of pieces, each with a space in front but for the first of a text."""
+        pieces = [k[1:] if k[0] == self.HEAD else f" {k}" if not k[0].isspace() else k for k in keys]
+        is_easy = np.array([self.plain(p) is not None and not any(a in p for a in self.added) for p in pieces])
+        cut = [self.pretokens(p) for p, e in zip(pieces, is_easy) if e]
         number = self.word.of([w for c in cut for w in c])
         new = self.word.fresh()
         if new:
             mapped = [w.encode().decode("latin1").translate(self.bytes) for w in new]
             found = []
-            for k in range(0, len(mapped), 1000):  # a line break's sign, which no such pre-token holds, marks the ends
-                marked = [x for w in mapped[k : k + 1000] for x in (w, "\u010a")]
+            for k in range(0, len(mapped), 1000):
+                marked = [x for w in mapped[k : k + 1000] for x in (w, self.sign)]
                 found.append(np.array(self.model.encode_batch_fast([marked], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4"))
             found = np.concatenate(found)
             ends = np.flatnonzero(found == self.mark)
@@ -235,28 +245,36 @@ class Pieces:
         flat, size = self.words.take(number)
         ends = np.cumsum([len(c) for c in cut], dtype=np.int64)
         total = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], ends])]
-        is_easy = np.array([p is not None for p in map(self.plain_latin, pieces)])
-        hard = self.whole([p if p[:1].isspace() else f" {p}" for p, e in zip(pieces, is_easy) if not e])
+        hard = self.whole([p for p, e in zip(pieces, is_easy) if not e])
         size, start = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
         size[is_easy], start[is_easy] = np.diff(total), total[:-1]
         size[~is_easy] = [len(h) for h in hard]
         start[~is_easy] = total[-1] + np.cumsum(size[~is_easy]) - size[~is_easy]
         self.rows.add(np.concatenate([flat, *hard]), size, start)
 
+    def pieces(self, text: str) -> list[str]:
+        if not text:
+            return []
+        if self.HEAD in text:
+            return [self.HEAD + text]
+        odd = text[0] == " " or text[-1] == " " or any(w in text for w in self.beside)
+        own = self.cut(text) if odd else text.split(" ")
+        own[0] = self.HEAD + own[0]
+        return own
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.number) > CACHED_PIECES:
             self.clear()
-        cut = [(self.cut(t) if self.odd(t) else t.split(" ")) if t else [] for t in texts]
-        heads = self.whole([c[0] if c else "" for c in cut])
-        of = self.number.of([p for c in cut for p in c[1:]])
+        cut = [self.pieces(t) for t in texts]
+        of = self.number.of([p for c in cut for p in c])
         new = self.number.fresh()
         if new:
             self.learn(new)
         flat, size = self.rows.take(of)
-        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *[max(0, len(c) - 1) for c in cut]])]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, cut)])].tolist()
         raw = flat.tobytes()
-        return [h.tobytes() + raw[4 * a : 4 * z] for h, a, z in zip(heads, ends[:-1].tolist(), ends[1:].tolist())]
+        return [raw[4 * a : 4 * z] for a, z in zip(ends, ends[1:])]
 
 
 _pieces: dict[str, Pieces] = {}

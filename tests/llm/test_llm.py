@@ -34,7 +34,9 @@ def test_wavelet(spark, docs, none):
     folder = scratch(spark, "t")
     assert wavelet.write_shards(docs, folder, wavelet.tokenizer_path(), shard_tokens=500).count() >= 1
     got = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in wavelet.with_starts(wavelet.read_shards(spark, folder)).collect())
-    lib = wavelet.encoder(wavelet.tokenizer_path()).lib
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(wavelet.tokenizer_path())
     want = sorted(((d, len(i), zlib.crc32(i.tobytes())) for d, t, _ in DOCS for i in [np.array([*lib.encode(t or "", add_special_tokens=False).ids, 0], "<u4")]), key=str)
     assert sorted(((d, n, c) for _, d, n, c in got), key=str) == want
     assert [d for _, d, _, _ in got] == sorted([d for d, _, _ in DOCS], key=lambda d: (d is not None, d or 0))
@@ -42,6 +44,30 @@ def test_wavelet(spark, docs, none):
     assert wavelet.write_shards(none, scratch(spark, "t"), wavelet.tokenizer_path()).count() == 0
 
 
+def test_wavelet_ids_are_the_librarys():
+    """Added tokens' text, white space of all kinds beside spaces, other scripts, control characters, new lines."""
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>", " <|endoftext|>x <|endoftext|", "a\nb  c\n d \u00a0e\u3000 f\x1c g", "", " ", "x ", "\n", "don't I'LL 12 3x ,,. \x00\x01 \x00",
+             "\u00e9\u0301 \u0130 \u1e9e \u00aa\u00ba\u00b2 \u00d7\u00f7", "\t\ta b\t c", "\r\n x", "日本 語", LONG, "a\n\n\nb c\n\n"]
+    own, lib = wavelet.Pieces(wavelet.tokenizer_path()), Tokenizer.from_file(wavelet.tokenizer_path())
+    for _ in range(2):  # learnt, and remembered
+        assert [np.frombuffer(r, "<u4").tolist() for r in own.encode(texts)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_wavelet_registered_query(spark):
+    from tokenizers import Tokenizer
+
+    lib, start = Tokenizer.from_file(wavelet.tokenizer_path()), 0
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect())
+    got = {(r.doc_id, r.start): (r.n_tokens, r.ids_crc32) for r in wavelet.query(spark, "/root/testdata/sf0.001").collect()}
+    for d, t in docs:
+        ids = np.array([*lib.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        assert got.pop((d, start)) == (len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert not got
+
+
 def test_wavelet_matrix():
     ids = np.random.default_rng(0).integers(0, 300, 3_000).astype(np.uint32)
     m = wavelet.from_bytes(wavelet.to_bytes(ids, np.array([3_000]), [1], 0, 0))[4]
