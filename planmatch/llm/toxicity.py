@@ -14,7 +14,8 @@ left out, and three or more single letters in a row joined.  Words of over LONG
 stretches.  Null and empty texts have no words: their features are 0, and they get a score like any other.
 Labels come from a bounded sample: MAX_FIT rows of either class, those of least hash.  Without labels of both
 classes every text gets the same score.  Null labels and null doc_ids teach nothing; of several labels of one
-doc_id the greatest counts.  Repeated rows each get their row.
+doc_id the greatest counts.  Repeated rows each get their row, equal texts equal scores; texts of any length go
+whole; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,11 +38,10 @@ STEMS = (4, 5, 6, 8)
 SPAN = 5
 LAMBDA = 0.7
 LONG, STEP = 32, 16
-LETTERS = 32
 #: Cosines below are read as 0.
 FLOOR = 0.3
 #: Tokens that a worker remembers; tokens learnt, and characters read, at once.
-CACHED_TOKENS, LEARNT, CHARS = 500_000, 10_000, 2 << 20
+CACHED_TOKENS, LEARNT, CHARS = 200_000, 2_000, 1 << 20
 #: Of the cosine: keeps faint likeness, of which long texts have much, from adding up.
 POWER = 3
 THRESHOLD = 0.3
@@ -58,11 +58,15 @@ def clean(token: str) -> str:
     return core if core.isalpha() else _no_letter.sub("", core.translate(_looks)) if any(c.isalpha() for c in core) else ""
 
 
+def stretches(word: str) -> list[str]:
+    """The word, or overlapping stretches of a long one."""
+    return [word] if len(word) <= LONG else [word[k : k + LONG] for k in range(0, len(word) - STEP, STEP)]
+
+
 def forms_of(token: str) -> list[str]:
     """What of a token is compared: its word (or stretches of a long one) and the word's stems."""
     word = clean(token)
-    parts = [word] if len(word) <= LONG else [word[k : k + LONG] for k in range(0, len(word) - STEP, STEP)]
-    return [p for p in [*parts, *[word[:n] for n in STEMS if n < len(word)]] if len(p) >= 3]
+    return [p for p in [*stretches(word), *[word[:n] for n in STEMS if n < len(word)]] if len(p) >= 3]
 
 
 def neighbourhoods(text: str) -> list[tuple[str, int]]:
@@ -70,21 +74,26 @@ def neighbourhoods(text: str) -> list[tuple[str, int]]:
     import xxhash
 
     words = ["", *[w for w in map(clean, text.lower().split()) if w], ""]
-    return [(w[:LONG], xxhash.xxh64_intdigest(f"{a} {w} {z}") - (1 << 63)) for a, w, z in zip(words, words[1:], words[2:]) if len(w) >= 3]
+    return [(part, xxhash.xxh64_intdigest(f"{a} {w} {z} {k}") - (1 << 63))
+            for a, w, z in zip(words, words[1:], words[2:]) if len(w) >= 3 for k, part in enumerate(stretches(w))]
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number, subsequence number, weight), each pair once, with weights of length 1 for a word."""
+    """(word number, subsequence, weight), each pair once, with weights of length 1 for a word.
+
+    A subsequence is its three code points in one 63-bit number, so letters of all scripts are told apart.
+    """
     width = max(map(len, words), default=0)
     size = np.array([len(w) for w in words], np.int64)
-    letter = np.full((len(words), width), -1, np.int64)
     code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    letter[np.arange(width)[None, :] < size[:, None]] = np.where((code >= 97) & (code < 123), code - 97, 26 + code % (LETTERS - 26))
+    alphabet, dense = np.unique(code, return_inverse=True)
+    letter, n = np.full((len(words), width), -1, np.int64), len(alphabet)
+    letter[np.arange(width)[None, :] < size[:, None]] = dense
     keys, weights = [], []
     for b in range(2, min(SPAN, width - 1) + 1):
         row, at = np.nonzero(letter[:, b:] >= 0)
         for a in range(1, b):
-            keys.append(((row * LETTERS + letter[row, at]) * LETTERS + letter[row, at + a]) * LETTERS + letter[row, at + b])
+            keys.append(((row * n + letter[row, at]) * n + letter[row, at + a]) * n + letter[row, at + b])
             weights.append(np.full(len(row), LAMBDA ** (b + 1)))
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -93,52 +102,57 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     key, weight = key[order], weight[order]
     first = np.flatnonzero(np.diff(key, prepend=-1))
     key, weight = key[first], np.add.reduceat(weight, first) if len(first) else weight
-    word = key // LETTERS**3
+    word = key // n**3
     norm = np.sqrt(np.bincount(word, weight**2, len(words)))
-    return word, key % LETTERS**3, weight / norm[word]
-
-
-def profiles(landmarks: list[str]) -> np.ndarray:
-    """Subsequence weights of the landmarks, one column each."""
-    word, sub, weight = subsequences(landmarks)
-    out = np.zeros((LETTERS**3, len(landmarks)), np.float32)
-    out[sub, word] = weight
-    return out
-
-
-def kernels(words: list[str], table: np.ndarray) -> np.ndarray:
-    """Kernel of each word with each landmark."""
-    word, sub, weight = subsequences(words)
-    out = np.zeros((len(words), table.shape[1]), np.float32)
-    used = table.any(1)[sub]  # of subsequences that no landmark has, nothing comes
-    word, sub, weight = word[used], sub[used], weight[used].astype(np.float32)
-    first = np.flatnonzero(np.diff(word, prepend=-1))
-    for lo in range(0, len(first), 20_000):
-        part = first[lo : lo + 20_000]
-        end = first[lo + 20_000] if lo + 20_000 < len(first) else len(word)
-        at = slice(part[0], end)
-        out[word[part]] = np.add.reduceat(table[sub[at]] * weight[at, None], part - part[0])
-    return out
+    points = (alphabet[key // n**2 % n] << 42) | (alphabet[key // n % n] << 21) | alphabet[key % n]
+    return word, points, weight / norm[word]
+
+
+class Profiles:
+    """Subsequence weights of the landmarks, one column each; rows only for subsequences that some landmark has."""
+
+    def __init__(self, landmarks: list[str]):
+        word, sub, weight = subsequences(landmarks)
+        self.subs, row = np.unique(sub, return_inverse=True)
+        self.table = np.zeros((len(self.subs), len(landmarks)), np.float32)
+        self.table[row, word] = weight
+
+    def kernels(self, words: list[str]) -> np.ndarray:
+        """Kernel of each word with each landmark."""
+        word, sub, weight = subsequences(words)
+        out = np.zeros((len(words), self.table.shape[1]), np.float32)
+        if not len(self.subs):
+            return out
+        row = np.minimum(np.searchsorted(self.subs, sub), len(self.subs) - 1)
+        used = self.subs[row] == sub  # of subsequences that no landmark has, nothing comes
+        word, row, weight = word[used], row[used], weight[used].astype(np.float32)
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        for lo in range(0, len(first), 20_000):
+            part = first[lo : lo + 20_000]
+            end = first[lo + 20_000] if lo + 20_000 < len(first) else len(word)
+            at = slice(part[0], end)
+            out[word[part]] = np.add.reduceat(self.table[row[at]] * weight[at, None], part - part[0])
+        return out
 
 
 class Likeness:
     """Kernels of tokens with the landmarks; those of tokens that recur are remembered."""
 
-    def __init__(self, table: np.ndarray):
-        self.table = table
+    def __init__(self, profiles: Profiles):
+        self.profiles, self.width = profiles, profiles.table.shape[1]
         self.clear()
 
     def clear(self) -> None:
         self.number = Numbers()
         self.row = np.zeros(0, np.int64)  # of a token, in ``kernel``; 0: like no landmark
-        self.kernel = np.zeros((1, self.table.shape[1]), np.float32)
+        self.kernel = np.zeros((1, self.width), np.float32)
 
     def learn(self, tokens: list[str]) -> None:
         for lo in range(0, len(tokens), LEARNT):
             forms = [forms_of(t) for t in tokens[lo : lo + LEARNT]]
             number = Numbers()
             of = number.of([f for x in forms for f in x])
-            k = kernels(number.new, self.table)
+            k = self.profiles.kernels(number.new)
             k[k < FLOOR] = 0
             size = np.array([len(x) for x in forms], np.int64)
             row = np.zeros(len(forms), np.int64)
@@ -152,7 +166,7 @@ class Likeness:
 
     def features(self, texts: list[str]) -> np.ndarray:
         """For each text and landmark the greatest kernel of the text's words and stems."""
-        if len(self.number) > CACHED_TOKENS:
+        if len(self.number) > CACHED_TOKENS:  # so many short rows of kernels and as many tokens at most, and one batch
             self.clear()
         tokens = [t.lower().split() for t in texts]
         flat = [t for x in tokens for t in x]
@@ -173,7 +187,7 @@ class Likeness:
         at = np.flatnonzero(row)
         pair = np.unique(text[at] * len(self.kernel) + row[at])
         text, row = pair // len(self.kernel), pair % len(self.kernel)
-        out = np.zeros((len(texts), self.table.shape[1]), np.float32)
+        out = np.zeros((len(texts), self.width), np.float32)
         first = np.flatnonzero(np.diff(text, prepend=-1))
         if len(first):
             out[text[first]] = np.maximum.reduceat(self.kernel[row], first)
@@ -188,7 +202,7 @@ def likeness(landmarks: list[str]) -> Likeness:
     key = tuple(landmarks)
     if key not in _likeness:
         _likeness.clear()
-        _likeness[key] = Likeness(profiles(landmarks))
+        _likeness[key] = Likeness(Profiles(landmarks))
     return _likeness[key]
 
 
@@ -283,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Machine:
     landmarks = toxic + plain
     if not landmarks:
         return Machine([], np.zeros(0), 0.0, (0.0, float(prior)))
-    table = profiles(landmarks)
+    table = Profiles(landmarks).table
 
     @F.pandas_udf("array<float>")
     def feature(texts: pd.Series) -> pd.Series:

@@ -155,18 +155,59 @@ def test_toxicity_takes_all_insult_roots(spark):
     assert all((got[i] >= toxicity.THRESHOLD) == bool(t) for i, _, t in rows if i >= 1_600)
 
 
+def kernel_by_loops(one, two):
+    def weights(w):
+        out = {}
+        for i in range(len(w)):
+            for j in range(i + 1, len(w)):
+                for k in range(j + 1, min(len(w), i + toxicity.SPAN + 1)):
+                    out[w[i] + w[j] + w[k]] = out.get(w[i] + w[j] + w[k], 0) + toxicity.LAMBDA ** (k - i + 1)
+        return out
+
+    a, b = weights(one), weights(two)
+    return sum(v * b.get(u, 0) for u, v in a.items()) / (sum(v * v for v in a.values()) * sum(v * v for v in b.values())) ** 0.5
+
+
 def test_subsequence_kernel():
-    word, sub, weight = toxicity.subsequences(["abcab", "abc", "xyz"])
-    vec = np.zeros((3, toxicity.LETTERS**3))
-    vec[word, sub] = weight
-    brute = {}
-    for i in range(5):
-        for j in range(i + 1, 5):
-            for k in range(j + 1, 5):
-                u = "abcab"[i] + "abcab"[j] + "abcab"[k]
-                brute[u] = brute.get(u, 0) + toxicity.LAMBDA ** (k - i + 1)
-    norm = sum(v * v for v in brute.values()) ** 0.5
-    assert np.isclose(vec[0] @ vec[1], brute["abc"] / norm) and vec[0] @ vec[2] == 0 and np.allclose((vec**2).sum(1), 1)
+    words = ["abcab", "abc", "xyz", "blorf", "blxorf", "абвгд", "абвжгд", "漢字語文", "漢字文語", "éabcé"]
+    landmarks = ["abc", "blorf", "абвгд", "漢字語文", "xyzzy"]
+    got = toxicity.Profiles(landmarks).kernels(words)
+    assert np.allclose(got, [[kernel_by_loops(w, m) for m in landmarks] for w in words], atol=1e-6)
+
+
+def test_scripts_are_told_apart():
+    """Unrelated words of other alphabets are as unlike as Latin ones: letters share no codes."""
+    rng = np.random.default_rng(4)
+    for first, size in ((0x61, 26), (0x430, 32), (0x3B1, 24), (0x4E00, 500)):
+        words = ["".join(chr(first + int(c)) for c in rng.integers(0, size, 7)) for _ in range(300)]
+        got = toxicity.Profiles(words[:30]).kernels(words[30:])
+        assert (got > toxicity.FLOOR).mean() < 0.002
+
+
+def test_long_words_teach_all_their_letters():
+    word = "z" * 40 + "blorf"
+    assert any("blorf" in part for part, _ in toxicity.neighbourhoods(f"so {word} said")) and "blorf" in toxicity.forms_of(word)[-1][-8:] + toxicity.stretches(word)[-1]
+
+
+def test_toxicity_registered_query(spark):
+    """Columns, folds and threshold; scores by plain loops over every word, stem and landmark; copies score alike."""
+    base = "/root/testdata/sf0.001"
+    got = toxicity.query(spark, base)
+    assert [f"{f.name} {f.dataType.simpleString()}" for f in got.schema] == ["doc_id bigint", "held_out boolean", "score double", "predicted int"]
+    rows = {r.doc_id: r for r in got.collect()}
+    docs = spark.read.parquet(f"{base}/documents.parquet").select("doc_id", "text")
+    machine = toxicity.fit(docs.filter("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2"), spark.read.parquet(f"{base}/labels.parquet"))
+    for r in docs.collect():
+        assert rows[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert rows[r.doc_id].predicted == int(rows[r.doc_id].score >= 0.3)
+    for r in [x for x in docs.collect() if x.text and len(x.text) < 600][:6]:
+        best = dict.fromkeys(machine.landmarks, 0.0)
+        for form in {f for t in r.text.lower().split() for f in toxicity.forms_of(t)}:
+            for m in best:
+                k = kernel_by_loops(form, m)
+                best[m] = max(best[m], k if k >= toxicity.FLOOR else 0.0)
+        margin = sum(a * best[m] ** toxicity.POWER for a, m in zip(machine.alpha, machine.landmarks)) + machine.bias
+        assert np.isclose(rows[r.doc_id].score, 1 / (1 + np.exp(-(machine.curve[0] * margin + machine.curve[1]))), atol=1e-4)
 
 
 def test_simhash(spark, docs, none):
