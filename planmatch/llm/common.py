@@ -138,46 +138,49 @@ def _cuts(raw: bytes, size: int) -> list[int]:
 def pack(docs: DataFrame, name: str, block_bytes: int = 4 << 20, before: int = 0, after: int = 0) -> DataFrame:
     """Whole texts packed into rows of about ``block_bytes``, written as a table bucketed by ``block``.
 
-    ``docs`` has doc_id, text, train.  A text longer than a block is cut into pieces, each with
+    ``docs`` has doc_id, text, train, and perhaps extra (a string that travels with the row).  A text longer than a block is cut into pieces, each with
     ``before``/``after`` bytes of its neighbours (``skip`` of them lead).  A row is never split between
     tasks, so every later pass sees the same blocks, and joins on ``block`` do not move the texts.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", text_key().alias("th"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), "train")
+    more = ["extra"] if "extra" in docs.columns else []
+    rows = docs.select("doc_id", text_key().alias("th"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), "train", *more)
 
     def blocks(batches):
         import pyarrow as pa
 
         task, n, rid = TaskContext.get().partitionId(), 0, 0
-        cols, total = [[] for _ in range(10)], 0
+        width = 10 + len(more)
+        cols, total = [[] for _ in range(width)], 0
 
         def row():
-            kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.bool_()] * 2
-            names = ["rid", "doc", "th", "off", "skip", "own", "size", "last", "train"]
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.bool_()] * 2 + [pa.string()] * len(more)
+            names = ["rid", "doc", "th", "off", "skip", "own", "size", "last", "train", *more]
             arrays = [pa.array([(task << 32) + n], pa.int64())]
             arrays += [pa.array([c], pa.list_(k)) for c, k in zip(cols, kinds)]
-            arrays.append(pa.array([b"".join(cols[9])], pa.binary()))
+            arrays.append(pa.array([b"".join(cols[-1])], pa.binary()))
             return pa.RecordBatch.from_arrays(arrays, names=["block", *names, "data"])
 
         for batch in batches:
-            for doc, th, raw, train in zip(*[c.to_pylist() for c in batch.columns]):
+            for doc, th, raw, train, *extra in zip(*[c.to_pylist() for c in batch.columns]):
                 rid += 1
                 cuts = _cuts(raw, block_bytes)
                 for start, end in zip(cuts, cuts[1:]):
                     lo = max(0, start - before)
                     part = raw[lo : end + after]
-                    for c, v in zip(cols, ((task << 32) + rid, NO_ID if doc is None else doc, th, start, start - lo, end - start, len(part), end == len(raw), train, part)):
+                    for c, v in zip(cols, ((task << 32) + rid, NO_ID if doc is None else doc, th, start, start - lo, end - start, len(part), end == len(raw), train, *extra, part)):
                         c.append(v)
                     total += len(part)
                     if total >= block_bytes:
                         yield row()
-                        cols, total, n = [[] for _ in range(10)], 0, n + 1
+                        cols, total, n = [[] for _ in range(width)], 0, n + 1
         if cols[0]:
             yield row()
 
     path = scratch(spark, name)
     table = f"{name}_{uuid.uuid4().hex}"
-    (rows.mapInArrow(blocks, PIECES).write.format("parquet").option("path", path).option("compression", "zstd")
+    shape = PIECES.replace("data binary", "extra array<string>, data binary") if more else PIECES
+    (rows.mapInArrow(blocks, shape).write.format("parquet").option("path", path).option("compression", "zstd")
          .bucketBy(partitions(spark), "block").saveAsTable(table))
     return spark.table(table)
 

@@ -13,7 +13,8 @@ longer prefix is made from the pair of names at a position and at a growing offs
 3.  Each block gets back which strings start in a smaller document, and cuts the bytes they cover.
 
 Null text counts as empty.  A null doc_id is larger than any id (and no smaller than another null).  Rows of
-one doc_id are never compared with each other.  Repeated rows each get their row.
+one doc_id are never compared with each other.  Repeated rows each get their row.  A text longer than a block is
+cut into pieces that overlap by 49 bytes and put together again; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planmatch.llm.common import BLOBS, NO_ID, beside, blob_rows, buckets, documents, mix, pack, read, squeeze, unsqueeze
+from planmatch.llm.common import BLOBS, NO_ID, beside, blob_rows, buckets, mix, pack, pick, read, squeeze, unsqueeze
 
 LENGTH = 50
 ANCHOR = 24
@@ -156,6 +157,30 @@ def rank_anchors(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": part.block[some], "bucket": part.bucket[some], "blob": [np.packbits(a).tobytes() for a, s in zip(alive, some) if s]})
 
 
+def equal_strings(name: np.ndarray, data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows ordered so that equal ones lie together, and where a new one begins.
+
+    Names only bring equal windows together; the bytes themselves are compared, and order those that share a name.
+    """
+    order = np.argsort(name, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = name[order][1:] != name[order][:-1]
+    same = np.flatnonzero(~new)
+    a, b = at[order[same - 1]], at[order[same]]
+    for lo in range(0, len(same), STRETCH):
+        part = slice(lo, lo + STRETCH)
+        differ = np.zeros(len(same[part]), bool)
+        for k in range(length):
+            differ |= data[a[part] + k] != data[b[part] + k]
+        if differ.any():  # two strings of one name
+            window = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[at]).view(f"V{length}").ravel()
+            kinds = np.unique(window, return_inverse=True)[1]
+            order = np.lexsort((kinds, name))
+            new[1:] = kinds[order][1:] != kinds[order][:-1]
+            break
+    return order, new
+
+
 def rank_strings(length: int):
     def ranked(part: pd.DataFrame) -> pd.DataFrame:
         """A bucket's surviving strings: for each block, the runs' windows that start in a smaller document."""
@@ -167,9 +192,7 @@ def rank_strings(length: int):
         start = np.cumsum(size) - size
         at = stretches(start, count)
         name, own = names(data, length, ANCHOR)[1][at], np.repeat(doc, count)
-        order = np.argsort(name, kind="stable")
-        new = np.ones(len(order), bool)
-        new[1:] = name[order][1:] != name[order][:-1]
+        order, new = equal_strings(name, data, at, length)
         least = np.minimum.reduceat(own[order], np.flatnonzero(new))
         covered = np.empty(len(order), bool)
         covered[order] = own[order] > least[np.cumsum(new) - 1]
@@ -191,7 +214,8 @@ def cut_blocks(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_B
     ``head``/``tail`` tell whether the piece's first and last byte are removed.  ``kept`` is null for whole
     documents unless ``with_kept``.
     """
-    blocks = pack(documents(docs).withColumn("train", F.lit(False)), "suffix", block_bytes, length - 1, length - 1)
+    more = {"extra": "string"} if "extra" in docs.columns else {}
+    blocks = pack(pick(docs, doc_id="long", text="string", **more).withColumn("train", F.lit(False)), "suffix", block_bytes, length - 1, length - 1)
     n = buckets(blocks)
     fields = blocks.select("block", "doc", "size", "data")
 
@@ -235,8 +259,8 @@ def cut_blocks(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_B
     def cut(batches):
         import pyarrow as pa
 
-        kinds = [pa.int64()] * 4 + [pa.bool_()] + [pa.int64()] * 3 + [pa.bool_()] * 2 + [pa.binary(), pa.string()]
-        names_ = ["rid", "doc_id", "th", "off", "last", "n_bytes", "n_removed", "n_spans", "head", "tail", "kept", "kept_sha256"]
+        kinds = [pa.int64()] * 4 + [pa.bool_()] + [pa.int64()] * 3 + [pa.bool_()] * 2 + [pa.binary(), pa.string()] + [pa.string()] * len(more)
+        names_ = ["rid", "doc_id", "th", "off", "last", "n_bytes", "n_removed", "n_spans", "head", "tail", "kept", "kept_sha256", *more]
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row, length)
@@ -251,11 +275,11 @@ def cut_blocks(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_B
                     spans = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum()) if hi > lo else 0
                     doc = row["doc"][i]
                     out.append((row["rid"][i], None if doc == NO_ID else doc, row["th"][i], row["off"][i], row["last"][i], hi - lo, int(mask.sum()), spans, bool(hi > lo and mask[0]), bool(hi > lo and mask[-1]),
-                                kept if with_kept or not whole else None, hashlib.sha256(kept).hexdigest() if whole else None))
+                                kept if with_kept or not whole else None, hashlib.sha256(kept).hexdigest() if whole else None, *[row[m][i] for m in more]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names_)
 
-    fields = blocks.select("block", "rid", "doc", "th", "off", "skip", "own", "size", "last", "data")
-    shape = "rid long, doc_id long, th long, off long, last boolean, n_bytes long, n_removed long, n_spans long, head boolean, tail boolean, kept binary, kept_sha256 string"
+    fields = blocks.select("block", "rid", "doc", "th", "off", "skip", "own", "size", "last", *more, "data")
+    shape = "rid long, doc_id long, th long, off long, last boolean, n_bytes long, n_removed long, n_spans long, head boolean, tail boolean, kept binary, kept_sha256 string" + "".join(f", {m} {t}" for m, t in more.items())
     long = F.exists("off", lambda x: x > 0) | F.exists("last", lambda x: ~x)
     some = blocks.select("off", "last").filter(long).head(1)
     return beside(fields, covered).mapInArrow(cut, shape), beside(fields.filter(long), covered).mapInArrow(cut, shape) if some else None
@@ -292,9 +316,10 @@ def removed_bytes(block: Block, sides: list[dict], length: int) -> np.ndarray:
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, with_kept: bool = True) -> DataFrame:
-    """Per document row: rid, doc_id, th, n_bytes, n_removed, n_spans, kept (bytes; null if not wanted), kept_sha256."""
+    """Per document row, with ``extra`` if docs has it: rid, doc_id, th, n_bytes, n_removed, n_spans, kept (bytes; null if not wanted), kept_sha256."""
     pieces, long = cut_blocks(docs, length, block_bytes, with_kept)
-    names_ = ["rid", "doc_id", "th", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
+    more = ["extra"] if "extra" in pieces.columns else []
+    names_ = ["rid", "doc_id", "th", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", *more]
     whole = F.col("last") & (F.col("off") == 0)
 
     def together(part: pd.DataFrame) -> pd.DataFrame:
@@ -303,12 +328,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES,
         kept = b"".join(part.kept)
         over = int((part["head"].to_numpy()[1:] & part["tail"].to_numpy()[:-1]).sum())  # spans that go on in the next piece
         return pd.DataFrame({"rid": part.rid[:1], "doc_id": part.doc_id[:1], "th": part.th[:1], "n_bytes": [part.n_bytes.sum()], "n_removed": [part.n_removed.sum()],
-                             "n_spans": [part.n_spans.sum() - over], "kept": [kept if with_kept else None], "kept_sha256": [hashlib.sha256(kept).hexdigest()]})
+                             "n_spans": [part.n_spans.sum() - over], "kept": [kept if with_kept else None], "kept_sha256": [hashlib.sha256(kept).hexdigest()], **{m: part[m][:1].to_numpy(object) for m in more}})
 
     done = pieces.filter(whole).select(*names_)
     if long is None:
         return done
-    split = long.filter(~whole).groupBy("rid").applyInPandas(together, "rid long, doc_id long, th long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    split = long.filter(~whole).groupBy("rid").applyInPandas(together, "rid long, doc_id long, th long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string" + "".join(f", {m} string" for m in more))
     return done.unionByName(split)
 
 
