@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the
 next stage's ``docs``.  All but the last return the columns of documents.  Rows are told apart by doc_id and
 the hash of their text, so null and repeated ids are kept apart; exact repeats of a row are near duplicates
-and leave with them.
+and leave with them.  Texts of any length go whole; an empty table stays empty through all stages.
 """
 
 from __future__ import annotations
@@ -30,13 +30,13 @@ def _keys(rows: DataFrame, *more: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a language (null, or no letter); corrects nothing else."""
+    """Rejects texts without a language (null, or no letter); a null lang becomes the predicted one."""
     rows = pick(docs, **COLUMNS)
     model = hyper_language.learn(rows.filter(~held_out(F.col("doc_id"), 4)))
     if not model[0]:  # no training row has a language: nothing to compare with, letters alone decide
         return rows.filter(hyper_language.has_letters(F.col("text"), model[1].shape[1]))
-    kept = rows.withColumn("p", hyper_language.language(F.col("text"), model))
-    return kept.filter(F.col("p.lang_pred") != hyper_language.UNKNOWN).select(*COLUMNS)
+    kept = rows.withColumn("p", hyper_language.language(F.col("text"), model)).filter(F.col("p.lang_pred") != hyper_language.UNKNOWN)
+    return kept.withColumn("lang", F.coalesce("lang", "p.lang_pred")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,19 +47,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts bytes of passages that an earlier document has; half characters at a cut's edges go too, as do texts cut whole."""
-    rows = _keyed(docs)
-    found = suffix_dedup.dedup(rows).filter("n_removed > 0").dropDuplicates(["doc_id", "th"])  # texts left whole don't move
+    """Cuts bytes of passages that an earlier document has; half characters at a cut's edges go too, as do texts cut whole.
+
+    The other columns travel with the texts through the operator, so nothing is joined to them afterwards.
+    """
+    kind = "struct<lang:string,source:string,n_chars:long,none:boolean>"
+    rows = pick(docs, **COLUMNS)
+    rows = rows.select("doc_id", "text", F.to_json(F.struct("lang", "source", "n_chars", F.col("text").isNull().alias("none"))).alias("extra"))
 
     @F.pandas_udf("string")
     def decoded(kept):
         return kept.map(lambda b: None if b is None else b.decode("utf-8", "ignore"))
 
-    cut = _keys(found.withColumn("cut", decoded("kept")), "cut")
-    new = F.coalesce("cut", "text")
-    joined = rows.join(cut, _same(rows, cut), "left").filter(F.col("cut").isNull() | (F.col("cut") != ""))
-    n_chars = F.when(F.col("cut").isNull(), F.col("n_chars")).otherwise(F.length("cut").cast("long"))
-    return joined.select("doc_id", new.alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    found = suffix_dedup.dedup(rows).withColumn("x", F.from_json("extra", kind))
+    cut = F.col("n_removed") > 0
+    found = found.withColumn("cut", decoded(F.when(cut, F.col("kept"))))
+    text = F.when(cut, F.col("cut")).when(~F.col("x.none"), F.col("kept").cast("string"))
+    n_chars = F.when(cut, F.length("cut").cast("long")).otherwise(F.col("x.n_chars"))
+    return found.filter(~cut | (F.col("cut") != "")).select("doc_id", text.alias("text"), "x.lang", "x.source", n_chars.alias("n_chars"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
