@@ -326,22 +326,50 @@ def test_suffix_names_that_collide_are_told_apart():
         assert new.tolist() == [True, *[a != b for a, b in zip(kinds, kinds[1:])]] and len(set(kinds)) == new.sum()
 
 
-def test_topk(spark):
+def brute_top(rows, k=5):
+    f = lambda v: [int(np.floor(256 * float(x))) for x in v]
+    ok = [(i, f(v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for q, v in ok:
+        if q % 50 == 0:
+            s = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ok if i != q)[:k]
+            out += [(q, n + 1, i, -x) for n, (x, i) in enumerate(s)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block, batch", [(16, 100), (512, topk_blocks.BATCH_BYTES)])
+def test_topk(spark, block, batch):
+    """Ties, repeats, unequal lengths, clashing columns, large components, everything that takes no part."""
     prepare(spark)
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=6).round(1).tolist()) for i in range(120)]
     rows[7] = (7, rows[3][1])
-    bad = [(300, None), (350, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (400, [float("nan")] * 6), (450, [float("inf")] * 6), (None, [1.0] * 6)]
-    ints = topk_blocks.integers(spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>"))
-    for block, batch, groups in ((16, 2, 3), (512, 4096, 1)):
-        got = topk_blocks.top_k(ints, ints.filter("vec_id % 50 = 0"), 5, block, batch, groups).collect()
-        want = set()
-        for q in (0, 50, 100):
-            f = lambda v: np.floor(256 * np.array(v, np.float32).astype(float)).astype(int)
-            s = sorted((-int(f(v) @ f(rows[q][1])), i) for i, v in rows if i != q)[:5]
-            want |= {(q, k + 1, i, -x) for k, (x, i) in enumerate(s)}
-        assert {tuple(r) for r in got} == want and len(got) == 15
+    rows += [(50, [1.0] * 6), (12, rows[12][1]), (201, [0.5, 2.0]), (250, []), (300, None), (350, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (400, [float("nan")] * 6), (450, [float("inf")] * 6), (None, [1.0] * 6)]
+    large = [(500, [300_000.0, 1.0, 0.0, 0.0, 0.0, 0.0]), (501, [-4e9, 3e5, 0.0, 0.0, 0.0, 0.0]), (502, [262_144.0] * 6)]
+    for more in ([], large):
+        table = spark.createDataFrame([(i, v, 1, "x") for i, v in rows + more], "vec_id long, embedding array<double>, score long, EMBEDDING string")
+        ints = topk_blocks.integers(table)
+        got = topk_blocks.top_k(ints, ints.filter("vec_id % 50 = 0"), 5, block, batch).collect()
+        assert sorted(tuple(r) for r in got) == brute_top(rows + more)
     assert topk_blocks.top_k(ints.limit(0), ints.limit(0)).count() == 0
+    with pytest.raises(Exception, match="does not fit a long"):
+        far = topk_blocks.integers(spark.createDataFrame([(0, [1e17]), (1, [1e17])], "vec_id long, embedding array<double>"))
+        topk_blocks.top_k(far, far.filter("vec_id = 0")).collect()
+
+
+def test_topk_bounds_hold_and_skip_blocks():
+    """Successive ids of one cluster: most (query, block) pairs are never scored; no bound is too small."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 16)) * 3_000
+    blocks = [(np.arange(64) + 64 * b, np.floor(c + rng.normal(size=(64, 16)) * 100)) for b, c in enumerate(centres)]
+    q = np.floor(centres[rng.integers(0, 40, 50)] + rng.normal(size=(50, 16)) * 100)
+    bounds = topk_blocks.bounds_of(q, blocks)
+    assert all((bounds[:, b] >= (q @ m.T).max(1)).all() for b, (_, m) in enumerate(blocks))
+    got, scored = topk_blocks.search_group((np.full(50, -1), q), blocks, 5)
+    assert scored < 50 * 40 / 2
+    ids, m = np.concatenate([i for i, _ in blocks]), np.concatenate([m for _, m in blocks])
+    for r, top, _ in got:
+        assert top.tolist() == ids[np.lexsort((ids, -(m @ q[r])))[:5]].tolist()
 
 
 def test_pipeline(spark, docs, none):
