@@ -190,6 +190,8 @@ class WholesaleRules:
 
     excluded_buyers: tuple = EXCLUDED_BUYERS
     pound_in_grams: float = POUND_IN_GRAMS
+    trim_word: str = "TRIM"
+    bulk_word: str = "BULK"
     bulk_words: tuple = ("BULK", "TRIM")
     grams_unit: str = "Grams"
     unit_units: tuple = ("Units", "Unit")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from planmatch.functions import similarity as S
-from planmatch.operators.joins import proven_size
+from planmatch.operators.joins import PLAN_FACTOR, plan_bytes, proven_size
 
 #: Names in one broadcast shard, names in one of its blocks, texts searched together.
 SHARD_ROWS, BLOCK_ROWS, BATCH_TEXTS = 200_000, 2048, 128
@@ -128,7 +128,9 @@ def _shards(refs: DataFrame, name_col: str, pos_col: str, id_col: str) -> list[p
     spark = refs.sparkSession
     cols = list(dict.fromkeys([id_col, name_col, pos_col]))
     small = refs.select(*cols).filter(F.col(name_col).isNotNull())
-    rows, _ = proven_size(small)
+    known = plan_bytes(small)
+    # files so small hold no more names than a shard, whatever is in them; others are counted
+    rows = 0 if known is not None and known * PLAN_FACTOR <= SHARD_ROWS else proven_size(small)[0]
     n = max(1, math.ceil(rows / SHARD_ROWS))
     parts = [small] if n == 1 else [small.filter(F.pmod(F.xxhash64(id_col), F.lit(n)) == i) for i in range(n)]
     return [p.toPandas().sort_values([pos_col, id_col], kind="stable").reset_index(drop=True) for p in parts]

@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from planmatch.session import checkpoint_dir
+
 # Dimension sides are broadcast only when both bounds hold; larger ones take
 # a shuffle join.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: made once, of known size, safe from lost executors."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 #: Parquet files hold less than their rows do in memory: the plan's estimate counts so many times.
 PLAN_FACTOR = 16
 

@@ -15,6 +15,8 @@ left open; cheap equi-joins first):
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from planmatch.functions import text as TX
 from planmatch.functions.similarity import partial_ratio_udf
 from planmatch.operators import rules as R
 from planmatch.operators.fuzzy import best_match, fuzzy_top_k
-from planmatch.operators.joins import null_safe_join, sized_broadcast
+from planmatch.operators.joins import null_safe_join, sized_broadcast, written
 from planmatch.sources import catalog as CAT
 
 KEY = ["PRODUCTNAME", "BRANDNAME", "TYPE_FORCED"]
@@ -280,45 +282,52 @@ def diagnostics(unmatched: DataFrame, refs: DataFrame, rules: RuleSet) -> DataFr
 
 
 class Catalog:
-    """Catalog derivations for one preset (broadcast only after a size check)."""
+    """Catalog derivations for one preset, each made when first asked for and written once.
+
+    The tiers read what was written, so names are cleaned and folded once a run, and the files' size
+    decides without a job whether a derivation is broadcast.
+    """
 
     def __init__(self, catalog: DataFrame, rules: RuleSet, pos_col: str = CAT.POS):
-        cat = CAT.prepare_catalog(catalog, pos_col)
+        self.rows = CAT.prepare_catalog(catalog, pos_col)
         self.rules = rules
-        self.exact, _ = sized_broadcast(CAT.exact_map(cat, rules))
-        self.refs, _ = sized_broadcast(CAT.reference_names(cat, rules))
-        self.categories = CAT.category_list(cat)
-        self.fallback, _ = sized_broadcast(CAT.fallback_rows(cat, rules))
 
+    @cached_property
+    def exact(self) -> DataFrame:
+        return sized_broadcast(written(CAT.exact_map(self.rows, self.rules), "catalog-exact"))[0]
+
+    @cached_property
+    def refs(self) -> DataFrame:
+        return sized_broadcast(written(CAT.reference_names(self.rows, self.rules), "catalog-names"))[0]
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return written(CAT.category_list(self.rows), "catalog-categories")
 
-def match_keys(keys: DataFrame, catalog: Catalog, rules: RuleSet, with_diagnostics: bool | None = None,
-               persisted: list | None = None) -> DataFrame:
+    @cached_property
+    def fallback(self) -> DataFrame:
+        return sized_broadcast(written(CAT.fallback_rows(self.rows, self.rules), "catalog-prerolls"))[0]
+
+
+def match_keys(keys: DataFrame, catalog: Catalog, rules: RuleSet, with_diagnostics: bool | None = None) -> DataFrame:
     """One row per key: KEY + MATCHED_SNOP_CATEGORY, MATCH_SCORE, MATCHED_REFERENCE,
     MATCH_RESULT (+ FAILED_CHECKS for the inventory preset) + product features.
 
     The per-key intermediates (features, the state after the exact tiers, the
-    strict matches) feed several later tiers; they are persisted once instead
-    of being recomputed per consumer.  They are small (one row per distinct
-    key).  Pass a list as ``persisted`` to receive them for ``unpersist`` once
-    the result has been materialised.
+    strict matches) feed several later tiers.  They are small (one row per
+    distinct key), so each is written once and read back: later tiers plan a
+    short scan instead of the whole chain of text expressions.
     """
-    held = persisted if persisted is not None else []
-
-    def keep(df: DataFrame) -> DataFrame:
-        df = df.persist()
-        held.append(df)
-        return df
-
-    feats = keep(product_features(keys, rules))
+    feats = written(product_features(keys, rules), "key-features")
     state = exact_tiers(feats, catalog.exact)
     if rules.name_exceptions:
         state = null_safe_join(state, exception_tier(feats, catalog.exact, rules), KEY)
     if rules.high_confidence:
         state = null_safe_join(state, high_confidence_tier(feats, catalog.refs), KEY)
-    state = keep(state)
+    state = written(state, "key-state")
     pre = [c for c in ("T_EXACT", "T_ALT", "T_EXCEPTION", "T_HIGH") if c in state.columns]
     open_keys = state.filter(F.coalesce(*[F.col(c) for c in pre]).isNull()).select(*feats.columns)
-    strict = keep(strict_tier(open_keys, catalog.refs, rules))
+    strict = written(strict_tier(open_keys, catalog.refs, rules), "key-strict")
     state = null_safe_join(state, strict, KEY)
     open2 = null_safe_join(open_keys, strict.select(*KEY), KEY, "left_anti")
     state = null_safe_join(state, backup_tier(open2, catalog.categories, rules), KEY)
@@ -334,7 +343,7 @@ def match_keys(keys: DataFrame, catalog: Catalog, rules: RuleSet, with_diagnosti
     if with_diagnostics is None:
         with_diagnostics = rules.diagnostics
     if with_diagnostics:
-        out = keep(out)
+        out = written(out, "key-matched")
         left = out.filter(F.col("MATCH_RESULT") == C.LABEL_NO_MATCH)
         diag = diagnostics(left, catalog.refs, rules)
         out = null_safe_join(out, diag, KEY)

@@ -29,8 +29,8 @@ def trim_bulk_override(df: DataFrame, rules: WholesaleRules = WHOLESALE) -> Data
     name = F.upper(F.coalesce(F.col("PRODUCTNAME"), F.lit("None")))
     brand = F.upper(F.coalesce(F.col("BRANDNAME"), F.lit("None")))
     premium = brand.contains(rules.premium_keyword) | name.contains(rules.premium_keyword)
-    trim = missing & name.contains("TRIM")
-    bulk = missing & ~name.contains("TRIM") & name.contains("BULK")
+    trim = missing & name.contains(rules.trim_word)
+    bulk = missing & ~name.contains(rules.trim_word) & name.contains(rules.bulk_word)
     hit = trim | bulk
     kind = F.when(trim, F.lit("trim")).otherwise(F.lit("bulk"))
     return df.withColumns({

@@ -10,8 +10,7 @@ from planmatch.config import RuleSet
 from planmatch.functions.text import strip_ws
 from planmatch.operators import ladder as L
 from planmatch.operators import report
-from planmatch.operators.joins import null_safe_join, sized_broadcast
-from planmatch.session import checkpoint_dir
+from planmatch.operators.joins import null_safe_join, sized_broadcast, written
 
 FEATURE_COLS = {
     "CLEANED": "CLEANED_PRODUCTNAME",
@@ -38,22 +37,13 @@ def brand_gate(df: DataFrame, rules: RuleSet) -> DataFrame:
 def key_results(gated: DataFrame, catalog: L.Catalog, rules: RuleSet, checkpoint: bool = True) -> DataFrame:
     """The ladder over the distinct approved keys, materialised once.
 
-    The checkpoint goes to the shared folder of ``spark.checkpoint.dir`` and
-    cuts the lineage, so the fuzzy scoring never reruns for the split,
-    summaries and accounting, nor after a lost executor.
+    Written to the shared folder of ``spark.checkpoint.dir`` and read back: this
+    cuts the lineage, so the fuzzy scoring never reruns for the split, summaries
+    and accounting, nor after a lost executor, and the size is known afterwards.
     """
     keys = L.product_keys(gated.filter("APPROVED"), rules)
-    held: list = []
-    res = L.match_keys(keys, catalog, rules, persisted=held)
-    if checkpoint:
-        checkpoint_dir(res.sparkSession)
-        # persisted first: an RDD checkpoint otherwise recomputes the ladder
-        # once for the job and again to write the checkpoint files
-        staged = res.persist()
-        res = staged.checkpoint(eager=True)
-        for df in held + [staged]:
-            df.unpersist()
-    return res
+    res = L.match_keys(keys, catalog, rules)
+    return written(res, "key-results") if checkpoint else res
 
 
 def label_rows(gated: DataFrame, results: DataFrame, rules: RuleSet) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from planmatch import config as C
 from planmatch.config import WHOLESALE, WholesaleRules
 from planmatch.functions.units import inventory_unit_count, sales_unit_count
 from planmatch.operators import report
@@ -67,8 +68,8 @@ def inventory_controls(inventory: DataFrame, rules: WholesaleRules = WHOLESALE)
         F.count(F.lit(1)).alias("ROWS"),
         F.coalesce(F.sum("QUANTITYONHAND"), F.lit(0.0)).alias("QUANTITY_BEFORE"),
         F.coalesce(F.sum("TOTAL_QUANTITY"), F.lit(0.0)).alias("QUANTITY_AFTER"),
-        F.sum(F.when(name.contains("TRIM"), 1).otherwise(0)).cast("long").alias("TRIM_ROWS"),
-        F.sum(F.when(label.isin("Trim Override", "Bulk Override"), 1).otherwise(0)).cast("long").alias("OVERRIDES"),
+        F.sum(F.when(name.contains(rules.trim_word), 1).otherwise(0)).cast("long").alias("TRIM_ROWS"),
+        F.sum(F.when(label.isin(C.LABEL_TRIM, C.LABEL_BULK), 1).otherwise(0)).cast("long").alias("OVERRIDES"),
         F.sum(F.when(~report.is_matched(), 1).otherwise(0)).cast("long").alias("UNMATCHED_ROWS"),
         F.sum(F.when(F.col("TOTAL_QUANTITY").isNull(), 1).otherwise(0)).cast("long").alias("NULL_TOTAL_QUANTITY"),
     )

@@ -25,7 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("PLANMATCH_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
