@@ -41,7 +41,7 @@ LONG, STEP = 32, 16
 #: Cosines below are read as 0.
 FLOOR = 0.3
 #: Tokens that a worker remembers; tokens learnt, and characters read, at once.
-CACHED_TOKENS, LEARNT, CHARS = 200_000, 2_000, 1 << 20
+CACHED_TOKENS, LEARNT, CHARS = 400_000, 4_000, 1 << 20
 #: Of the cosine: keeps faint likeness, of which long texts have much, from adding up.
 POWER = 3
 THRESHOLD = 0.3
@@ -78,53 +78,82 @@ def neighbourhoods(text: str) -> list[tuple[str, int]]:
             for a, w, z in zip(words, words[1:], words[2:]) if len(w) >= 3 for k, part in enumerate(stretches(w))]
 
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number, subsequence, weight), each pair once, with weights of length 1 for a word.
+def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word number, its three letters' numbers, weight), each pair once, with weights of length 1 for a word; the letters.
 
-    A subsequence is its three code points in one 63-bit number, so letters of all scripts are told apart.
+    The letters are all code points of the words, so those of all scripts are told apart.
     """
     width = max(map(len, words), default=0)
     size = np.array([len(w) for w in words], np.int64)
     code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    alphabet, dense = np.unique(code, return_inverse=True)
-    letter, n = np.full((len(words), width), -1, np.int64), len(alphabet)
-    letter[np.arange(width)[None, :] < size[:, None]] = dense
+    there = np.bincount(code, minlength=1) > 0
+    alphabet = np.flatnonzero(there)
+    bits = max(1, len(alphabet).bit_length())
+    if 3 * bits + len(words).bit_length() > 63:
+        raise OverflowError("too many letters for so many words")
+    letter = np.full((len(words), width), -1, np.int64)
+    letter[np.arange(width)[None, :] < size[:, None]] = (np.cumsum(there) - 1)[code]
     keys, weights = [], []
     for b in range(2, min(SPAN, width - 1) + 1):
         row, at = np.nonzero(letter[:, b:] >= 0)
+        head = row << 3 * bits | letter[row, at] << 2 * bits | letter[row, at + b]
         for a in range(1, b):
-            keys.append(((row * n + letter[row, at]) * n + letter[row, at + a]) * n + letter[row, at + b])
+            keys.append(head | letter[row, at + a] << bits)
             weights.append(np.full(len(row), LAMBDA ** (b + 1)))
     if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(0, np.int64), np.zeros((3, 0), np.int64), np.zeros(0), alphabet
     key, weight = np.concatenate(keys), np.concatenate(weights)
     order = np.argsort(key)
     key, weight = key[order], weight[order]
     first = np.flatnonzero(np.diff(key, prepend=-1))
     key, weight = key[first], np.add.reduceat(weight, first) if len(first) else weight
-    word = key // n**3
+    word, mask = key >> 3 * bits, (1 << bits) - 1
     norm = np.sqrt(np.bincount(word, weight**2, len(words)))
-    points = (alphabet[key // n**2 % n] << 42) | (alphabet[key // n % n] << 21) | alphabet[key % n]
-    return word, points, weight / norm[word]
+    return word, np.stack([key >> 2 * bits & mask, key >> bits & mask, key & mask]), weight / norm[word], alphabet
 
 
 class Profiles:
     """Subsequence weights of the landmarks, one column each; rows only for subsequences that some landmark has."""
 
+    #: Above this many cells rows are found by search instead of by table.
+    CELLS = 1 << 22
+
     def __init__(self, landmarks: list[str]):
-        word, sub, weight = subsequences(landmarks)
-        self.subs, row = np.unique(sub, return_inverse=True)
+        word, letters, weight, self.alphabet = subsequences(landmarks)
+        self.n = len(self.alphabet) + 1  # the last number: a letter that no landmark has
+        self.subs, row = np.unique(self._cell(letters), return_inverse=True)
         self.table = np.zeros((len(self.subs), len(landmarks)), np.float32)
         self.table[row, word] = weight
+        self.row_of = None
+        if self.n**3 <= self.CELLS:
+            self.row_of = np.full(self.n**3, -1, np.int32)
+            self.row_of[self.subs] = np.arange(len(self.subs))
+
+    def _cell(self, letters: np.ndarray) -> np.ndarray:
+        return (letters[0] * self.n + letters[1]) * self.n + letters[2]
+
+    def rows(self, letters: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
+        """The table's row of each subsequence; -1 if no landmark has it."""
+        own = np.minimum(np.searchsorted(self.alphabet, alphabet), max(0, self.n - 2))
+        own = np.where(self.alphabet[own] == alphabet, own, self.n - 1) if self.n > 1 else np.zeros(len(alphabet), np.int64)
+        cell = self._cell(own[letters])
+        if self.row_of is not None:
+            return self.row_of[cell]
+        row = np.minimum(np.searchsorted(self.subs, cell), len(self.subs) - 1)
+        return np.where(self.subs[row] == cell, row, -1)
 
     def kernels(self, words: list[str]) -> np.ndarray:
         """Kernel of each word with each landmark."""
-        word, sub, weight = subsequences(words)
+        try:
+            word, letters, weight, alphabet = subsequences(words)
+        except OverflowError:
+            half = len(words) // 2
+            return np.concatenate([self.kernels(words[:half]), self.kernels(words[half:])])
         out = np.zeros((len(words), self.table.shape[1]), np.float32)
-        if not len(self.subs):
+        if not len(self.subs) or not len(word):
             return out
-        row = np.minimum(np.searchsorted(self.subs, sub), len(self.subs) - 1)
-        used = self.subs[row] == sub  # of subsequences that no landmark has, nothing comes
+        row = self.rows(letters, alphabet)
+        used = row >= 0  # of subsequences that no landmark has, nothing comes
         word, row, weight = word[used], row[used], weight[used].astype(np.float32)
         first = np.flatnonzero(np.diff(word, prepend=-1))
         for lo in range(0, len(first), 20_000):
