@@ -131,7 +131,8 @@ def language(text: Column, model: tuple[list[str], np.ndarray]) -> Column:
             score += [min(1.0, max(0.0, float(c[b]))) if k else 0.0 for c, b, k in zip(cos, best, known)]
         return pd.DataFrame({"lang_pred": pred, "score": score})
 
-    return predict(text)
+    # evaluated once, also where a filter and a projection both use it
+    return predict.asNondeterministic()(text)
 
 
 def has_letters(text: Column, dimensions: int) -> Column:
