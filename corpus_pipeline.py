@@ -61,7 +61,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     found = suffix_dedup.dedup(rows).withColumn("x", F.from_json("extra", kind))
     cut = F.col("n_removed") > 0
-    found = found.withColumn("cut", decoded(F.when(cut, F.col("kept"))))
+    # asNondeterministic: decoded once, though a filter and two columns use it
+    found = found.withColumn("cut", decoded.asNondeterministic()(F.when(cut, F.col("kept"))))
     text = F.when(cut, F.col("cut")).when(~F.col("x.none"), F.col("kept").cast("string"))
     n_chars = F.when(cut, F.length("cut").cast("long")).otherwise(F.col("x.n_chars"))
     return found.filter(~cut | (F.col("cut") != "")).select("doc_id", text.alias("text"), "x.lang", "x.source", n_chars.alias("n_chars"))
