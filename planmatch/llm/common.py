@@ -176,6 +176,8 @@ def pack(docs: DataFrame, name: str, block_bytes: int = 4 << 20, before: int = 0
                         cols, total, n = [[] for _ in range(width)], 0, n + 1
         if cols[0]:
             yield row()
+        cols.clear()
+        give_back()
 
     path = scratch(spark, name)
     table = f"{name}_{uuid.uuid4().hex}"
@@ -193,6 +195,19 @@ def beside(blocks: DataFrame, *sides: DataFrame) -> DataFrame:
     return blocks
 
 
+def give_back() -> None:
+    """At the end of a task: memory that a reused Python worker holds without need goes back to the system."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to trim
+        pass
+
+
 def blob_rows(block: int, bucket, blobs: list[bytes]):
     import pyarrow as pa
 

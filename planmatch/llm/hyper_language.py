@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planmatch.llm.common import held_out, pick, read
+from planmatch.llm.common import give_back, held_out, pick, read
 
 DIMENSIONS = 512
 SEED = 8
@@ -101,6 +101,7 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str], np.
                     found[name] = found.get(name, 0) + v.astype(np.float64)
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([v.tolist() for v in found.values()])], names=["lang", "v"])
+        give_back()
 
     rows = pick(docs, text="string", lang="string").filter("text is not null and lang is not null")
     parts = rows.mapInArrow(sums, "lang string, v array<double>").select("lang", F.posexplode("v").alias("at", "x"))

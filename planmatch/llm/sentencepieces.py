@@ -32,7 +32,7 @@ from planmatch.llm.common import documents, read, saved
 MODEL = "piece_bpe_32k.model"
 #: Characters of a chunk; texts up to this length are encoded in one go.
 CHUNK = 65_536
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 CELLS = 200_000  # characters of words encoded together
 LONG_WORD = 48  # beyond, a word is encoded alone
 FAR = np.int64(1) << 40

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planmatch.llm.common import BLOBS, NO_ID, beside, blob_rows, buckets, mix, pack, pick, read, squeeze, unsqueeze
+from planmatch.llm.common import BLOBS, NO_ID, beside, blob_rows, buckets, give_back, mix, pack, pick, read, squeeze, unsqueeze
 
 LENGTH = 50
 ANCHOR = 24
@@ -252,6 +252,7 @@ def cut_blocks(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_B
                     at = stretches(block.lo[runs], block.count[runs] + length - 1)
                     blobs.append(squeeze(runs.astype("<u4"), block.doc[runs], block.count[runs].astype(np.uint8), block.data[at]))
                 yield blob_rows(row["block"], bucket[edges], blobs)
+        give_back()
 
     strings = beside(fields, shared).mapInArrow(send_strings, BLOBS)
     covered = strings.groupBy("bucket").applyInPandas(rank_strings(length), BLOBS)
@@ -277,6 +278,7 @@ def cut_blocks(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_B
                     out.append((row["rid"][i], None if doc == NO_ID else doc, row["th"][i], row["off"][i], row["last"][i], hi - lo, int(mask.sum()), spans, bool(hi > lo and mask[0]), bool(hi > lo and mask[-1]),
                                 kept if with_kept or not whole else None, hashlib.sha256(kept).hexdigest() if whole else None, *[row[m][i] for m in more]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names_)
+        give_back()
 
     fields = blocks.select("block", "rid", "doc", "th", "off", "skip", "own", "size", "last", *more, "data")
     shape = "rid long, doc_id long, th long, off long, last boolean, n_bytes long, n_removed long, n_spans long, head boolean, tail boolean, kept binary, kept_sha256 string" + "".join(f", {m} {t}" for m, t in more.items())
