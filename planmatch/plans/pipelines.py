@@ -111,6 +111,7 @@ def inventory_run(spark: SparkSession, sf: str, combined: bool = True) -> dict:
                 combine.INVENTORY_OUTPUT, "inventory")
 
 
+# The original's table names.
 SALES_TABLES = {"matched": "matched_sales_with_snop_category", "unmatched": "unmatched_sales_without_snop_category"}
 INVENTORY_TABLES = {"matched": "matched_inventory_with_snop_category", "unmatched": "unmatched_inventory_without_snop_category"}
 
