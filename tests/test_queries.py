@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from planmatch.operators import ladder as L
 from planmatch.operators import report
 from planmatch.plans import pipelines as P
 from planmatch.queries import QUERIES
@@ -140,3 +141,14 @@ def test_entry(spark):
     df = E.entry(spark)
     assert set(df.columns) >= {"LOCATIONNAME", "TRANSACTIONDATE", "MATCHED_SNOP_CATEGORY"}
     assert df.count() > 0
+
+
+def test_edible_backup_runs_over_all_edible_keys(spark):
+    """Not only over those of the run that the tiers before it leave open."""
+    sales, rules = tables(spark, SF).retail_sales, P.SAL
+    gated = P.retail.brand_gate(sales.filter(sales.MASTERCATEGORY.isin(list(rules.master_categories))), rules).filter("APPROVED")
+    feats = L.product_features(L.product_keys(gated, rules), rules)
+    best = L.backup_tier(feats, L.Catalog(tables(spark, SF).catalog, rules).categories, rules)
+    want = {(r.PRODUCTNAME, r.BRANDNAME) for r in best.collect()}
+    assert len(want) > 1
+    assert {(r.PRODUCTNAME, r.BRANDNAME) for r in QUERIES["edible_backup"](spark, SF).collect()} == want
