@@ -24,15 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from planmatch.llm.common import Numbers, documents, read, saved, scratch, text_key
+from planmatch.llm.common import Numbers, documents, give_back, read, saved, scratch, text_key
 from planmatch.llm.files import whole_file
 
 MAGIC = b"WVMX1\0"
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 SHARD_TOKENS = 1 << 20
-#: Pieces that a worker remembers with their ids.
-CACHED_PIECES = 800_000
+#: Pieces that a worker remembers with their ids, and characters of text that it cuts into pieces at once.
+CACHED_PIECES, SLICE_CHARS = 800_000, 2 << 20
 STEP = 512  # bits between two entries of a plane's rank directory
 
 
@@ -263,9 +263,18 @@ class Pieces:
         return own
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        if len(self.number) > CACHED_PIECES:
-            self.clear()
+        """Little-endian 32-bit ids of each text; a slice of the texts at a time, so that few pieces are held beside the remembered ones."""
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        out, at = [], 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_CHARS, "right")))
+            out += self._encode(texts[at:end])
+            at = end
+            if len(self.number) > CACHED_PIECES:
+                self.clear()
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
         of = self.number.of([p for c in cut for p in c])
         new = self.number.fresh()
@@ -323,6 +332,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_tokens: int
                     doc_ids, raws, total, seq = [], [], 0, seq + 1
         if raws:
             yield flush()
+        raws.clear()
+        give_back()
 
     return ordered.mapInArrow(write, "path string, part long, seq long, n_docs long, n_tokens long")
 
@@ -342,6 +353,7 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
                 at = np.cumsum(lengths) - lengths
                 crc = [zlib.crc32(ids[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), lengths.tolist())]
                 yield pa.RecordBatch.from_pydict({"part": [part] * len(crc), "seq": [seq] * len(crc), "doc_id": doc_ids, "at": at, "n_tokens": lengths, "ids_crc32": crc}, schema)
+        give_back()
 
     return files.mapInArrow(rows, "part long, seq long, doc_id long, at long, n_tokens long, ids_crc32 long")
 

@@ -412,3 +412,16 @@ def test_pipeline_keeps_texts_when_no_language_is_learned(spark):
     rows = [(1, "clean words here", None), (2, None, None), (3, "12 34 --", None), (4, "日本語", None)]
     docs = spark.createDataFrame([(d, t, lang, "s", 1) for d, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()} == {1, 4}
+
+
+def test_wavelet_worker_holds_few_pieces(monkeypatch):
+    """Slices of a batch are encoded one after the other; what is remembered stays bounded, and the ids are the library's."""
+    from planmatch.llm import wavelet
+
+    monkeypatch.setattr(wavelet, "CACHED_PIECES", 20)
+    monkeypatch.setattr(wavelet, "SLICE_CHARS", 50)
+    lib = wavelet.Pieces(wavelet.tokenizer_path())
+    texts = ["", *[" ".join(f"word{i * k}" for k in range(i)) for i in range(30)], "", "x" * 200, "ó ö  a  b"]
+    got = lib.encode(texts)
+    assert len(lib.number) <= 20
+    assert got == [ids.tobytes() for ids in lib.whole(texts)]
