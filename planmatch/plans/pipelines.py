@@ -1,7 +1,7 @@
 """End-to-end runs on the fixture tables (sales: E1, inventory: E2).
 
-Every call evaluates its own ladder (key results are checkpointed inside); a caller that wants
-several outputs of one run takes them from the returned dict.
+Every call evaluates its own ladder (the gated extract, which the keys and the rows come from, and the key results are
+written once inside); a caller that wants several outputs of one run takes them from the returned dict.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from planmatch.config import FIXTURE_SALES as SAL
 from planmatch.config import FIXTURE_WHOLESALE as WHO
 from planmatch.operators import combine, report
 from planmatch.operators import ladder as L
+from planmatch.operators.joins import written
 from planmatch.plans import retail, wholesale
 from planmatch.session import checkpoint_dir
 from planmatch.sinks import export_csv, read_csv_export, read_table, snapshot_reload, window_reload
@@ -34,19 +35,19 @@ def gated_inventory(spark, sf):
     return retail.brand_gate(snap, INV)
 
 
-def sales_key_results(spark: SparkSession, sf: str) -> DataFrame:
+def sales_key_results(spark: SparkSession, sf: str, gated: DataFrame | None = None) -> DataFrame:
     cat = L.Catalog(tables(spark, sf).catalog, SAL)
-    return retail.key_results(gated_sales(spark, sf), cat, SAL)
+    return retail.key_results(gated_sales(spark, sf) if gated is None else gated, cat, SAL)
 
 
-def inventory_key_results(spark: SparkSession, sf: str) -> DataFrame:
+def inventory_key_results(spark: SparkSession, sf: str, gated: DataFrame | None = None) -> DataFrame:
     cat = L.Catalog(tables(spark, sf).catalog, INV)
-    return retail.key_results(gated_inventory(spark, sf), cat, INV)
+    return retail.key_results(gated_inventory(spark, sf) if gated is None else gated, cat, INV)
 
 
 def retail_sales_outputs(spark: SparkSession, sf: str) -> dict:
-    gated = gated_sales(spark, sf)
-    labelled = retail.label_rows(gated, sales_key_results(spark, sf), SAL)
+    gated = written(gated_sales(spark, sf), "gated-sales")
+    labelled = retail.label_rows(gated, sales_key_results(spark, sf, gated), SAL)
     matched, unmatched = retail.split_sales(labelled)
     return {
         "gated": gated,
@@ -59,14 +60,14 @@ def retail_sales_outputs(spark: SparkSession, sf: str) -> dict:
 
 
 def retail_inventory_outputs(spark: SparkSession, sf: str) -> dict:
-    gated = gated_inventory(spark, sf)
-    labelled = retail.label_rows(gated, inventory_key_results(spark, sf), INV)
+    gated = written(gated_inventory(spark, sf), "gated-inventory")
+    labelled = retail.label_rows(gated, inventory_key_results(spark, sf, gated), INV)
     matched, unmatched = retail.split_inventory(labelled)
     return {"gated": gated, "labelled": labelled, "matched": matched, "unmatched": unmatched}
 
 
 def _run(gated: DataFrame, results: DataFrame, rules, mask, finish, other: DataFrame | None, order: list, name: str) -> dict:
-    """One pass over the source: label, split, combine, write once, partitioned by STATUS; counted while it is written.
+    """One pass over the extract: label, split, combine, write once, partitioned by STATUS; counted while it is written.
 
     ``finish`` gives the labelled rows their quantity; ``other`` is the other channel with its STATUS.  The written
     rows are read back as two frames.  Raises if rows were lost or repeated on the way; a stage that ran again after
@@ -99,7 +100,8 @@ def sales_run(spark: SparkSession, sf: str, combined: bool = True) -> dict:
     if combined:
         other = wholesale.sales_table(wholesale.labelled_sales(tables(spark, sf).wholesale_sales, WHO))
         other = retail.with_status(other, report.is_matched(blank="matched"))
-    return _run(gated_sales(spark, sf), sales_key_results(spark, sf), SAL, retail.sales_matched_mask, lambda d: d, other, combine.SALES_OUTPUT, "sales")
+    gated = written(gated_sales(spark, sf), "gated-sales")
+    return _run(gated, sales_key_results(spark, sf, gated), SAL, retail.sales_matched_mask, lambda d: d, other, combine.SALES_OUTPUT, "sales")
 
 
 def inventory_run(spark: SparkSession, sf: str, combined: bool = True) -> dict:
@@ -107,7 +109,8 @@ def inventory_run(spark: SparkSession, sf: str, combined: bool = True) -> dict:
     other = None
     if combined:
         other = retail.with_status(wholesale.labelled_inventory(tables(spark, sf).wholesale_inventory, WHO), report.is_matched())
-    return _run(gated_inventory(spark, sf), inventory_key_results(spark, sf), INV, retail.inventory_matched_mask, retail.inventory_quantity, other,
+    gated = written(gated_inventory(spark, sf), "gated-inventory")
+    return _run(gated, inventory_key_results(spark, sf, gated), INV, retail.inventory_matched_mask, retail.inventory_quantity, other,
                 combine.INVENTORY_OUTPUT, "inventory")
 
 

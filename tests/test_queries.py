@@ -14,6 +14,7 @@ from planmatch.operators import ladder as L
 from planmatch.operators import report
 from planmatch.plans import pipelines as P
 from planmatch.queries import QUERIES
+from planmatch.sources import fixtures
 from planmatch.sources.fixtures import tables
 from planmatch.sql.oracle import ORACLE_SQL
 
@@ -152,3 +153,33 @@ def test_edible_backup_runs_over_all_edible_keys(spark):
     want = {(r.PRODUCTNAME, r.BRANDNAME) for r in best.collect()}
     assert len(want) > 1
     assert {(r.PRODUCTNAME, r.BRANDNAME) for r in QUERIES["edible_backup"](spark, SF).collect()} == want
+
+
+def test_large_sides_are_shuffled(spark, monkeypatch):
+    """Sides that are not proven small do not pass through the driver; the rows are the same."""
+    small = {n: tables(spark, SF)[n] for n in ("wholesale_sales", "wholesale_inventory", "retail_inventory")}
+    monkeypatch.setattr(fixtures, "DEFAULT_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(fixtures, "PART_BYTES", 1000)
+    for name, df in small.items():
+        large = tables(spark, SF)[name]
+        assert "Join" in (plan := large._jdf.queryExecution().optimizedPlan().toString())
+        assert plan.count("rightHint=(strategy=merge)") >= 1
+        assert large.count() == df.count() > 0
+        assert large.exceptAll(df).isEmpty() and df.exceptAll(large).isEmpty()
+
+
+def test_run_makes_its_extract_and_the_catalog_once(spark, monkeypatch):
+    """Keys and rows of a run come from one extract, a preset's derivations from one catalog: each is written before."""
+    made = []
+    write = L.written
+
+    def kept(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        made.append((name, "l_returnflag" in plan, "p_partkey" in plan))
+        return write(df, name)
+
+    for module in (L, P, P.retail):
+        monkeypatch.setattr(module, "written", kept)
+    P.sales_run(spark, SF, combined=False)
+    assert [n for n, sales, _ in made if sales] == ["gated-sales"]
+    assert [n for n, _, part in made if part] == ["gated-sales", "catalog-rows"]
