@@ -184,9 +184,10 @@ def accounting(spark: SparkSession, sf: str) -> DataFrame:
 def wholesale_exports(spark: SparkSession, sf: str) -> DataFrame:
     """The wholesale run's CSV files (sales, summaries, inventory), read back: rows and totals of each file."""
     t = tables(spark, sf)
-    sales = wholesale.labelled_sales(t.wholesale_sales, WHO)
+    # both extracts are made once: six files are written from them
+    sales = written(wholesale.labelled_sales(t.wholesale_sales, WHO), "wholesale-sales")
     matched, unmatched = wholesale.split_sales(sales)
-    stock = wholesale.labelled_inventory(t.wholesale_inventory, WHO)
+    stock = written(wholesale.labelled_inventory(t.wholesale_inventory, WHO), "wholesale-inventory")
     has = report.is_matched(blank="matched")
     frames = {"matched_sales_with_snop_category": matched, "unmatched_sales_without_snop_category": unmatched,
               "matched_category_summary": wholesale.sales_category_summary(sales, WHO), "daily_category_summary": wholesale.sales_daily_summary(sales),

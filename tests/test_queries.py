@@ -168,6 +168,20 @@ def test_large_sides_are_shuffled(spark, monkeypatch):
         assert large.exceptAll(df).isEmpty() and df.exceptAll(large).isEmpty()
 
 
+def test_exports_make_each_extract_once(spark, monkeypatch):
+    """Six files come from two extracts that are written before: no file's plan joins the lines again."""
+    plans = []
+    export = P.export_csv
+
+    def kept(frames, *args):
+        plans.extend(df._jdf.queryExecution().optimizedPlan().toString() for df in frames.values())
+        return export(frames, *args)
+
+    monkeypatch.setattr(P, "export_csv", kept)
+    assert P.wholesale_exports(spark, SF).count() == 6
+    assert len(plans) == 6 and not any("Join" in p for p in plans)
+
+
 def test_run_makes_its_extract_and_the_catalog_once(spark, monkeypatch):
     """Keys and rows of a run come from one extract, a preset's derivations from one catalog: each is written before."""
     made = []
