@@ -425,3 +425,44 @@ def test_wavelet_worker_holds_few_pieces(monkeypatch):
     got = lib.encode(texts)
     assert len(lib.number) <= 20
     assert got == [ids.tobytes() for ids in lib.whole(texts)]
+
+
+def test_wavelet_looks_up_a_recurring_piece_once(monkeypatch):
+    """Work on pieces goes by the distinct ones of a slice, and only new pre-tokens reach the library's model."""
+    looked, encoded = [], []
+
+    class Counted(wavelet.Numbers):
+        def of(self, keys):
+            looked.append(len(keys))
+            return super().of(keys)
+
+    class Model:
+        def tokenize(self, word):
+            encoded.append(word)
+            return lib.lib.model.tokenize(word)
+
+    monkeypatch.setattr(wavelet, "Numbers", Counted)
+    lib = wavelet.Pieces(wavelet.tokenizer_path())
+    texts = ["the same words, again and again; the same"] * 1_000
+    looked.clear()
+    got = lib.encode(texts)
+    assert sum(looked) < 40
+    assert got == [lib.whole(texts[:1])[0].tobytes()] * 1_000
+    lib.clear()
+    lib.model = Model()
+    assert lib.encode(texts) == got
+    assert len(encoded) == len(set(encoded)) == 8  # ``the`` with and without a space in front
+    assert lib.encode(["again; the same", "words, and"]) == [i.tobytes() for i in lib.whole(["again; the same", "words, and"])] and len(encoded) == 10  # ``again`` and ``words`` without one
+
+
+def test_wavelet_mixed_texts_are_the_librarys():
+    """All kinds of white space, zero characters, scripts and added tokens beside each other."""
+    from tokenizers import Tokenizer
+
+    parts = [" ", " ", " ", "  ", "\n", "\t", "\0", "'s", "'LL", "re", "word", "é", "слово", "日本", "\u00a0", "\u3000", "\x1c", "\x85", "\r", "<|endoftext|>", "<|endof", "12", "!", "..", "×", "ɏ", "ɐ", "😀", "\u200b", "\x7f", "\xad", "½"]
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(3_000)] + ["\0", "\0\0", "\0 ", " \0 a"]
+    own, lib = wavelet.Pieces(wavelet.tokenizer_path()), Tokenizer.from_file(wavelet.tokenizer_path())
+    want = [np.array(e.ids, "<u4").tobytes() for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert own.encode(texts) == want and own.encode(texts[::-1]) == want[::-1]
+    assert own.encode([]) == [] and own.encode([None, ""]) == [b"", b""]
